@@ -40,8 +40,8 @@ def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBa
     """mapInArrow with bounded batches; fn gets one batch and yields batches of schema."""
     spark = df.sparkSession
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
-        with_unit = str(spark.conf.get(key, str(1 << 62)))
-        if not with_unit.lstrip("-").isdigit() or not 0 < int(with_unit) <= most:
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentencepiece_bpe
+from . import decontaminate, sentencepiece_bpe, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,5 +29,13 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), sentencepiece_bpe.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES: dict[str, Query] = {"op7_sentencepiece": op7_sentencepiece}
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_read(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.search(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Query] = {"op4_url_filter": op4_url_filter, "op9_decontaminate": op9_decontaminate, "op7_sentencepiece": op7_sentencepiece}
 ORACLE_SQL: dict[str, str] = {}
