@@ -34,6 +34,7 @@ LABELLED = [
     ("http://payday-loans.test/apply-now", 1), ("https://instant-loans-cash.test/en/40", 1), ("http://replica-watches.test/shop?cheap=1", 1), ("https://xxx-videos.test/free", 1),
     ("http://adult-cams.test/live", 1), ("https://betting-tips.test/odds/today", 1), ("http://miracle-diet.test/lose-weight-fast", 1), ("https://free-download-crack.test/keygen", 1),
     ("http://www.free-bets.test/de/71", 1), ("https://blog.casino-win.test/es/90", 1), ("http://m.bets-odds.test/fr/6", 1), ("https://link-farm.test/en/2", 1),
+    ("https://free-bets.example.org/en/5", 1), ("http://m.casino-win.example.com/fr/77", 1), ("https://www.casino-win.example.net/de/412", 1), ("http://blog.free-bets.example.com/es/31", 1),
     ("http://viagra-sale.test/en/12", 1), ("https://click-here-win.test/prize", 1), ("http://spam.example.net/fr/500", 1), ("https://m.cheap-meds.test/es/7", 1),
     ("https://blog.harbour.example.com/en/12", 0), ("http://www.library.example.org/de/300", 0), ("https://m.weather.example.net/fr/19.html", 0), ("http://garden.example.com/es/44/", 0),
     ("https://blog.tethering.example.org/en/812?page=2", 0), ("http://thorn.example.net/de/95", 0), ("https://www.erenth.example.com/en/7?utm_source=feed", 0), ("http://m.station.example.org/es/61", 0),
