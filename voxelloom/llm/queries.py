@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, sentencepiece_bpe, url_filter
+from . import decontaminate, quality_rules, sentencepiece_bpe, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,25 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), sentencepiece_bpe.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels"))).drop("text")
+    return scored.select("doc_id", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entries = quality_rules.ledger(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return entries.select(*columns, (~quality_rules.kept("base@1")).alias("base_failed"), quality_rules.kept(quality_rules.PRODUCTION).alias("kept"), "fail_bits")
+
+
+OP6_SQL = f"""{quality_rules.measures_sql("documents")}
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+  ({quality_rules.rules_sql("base@1")}) AS base_failed, NOT ({quality_rules.rules_sql(quality_rules.PRODUCTION)}) AS kept,
+  ({" + ".join(f"CASE WHEN {fails} THEN {1 << bit} ELSE 0 END" for bit, _, fails in quality_rules.RULES)})::BIGINT AS fail_bits FROM m
+"""
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_read(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
 
@@ -37,5 +56,5 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {"op4_url_filter": op4_url_filter, "op9_decontaminate": op9_decontaminate, "op7_sentencepiece": op7_sentencepiece}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES: dict[str, Query] = {"op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op4_url_filter": op4_url_filter, "op9_decontaminate": op9_decontaminate, "op7_sentencepiece": op7_sentencepiece}
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL}
