@@ -126,9 +126,9 @@ g AS (SELECT r, i, (ws[i], ws[i + 1], ws[i + 2], ws[i + 3], ws[i + 4]) AS g FROM
 hit AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT i + k) AS n FROM hit, range(5) AS o(k) GROUP BY r),
 ln AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM w) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
-m AS (SELECT w.r, w.{doc_id}, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+m AS (SELECT w.r, w.{doc_id}, len(ws) AS n_words, coalesce(list_sum([length(x) for x in ws]), 0)::BIGINT AS word_chars,
   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(ln.n, 0) AS n_lines, coalesce(ln.n - ln.u, 0) AS n_dup_lines, coalesce(rep.n, 0) AS n_repeat_words,
-  len(list_filter(ws, x -> length(x) > 1 AND regexp_matches(x, '\p{{Lu}}') AND NOT regexp_matches(x, '[\p{{Ll}}\p{{Lt}}]'))) AS n_upper_words,
-  length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaims, len(list_filter(range(1, len(ws)), i -> ws[i] = ws[i + 1])) AS n_echo_words, len(list_distinct(ws)) AS n_distinct_words
+  len([x for x in ws if length(x) > 1 AND regexp_matches(x, '\p{{Lu}}') AND NOT regexp_matches(x, '[\p{{Ll}}\p{{Lt}}]')]) AS n_upper_words,
+  length(regexp_replace(t, '[^!]', '', 'g')) AS n_exclaims, len([i for i in range(1, len(ws)) if ws[i] = ws[i + 1]]) AS n_echo_words, len(list_distinct(ws)) AS n_distinct_words
   FROM w LEFT JOIN ln USING (r) LEFT JOIN rep USING (r))
 """

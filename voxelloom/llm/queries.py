@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, sentencepiece_bpe, toxicity, url_filter
+from . import decontaminate, pii, quality_rules, sentencepiece_bpe, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,9 +52,15 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_read(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [pii.count(F.col("base_spans"), k).alias(f"n_{k}") for k in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(pii.describe(F.col("base_spans")), 256).alias("base_sha256"), pii.describe(F.col("spans")).alias("spans"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {"op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op4_url_filter": op4_url_filter, "op9_decontaminate": op9_decontaminate, "op7_sentencepiece": op7_sentencepiece}
+QUERIES: dict[str, Query] = {"op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op4_url_filter": op4_url_filter, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op7_sentencepiece": op7_sentencepiece}
 ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL}

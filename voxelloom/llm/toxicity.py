@@ -29,7 +29,7 @@ from .common import arrow_map, texts
 
 #: Labelled rows that the fit uses at most, and features at most (those of the strongest association).
 FIT_ROWS, MOST_FEATURES = 8000, 3000
-BITS, LEAST_G2, L2, COUNTERFACTUAL, THRESHOLD = 20, 24.0, 1e-3, 10.0, 0.3
+BITS, LEAST_G2, L2, COUNTERFACTUAL, THRESHOLD = 20, 24.0, 1e-4, 10.0, 0.3
 
 #: Identity terms; a swap puts the next of its row in a term's place.
 IDENTITY = [
