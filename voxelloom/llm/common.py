@@ -36,14 +36,18 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with bounded batches; fn gets one batch and yields batches of schema."""
-    spark = df.sparkSession
+def bound_batches(spark: SparkSession) -> None:
+    """Hold the Arrow batches that go to Python workers to BATCH_ROWS and BATCH_BYTES, where the session allows more."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         now = spark.conf.get(key, None)
         if now is None or not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 
+
+def arrow_map(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow with bounded batches; fn gets one batch and yields batches of schema."""
+    bound_batches(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:

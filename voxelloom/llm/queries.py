@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pii, quality_rules, sentencepiece_bpe, toxicity, url_filter
+from . import decontaminate, packing, pii, quality_rules, sentencepiece_bpe, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,5 +62,12 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.search(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Query] = {"op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op4_url_filter": op4_url_filter, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op7_sentencepiece": op7_sentencepiece}
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+QUERIES: dict[str, Query] = {"op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op4_url_filter": op4_url_filter, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op10_packing": op10_packing, "op7_sentencepiece": op7_sentencepiece}
 ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL}
