@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, packing, pii, quality_rules, sentencepiece_bpe, toxicity, url_filter
+from . import decontaminate, html_extract, jaccard_join, packing, pii, quality_rules, sentencepiece_bpe, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +45,10 @@ def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(_read(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(_read(spark, sf_dir, "documents").select("doc_id", "text")).drop("h", "class_h")
+
+
 OP6_SQL = f"""{quality_rules.measures_sql("documents")}
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
   ({quality_rules.rules_sql("base@1")}) AS base_failed, NOT ({quality_rules.rules_sql(quality_rules.PRODUCTION)}) AS kept,
@@ -73,5 +77,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {"op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op3_html_extract": op3_html_extract, "op4_url_filter": op4_url_filter, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op10_packing": op10_packing, "op7_sentencepiece": op7_sentencepiece}
+QUERIES: dict[str, Query] = {"op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op3_html_extract": op3_html_extract, "op4_url_filter": op4_url_filter, "op5_jaccard_join": op5_jaccard_join, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op10_packing": op10_packing, "op7_sentencepiece": op7_sentencepiece}
 ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL}
