@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, jaccard_join, packing, pii, quality_rules, sentencepiece_bpe, toxicity, url_filter
+from . import decontaminate, html_extract, jaccard_join, line_dedup, packing, pii, quality_rules, sentencepiece_bpe, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), sentencepiece_bpe.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "removed_words", "removed", F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels"))).drop("text")
@@ -77,5 +82,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {"op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op3_html_extract": op3_html_extract, "op4_url_filter": op4_url_filter, "op5_jaccard_join": op5_jaccard_join, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op10_packing": op10_packing, "op7_sentencepiece": op7_sentencepiece}
+QUERIES: dict[str, Query] = {"op1_line_dedup": op1_line_dedup, "op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op3_html_extract": op3_html_extract, "op4_url_filter": op4_url_filter, "op5_jaccard_join": op5_jaccard_join, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op10_packing": op10_packing, "op7_sentencepiece": op7_sentencepiece}
 ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL}
