@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructField
 
 #: Upper bounds of one Arrow batch that goes to a Python worker.
 BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
@@ -36,6 +37,29 @@ def scratch(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def prefix(df: DataFrame) -> str:
+    """Underscores that no column of df begins with: names behind them clash with none."""
+    p = "_"
+    while any(c.startswith(p) for c in df.columns):
+        p += "_"
+    return p
+
+
+def others(df: DataFrame, *names: str) -> list[StructField]:
+    """The columns of df but those of these names (in any case): what stays beside new columns of these names."""
+    taken = {n.lower() for n in names}
+    return [f for f in df.schema.fields if f.name.lower() not in taken]
+
+
+def ddl(fields: list[StructField], *more: str) -> str:
+    """A schema of the fields and of further columns in DDL."""
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), *more])
+
+
+def columns(batch: pa.RecordBatch, fields: list[StructField]) -> list[pa.Array]:
+    return [batch.column(batch.schema.get_field_index(f.name)) for f in fields]
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Hold the Arrow batches that go to Python workers to BATCH_ROWS and BATCH_BYTES, where the session allows more."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):

@@ -12,7 +12,7 @@ tasks in blocks of at most BLOCK_BYTES of text, one scan for each block.
 
 Cases: words are runs of non-space characters, compared exactly. Null and empty texts, and items under five
 words, match nothing. Repeated items are each reported; repeated documents get equal hits. Extra columns
-are kept; a column named like the added one is an error, before any job runs. Ties: hits are ordered by item id.
+are kept; one named like the added one is replaced. Ties: hits are ordered by item id.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _B, SHINGLE_WORDS, Hashes, arrow_map, mix, shingle_hashes, texts
+from .common import _B, SHINGLE_WORDS, Hashes, arrow_map, ddl, mix, others, prefix, shingle_hashes, texts
 
 THRESHOLD = 0.8
 #: Bytes of items' text that one scan looks for, and so the most that goes to a task.
@@ -105,29 +105,23 @@ _worker: dict = {}
 
 def annotate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD, hits: str = "hits") -> DataFrame:
     """docs with the column hits: an array of the items that each text contains to at least threshold."""
-    if hits in docs.columns:
-        raise ValueError(f"the column {hits} is there already")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    kept, p = others(docs, hits), prefix(docs)
     wanted = items.select(F.col(item_id).cast("bigint").alias("i"), F.col(item_text).alias("t"))
     size = wanted.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n_blocks = max(1, math.ceil(size / BLOCK_BYTES))
     struct = pa.list_(pa.struct([("item_id", pa.int64()), ("n_shared", pa.int64()), ("n_item", pa.int64()), ("containment", pa.float64())]))
-    out = docs
+    each, out = [f"{p}{b}" for b in range(n_blocks)], docs.select(*[F.col(f"`{f.name}`") for f in kept])
     for block in range(n_blocks):
         part = [(r.i, r.t) for r in wanted.where(F.pmod(F.xxhash64("t"), F.lit(n_blocks)) == block).collect()]
         index = Index(part, threshold)
-        name = hits if n_blocks == 1 else f"{hits}_{block}"
-        fields_now = fields if block == 0 else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
+        name = each[block]
 
         def one(batch: pa.RecordBatch, index=index, name=name):
             found = _hits(texts(batch, text), index, _worker.setdefault("hashes", Hashes()), threshold)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, struct)], names=[*batch.schema.names, name])
 
-        out = arrow_map(out, one, f"{fields_now}, `{name}` {HITS}")
-    if n_blocks > 1:
-        each = [f"{hits}_{b}" for b in range(n_blocks)]
-        out = out.withColumn(hits, F.array_sort(F.concat(*each))).drop(*each)
-    return out
+        out = arrow_map(out, one, ddl(out.schema.fields, f"`{name}` {HITS}"))
+    return out.withColumn(hits, F.array_sort(F.concat(*each)) if n_blocks > 1 else F.col(each[0])).drop(*each)
 
 
 def search(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
@@ -138,5 +132,5 @@ def search(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options)
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The documents that contain no item; all their columns."""
-    hits = "_hits"
+    hits = f"{prefix(docs)}hits"
     return annotate(docs, items, hits=hits, **options).where(F.size(hits) == 0).drop(hits)

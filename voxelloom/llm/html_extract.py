@@ -11,7 +11,7 @@ so it doesn't grow with the data. Extraction reads each page once, without a shu
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page order by one space. Scripts, styles,
 templates, form controls and markup never count. Cases: a null or empty page has the empty text; broken markup is read as browsers do in the
 common cases (unclosed paragraphs and items, stray end tags); nesting below MOST_DEPTH is flattened; repeated rows get equal texts;
-extra columns are kept; a column named text or n_chars is an error, before any job runs.
+extra columns are kept; those named text or n_chars are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import arrow_map, texts
+from .common import arrow_map, columns, ddl, others, texts
 
 TRAIN_PAGES, ROUNDS, DEPTH, RATE, BINS, MOST_DEPTH = 500, 60, 4, 0.25, 32, 400
 #: A mixed container counts as so much of its own score's size; the rest favours one choice for all below it.
@@ -383,16 +383,13 @@ def main_texts(pages: list[str], model: Boosted) -> list[str]:
 
 def extract(pages: DataFrame, html: str = "html", model: Boosted | None = None) -> DataFrame:
     """pages without the html, with text (main text) and n_chars (its code points)."""
-    keep = [f for f in pages.schema if f.name != html]
-    if clash := {f.name for f in keep} & {"text", "n_chars"}:
-        raise ValueError(f"columns are there already: {sorted(clash)}")
+    keep = others(pages, html, "text", "n_chars")
     model = model or trained()
 
     def one(batch: pa.RecordBatch):
-        kept = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
+        kept = columns(batch, keep)
         for at in range(0, batch.num_rows, 200):
             found = main_texts(texts(batch.slice(at, 200), html), model)
             yield pa.RecordBatch.from_arrays([*(c.slice(at, 200) for c in kept), pa.array(found, pa.string()), pa.array([len(t) for t in found], pa.int64())], names=[*(f.name for f in keep), "text", "n_chars"])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), "text string", "n_chars bigint"])
-    return arrow_map(pages, one, schema)
+    return arrow_map(pages, one, ddl(keep, "text string", "n_chars bigint"))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hashes, arrow_map, mix, scratch, shingle_hashes, texts
+from .common import Hashes, arrow_map, mix, prefix, scratch, shingle_hashes, texts
 from .components import components
 
 THRESHOLD, BANDS, ROWS, STEP, TOLERANCE = 0.8, 24, 4, 16, 1e-7
@@ -216,9 +216,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """docs without the documents that aren't their class's least; all columns. Texts without words are all kept; of rows that agree in id and text one stays."""
     found = scratch(join(docs, doc_id, text, threshold), "join")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("h").eqNullSafe(F.col("class_h")))).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")).distinct()
-    keyed = docs.withColumn("_hash", F.xxhash64(text))
-    out = keyed.join(kept, F.col(doc_id).eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")), "left_semi")
+    p = prefix(docs)
+    d, h, key = (f"{p}{x}" for x in ("d", "h", "key"))
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("h").eqNullSafe(F.col("class_h")))).select(F.col("doc_id").alias(d), F.col("h").alias(h)).distinct()
+    out = docs.withColumn(key, F.xxhash64(text)).join(kept, F.col(doc_id).eqNullSafe(F.col(d)) & (F.col(key) == F.col(h)), "left_semi")
     if found.count() != found.select("doc_id", "h").distinct().count():
-        out = out.dropDuplicates([doc_id, "_hash"])
-    return out.drop("_hash")
+        out = out.dropDuplicates([doc_id, key])
+    return out.drop(key)

@@ -11,8 +11,8 @@ Only fingerprints of two or more occurrences meet their first one, by a join on
 group. Texts travel once, to the join with their own matches; of a source only the hashes of lines near the matches travel.
 
 Words are what spaces separate within a stripped line; lines compare without outer white space. Cases: documents are ordered by id, nulls first, then the text's hash;
-rows that agree in both are one document and are cleaned alike (they aren't copies of each other). Null texts stay null, empty ones empty. Extra columns are kept; a
-column named removed_words or removed is an error, before any job runs.
+rows that agree in both are one document and are cleaned alike (they aren't copies of each other). Null texts stay null, empty ones empty. Extra columns are kept;
+those named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Hashes, arrow_map, mix, scratch, texts
+from .common import Hashes, arrow_map, columns, ddl, mix, others, prefix, scratch, texts
 
 GRAM_WORDS, WINDOW_WORDS = 15, 30
 #: Lines beyond the outermost matches whose hashes travel. A repeated run that went on for WINDOW_WORDS words would have another fingerprint there.
@@ -143,10 +143,8 @@ def _clean(text: str, found: list[dict], known: Hashes, least: int) -> tuple[str
     return "".join(p for p, g in zip(parts, gone.tolist(), strict=True) if not g), int(words[gone].sum()), spans
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS) -> DataFrame:
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram_words: int = GRAM_WORDS, window_words: int = WINDOW_WORDS, names: tuple[str, str] = ("removed_words", "removed")) -> DataFrame:
     """docs with the text cleaned, removed_words, and removed: the spans of the original text that went."""
-    if clash := {"removed_words", "removed"} & set(docs.columns):
-        raise ValueError(f"columns are there already: {sorted(clash)}")
     scanned = scratch(_scan(docs, doc_id, text, gram_words, window_words), "lines")
     each = scanned.select("_d", "_h", F.explode(F.arrays_zip("keys", "places")).alias("x")).select("_d", "_h", F.col("x.keys").alias("key"), F.col("x.places").alias("place"))
     firsts = each.groupBy("key").agg(F.min(F.struct("_d", "_h", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
@@ -159,24 +157,24 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram_word
     near = F.substring("hashes", F.col("low") * 8 + 1, (F.col("b") - F.col("low") + 1 + MARGIN) * 8)
     other = pairs.where("NOT same").join(sources, F.col("sd").eqNullSafe(F.col("xd")) & F.col("sh").eqNullSafe(F.col("xh"))).select("_d", "_h", "same", "low", "anchors", near.alias("hashes"))
     own = pairs.where("same").select("_d", "_h", "same", "low", "anchors", F.lit(None).cast("binary").alias("hashes"))
-    found = other.union(own).groupBy("_d", "_h").agg(F.collect_list(F.struct("same", "low", "anchors", "hashes")).alias("_found"))
-    keyed = docs.withColumn("_key", F.xxhash64(text))
-    joined = keyed.join(found, F.col(doc_id).eqNullSafe(F.col("_d")) & F.col("_key").eqNullSafe(F.col("_h")), "left").drop("_d", "_h", "_key")
+    p = prefix(docs)
+    d, h, key, field = (f"{p}{x}" for x in ("d", "h", "key", "found"))
+    found = other.union(own).groupBy(F.col("_d").alias(d), F.col("_h").alias(h)).agg(F.collect_list(F.struct("same", "low", "anchors", "hashes")).alias(field))
+    joined = docs.withColumn(key, F.xxhash64(text)).join(found, F.col(doc_id).eqNullSafe(F.col(d)) & F.col(key).eqNullSafe(F.col(h)), "left").drop(d, h, key)
 
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     known = Hashes()
-    names = docs.columns
+    fields = others(docs, *names)
 
     def one(batch: pa.RecordBatch):
         at = batch.schema.get_field_index(text)
         out, n, removed = [], [], []
-        for t, f in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index("_found")).to_pylist(), strict=True):
+        for t, f in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index(field)).to_pylist(), strict=True):
             x, y, z = _clean(t, f, known, window_words) if f and t else (t, 0, [])
             out.append(x)
             n.append(y)
             removed.append(z)
-        kept = [pa.array(out, pa.string()) if i == at else batch.column(i) for i in range(len(names))]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(n, pa.int64()), pa.array(removed, spans)], names=[*names, "removed_words", "removed"])
+        kept = [pa.array(out, pa.string()) if f.name == text else c for f, c in zip(fields, columns(batch, fields), strict=True)]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(n, pa.int64()), pa.array(removed, spans)], names=[*(f.name for f in fields), *names])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arrow_map(joined, one, f"{fields}, removed_words bigint, removed array<struct<start: int, end: int>>")
+    return arrow_map(joined, one, ddl(fields, f"`{names[0]}` bigint", f"`{names[1]}` array<struct<start: int, end: int>>"))

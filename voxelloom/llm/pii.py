@@ -14,7 +14,7 @@ a match backwards or where the last match ended (\\G), and their repetitions are
 Broadcast: the candidate terms, only if they are at most BROADCAST_TERMS; beyond it their documents are counted through a shuffle.
 
 Cases: null is the empty text, with no spans. Rows that agree in id and text are one document and get equal spans. Other columns are kept;
-a column named like an added one is an error, before any job runs.
+those named like the added ones are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import others, prefix, scratch
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT, LEAST_CONTEXTS, GENERALISE, REMOVE, LEAST_BITS, BROADCAST_TERMS = 60, 3, 0.5, 0.9, 3.0, 100_000
@@ -90,13 +90,10 @@ def base_matches(text: Column, kind: str) -> Column:
     return F.when(_guard(kind, text), found).otherwise(F.array().cast(_SPAN))
 
 
-def _key(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return df.withColumns({"_id": F.col(doc_id), "_hash": F.xxhash64(F.col(text))})
-
-
-def _base(docs: DataFrame, text: str) -> DataFrame:
+def _based(docs: DataFrame, doc_id: str, text: str, p: str) -> DataFrame:
+    """docs with the base matches of each kind and the row's identity, in columns that begin with p."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumns({f"_{k}": base_matches(t, k) for k in KINDS[:4]})
+    return docs.withColumns({f"{p}id": F.col(doc_id), f"{p}hash": F.xxhash64(F.col(text)), **{f"{p}{k}": base_matches(t, k) for k in KINDS[:4]}})
 
 
 def _value(kind: Column, value: Column) -> Column:
@@ -106,7 +103,7 @@ def _value(kind: Column, value: Column) -> Column:
 def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row for each base match: _id, _hash (of the text), kind, value (normalised), context (the sorted distinct terms beside it)."""
     of_kind = lambda k: F.transform(F.col(f"_{k}"), lambda m: F.struct(F.lit(k).alias("kind"), m.alias("m")))
-    each = _key(_base(docs, text), doc_id, text).select("_id", "_hash", F.explode(F.concat(*[of_kind(k) for k in KINDS[:4]])).alias("x"))
+    each = _based(docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")), "d", "t", "_").select("_id", "_hash", F.explode(F.concat(*[of_kind(k) for k in KINDS[:4]])).alias("x"))
     # A window's first and last characters may be a part of a word.
     around = F.concat(F.regexp_replace("x.m.before", r"^\S+", ""), F.lit(" "), F.regexp_replace(F.coalesce("x.m.after", F.lit("")), r"\S+$", ""))
     terms = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(around), F.lit(_TERM), F.lit(0))))
@@ -137,7 +134,7 @@ def disclosures(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text:
 def _term_spans(docs: DataFrame, found: DataFrame, disclosed: DataFrame, doc_id: str, text: str) -> DataFrame:
     """For each document with disclosing terms: _id, _hash, terms (start, end, p)."""
     wanted = found.select("_id", "_hash", "kind", "value").distinct().join(disclosed, ["kind", "value"]).groupBy("_id", "_hash", "term").agg(F.max("p").alias("p"))
-    texts = _key(docs.select(F.col(doc_id), F.col(text)), doc_id, text).select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"), F.col(text).alias("_text"))
+    texts = docs.select(F.col(doc_id).alias("_i"), F.xxhash64(text).alias("_h"), F.col(text).alias("_text"))
     each = wanted.join(texts.dropDuplicates(["_i", "_h"]), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")))
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}])"), F.col("term"), F.lit(r"(?![\p{L}])"))
     spans = F.transform(_located(F.col("_text"), pattern), lambda m: F.struct(m.start.alias("start"), m.end.alias("end"), m.value.alias("value")))
@@ -147,20 +144,20 @@ def _term_spans(docs: DataFrame, found: DataFrame, disclosed: DataFrame, doc_id:
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with base_spans and spans: arrays of struct(start, kind_order, end, kind, p), by start, then kind; p is null for base ones."""
-    if clash := {"base_spans", "spans"} & set(docs.columns):
-        raise ValueError(f"columns are there already: {sorted(clash)}")
+    docs = docs.select(*[F.col(f"`{f.name}`") for f in others(docs, "base_spans", "spans")])
+    p = prefix(docs)
     found = scratch(mentions(docs, doc_id, text), "pii-mentions")
     disclosed = scratch(disclosures(docs, found, doc_id, text), "pii-disclosures")
     span = lambda k, i, m, p: F.struct(m.start.alias("start"), F.lit(i).alias("kind_order"), m.end.alias("end"), F.lit(k).alias("kind"), p.cast("double").alias("p"))
-    of_kind = lambda i, k: F.transform(F.col(f"_{k}"), lambda m: span(k, i, m, F.lit(None)))
+    of_kind = lambda i, k: F.transform(F.col(f"{p}{k}"), lambda m: span(k, i, m, F.lit(None)))
     base = F.array_sort(F.concat(*[of_kind(i, k) for i, k in enumerate(KINDS[:4])]))
-    out = _key(_base(docs, text), doc_id, text).withColumn("base_spans", base).drop(*[f"_{k}" for k in KINDS[:4]])
+    out = _based(docs, doc_id, text, p).withColumn("base_spans", base).drop(*[f"{p}{k}" for k in KINDS[:4]])
     if disclosed.isEmpty():
-        return out.withColumn("spans", F.col("base_spans")).drop("_id", "_hash")
-    terms = _term_spans(docs, found, disclosed, doc_id, text).withColumnsRenamed({"_id": "_i", "_hash": "_h"})
-    out = out.join(terms, F.col("_id").eqNullSafe(F.col("_i")) & F.col("_hash").eqNullSafe(F.col("_h")), "left")
-    more = F.transform(F.coalesce("terms", F.array().cast("array<struct<start: int, end: int, p: double>>")), lambda m: span("term", 4, m, m.p))
-    return out.withColumn("spans", F.array_sort(F.concat("base_spans", more))).drop("_id", "_hash", "_i", "_h", "terms")
+        return out.withColumn("spans", F.col("base_spans")).drop(f"{p}id", f"{p}hash")
+    terms = _term_spans(docs, found, disclosed, doc_id, text).select(F.col("_id").alias(f"{p}i"), F.col("_hash").alias(f"{p}h"), F.col("terms").alias(f"{p}terms"))
+    out = out.join(terms, F.col(f"{p}id").eqNullSafe(F.col(f"{p}i")) & F.col(f"{p}hash").eqNullSafe(F.col(f"{p}h")), "left")
+    more = F.transform(F.coalesce(f"{p}terms", F.array().cast("array<struct<start: int, end: int, p: double>>")), lambda m: span("term", 4, m, m.p))
+    return out.withColumn("spans", F.array_sort(F.concat("base_spans", more))).drop(*[f"{p}{x}" for x in ("id", "hash", "i", "h", "terms")])
 
 
 def describe(spans: Column) -> Column:

@@ -6,7 +6,7 @@ documents fail it, fail it alone, and would be kept without it, from the counts
 
 Words are runs of characters other than U+0020 and U+0009 to U+000D. Cases: null is the empty text (it has no
 words, so it fails the rules on words); repeated rows have equal entries; extra columns are kept in the ledger;
-a column named like a measurement or fail_bits is an error, before any job runs. Ratios compare by cross-multiplication, so nothing is divided by 0.
+one named like a measurement or fail_bits is replaced. Ratios compare by cross-multiplication, so nothing is divided by 0.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, texts
+from .common import arrow_map, columns, ddl, others, texts
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_upper_words", "n_exclaims", "n_echo_words", "n_distinct_words")
 
@@ -75,16 +75,13 @@ def mask(policy: str) -> int:
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs without the text, with the measurements and fail_bits."""
-    keep = [f for f in docs.schema if f.name != text]
-    if clash := {f.name for f in keep} & {*MEASURES, "fail_bits"}:
-        raise ValueError(f"columns are there already: {sorted(clash)}")
+    keep = others(docs, text, *MEASURES, "fail_bits")
 
     def one(batch: pa.RecordBatch):
         rows = list(zip(*map(measure, texts(batch, text)), strict=True))
-        kept = [batch.column(batch.schema.get_field_index(f.name)) for f in keep]
-        yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x, pa.int64()) for x in rows)], names=[*(f.name for f in keep), *MEASURES])
+        yield pa.RecordBatch.from_arrays([*columns(batch, keep), *(pa.array(x, pa.int64()) for x in rows)], names=[*(f.name for f in keep), *MEASURES])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keep), *(f"{m} bigint" for m in MEASURES)])
+    schema = ddl(keep, *(f"{m} bigint" for m in MEASURES))
     bits = [F.when(F.expr(fails), F.lit(1 << bit)).otherwise(F.lit(0)).cast("bigint") for bit, _, fails in RULES]
     total = bits[0]
     for b in bits[1:]:

@@ -12,7 +12,7 @@ loaded. A word whose best pair is so marked merges its leftmost occurrence only;
 such a word is long, a heap does the same in O(n log n).
 
 Cases: null text is encoded as the empty text, which has no ids; repeated rows get equal ids;
-extra columns are kept; a clash with an output column's name is an error, before any job runs.
+extra columns are kept; one named like an output column is replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map
+from .common import arrow_map, columns, ddl, others
 
 SPACE = "▁"
 _NONE = np.int64(1 << 40)
@@ -299,14 +299,12 @@ def _lists(ids: list[np.ndarray]) -> pa.ListArray:
 
 
 def _add(df: DataFrame, column: str, kind: str, fn) -> DataFrame:
-    if column in df.columns:
-        raise ValueError(f"the column {column} is there already")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    kept = others(df, column)
 
     def one(batch: pa.RecordBatch):
-        yield pa.RecordBatch.from_arrays([*batch.columns, fn(batch)], names=[*batch.schema.names, column])
+        yield pa.RecordBatch.from_arrays([*columns(batch, kept), fn(batch)], names=[*(f.name for f in kept), column])
 
-    return arrow_map(df, one, f"{fields}, `{column}` {kind}")
+    return arrow_map(df, one, ddl(kept, f"`{column}` {kind}"))
 
 
 def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:

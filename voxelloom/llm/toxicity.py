@@ -11,7 +11,7 @@ reads every whole text, in one scan without a shuffle; only the weights go to th
 
 Cases: a null text is the empty text, and scores like any text without known features; labels that are null are left out; of several labels
 of a document the highest counts; without labels of both kinds the score is the smoothed share of toxic ones, 0 where there are none.
-Repeated rows get equal scores. Extra columns are kept; a column named score or predicted is an error, before any job runs.
+Repeated rows get equal scores. Extra columns are kept; those named like the score or the prediction are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, texts
+from .common import arrow_map, columns, ddl, others, texts
 
 #: Labelled rows that the fit uses at most, and features at most (those of the strongest association).
 FIT_ROWS, MOST_FEATURES = 8000, 3000
@@ -98,12 +98,12 @@ def _solve(x: np.ndarray, delta: np.ndarray, y: np.ndarray, counterfactual: floa
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", counterfactual: float = COUNTERFACTUAL) -> Model:
     """The classifier, from at most FIT_ROWS of the rows with labels."""
     learn = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & (F.crc32(F.col(doc_id).cast("string")) % 4 != 2))
-    sample = learn.groupBy(doc_id).agg(F.max(label).cast("int").alias("_y")).orderBy(F.xxhash64(doc_id), doc_id).limit(FIT_ROWS)
-    rows = docs.select(doc_id, text).join(F.broadcast(sample), doc_id).select("_y", text)  # at most FIT_ROWS pairs of numbers
+    sample = learn.groupBy(F.col(doc_id).alias("d")).agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("d"), "d").limit(FIT_ROWS)
+    rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).join(F.broadcast(sample), "d").select("y", "t")  # at most FIT_ROWS pairs of numbers
 
     def one(batch: pa.RecordBatch):
         ys, plain, swapped = batch.column(0), [], []
-        for t in texts(batch, text):
+        for t in texts(batch, "t"):
             ws = set(words(t))
             plain.append(_present(ws))
             swapped.append(_present({_SWAP.get(w, w) for w in ws}) if ws & _SWAP.keys() else None)
@@ -150,16 +150,14 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return Model(dict(zip(chosen.tolist(), w.tolist(), strict=True)), bias)
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """docs with score (0 to 1) and predicted (1 from threshold on)."""
-    if clash := {"score", "predicted"} & set(docs.columns):
-        raise ValueError(f"columns are there already: {sorted(clash)}")
+def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """docs with the score (0 to 1) and the prediction (1 from the threshold on)."""
+    kept = others(docs, *names)
     known: dict[str, tuple[int, ...]] = {}
 
     def one(batch: pa.RecordBatch):
         z = np.array([model.logit(set(words(t)), known) for t in texts(batch, text)])
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"])
+        yield pa.RecordBatch.from_arrays([*columns(batch, kept), pa.array(p), pa.array((p >= threshold).astype(np.int32))], names=[*(f.name for f in kept), *names])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return arrow_map(docs, one, f"{fields}, score double, predicted int")
+    return arrow_map(docs, one, ddl(kept, f"`{names[0]}` double", f"`{names[1]}` int"))
