@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelloom.llm import decontaminate, jaccard_join, line_dedup, sentencepiece_bpe, toxicity
-from voxelloom.llm.common import scratch
+from voxelloom.llm.common import prefix, scratch
 from voxelloom.llm.queries import piece_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,14 +25,17 @@ ORACLE_SQL = None
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go."""
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    names = tuple(f"{prefix(docs)}{x}" for x in ("score", "predicted"))
+    return toxicity.score(docs, model, names=names).where(F.col(names[1]) == 0).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines go; a document of which no word remains goes with them. n_chars counts the text that stays."""
-    cleaned = line_dedup.dedup(docs).where((F.col("removed_words") == 0) | F.col("text").rlike(r"\S"))
+    names = tuple(f"{prefix(docs)}{x}" for x in ("words", "spans"))
+    n = F.col(names[0])
+    cleaned = line_dedup.dedup(docs, names=names).where((n == 0) | F.col("text").rlike(r"\S"))
     if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("removed_words") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        cleaned = cleaned.withColumn("n_chars", F.when(n > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return cleaned.select(*docs.columns)
 
 
