@@ -1,6 +1,7 @@
 """Toxicity: a counterfactual-regularised classifier.
 
-Logistic regression on the presence of words and of their 4- and 5-letter beginnings (hashed), with the penalty
+Logistic regression on words and their beginnings of 4 to 7 letters (hashed): whether they occur, in two different words or more, and in a
+fiftieth of the different words or more; with the penalty
 COUNTERFACTUAL x mean((score logit of a text - logit of the text with its identity terms swapped)^2)
 beside an L2 penalty. Words that only name a group thereby lose their influence, whatever the labels' correlation with them, so neutral mentions of
 groups aren't taken for attacks.
@@ -17,6 +18,7 @@ Repeated rows get equal scores. Extra columns are kept; those named like the sco
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +31,9 @@ from .common import arrow_map, columns, ddl, others, texts
 
 #: Labelled rows that the fit uses at most, and features at most (those of the strongest association).
 FIT_ROWS, MOST_FEATURES = 8000, 3000
-BITS, LEAST_G2, L2, COUNTERFACTUAL, THRESHOLD = 20, 24.0, 1e-4, 10.0, 0.3
+BITS, LEAST_G2, L2, COUNTERFACTUAL, THRESHOLD = 20, 12.0, 3e-5, 10.0, 0.3
+#: Lengths of the beginnings of words, and one of how many words makes a feature dense. They, LEAST_G2 and L2 made the fewest errors at THRESHOLD in a cross-validation over rows to learn from.
+BEGINNINGS, DENSE = (4, 5, 6, 7), 50
 
 #: Identity terms; a swap puts the next of its row in a term's place.
 IDENTITY = [
@@ -48,49 +52,72 @@ def words(text: str) -> list[str]:
 
 
 def slots(word: str) -> list[int]:
-    """The hashed features of a word: itself and its beginnings."""
-    names = [f"w:{word}", *(f"{n}:{word[:n]}" for n in (4, 5) if len(word) > n)]
+    """The hashes of a word and its beginnings."""
+    names = [f"w:{word}", *(f"{n}:{word[:n]}" for n in BEGINNINGS if len(word) > n)]
     return [xxhash.xxh32_intdigest(x.encode("utf-8", "surrogatepass")) >> (32 - BITS) for x in names]
 
 
-def _present(ws: set[str]) -> np.ndarray:
-    return np.unique(np.array([s for w in ws for s in slots(w)], np.int32))
+def _planes(count: int, total: int) -> tuple[int, ...]:
+    """Of a slot that count of a text's total different words have: the planes of its features (present, repeated, dense)."""
+    return (0, *((1,) if count > 1 else ()), *((2,) if DENSE * count >= total else ()))
+
+
+def features(ws: set[str]) -> np.ndarray:
+    """The features of a text with these words: slot + plane << BITS."""
+    counts = Counter(s for w in ws for s in slots(w))
+    return np.unique(np.array([s + (p << BITS) for s, c in counts.items() for p in _planes(c, len(ws))], np.int32))
 
 
 @dataclass
 class Model:
-    """weights by slot, and the intercept."""
+    """weights by feature, and the intercept."""
 
     weights: dict[int, float]
     bias: float
 
+    def __post_init__(self) -> None:
+        self._slots = {f & ((1 << BITS) - 1) for f in self.weights}
+
     def logit(self, ws: set[str], known: dict[str, tuple[int, ...]]) -> float:
-        found = set()
+        found: Counter[int] = Counter()
         for w in ws:
             if (k := known.get(w)) is None:
                 if len(known) >= 300_000:
                     known.clear()
-                known[w] = k = tuple(s for s in slots(w) if s in self.weights)
+                known[w] = k = tuple(s for s in slots(w) if s in self._slots)
             if k:
                 found.update(k)
-        return self.bias + sum(self.weights[s] for s in sorted(found))
+        return self.bias + sum(self.weights.get(s + (p << BITS), 0.0) for s, c in sorted(found.items()) for p in _planes(c, len(ws)))
 
 
-def _solve(x: np.ndarray, delta: np.ndarray, y: np.ndarray, counterfactual: float) -> tuple[np.ndarray, float]:
-    """Newton's method on mean log loss + L2 |w|² / 2 + counterfactual x mean over all texts of (delta w)² / 2."""
-    n, k = x.shape
-    x1 = np.hstack([x, np.ones((n, 1))])
+def _solve(x1: np.ndarray, delta: np.ndarray, y: np.ndarray, counterfactual: float) -> tuple[np.ndarray, float]:
+    """Newton's method on mean log loss + L2 |w|² / 2 + counterfactual x mean over all texts of (delta w)² / 2. x1: the features, and a last column of ones."""
+    n, k = len(x1), x1.shape[1] - 1
     w = np.zeros(k + 1)
     w[-1] = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
     reg = np.zeros((k + 1, k + 1))
     reg[:k, :k] = L2 * np.eye(k) + counterfactual * (delta.T @ delta) / n
     reg[k, k] = 1e-9
-    for _ in range(25):
+
+    def loss(w: np.ndarray) -> float:
+        z = x1 @ w
+        return float((np.logaddexp(0, z) - y * z).mean() + w @ reg @ w / 2)
+
+    now = loss(w)
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x1 @ w, -35, 35)))
         grad = x1.T @ (p - y) / n + reg @ w
-        step = np.linalg.solve(x1.T @ (x1 * (p * (1 - p))[:, None]) / n + reg, grad)
-        w -= step
-        if np.abs(step).max() < 1e-6:
+        curve = reg.copy()
+        for i in range(0, n, 500):  # in parts, so that no second array as large as x1 is made
+            part = x1[i : i + 500]
+            curve += part.T @ (part * (p * (1 - p))[i : i + 500, None]) / n
+        step = np.linalg.solve(curve, grad)
+        # Far from the optimum a whole step can raise the loss: halve it until it falls enough.
+        size = 1.0
+        while (then := loss(w - size * step)) > now - 1e-4 * size * (grad @ step) and size > 1e-6:
+            size /= 2
+        w, now = w - size * step, min(now, then)
+        if np.abs(step).max() * size < 1e-6:
             break
     return w[:-1], float(w[-1])
 
@@ -105,8 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         ys, plain, swapped = batch.column(0), [], []
         for t in texts(batch, "t"):
             ws = set(words(t))
-            plain.append(_present(ws))
-            swapped.append(_present({_SWAP.get(w, w) for w in ws}) if ws & _SWAP.keys() else None)
+            plain.append(features(ws))
+            swapped.append(features({_SWAP.get(w, w) for w in ws}) if ws & _SWAP.keys() else None)
         yield pa.RecordBatch.from_arrays([ys, pa.array(plain, pa.list_(pa.int32())), pa.array(swapped, pa.list_(pa.int32()))], names=["y", "plain", "swapped"])
 
     got = arrow_map(rows, one, "y int, plain array<int>, swapped array<int>").toArrow()
@@ -119,25 +146,32 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     # Rows in a fixed order, so that sums don't depend on how the tasks ran.
     order = sorted(range(n), key=lambda i: (y[i], len(plain[i]), plain[i].tobytes()))
     y, plain, other = y[order], [plain[i] for i in order], [other[i] for i in order]
+    return train(y, plain, other, counterfactual)
+
+
+def train(y: np.ndarray, plain: list[np.ndarray], other: list[np.ndarray | None], counterfactual: float = COUNTERFACTUAL) -> Model:
+    """The classifier of rows with labels y (both kinds occur), features, and features after the swap (None: no identity term)."""
+    n, pos = len(y), y.sum()
     row = np.repeat(np.arange(n), [len(a) for a in plain])
     flat = np.concatenate(plain)
-    a, b = np.bincount(flat, y[row], 1 << BITS), np.bincount(flat, minlength=1 << BITS).astype(float)
+    a, b = np.bincount(flat, y[row], 3 << BITS), np.bincount(flat, minlength=3 << BITS).astype(float)
     b -= a
-    g2 = np.zeros(1 << BITS)
+    g2 = np.zeros(3 << BITS)
     for seen, total in ((a, pos), (b, n - pos)):
         for part, whole in ((seen, total), (total - seen, total)):
             expected = whole * ((a + b) if part is seen else (n - a - b)) / n
             g2 += 2 * np.where(part > 0, part * np.log(np.maximum(part, 1e-12) / np.maximum(expected, 1e-12)), 0)
     strong = np.flatnonzero(g2 >= LEAST_G2)
     strong = strong[np.lexsort((strong, -g2[strong]))][:MOST_FEATURES]
-    chosen = np.unique(np.concatenate([strong, [s for t in _SWAP for s in slots(t) if a[s] + b[s] > 0]]).astype(np.int64))
+    chosen = np.unique(np.concatenate([strong, [s + (p << BITS) for t in _SWAP for s in slots(t) for p in range(3) if a[s + (p << BITS)] + b[s + (p << BITS)] > 0]]).astype(np.int64))
     if not len(chosen):
         return Model({}, float(np.log((pos + 0.5) / (n - pos + 0.5))))
-    place = np.full(1 << BITS, -1)
+    place = np.full(3 << BITS, -1)
     place[chosen] = np.arange(len(chosen))
 
     def dense(which: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(which), len(chosen)))
+        x = np.zeros((len(which), len(chosen) + 1))
+        x[:, -1] = 1
         for i, s in enumerate(which):
             at = place[s]
             x[i, at[at >= 0]] = 1
@@ -145,7 +179,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     x = dense(plain)
     swapped = [i for i in range(n) if other[i] is not None]
-    delta = dense([other[i] for i in swapped]) - x[swapped] if swapped else np.zeros((0, len(chosen)))
+    delta = (dense([other[i] for i in swapped]) - x[swapped])[:, :-1] if swapped else np.zeros((0, len(chosen)))
     w, bias = _solve(x, delta, y, counterfactual)
     return Model(dict(zip(chosen.tolist(), w.tolist(), strict=True)), bias)
 
