@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -90,33 +91,38 @@ class Model:
         return self.bias + sum(self.weights.get(s + (p << BITS), 0.0) for s, c in sorted(found.items()) for p in _planes(c, len(ws)))
 
 
-def _solve(x1: np.ndarray, delta: np.ndarray, y: np.ndarray, counterfactual: float) -> tuple[np.ndarray, float]:
-    """Newton's method on mean log loss + L2 |w|² / 2 + counterfactual x mean over all texts of (delta w)² / 2. x1: the features, and a last column of ones."""
-    n, k = len(x1), x1.shape[1] - 1
-    w = np.zeros(k + 1)
-    w[-1] = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
-    reg = np.zeros((k + 1, k + 1))
-    reg[:k, :k] = L2 * np.eye(k) + counterfactual * (delta.T @ delta) / n
-    reg[k, k] = 1e-9
+def _parts(x: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """The rows of a matrix of small numbers as floats, a few hundred at a time: the driver never holds the whole as floats."""
+    for i in range(0, len(x), 500):
+        yield slice(i, i + 500), x[i : i + 500].astype(float)
 
-    def loss(w: np.ndarray) -> float:
-        z = x1 @ w
-        return float((np.logaddexp(0, z) - y * z).mean() + w @ reg @ w / 2)
 
-    now = loss(w)
+def _solve(x: np.ndarray, delta: np.ndarray, y: np.ndarray, counterfactual: float) -> tuple[np.ndarray, float]:
+    """Newton's method on mean log loss + L2 |w|² / 2 + counterfactual x mean over all texts of (delta w)² / 2. x, delta: a byte per feature, the last column of x all ones and of delta all zeros."""
+    n, k = x.shape
+    w = np.zeros(k)
+    w[-1] = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
+    reg = np.zeros((k, k))
+    for _, part in _parts(delta):
+        reg += counterfactual / n * (part.T @ part)
+    reg[np.diag_indices(k)] += np.where(np.arange(k) < k - 1, L2, 1e-9)
+    logits = lambda w: np.concatenate([part @ w for _, part in _parts(x)])
+    loss = lambda w, z: float((np.logaddexp(0, z) - y * z).mean() + w @ reg @ w / 2)
+    z = logits(w)
+    now = loss(w, z)
     for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -35, 35)))
-        grad = x1.T @ (p - y) / n + reg @ w
-        curve = reg.copy()
-        for i in range(0, n, 500):  # in parts, so that no second array as large as x1 is made
-            part = x1[i : i + 500]
-            curve += part.T @ (part * (p * (1 - p))[i : i + 500, None]) / n
+        p = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
+        grad, curve = reg @ w, reg.copy()
+        for at, part in _parts(x):
+            grad += part.T @ (p - y)[at] / n
+            curve += part.T @ (part * (p * (1 - p) / n)[at, None])
         step = np.linalg.solve(curve, grad)
+        del curve
         # Far from the optimum a whole step can raise the loss: halve it until it falls enough.
-        size = 1.0
-        while (then := loss(w - size * step)) > now - 1e-4 * size * (grad @ step) and size > 1e-6:
+        size, along = 1.0, logits(step)
+        while (then := loss(w - size * step, z - size * along)) > now - 1e-4 * size * (grad @ step) and size > 1e-6:
             size /= 2
-        w, now = w - size * step, min(now, then)
+        w, z, now = w - size * step, z - size * along, min(now, then)
         if np.abs(step).max() * size < 1e-6:
             break
     return w[:-1], float(w[-1])
@@ -141,28 +147,34 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     n, pos = len(y), y.sum()
     if not 0 < pos < n:
         return Model({}, float(np.log((pos + 0.5) / (n - pos + 0.5))) if n else -40.0)
-    plain = [np.asarray(a, np.int64) for a in got.column("plain").to_pylist()]
-    other = [None if a is None else np.asarray(a, np.int64) for a in got.column("swapped").to_pylist()]
+    plain, other = _lists(got.column("plain")), _lists(got.column("swapped"))
     # Rows in a fixed order, so that sums don't depend on how the tasks ran.
-    order = sorted(range(n), key=lambda i: (y[i], len(plain[i]), plain[i].tobytes()))
-    y, plain, other = y[order], [plain[i] for i in order], [other[i] for i in order]
-    return train(y, plain, other, counterfactual)
+    order = sorted(range(n), key=lambda i: (y[i], len(plain[i]), xxhash.xxh3_64_intdigest(plain[i].tobytes())))
+    return train(y[order], [plain[i] for i in order], [other[i] for i in order], counterfactual)
+
+
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray | None]:
+    """The lists of a column as views of its values."""
+    out: list[np.ndarray | None] = []
+    for chunk in column.chunks:
+        values, ends, valid = chunk.values.to_numpy(), chunk.offsets.to_numpy(), chunk.is_valid().to_numpy(zero_copy_only=False)
+        out += [values[a:b] if v else None for a, b, v in zip(ends[:-1].tolist(), ends[1:].tolist(), valid.tolist(), strict=True)]
+    return out
 
 
 def train(y: np.ndarray, plain: list[np.ndarray], other: list[np.ndarray | None], counterfactual: float = COUNTERFACTUAL) -> Model:
     """The classifier of rows with labels y (both kinds occur), features, and features after the swap (None: no identity term)."""
     n, pos = len(y), y.sum()
-    row = np.repeat(np.arange(n), [len(a) for a in plain])
-    flat = np.concatenate(plain)
-    a, b = np.bincount(flat, y[row], 3 << BITS), np.bincount(flat, minlength=3 << BITS).astype(float)
-    b -= a
-    g2 = np.zeros(3 << BITS)
-    for seen, total in ((a, pos), (b, n - pos)):
-        for part, whole in ((seen, total), (total - seen, total)):
-            expected = whole * ((a + b) if part is seen else (n - a - b)) / n
-            g2 += 2 * np.where(part > 0, part * np.log(np.maximum(part, 1e-12) / np.maximum(expected, 1e-12)), 0)
-    strong = np.flatnonzero(g2 >= LEAST_G2)
-    strong = strong[np.lexsort((strong, -g2[strong]))][:MOST_FEATURES]
+    a, b = np.zeros(3 << BITS), np.zeros(3 << BITS)
+    for f, label in zip(plain, y, strict=True):
+        (a if label else b)[f] += 1  # a text's features are distinct
+    seen = np.flatnonzero(a + b)
+    g2 = np.zeros(len(seen))
+    for part, total in ((a[seen], pos), (b[seen], n - pos)):
+        for got, have in ((part, a[seen] + b[seen]), (total - part, n - a[seen] - b[seen])):
+            g2 += 2 * np.where(got > 0, got * np.log(np.maximum(got, 1e-12) / np.maximum(total * have / n, 1e-12)), 0)
+    strong = seen[g2 >= LEAST_G2]
+    strong = strong[np.lexsort((strong, -g2[g2 >= LEAST_G2]))][:MOST_FEATURES]
     chosen = np.unique(np.concatenate([strong, [s + (p << BITS) for t in _SWAP for s in slots(t) for p in range(3) if a[s + (p << BITS)] + b[s + (p << BITS)] > 0]]).astype(np.int64))
     if not len(chosen):
         return Model({}, float(np.log((pos + 0.5) / (n - pos + 0.5))))
@@ -170,7 +182,7 @@ def train(y: np.ndarray, plain: list[np.ndarray], other: list[np.ndarray | None]
     place[chosen] = np.arange(len(chosen))
 
     def dense(which: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(which), len(chosen) + 1))
+        x = np.zeros((len(which), len(chosen) + 1), np.int8)
         x[:, -1] = 1
         for i, s in enumerate(which):
             at = place[s]
@@ -179,7 +191,7 @@ def train(y: np.ndarray, plain: list[np.ndarray], other: list[np.ndarray | None]
 
     x = dense(plain)
     swapped = [i for i in range(n) if other[i] is not None]
-    delta = (dense([other[i] for i in swapped]) - x[swapped])[:, :-1] if swapped else np.zeros((0, len(chosen)))
+    delta = dense([other[i] for i in swapped]) - x[swapped]
     w, bias = _solve(x, delta, y, counterfactual)
     return Model(dict(zip(chosen.tolist(), w.tolist(), strict=True)), bias)
 
