@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField
 
 #: Upper bounds of one Arrow batch that goes to a Python worker.
-BATCH_ROWS, BATCH_BYTES = 1000, 8 << 20
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -88,7 +88,7 @@ def texts(batch: pa.RecordBatch, name: str) -> list[str]:
 class Hashes(dict):
     """64-bit xxHash of strings, remembered for up to `most` of them."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 

@@ -24,8 +24,7 @@ def piece_model() -> str:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = piece_model()
-    coded = sentencepiece_bpe.decode(sentencepiece_bpe.encode(docs, model).drop("text"), model)
+    coded = sentencepiece_bpe.encode_and_decode(docs, piece_model())
     return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), sentencepiece_bpe.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

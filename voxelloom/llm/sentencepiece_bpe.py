@@ -30,7 +30,7 @@ from .common import arrow_map, columns, ddl, others
 SPACE = "▁"
 _NONE = np.int64(1 << 40)
 #: Words kept with their ids in each Python worker: so many of late and as many from before.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 #: From so many symbols on, a word with a marked pair goes to the heap.
 HEAP_FROM = 48
 
@@ -282,8 +282,8 @@ class Encoder:
                 new.append(w)
             else:
                 cache[w] = x
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
+        for at in range(0, len(new), 10_000):
+            part = new[at : at + 10_000]
             cache.update(zip(part, self.vocab.encode_words([w if w[0] == SPACE else SPACE + w for w in part]), strict=True))
         return [np.frombuffer(b"".join(map(cache.__getitem__, ws)), "<i4") for ws in words]
 
@@ -307,28 +307,37 @@ def _add(df: DataFrame, column: str, kind: str, fn) -> DataFrame:
     return arrow_map(df, one, ddl(kept, f"`{column}` {kind}"))
 
 
-def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Add the column ids, array<int>: the library's ids without begin or end, no sampling."""
+def _encoded(column: pa.Array, model: str) -> pa.ListArray:
+    return _lists(encoder(model).encode([t or "" for t in column.to_pylist()]))
+
 
-    def fn(batch: pa.RecordBatch) -> pa.Array:
-        at = batch.schema.get_field_index(text)
-        return _lists(encoder(model).encode([t or "" for t in batch.column(at).to_pylist()]))
+def _decoded(column: pa.ListArray, model: str) -> pa.Array:
+    v, values, out = vocabulary(model), column.values.to_numpy(zero_copy_only=False), []
+    offsets, there = column.offsets.to_pylist(), column.is_valid().to_pylist()
+    for a, b, ok in zip(offsets[:-1], offsets[1:], there, strict=True):
+        out.append(v.decode_ids(values[a:b]) if ok and b > a else "")
+    return pa.array(out, pa.string())
 
-    return _add(df, ids, "array<int>", fn)
+
+def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Add the column ids, array<int>: the library's ids without begin or end, no sampling."""
+    return _add(df, ids, "array<int>", lambda batch: _encoded(batch.column(batch.schema.get_field_index(text)), model))
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add the column decoded: the text of the ids; null ids give the empty text."""
+    return _add(df, decoded, "string", lambda batch: _decoded(batch.column(batch.schema.get_field_index(ids)), model))
+
 
-    def fn(batch: pa.RecordBatch) -> pa.Array:
-        v, col = vocabulary(model), batch.column(batch.schema.get_field_index(ids))
-        values, out = col.values.to_numpy(zero_copy_only=False), []
-        offsets, there = col.offsets.to_pylist(), col.is_valid().to_pylist()
-        for a, b, ok in zip(offsets[:-1], offsets[1:], there, strict=True):
-            out.append(v.decode_ids(values[a:b]) if ok and b > a else "")
-        return pa.array(out, pa.string())
+def encode_and_decode(df: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Replace the text by its ids and what they decode to, in one pass: one Python worker a task, and the ids cross to it once."""
+    kept = others(df, text, ids, decoded)
+
+    def one(batch: pa.RecordBatch):
+        coded = _encoded(batch.column(batch.schema.get_field_index(text)), model)
+        yield pa.RecordBatch.from_arrays([*columns(batch, kept), coded, _decoded(coded, model)], names=[*(f.name for f in kept), ids, decoded])
 
-    return _add(df, decoded, "string", fn)
+    return arrow_map(df, one, ddl(kept, f"`{ids}` array<int>", f"`{decoded}` string"))
 
 
 def ids_digest(ids: Column) -> Column:

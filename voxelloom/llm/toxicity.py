@@ -83,7 +83,7 @@ class Model:
         found: Counter[int] = Counter()
         for w in ws:
             if (k := known.get(w)) is None:
-                if len(known) >= 300_000:
+                if len(known) >= 100_000:
                     known.clear()
                 known[w] = k = tuple(s for s in slots(w) if s in self._slots)
             if k:
