@@ -51,8 +51,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, ids_sha256, and decoded_sha256 of the text that the ids give."""
-    model = piece_model()
-    coded = sentencepiece_bpe.decode(sentencepiece_bpe.encode(docs.select("doc_id", "lang", "source", "text"), model).drop("text"), model)
+    coded = sentencepiece_bpe.encode_and_decode(docs.select("doc_id", "lang", "source", "text"), piece_model())
     return coded.select("doc_id", "lang", "source", F.size("ids").cast("bigint").alias("n_tokens"), "ids", sentencepiece_bpe.ids_digest(F.col("ids")).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
