@@ -114,7 +114,10 @@ def disclosures(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text:
     """The terms that give an entity away: kind, value, term, p, bits. found: mentions(docs)."""
     one = found.distinct().groupBy("kind", "value", "context").agg(F.count("*").alias("n_docs"))
     pairs = one.select("kind", "value", F.explode("context").alias("term"), "n_docs").groupBy("kind", "value", "term").agg(F.sum("n_docs").alias("n_both"), F.count("*").alias("n_contexts"))
-    pairs = scratch(pairs.where(F.col("n_contexts") >= LEAST_CONTEXTS), "pii-pairs")
+    # A term is in as many documents, at least, as have it beside any entity: where that alone holds p below GENERALISE, its documents needn't be counted.
+    beside = found.select("_id", "_hash", F.explode("context").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
+    pairs = pairs.where(F.col("n_contexts") >= LEAST_CONTEXTS).join(beside, "term").where(F.col("n_both") >= GENERALISE * F.col("n_beside")).drop("n_beside")
+    pairs = scratch(pairs, "pii-pairs")
     entities = found.select("_id", "_hash", "kind", "value").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_entity"))
     terms = pairs.select("term").distinct()
     words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text), _WORD_BREAK))).alias("term"))
