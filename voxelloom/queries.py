@@ -302,6 +302,18 @@ def stitch_blend(spark, d):
     return _round(mo.blend(vox, vw.mosaic(spark, d), 4, 4))
 
 
+@query()
+def stitch_contributors_all(spark, d):
+    tiles = vw.mosaic_all(spark, d)
+    return mo.contributors(mo.chunk_grid(mo.mosaic_shape(tiles, 4, 4), 4, 5), tiles, 4, 4, 4)
+
+
+@query()
+def stitch_blend_all(spark, d):
+    vox = vw.tvox(spark, d).select(F.col("position").alias("well"), F.col("t").alias("fov"), "z", "y", "x", "v")
+    return _round(mo.blend(vox, vw.mosaic_all(spark, d), 4, 4))
+
+
 @query("""WITH s AS (SELECT s_nationkey AS well, s_suppkey AS fov, s_acctbal::DOUBLE AS z, (s_suppkey % 100)::DOUBLE * 3 AS y, (s_suppkey % 7)::DOUBLE * 11 AS x FROM supplier),
 m AS (SELECT well, fov, (z - min(z) OVER w) / 3 AS z, -((y - min(y) OVER w) / 0.5) AS y, (x - min(x) OVER w) / 0.25 AS x FROM s WINDOW w AS (PARTITION BY well))
 SELECT well, fov, round(z - least(min(z) OVER w, 0), 2) AS z, round(y - least(min(y) OVER w, 0), 2) AS y, round(x - least(min(x) OVER w, 0), 2) AS x FROM m WINDOW w AS (PARTITION BY well)""")

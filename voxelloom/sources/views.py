@@ -81,6 +81,14 @@ def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
 MOSAIC = f"{TVOX}, mosaic AS (SELECT DISTINCT position AS well, t AS fov, (t // 3 * 3)::DOUBLE AS sy, (t % 3 * 3)::DOUBLE AS sx FROM tvox WHERE t < 9)"
 
 
+def mosaic_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector as a 4 x 4 tile with one voxel of overlap: a well per label, as square a grid as its vectors need, filled row by row."""
+    t = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    wide = F.ceil(F.sqrt(F.count("*").over(Window.partitionBy("label"))))
+    of = table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("well"), t.alias("fov"), wide.alias("wide"))
+    return of.select("well", "fov", (F.floor(F.col("fov") / F.col("wide")) * 3).cast("double").alias("sy"), (F.col("fov") % F.col("wide") * 3).cast("double").alias("sx"))
+
+
 def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run trace: job_id, status, exit_code."""
     o = table(spark, sf_dir, "orders")
