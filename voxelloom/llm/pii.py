@@ -4,10 +4,12 @@ Base: e-mail addresses, IPv4 addresses, card numbers and phone numbers, each by
 (address parts up to 255, Luhn's sum, numbers of digits); a match that fails is dropped.
 
 Method: an entity is a kind and a normalised value. A term is a word of at least four letters; its context with an entity is the CONTEXT
-characters on either side of a mention. Over the whole corpus, p(entity | term) is estimated by the documents that have the term in the entity's context over
-the documents that have the term at all, and the gain in bits by log2(p(entity | term) / p(entity)). Terms seen in at least LEAST_CONTEXTS different contexts of
-an entity (copies of a passage count once), with p of at least GENERALISE and a gain of at least LEAST_BITS, disclose it: in documents that mention the entity they are
-generalised to [TERM], and from REMOVE on removed.
+characters on either side of a mention. Over the whole corpus, the share of the documents with the term that mention the entity, anywhere, is drawn towards the
+entity's share of all documents, which counts as PRIOR observations: that is p(entity | term). The gain in bits is log2 of the undrawn share over p(entity). Observations are the
+different contexts that have the term, or, of documents that have it elsewhere, their different first contexts with the entity, whichever are more: copies of a passage count once.
+Terms with p of at least GENERALISE and a gain of at least LEAST_BITS disclose the entity: in documents that mention it they are
+generalised to [TERM], and from REMOVE on removed. One observation gives p = 1/3 at most for an entity that is rare enough to gain LEAST_BITS, so it never
+discloses: a word seen once beside an address seen once is no evidence that it belongs to the holder.
 
 Everything is DataFrame functions. Texts with no "@", digit or "+" skip the patterns that need one. The patterns begin either after a character that can't continue
 a match backwards or where the last match ended (\\G), and their repetitions are possessive; neither changes a match, but long runs take linear time.
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import others, prefix, scratch
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT, LEAST_CONTEXTS, GENERALISE, REMOVE, LEAST_BITS, BROADCAST_TERMS = 60, 3, 0.5, 0.9, 3.0, 100_000
+CONTEXT, PRIOR, GENERALISE, REMOVE, LEAST_BITS, BROADCAST_TERMS = 60, 2, 0.5, 0.9, 3.0, 100_000
 
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -113,10 +115,19 @@ def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
 def disclosures(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The terms that give an entity away: kind, value, term, p, bits. found: mentions(docs)."""
     one = found.distinct().groupBy("kind", "value", "context").agg(F.count("*").alias("n_docs"))
-    pairs = one.select("kind", "value", F.explode("context").alias("term"), "n_docs").groupBy("kind", "value", "term").agg(F.sum("n_docs").alias("n_both"), F.count("*").alias("n_contexts"))
+    near = one.select("kind", "value", F.explode("context").alias("term"), "n_docs").groupBy("kind", "value", "term").agg(F.sum("n_docs").alias("n_both"), F.count("*").alias("n_seen"))
+    # Elsewhere in a document: only entities of different first contexts can have two observations there.
+    firsts = found.groupBy("_id", "_hash", "kind", "value").agg(F.xxhash64(F.min("context")).alias("first"))
+    several = firsts.groupBy("kind", "value").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low <> high").select("kind", "value")
+    firsts = scratch(firsts.join(several, ["kind", "value"], "left_semi"), "pii-firsts")
+    texts = docs.select(F.col(doc_id).alias("_i"), F.xxhash64(text).alias("_h"), F.lower(text).alias("_text"))
+    whole = texts.join(firsts, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h"))).dropDuplicates(["_id", "_hash", "kind", "value"])
+    whole = whole.select("kind", "value", "first", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(_TERM), F.lit(0)))).alias("term"))
+    whole = whole.groupBy("kind", "value", "term", "first").agg(F.count("*").alias("n")).groupBy("kind", "value", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_seen"))
+    pairs = near.unionByName(whole).groupBy("kind", "value", "term").agg(F.max("n_both").alias("n_both"), F.max("n_seen").alias("n_seen"))
     # A term is in as many documents, at least, as have it beside any entity: where that alone holds p below GENERALISE, its documents needn't be counted.
     beside = found.select("_id", "_hash", F.explode("context").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
-    pairs = pairs.where(F.col("n_contexts") >= LEAST_CONTEXTS).join(beside, "term").where(F.col("n_both") >= GENERALISE * F.col("n_beside")).drop("n_beside")
+    pairs = pairs.where(F.col("n_seen") >= 2).join(beside, "term", "left").where(F.col("n_both") >= GENERALISE * F.coalesce("n_beside", F.lit(0))).drop("n_beside")
     pairs = scratch(pairs, "pii-pairs")
     entities = found.select("_id", "_hash", "kind", "value").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_entity"))
     terms = pairs.select("term").distinct()
@@ -128,8 +139,9 @@ def disclosures(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text:
     else:
         with_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term", "left_semi")
     total = docs.agg(F.count("*").alias("n"))
-    p = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    bits = F.log2(F.col("p") * F.col("n") / F.col("n_entity"))
+    share = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
+    p = (share * F.col("n_seen") + PRIOR * F.col("n_entity") / F.col("n")) / (F.col("n_seen") + PRIOR)
+    bits = F.log2(share * F.col("n") / F.col("n_entity"))
     joined = pairs.join(with_term, "term").join(entities, ["kind", "value"]).join(F.broadcast(total))  # one row
     return joined.withColumn("p", p).withColumn("bits", bits).where((F.col("p") >= GENERALISE) & (F.col("bits") >= LEAST_BITS)).select("kind", "value", "term", "p", "bits")
 
