@@ -10,7 +10,7 @@ so it doesn't grow with the data. Extraction reads each page once, without a shu
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page order by one space. Scripts, styles,
 templates, form controls and markup never count. Cases: a null or empty page has the empty text; broken markup is read as browsers do in the
-common cases (unclosed paragraphs and items, stray end tags); nesting below MOST_DEPTH is flattened; repeated rows get equal texts;
+common cases (unclosed heads, paragraphs and items, stray end tags); nesting may have any depth; repeated rows get equal texts;
 extra columns are kept; those named text or n_chars are replaced.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 from .common import arrow_map, columns, ddl, others, texts
 
-TRAIN_PAGES, ROUNDS, DEPTH, RATE, BINS, MOST_DEPTH = 500, 60, 4, 0.25, 32, 400
+TRAIN_PAGES, ROUNDS, DEPTH, RATE, BINS = 500, 60, 4, 0.25, 32
 #: A mixed container counts as so much of its own score's size; the rest favours one choice for all below it.
 MIXED = 0.8
 
@@ -36,6 +36,8 @@ MIXED = 0.8
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 NEVER = frozenset("script style noscript template head title button select option textarea iframe svg math canvas object audio video datalist input".split())
+#: What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("base bgsound basefont link meta title style script noscript template noframes head html".split())
 CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -73,14 +75,12 @@ class Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Block("body", frozenset(), None)
         self.stack: list[tuple[str, Block | None]] = [("#root", self.root)]
+        self.open = [self.root]
         self.never = self.in_link = 0
         self.loose: Block | None = None
 
     def block(self) -> Block:
-        for _, b in reversed(self.stack):
-            if b is not None:
-                return b
-        return self.root
+        return self.open[-1]
 
     def _pop(self, n: int) -> None:
         while len(self.stack) > n:
@@ -88,9 +88,17 @@ class Reader(HTMLParser):
             self.never -= tag in NEVER
             self.in_link -= tag == "a"
             if b is not None:
+                self.open.pop()
                 self.loose = None
 
+    def _end_head(self) -> None:
+        """Close a head without an end tag, where nothing is open in it."""
+        if self.stack[-1][0] == "head":
+            self._pop(len(self.stack) - 1)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in ("html", "body"):
             return
         if tag in VOID:
@@ -109,7 +117,7 @@ class Reader(HTMLParser):
                     break
         self.never += tag in NEVER
         self.in_link += tag == "a"
-        if tag in INLINE or tag in NEVER or len(self.stack) > MOST_DEPTH:
+        if tag in INLINE or tag in NEVER:
             self.stack.append((tag, None))
             self.block().n_tags += 1
             return
@@ -120,6 +128,7 @@ class Reader(HTMLParser):
         up.children.append(b)
         self.loose = None
         self.stack.append((tag, b))
+        self.open.append(b)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -151,6 +160,8 @@ class Reader(HTMLParser):
             b.linked += len(data.strip())
 
     def handle_data(self, data: str) -> None:
+        if not data.isspace():
+            self._end_head()
         self._add(data)
 
 
