@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from ..sources.views import VOLUME
 
@@ -28,19 +29,18 @@ def phase_shift(a: np.ndarray, b: np.ndarray, normalise: bool = True) -> tuple[i
 
 
 def phase_cross_correlation(vox: DataFrame, mode: str = "previous", normalise: bool = True) -> DataFrame:
-    """The shift of each time point against the one before (or the first): position, c, t, dz, dy, dx."""
+    """The shift of each time point against the one before (or the first): position, c, t, dz, dy, dx. A group has two volumes, however long the time lapse."""
+    w = Window.partitionBy("position", "c").orderBy("t")
+    of = F.coalesce(F.lag("t").over(w), F.col("t")) if mode == "previous" else F.first("t").over(w)
+    times = vox.select("position", "c", "t").distinct().select(F.col("position").alias("p_"), F.col("c").alias("c_"), F.col("t").alias("t_"), of.alias("of"))
+    ref = vox.join(times, F.col("position").eqNullSafe(F.col("p_")) & F.col("c").eqNullSafe(F.col("c_")) & (F.col("t") == F.col("of")))
+    both = vox.select("position", "c", "t", *AXES, "v", F.lit(False).alias("ref")).union(ref.select("position", "c", "t_", *AXES, "v", F.lit(True)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, first, before = [], None, None
-        for t, part in sorted(pdf.groupby("t"), key=lambda x: x[0]):
-            now = dense(part)
-            first = now if first is None else first
-            ref = now if before is None else before if mode == "previous" else first
-            rows.append((part["position"].iloc[0], part["c"].iloc[0], t, *map(float, phase_shift(ref, now, normalise))))
-            before = now
-        return pd.DataFrame(rows, columns=["position", "c", "t", "dz", "dy", "dx"])
+        a, b = dense(pdf[pdf["ref"]]), dense(pdf[~pdf["ref"]])
+        return pd.DataFrame([(*pdf[["position", "c", "t"]].iloc[0], *map(float, phase_shift(a, b, normalise)))], columns=["position", "c", "t", "dz", "dy", "dx"])
 
-    return vox.groupBy("position", "c").applyInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, c int, t int, dz double, dy double, dx double")
+    return both.groupBy("position", "c", "t").applyInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, c int, t int, dz double, dy double, dx double")
 
 
 def deconvolve(vox: DataFrame, psf: np.ndarray, strength: float = 1e-3) -> DataFrame:
@@ -188,8 +188,6 @@ def hungarian(points: DataFrame, quantile: float = 0.1, max_ratio: float | None
 
 def pca_features(points: DataFrame, edges: DataFrame) -> DataFrame:
     """Each point's main direction among its neighbours and its anisotropy; nulls without neighbours. edges: label, src, dst."""
-    from pyspark.sql import functions as F
-
     p = points.select("label", F.col("id").alias("dst"), *AXES)
     near = edges.select("label", "src", "dst").join(p, ["label", "dst"])
 
@@ -204,25 +202,40 @@ def pca_features(points: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def fit_affine(vectors: DataFrame, kind: str = "affine") -> DataFrame:
-    """The transform (4 x 4, rows joined) that takes moving to reference points best: affine, similarity or euclidean; clouds with fewer than four matches give null."""
+    """The transform (4 x 4, rows joined) that takes moving to reference points best: affine, similarity or euclidean; clouds with fewer than four matches give null.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        m, r = pdf[["mz", "my", "mx"]].to_numpy(), pdf[["rz", "ry", "rx"]].to_numpy()
-        out = np.eye(4)
-        if len(m) < 4:
-            return pd.DataFrame([(pdf["label"].iloc[0], None)], columns=["label", "matrix"])
+    Means and covariances of the matches are aggregates; the fit sees a row per cloud."""
+    m, r = ["mz", "my", "mx"], ["rz", "ry", "rx"]
+    sums = [F.array(*[F.avg(a) for a in m + r]).alias("mean"), *[F.array(*[F.covar_pop(a, b) for b in m + r]).alias(f"c{i}") for i, a in enumerate(m)]]
+
+    def fit(n: int, mean: np.ndarray, cov: np.ndarray) -> list[float] | None:
+        if n < 4:
+            return None
+        out, mm, rm, mc, rc = np.eye(4), cov[:, :3], cov[:, 3:].T, mean[:3], mean[3:]
         if kind == "affine":
-            out[:3] = np.linalg.lstsq(np.c_[m, np.ones(len(m))], r, rcond=None)[0].T
+            if np.linalg.matrix_rank(mm, tol=1e-13 * max(np.trace(mm), mc @ mc), hermitian=True) == 3:
+                out[:3, :3] = np.linalg.solve(mm, rm.T).T
+                out[:3, 3] = rc - out[:3, :3] @ mc
+            else:
+                # Points in a plane leave a choice: the least coefficients, shift included.
+                one = np.r_[mc, 1.0]
+                gram = np.outer(one, one)
+                gram[:3, :3] += mm
+                out[:3] = (np.c_[rm, np.zeros(3)] + np.outer(rc, one)) @ np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
         else:
-            mc, rc = m - m.mean(0), r - r.mean(0)
-            u, s, vt = np.linalg.svd(rc.T @ mc / len(m))
+            u, s, vt = np.linalg.svd(rm)
             d = np.diag([1, 1, np.sign(np.linalg.det(u @ vt))])
-            scale = np.trace(np.diag(s) @ d) / mc.var(0).sum() if kind == "similarity" else 1.0
+            scale = np.trace(np.diag(s) @ d) / np.trace(mm) if kind == "similarity" else 1.0
             out[:3, :3] = scale * u @ d @ vt
-            out[:3, 3] = r.mean(0) - out[:3, :3] @ m.mean(0)
-        return pd.DataFrame([(pdf["label"].iloc[0], out.ravel().tolist())], columns=["label", "matrix"])
+            out[:3, 3] = rc - out[:3, :3] @ mc
+        return out.ravel().tolist()
+
+    def run(batches):
+        for pdf in batches:
+            found = [fit(n, np.array(mean), np.stack([*c])) for n, mean, *c in zip(pdf["n"], pdf["mean"], pdf["c0"], pdf["c1"], pdf["c2"], strict=True)]
+            yield pd.DataFrame({"label": pdf["label"], "matrix": found})
 
-    return vectors.groupBy("label").applyInPandas(run, "label int, matrix array<double>")
+    return vectors.groupBy("label").agg(F.count("*").alias("n"), *sums).mapInPandas(run, "label int, matrix array<double>")
 
 
 def peak_widths(profiles: DataFrame) -> DataFrame:
