@@ -7,7 +7,7 @@ beside an L2 penalty. Words that only name a group thereby lose their influence,
 groups aren't taken for attacks.
 
 Fitting uses a bounded sample: the FIT_ROWS labelled rows with the smallest hash of their id, out of those whose crc32(doc_id as text)
-mod 4 is not 2. Features whose association with the label could be chance (G² below LEAST_G2) are left out but for identity terms. Scoring
+mod 4 is not 2; of several texts of an id it takes the one of the least hash. Features whose association with the label could be chance (G² below LEAST_G2) are left out but for identity terms. Scoring
 reads every whole text, in one scan without a shuffle; only the weights go to the tasks.
 
 Cases: a null text is the empty text, and scores like any text without known features; labels that are null are left out; of several labels
@@ -132,7 +132,9 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """The classifier, from at most FIT_ROWS of the rows with labels."""
     learn = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & (F.crc32(F.col(doc_id).cast("string")) % 4 != 2))
     sample = learn.groupBy(F.col(doc_id).alias("d")).agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("d"), "d").limit(FIT_ROWS)
-    rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).join(F.broadcast(sample), "d").select("y", "t")  # at most FIT_ROWS pairs of numbers
+    rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).join(F.broadcast(sample), "d")  # at most FIT_ROWS pairs of numbers
+    # One text of an id, however many rows repeat it: the driver gets FIT_ROWS rows at most.
+    rows = rows.groupBy("d", "y").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("one")).select("y", "one.t")
 
     def one(batch: pa.RecordBatch):
         ys, plain, swapped = batch.column(0), [], []
