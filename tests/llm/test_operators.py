@@ -89,9 +89,9 @@ def test_counterfactual_penalty_frees_group_terms():
     rng = np.random.default_rng(0)
     y = rng.integers(0, 2, 600).astype(float)
     insult, group = (y == 1) & (rng.random(600) < 0.9), rng.random(600) < np.where(y == 1, 0.7, 0.2)
-    x = np.stack([insult, group, np.zeros(600)], 1).astype(float)
+    x = np.stack([insult, group, np.zeros(600), np.ones(600)], 1).astype(float)
     swapped = np.flatnonzero(group)
-    delta = np.zeros((len(swapped), 3))
+    delta = np.zeros((len(swapped), 4))
     delta[:, 1], delta[:, 2] = -1, 1
     plain, _ = toxicity._solve(x, delta, y, 0.0)
     fair, _ = toxicity._solve(x, delta, y, toxicity.COUNTERFACTUAL)
@@ -225,8 +225,8 @@ def test_components(spark):
 def test_quality_ledger_against_sql(spark, make, odd):
     docs = make(odd + [(20, "a b c d e " * 3 + "\nq\nq\n \nq"), (21, "#tag <b> | 5% A B!! CAPS CAPS")])
     got = quality_rules.ledger(docs).select("doc_id", *quality_rules.MEASURES).collect()
-    table = docs.select("doc_id", "text").toArrow()  # noqa: F841
-    want = duckdb.sql(f"{quality_rules.measures_sql('table')} SELECT doc_id, {', '.join(quality_rules.MEASURES)} FROM m").fetchall()
+    rows = docs.select("doc_id", "text").toArrow()  # noqa: F841
+    want = duckdb.sql(f"{quality_rules.measures_sql('rows')} SELECT doc_id, {', '.join(quality_rules.MEASURES)} FROM m").fetchall()
     key = lambda r: tuple(-1 if x is None else x for x in r)
     assert sorted(map(key, got)) == sorted(map(key, want))
 

@@ -21,9 +21,11 @@ BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset (one machine, tests) a new local folder, which is then set."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a run on one machine gets a new local folder; on a cluster that is an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="voxelloom-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where
@@ -61,7 +63,7 @@ def columns(batch: pa.RecordBatch, fields: list[StructField]) -> list[pa.Array]:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Hold the Arrow batches that go to Python workers to BATCH_ROWS and BATCH_BYTES, where the session allows more."""
+    """Hold the Arrow batches that go to Python workers to BATCH_ROWS and BATCH_BYTES, where the session allows more. Plans run later than they are made, so the session keeps the bound."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
         now = spark.conf.get(key, None)
         if now is None or not now.isdigit() or not 0 < int(now) <= most:

@@ -2,15 +2,16 @@
 
 Logistic regression on words and their beginnings of 4 to 7 letters (hashed): whether they occur, in two different words or more, and in a
 fiftieth of the different words or more; with the penalty
-COUNTERFACTUAL x mean((score logit of a text - logit of the text with its identity terms swapped)^2)
-beside an L2 penalty. Words that only name a group thereby lose their influence, whatever the labels' correlation with them, so neutral mentions of
-groups aren't taken for attacks.
+COUNTERFACTUAL x mean of (logit of a text that names a group - logit of the text that names another)^2 and of (logit of a text that names a group - logit of the text that names none)^2
+beside an L2 penalty. A labelled text with identity terms is compared with itself after its terms are swapped, and after they are taken out; one without gets a mention, of a row of the lexicon that
+the text's hash picks, and is compared with itself after that mention is swapped, and with itself as it is. So every labelled text takes part, and the words and word beginnings that only name a group
+lose their influence, whatever the labels' correlation with them: neutral mentions of groups aren't taken for attacks. The lexicon is a parameter; IDENTITY has one for each of four languages.
 
 Fitting uses a bounded sample: the FIT_ROWS labelled rows with the smallest hash of their id, out of those whose crc32(doc_id as text)
-mod 4 is not 2; of several texts of an id it takes the one of the least hash. Features whose association with the label could be chance (G² below LEAST_G2) are left out but for identity terms. Scoring
-reads every whole text, in one scan without a shuffle; only the weights go to the tasks.
+mod 4 is not 2; of several texts of an id it takes the one of the least hash. Features whose association with the label could be chance (G² below LEAST_G2) are left out but for identity terms, and
+at most MOST_FEATURES are weighed, those of the strongest association (ties: the lower hash). Scoring reads every whole text, of any length, in one scan without a shuffle; only the weights go to the tasks.
 
-Cases: a null text is the empty text, and scores like any text without known features; labels that are null are left out; of several labels
+Cases: an empty table gives no rows; a null text is the empty text, and scores like any text without known features; labels that are null are left out; of several labels
 of a document the highest counts; without labels of both kinds the score is the smoothed share of toxic ones, 0 where there are none.
 Repeated rows get equal scores. Extra columns are kept; those named like the score or the prediction are replaced.
 """
@@ -36,18 +37,55 @@ BITS, LEAST_G2, L2, COUNTERFACTUAL, THRESHOLD = 20, 12.0, 3e-5, 10.0, 0.3
 #: Lengths of the beginnings of words, and one of how many words makes a feature dense. They, LEAST_G2 and L2 made the fewest errors at THRESHOLD in a cross-validation over rows to learn from.
 BEGINNINGS, DENSE = (4, 5, 6, 7), 50
 
-#: Identity terms; a swap puts the next of its row in a term's place.
-IDENTITY = [
-    ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"), ("wife", "husband"),
-    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"), ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
-    ("gay", "straight", "lesbian", "bisexual"), ("transgender", "cisgender"), ("black", "white", "asian", "latino"),
-    ("african", "european", "american", "mexican", "chinese", "indian", "arab"), ("immigrants", "natives"), ("immigrant", "native"),
-    ("old", "young"), ("elderly", "teenagers"), ("deaf", "blind", "disabled"), ("rich", "poor"), ("refugees", "residents"),
-]
-_SWAP = {t: row[(i + 1) % len(row)] for row in IDENTITY for i, t in enumerate(row)}
+#: Identity terms by language. A swap puts the next of its row in a term's place.
+IDENTITY = {
+    "en": [
+        ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"), ("wife", "husband"),
+        ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"), ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
+        ("gay", "straight", "lesbian", "bisexual"), ("transgender", "cisgender"), ("black", "white", "asian", "latino"),
+        ("african", "european", "american", "mexican", "chinese", "indian", "arab"), ("immigrants", "natives"), ("immigrant", "native"),
+        ("old", "young"), ("elderly", "teenagers"), ("deaf", "blind", "disabled"), ("rich", "poor"), ("refugees", "residents"),
+    ],
+    "de": [
+        ("frauen", "männer"), ("frau", "mann"), ("mädchen", "jungen"), ("muslime", "christen", "juden"), ("muslimisch", "christlich", "jüdisch"), ("schwule", "lesben", "heterosexuelle"),
+        ("ausländer", "einheimische"), ("flüchtlinge", "anwohner"), ("türken", "polen", "deutsche", "franzosen"), ("alte", "junge"), ("blinde", "gehörlose", "behinderte"), ("reiche", "arme"),
+    ],
+    "fr": [
+        ("femmes", "hommes"), ("femme", "homme"), ("filles", "garçons"), ("musulmans", "chrétiens", "juifs"), ("homosexuels", "lesbiennes", "hétérosexuels"), ("noirs", "blancs", "asiatiques"),
+        ("étrangers", "habitants"), ("réfugiés", "riverains"), ("africains", "européens", "américains", "arabes"), ("vieux", "jeunes"), ("aveugles", "sourds", "handicapés"), ("riches", "pauvres"),
+    ],
+    "es": [
+        ("mujeres", "hombres"), ("mujer", "hombre"), ("niñas", "niños"), ("musulmanes", "cristianos", "judíos"), ("homosexuales", "lesbianas", "heterosexuales"), ("negros", "blancos", "asiáticos"),
+        ("extranjeros", "vecinos"), ("refugiados", "residentes"), ("africanos", "europeos", "americanos", "árabes"), ("viejos", "jóvenes"), ("ciegos", "sordos", "discapacitados"), ("ricos", "pobres"),
+    ],
+}
 _WORD = re.compile(r"[^\W_]+")
 
 
+def rows_of(identity: dict[str, list[tuple[str, ...]]]) -> list[tuple[str, ...]]:
+    """The rows of all languages; a term counts in the first row that has it."""
+    seen: set[str] = set()
+    out = []
+    for row in (r for language in identity.values() for r in language):
+        out.append(tuple(t for t in row if t not in seen))
+        seen.update(row)
+    return [r for r in out if len(r) > 1]
+
+
+def swapped(ws: set[str], rows: list[tuple[str, ...]], swap: dict[str, str], h: int) -> tuple[set[str], set[str], set[str]]:
+    """A text's words without a mention of groups, with one, and with one of other groups; h (the text's hash) picks the mention of a text that has none."""
+    if ws & swap.keys():
+        return ws - swap.keys(), ws, {swap.get(w, w) for w in ws}
+    row = rows[h % len(rows)]
+    i = (h >> 20) % len(row)
+    return ws, ws | {row[i]}, ws | {row[(i + 1) % len(row)]}
+
+
+def _change(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The features that b has and a has not, and, as -1 - feature, those that only a has."""
+    return np.concatenate([np.setdiff1d(b, a, assume_unique=True), -1 - np.setdiff1d(a, b, assume_unique=True)])
+
+
 def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
@@ -71,10 +109,13 @@ def features(ws: set[str]) -> np.ndarray:
 
 @dataclass
 class Model:
-    """weights by feature, and the intercept."""
+    """weights by feature, the intercept, how many comparisons the penalty made, in how many a known feature differs, and the mean square of the logits' differences."""
 
     weights: dict[int, float]
     bias: float
+    n_compared: int = 0
+    n_differing: int = 0
+    gap: float = 0.0
 
     def __post_init__(self) -> None:
         self._slots = {f & ((1 << BITS) - 1) for f in self.weights}
@@ -128,8 +169,10 @@ def _solve(x: np.ndarray, delta: np.ndarray, y: np.ndarray, counterfactual: floa
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", counterfactual: float = COUNTERFACTUAL) -> Model:
-    """The classifier, from at most FIT_ROWS of the rows with labels."""
+def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", counterfactual: float = COUNTERFACTUAL, identity: dict[str, list[tuple[str, ...]]] | None = None) -> Model:
+    """The classifier, from at most FIT_ROWS of the rows with labels. identity: rows of identity terms by language (IDENTITY unless given)."""
+    rows_ = rows_of(IDENTITY if identity is None else identity)
+    swap = {t: row[(i + 1) % len(row)] for row in rows_ for i, t in enumerate(row)}
     learn = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull() & (F.crc32(F.col(doc_id).cast("string")) % 4 != 2))
     sample = learn.groupBy(F.col(doc_id).alias("d")).agg(F.max(label).cast("int").alias("y")).orderBy(F.xxhash64("d"), "d").limit(FIT_ROWS)
     rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")).join(F.broadcast(sample), "d")  # at most FIT_ROWS pairs of numbers
@@ -137,35 +180,38 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     rows = rows.groupBy("d", "y").agg(F.min(F.struct(F.xxhash64("t").alias("h"), "t")).alias("one")).select("y", "one.t")
 
     def one(batch: pa.RecordBatch):
-        ys, plain, swapped = batch.column(0), [], []
+        plain, named, swaps = [], [], []
         for t in texts(batch, "t"):
             ws = set(words(t))
             plain.append(features(ws))
-            swapped.append(features({_SWAP.get(w, w) for w in ws}) if ws & _SWAP.keys() else None)
-        yield pa.RecordBatch.from_arrays([ys, pa.array(plain, pa.list_(pa.int32())), pa.array(swapped, pa.list_(pa.int32()))], names=["y", "plain", "swapped"])
+            none, a, b = map(features, swapped(ws, rows_, swap, xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"))) if rows_ else (ws, ws, ws))
+            named.append(_change(none, a))
+            swaps.append(_change(a, b))
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.list_(pa.int32())) for x in (plain, named, swaps))], names=["y", "plain", "named", "swaps"])
 
-    got = arrow_map(rows, one, "y int, plain array<int>, swapped array<int>").toArrow()
+    got = arrow_map(rows, one, "y int, plain array<int>, named array<int>, swaps array<int>").toArrow()
     y = got.column("y").to_numpy().astype(float)
     n, pos = len(y), y.sum()
     if not 0 < pos < n:
         return Model({}, float(np.log((pos + 0.5) / (n - pos + 0.5))) if n else -40.0)
-    plain, other = _lists(got.column("plain")), _lists(got.column("swapped"))
+    plain, named, swaps = (_lists(got.column(c)) for c in ("plain", "named", "swaps"))
     # Rows in a fixed order, so that sums don't depend on how the tasks ran.
     order = sorted(range(n), key=lambda i: (y[i], len(plain[i]), xxhash.xxh3_64_intdigest(plain[i].tobytes())))
-    return train(y[order], [plain[i] for i in order], [other[i] for i in order], counterfactual)
+    identity_features = np.array(sorted({s + (p << BITS) for t in swap for s in slots(t) for p in range(3)}), np.int64)
+    return train(y[order], [plain[i] for i in order], [x[i] for i in order for x in (named, swaps)], identity_features, counterfactual)
 
 
-def _lists(column: pa.ChunkedArray) -> list[np.ndarray | None]:
+def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
     """The lists of a column as views of its values."""
-    out: list[np.ndarray | None] = []
+    out: list[np.ndarray] = []
     for chunk in column.chunks:
-        values, ends, valid = chunk.values.to_numpy(), chunk.offsets.to_numpy(), chunk.is_valid().to_numpy(zero_copy_only=False)
-        out += [values[a:b] if v else None for a, b, v in zip(ends[:-1].tolist(), ends[1:].tolist(), valid.tolist(), strict=True)]
+        values, ends = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        out += [values[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
     return out
 
 
-def train(y: np.ndarray, plain: list[np.ndarray], other: list[np.ndarray | None], counterfactual: float = COUNTERFACTUAL) -> Model:
-    """The classifier of rows with labels y (both kinds occur), features, and features after the swap (None: no identity term)."""
+def train(y: np.ndarray, plain: list[np.ndarray], changes: list[np.ndarray], named: np.ndarray, counterfactual: float = COUNTERFACTUAL) -> Model:
+    """The classifier of rows with labels y (both kinds occur) and features; changes: of each comparison the features that come and, as -1 - feature, those that go; named: the features of identity terms."""
     n, pos = len(y), y.sum()
     a, b = np.zeros(3 << BITS), np.zeros(3 << BITS)
     for f, label in zip(plain, y, strict=True):
@@ -177,7 +223,7 @@ def train(y: np.ndarray, plain: list[np.ndarray], other: list[np.ndarray | None]
             g2 += 2 * np.where(got > 0, got * np.log(np.maximum(got, 1e-12) / np.maximum(total * have / n, 1e-12)), 0)
     strong = seen[g2 >= LEAST_G2]
     strong = strong[np.lexsort((strong, -g2[g2 >= LEAST_G2]))][:MOST_FEATURES]
-    chosen = np.unique(np.concatenate([strong, [s + (p << BITS) for t in _SWAP for s in slots(t) for p in range(3) if a[s + (p << BITS)] + b[s + (p << BITS)] > 0]]).astype(np.int64))
+    chosen = np.unique(np.concatenate([strong, named[(a + b)[named] > 0]]).astype(np.int64))
     if not len(chosen):
         return Model({}, float(np.log((pos + 0.5) / (n - pos + 0.5))))
     place = np.full(3 << BITS, -1)
@@ -192,10 +238,16 @@ def train(y: np.ndarray, plain: list[np.ndarray], other: list[np.ndarray | None]
         return x
 
     x = dense(plain)
-    swapped = [i for i in range(n) if other[i] is not None]
-    delta = dense([other[i] for i in swapped]) - x[swapped]
+    rows = []
+    for s in changes:
+        row = np.zeros(len(chosen) + 1, np.int8)
+        at = place[np.where(s >= 0, s, -1 - s)]
+        row[at[at >= 0]] = np.where(s >= 0, 1, -1)[at >= 0]
+        if row.any():
+            rows.append(row)
+    delta = np.stack(rows) if rows else np.zeros((0, len(chosen) + 1), np.int8)
     w, bias = _solve(x, delta, y, counterfactual)
-    return Model(dict(zip(chosen.tolist(), w.tolist(), strict=True)), bias)
+    return Model(dict(zip(chosen.tolist(), w.tolist(), strict=True)), bias, len(changes), len(rows), float(((delta[:, :-1] @ w) ** 2).sum() / max(1, len(changes))))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
