@@ -1,5 +1,8 @@
 """Terms that disclose an entity on little evidence."""
 
+import math
+import re
+
 from tests.llm.conftest import prose, sentence
 from voxelloom.llm import pii
 
@@ -8,6 +11,65 @@ def _terms(make, rows):
     return {r.doc_id: {r.text[s.start : s.end].lower() for s in r.spans if s.kind == "term"} for r in pii.find(make(rows)).select("doc_id", "text", "spans").collect()}
 
 
+def test_statistics_against_brute_force(make, rng):
+    """All documents, repeated rows among them; terms and entities from the texts themselves."""
+    names = [f"{c}arrow{v}{w}" for c in "bcdfg" for v in "aeiou" for w in "klm"]
+    people = [f"p{k}@mail.example.org" for k in range(6)] + ["+1 555 010 99{:02d}".format(k) for k in range(3)]
+    rows = []
+    for k in range(120):
+        w = [rng.choice(names) for _ in range(rng.randint(4, 40))]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            w.insert(rng.randrange(len(w)), rng.choice(people))
+        rows.append((k, " ".join(w)))
+    rows += rows[:30] + [(None, rows[3][1]), (200, None), (201, "")]
+    docs = make(rows)
+    got = {(r["kind"], r["value"], r["term"]): r for r in pii.associations(docs, pii.mentions(docs)).collect()}
+    both, n_term, n_entity, distinct, contexts, firsts, beside = {}, {}, {}, set(rows), {}, {}, {}
+    for d, t in distinct:
+        t = t or ""
+        terms = {w for w in t.split() if len(w) >= 4 and w.isalpha()}
+        for w in terms:
+            n_term[w] = n_term.get(w, 0) + 1
+        here = {}
+        for p in people:
+            key = ("email", p) if "@" in p else ("phone", "".join(c for c in p if c.isdigit()))
+            at = -1
+            while (at := t.find(p, at + 1)) >= 0:
+                here.setdefault(key, set()).add(_context(t, at, at + len(p)))
+        for key, found in here.items():
+            n_entity[key] = n_entity.get(key, 0) + 1
+            for c in found:
+                contexts.setdefault(key, {}).setdefault(c, set()).add((d, t))
+                for w in c:
+                    beside.setdefault(w, set()).add((d, t))
+            for w in terms:
+                firsts.setdefault((*key, w), {}).setdefault(min(found), set()).add((d, t))
+    for (kind, value, w), seen in firsts.items():
+        near = [docs for c, docs in contexts[kind, value].items() if w in c]
+        n_near, n_far = sum(map(len, near)), sum(map(len, seen.values()))
+        n_seen, n_both = max(len(near), len(seen)), max(n_near, n_far)
+        if n_seen >= 2 and n_both >= pii.GENERALISE * len(beside.get(w, ())):
+            share, n = min(1.0, n_both / n_term[w]), len(distinct)
+            p = (share * n_seen + pii.PRIOR * n_entity[kind, value] / n) / (n_seen + pii.PRIOR)
+            both[kind, value, w] = (n_both, n_seen, n_entity[kind, value], n_term[w], p, math.log2(share * n / n_entity[kind, value]))
+    assert len(both) > 30 and got.keys() == both.keys()
+    for key, want in both.items():
+        assert tuple(got[key][c] for c in ("n_both", "n_seen", "n_entity", "n_term")) == want[:4], key
+        assert abs(got[key]["p"] - want[4]) < 1e-12 and abs(got[key]["bits"] - want[5]) < 1e-9
+    counts = pii.thresholds(pii.associations(docs, pii.mentions(docs))).first()
+    assert counts.n_pairs == len(both) and counts.n_disclose == sum(p >= pii.GENERALISE and b >= pii.LEAST_BITS for *_, p, b in both.values())
+
+
+def _context(t, a, b):
+    """The sorted distinct terms of the characters on either side, up to the next match of the kind, without words that the window may cut."""
+    kinds = [m for m in re.finditer(r"\S+@\S+" if "@" in t[a:b] else r"\+1 555 010 99\d\d", t)]
+    low = max([m.end() for m in kinds if m.end() <= a], default=0)
+    high = min([m.start() for m in kinds if m.start() >= b], default=len(t))
+    before, after = t[max(low, a - pii.CONTEXT) : a], t[b : min(high, b + pii.CONTEXT)]
+    around = re.sub(r"^\S+", "", before) + " " + re.sub(r"\S+$", "", after)
+    return tuple(sorted({w for w in around.split() if len(w) >= 4 and w.isalpha()}))
+
+
 def _rest(rng):
     return [(k, f"{sentence(rng, 20)} ordinary words by user{k}@mail.example.org here {sentence(rng, 5)}") for k in range(10, 60)]
 

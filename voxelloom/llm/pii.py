@@ -13,9 +13,10 @@ discloses: a word seen once beside an address seen once is no evidence that it b
 
 Everything is DataFrame functions. Texts with no "@", digit or "+" skip the patterns that need one. The patterns begin either after a character that can't continue
 a match backwards or where the last match ended (\\G), and their repetitions are possessive; neither changes a match, but long runs take linear time.
-Broadcast: the candidate terms, only if they are at most BROADCAST_TERMS; beyond it their documents are counted through a shuffle.
+Of the texts only those with base matches leave their scan, as their distinct terms. Broadcast: the candidate terms, and the disclosing terms of documents, each only if they are at most BROADCAST_TERMS; beyond it
+they meet the documents through a shuffle.
 
-Cases: null is the empty text, with no spans. Rows that agree in id and text are one document and get equal spans. Other columns are kept;
+Cases: an empty table gives no rows; texts may be of any length; ties don't occur, as spans are sorted by start, then kind; null is the empty text, with no spans. Rows that agree in id and text are one document and get equal spans. Other columns are kept;
 those named like the added ones are replaced.
 """
 
@@ -103,65 +104,90 @@ def _value(kind: Column, value: Column) -> Column:
 
 
 def mentions(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row for each base match: _id, _hash (of the text), kind, value (normalised), context (the sorted distinct terms beside it)."""
+    """A row for each document with base matches: _id, _hash (of the text), found (array of kind, value (normalised) and context, the sorted distinct terms beside it), words (its distinct terms). Rows that agree in id and text are one document."""
     of_kind = lambda k: F.transform(F.col(f"_{k}"), lambda m: F.struct(F.lit(k).alias("kind"), m.alias("m")))
-    each = _based(docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")), "d", "t", "_").select("_id", "_hash", F.explode(F.concat(*[of_kind(k) for k in KINDS[:4]])).alias("x"))
-    # A window's first and last characters may be a part of a word.
-    around = F.concat(F.regexp_replace("x.m.before", r"^\S+", ""), F.lit(" "), F.regexp_replace(F.coalesce("x.m.after", F.lit("")), r"\S+$", ""))
-    terms = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(around), F.lit(_TERM), F.lit(0))))
-    return each.select("_id", "_hash", F.col("x.kind").alias("kind"), _value(F.col("x.kind"), F.col("x.m.value")).alias("value"), terms.alias("context"))
+    each = _based(docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t")), "d", "t", "_").withColumn("_all", F.concat(*[of_kind(k) for k in KINDS[:4]]))
 
+    def one(x: Column) -> Column:
+        # A window's first and last characters may be a part of a word.
+        around = F.concat(F.regexp_replace(x.m.before, r"^\S+", ""), F.lit(" "), F.regexp_replace(F.coalesce(x.m.after, F.lit("")), r"\S+$", ""))
+        terms = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(around), F.lit(_TERM), F.lit(0))))
+        return F.struct(x.kind.alias("kind"), _value(x.kind, x.m.value).alias("value"), terms.alias("context"))
 
-def disclosures(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The terms that give an entity away: kind, value, term, p, bits. found: mentions(docs)."""
-    one = found.distinct().groupBy("kind", "value", "context").agg(F.count("*").alias("n_docs"))
+    words = F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(_TERM), F.lit(0)))
+    found = scratch(each.where(F.size("_all") > 0).select("_id", "_hash", F.transform("_all", one).alias("found"), words.alias("words")), "pii-mentions")
+    if found.count() != found.select("_id", "_hash").distinct().count():
+        found = scratch(found.dropDuplicates(["_id", "_hash"]), "pii-mentions")
+    return found
+
+
+def associations(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The terms that occur with an entity in two observations or more: kind, value, term, n_both (documents with both), n_seen (observations), n_entity, n_term, p, bits. found: mentions(docs).
+
+    Left out before their documents are counted are terms that are beside so many other entities that p can't reach GENERALISE."""
+    each = found.select("_id", "_hash", F.inline("found"))
+    one = each.distinct().groupBy("kind", "value", "context").agg(F.count("*").alias("n_docs"))
     near = one.select("kind", "value", F.explode("context").alias("term"), "n_docs").groupBy("kind", "value", "term").agg(F.sum("n_docs").alias("n_both"), F.count("*").alias("n_seen"))
     # Elsewhere in a document: only entities of different first contexts can have two observations there.
-    firsts = found.groupBy("_id", "_hash", "kind", "value").agg(F.xxhash64(F.min("context")).alias("first"))
-    several = firsts.groupBy("kind", "value").agg(F.min("first").alias("low"), F.max("first").alias("high")).where("low <> high").select("kind", "value")
-    firsts = scratch(firsts.join(several, ["kind", "value"], "left_semi"), "pii-firsts")
-    texts = docs.select(F.col(doc_id).alias("_i"), F.xxhash64(text).alias("_h"), F.lower(text).alias("_text"))
-    whole = texts.join(firsts, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h"))).dropDuplicates(["_id", "_hash", "kind", "value"])
-    whole = whole.select("kind", "value", "first", F.explode(F.array_distinct(F.regexp_extract_all("_text", F.lit(_TERM), F.lit(0)))).alias("term"))
+    entity = lambda x: F.struct(x.kind.alias("kind"), x.value.alias("value"))
+    first = lambda e: F.xxhash64(F.array_min(F.transform(F.filter("found", lambda x: entity(x) == e), lambda x: x.context)))
+    per_doc = found.select("words", F.inline(F.transform(F.array_distinct(F.transform("found", entity)), lambda e: F.struct(e.kind.alias("kind"), e.value.alias("value"), first(e).alias("first")))))
+    several = per_doc.groupBy("kind", "value").agg(F.min("first").alias("low"), F.max("first").alias("high"), F.count("*").alias("n_entity"))
+    several = scratch(several, "pii-entities")
+    whole = per_doc.join(several.where("low <> high"), ["kind", "value"], "left_semi").select("kind", "value", "first", F.explode("words").alias("term"))
     whole = whole.groupBy("kind", "value", "term", "first").agg(F.count("*").alias("n")).groupBy("kind", "value", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_seen"))
     pairs = near.unionByName(whole).groupBy("kind", "value", "term").agg(F.max("n_both").alias("n_both"), F.max("n_seen").alias("n_seen"))
     # A term is in as many documents, at least, as have it beside any entity: where that alone holds p below GENERALISE, its documents needn't be counted.
-    beside = found.select("_id", "_hash", F.explode("context").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
+    beside = each.select("_id", "_hash", F.explode("context").alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_beside"))
     pairs = pairs.where(F.col("n_seen") >= 2).join(beside, "term", "left").where(F.col("n_both") >= GENERALISE * F.coalesce("n_beside", F.lit(0))).drop("n_beside")
     pairs = scratch(pairs, "pii-pairs")
-    entities = found.select("_id", "_hash", "kind", "value").distinct().groupBy("kind", "value").agg(F.count("*").alias("n_entity"))
     terms = pairs.select("term").distinct()
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower(text), _WORD_BREAK))).alias("term"))
+    ids = docs.select(F.col(doc_id).alias("_i"), F.xxhash64(text).alias("_h"), F.col(text).alias("_t"))
+    words = ids.select("_i", "_h", F.explode(F.array_distinct(F.split(F.lower("_t"), _WORD_BREAK))).alias("term"))
     if (n := terms.count()) == 0:
-        return pairs.select("kind", "value", "term", F.lit(0.0).alias("p"), F.lit(0.0).alias("bits"))
-    if n <= BROADCAST_TERMS:
-        with_term = words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    else:
-        with_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(terms, "term", "left_semi")
-    total = docs.agg(F.count("*").alias("n"))
+        none = [F.lit(0).cast("bigint").alias(c) for c in ("n_entity", "n_term")]
+        return pairs.select("*", *none, F.lit(0.0).alias("p"), F.lit(0.0).alias("bits"))
+    # A document counts once, however many rows repeat it.
+    picked = words.join(F.broadcast(terms) if n <= BROADCAST_TERMS else terms, "term", "left_semi")
+    with_term = picked.distinct().groupBy("term").agg(F.count("*").alias("n_term"))
+    total = ids.select("_i", "_h").distinct().agg(F.count("*").alias("n"))
     share = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
     p = (share * F.col("n_seen") + PRIOR * F.col("n_entity") / F.col("n")) / (F.col("n_seen") + PRIOR)
     bits = F.log2(share * F.col("n") / F.col("n_entity"))
-    joined = pairs.join(with_term, "term").join(entities, ["kind", "value"]).join(F.broadcast(total))  # one row
-    return joined.withColumn("p", p).withColumn("bits", bits).where((F.col("p") >= GENERALISE) & (F.col("bits") >= LEAST_BITS)).select("kind", "value", "term", "p", "bits")
+    joined = pairs.join(with_term, "term").join(several.select("kind", "value", "n_entity"), ["kind", "value"]).join(F.broadcast(total))  # one row
+    return joined.select("kind", "value", "term", "n_both", "n_seen", "n_entity", "n_term", p.alias("p"), bits.alias("bits"))
+
+
+def disclosures(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The terms that give an entity away: kind, value, term, p, bits."""
+    return associations(docs, found, doc_id, text).where((F.col("p") >= GENERALISE) & (F.col("bits") >= LEAST_BITS)).select("kind", "value", "term", "p", "bits")
+
+
+def thresholds(pairs: DataFrame) -> DataFrame:
+    """How many of associations() each threshold leaves out, and how many disclose: n_pairs, n_below_p, n_below_bits, n_disclose, n_removed (of those that disclose)."""
+    low_p, low_bits = F.col("p") < GENERALISE, F.col("bits") < LEAST_BITS
+    return pairs.agg(F.count("*").alias("n_pairs"), F.count_if(low_p).alias("n_below_p"), F.count_if(low_bits).alias("n_below_bits"), F.count_if(~low_p & ~low_bits).alias("n_disclose"), F.count_if(~low_bits & (F.col("p") >= REMOVE)).alias("n_removed"))
+
+
+def _wanted(found: DataFrame, disclosed: DataFrame) -> DataFrame:
+    """For each document with entities that terms disclose: _id, _hash, terms (term, p)."""
+    entities = found.select("_id", "_hash", F.inline("found")).select("_id", "_hash", "kind", "value").distinct()
+    terms = entities.join(disclosed, ["kind", "value"]).groupBy("_id", "_hash", "term").agg(F.max("p").alias("p"))
+    return terms.groupBy("_id", "_hash").agg(F.collect_list(F.struct("term", "p")).alias("terms"))
 
 
-def _term_spans(docs: DataFrame, found: DataFrame, disclosed: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """For each document with disclosing terms: _id, _hash, terms (start, end, p)."""
-    wanted = found.select("_id", "_hash", "kind", "value").distinct().join(disclosed, ["kind", "value"]).groupBy("_id", "_hash", "term").agg(F.max("p").alias("p"))
-    texts = docs.select(F.col(doc_id).alias("_i"), F.xxhash64(text).alias("_h"), F.col(text).alias("_text"))
-    each = wanted.join(texts.dropDuplicates(["_i", "_h"]), F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")))
-    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}])"), F.col("term"), F.lit(r"(?![\p{L}])"))
-    spans = F.transform(_located(F.col("_text"), pattern), lambda m: F.struct(m.start.alias("start"), m.end.alias("end"), m.value.alias("value")))
-    at = each.select("_id", "_hash", "p", F.explode(spans).alias("m"))
-    return at.groupBy("_id", "_hash").agg(F.array_distinct(F.collect_list(F.struct("m.start", "m.end", "p"))).alias("terms"))
+def _term_spans(text: Column, terms: Column) -> Column:
+    """Where a document's disclosing terms stand in its text."""
+    pattern = lambda t: F.concat(F.lit(r"(?iu)(?<![\p{L}])"), t.term, F.lit(r"(?![\p{L}])"))
+    at = lambda t: F.transform(_located(text, pattern(t)), lambda m: F.struct(m.start.alias("start"), m.end.alias("end"), t.p.alias("p")))
+    return F.array_distinct(F.flatten(F.transform(terms, at)))
 
 
 def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs with base_spans and spans: arrays of struct(start, kind_order, end, kind, p), by start, then kind; p is null for base ones."""
     docs = docs.select(*[F.col(f"`{f.name}`") for f in others(docs, "base_spans", "spans")])
     p = prefix(docs)
-    found = scratch(mentions(docs, doc_id, text), "pii-mentions")
+    found = mentions(docs, doc_id, text)
     disclosed = scratch(disclosures(docs, found, doc_id, text), "pii-disclosures")
     span = lambda k, i, m, p: F.struct(m.start.alias("start"), F.lit(i).alias("kind_order"), m.end.alias("end"), F.lit(k).alias("kind"), p.cast("double").alias("p"))
     of_kind = lambda i, k: F.transform(F.col(f"{p}{k}"), lambda m: span(k, i, m, F.lit(None)))
@@ -169,8 +195,13 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     out = _based(docs, doc_id, text, p).withColumn("base_spans", base).drop(*[f"{p}{k}" for k in KINDS[:4]])
     if disclosed.isEmpty():
         return out.withColumn("spans", F.col("base_spans")).drop(f"{p}id", f"{p}hash")
-    terms = _term_spans(docs, found, disclosed, doc_id, text).select(F.col("_id").alias(f"{p}i"), F.col("_hash").alias(f"{p}h"), F.col("terms").alias(f"{p}terms"))
-    out = out.join(terms, F.col(f"{p}id").eqNullSafe(F.col(f"{p}i")) & F.col(f"{p}hash").eqNullSafe(F.col(f"{p}h")), "left")
+    wanted = scratch(_wanted(found, disclosed), "pii-wanted").select(F.col("_id").alias(f"{p}i"), F.col("_hash").alias(f"{p}h"), F.col("terms").alias(f"{p}terms"))
+    # Few documents: their terms go to the texts. Many: both meet on the documents' ids.
+    if wanted.agg(F.coalesce(F.sum(F.size(f"{p}terms")), F.lit(0))).first()[0] <= BROADCAST_TERMS:
+        wanted = F.broadcast(wanted)
+    out = out.join(wanted, F.col(f"{p}id").eqNullSafe(F.col(f"{p}i")) & F.col(f"{p}hash").eqNullSafe(F.col(f"{p}h")), "left")
+    spans = F.when(F.col(f"{p}terms").isNotNull(), _term_spans(F.coalesce(F.col(text), F.lit("")), F.col(f"{p}terms")))
+    out = out.withColumn(f"{p}terms", spans)
     more = F.transform(F.coalesce(f"{p}terms", F.array().cast("array<struct<start: int, end: int, p: double>>")), lambda m: span("term", 4, m, m.p))
     return out.withColumn("spans", F.array_sort(F.concat("base_spans", more))).drop(*[f"{p}{x}" for x in ("id", "hash", "i", "h", "terms")])
 

@@ -67,7 +67,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [pii.count(F.col("base_spans"), k).alias(f"n_{k}") for k in pii.KINDS[:4]]
-    return found.select("doc_id", *counts, F.sha2(pii.describe(F.col("base_spans")), 256).alias("base_sha256"), pii.describe(F.col("spans")).alias("spans"))
+    clean = pii.sanitise(found)
+    return clean.select("doc_id", *counts, F.sha2(pii.describe(F.col("base_spans")), 256).alias("base_sha256"), pii.describe(F.col("spans")).alias("spans"), pii.count(F.col("spans"), "term").alias("n_term"), F.sha2("sanitised", 256).alias("sanitised_sha256"))
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
