@@ -46,7 +46,7 @@ def test_statistics_against_brute_force(make, rng):
                 firsts.setdefault((*key, w), {}).setdefault(min(found), set()).add((d, t))
     for (kind, value, w), seen in firsts.items():
         near = [docs for c, docs in contexts[kind, value].items() if w in c]
-        n_near, n_far = sum(map(len, near)), sum(map(len, seen.values()))
+        n_near, n_far = len(set().union(*near)), sum(map(len, seen.values()))
         n_seen, n_both = max(len(near), len(seen)), max(n_near, n_far)
         if n_seen >= 2 and n_both >= pii.GENERALISE * len(beside.get(w, ())):
             share, n = min(1.0, n_both / n_term[w]), len(distinct)

@@ -126,8 +126,8 @@ def associations(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text
 
     Left out before their documents are counted are terms that are beside so many other entities that p can't reach GENERALISE."""
     each = found.select("_id", "_hash", F.inline("found"))
-    one = each.distinct().groupBy("kind", "value", "context").agg(F.count("*").alias("n_docs"))
-    near = one.select("kind", "value", F.explode("context").alias("term"), "n_docs").groupBy("kind", "value", "term").agg(F.sum("n_docs").alias("n_both"), F.count("*").alias("n_seen"))
+    near = each.select("_id", "_hash", "kind", "value", F.explode("context").alias("term"), F.xxhash64("context").alias("c"))
+    near = near.groupBy("kind", "value", "term").agg(F.count_distinct(F.struct("_id", "_hash")).alias("n_both"), F.count_distinct("c").alias("n_seen"))
     # Elsewhere in a document: only entities of different first contexts can have two observations there.
     entity = lambda x: F.struct(x.kind.alias("kind"), x.value.alias("value"))
     first = lambda e: F.xxhash64(F.array_min(F.transform(F.filter("found", lambda x: entity(x) == e), lambda x: x.context)))
