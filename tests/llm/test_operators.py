@@ -149,7 +149,7 @@ def test_url_rules(spark):
 
 
 def _bare(host):
-    return re.sub(r"^(www|m|blog)\\.", "", host)
+    return re.sub(r"^(www|m|blog)[.]", "", host)
 
 
 def test_url_model_held_out():
