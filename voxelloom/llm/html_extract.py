@@ -9,9 +9,9 @@ The trees are fitted on the driver on TRAIN_PAGES generated pages of many layout
 so it doesn't grow with the data. Extraction reads each page once, without a shuffle.
 
 Text: character references are decoded, white space inside a block becomes one space, blocks are trimmed and joined in page order by one space. Scripts, styles,
-templates, form controls and markup never count. Cases: a null or empty page has the empty text; broken markup is read as browsers do in the
-common cases (unclosed heads, paragraphs and items, stray end tags); nesting may have any depth; repeated rows get equal texts;
-extra columns are kept; those named text or n_chars are replaced.
+templates, form controls and markup never count. Elements that no list here names are inline, as in browsers; pictures inside a word don't part it. Cases: an empty table gives no rows; a null or empty
+page has the empty text; broken markup is read as browsers do in the common cases (unclosed heads, paragraphs and items, stray end tags); pages may be of any length and nesting of any depth,
+in time linear in the page; of choices with equal sums, dropping comes before mixing, keeping only where it beats dropping; repeated rows get equal texts; extra columns are kept; those named text or n_chars are replaced.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import functools
 import math
 import random
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -32,10 +33,9 @@ TRAIN_PAGES, ROUNDS, DEPTH, RATE, BINS = 500, 60, 4, 0.25, 32
 #: A mixed container counts as so much of its own score's size; the rest favours one choice for all below it.
 MIXED = 0.8
 
-# Fixed sets of HTML: elements without content, inline elements, elements whose text is never page text, and what an opening element closes.
+# Fixed sets of HTML: elements without content, elements whose text is never page text, and what an opening element closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
-NEVER = frozenset("script style noscript template head title button select option textarea iframe svg math canvas object audio video datalist input".split())
+NEVER = frozenset("script style noscript template head title button select option textarea iframe svg canvas object audio video datalist input".split())
 #: What may stand in a head; anything else ends it.
 IN_HEAD = frozenset("base bgsound basefont link meta title style script noscript template noframes head html".split())
 CLOSES = {
@@ -44,6 +44,8 @@ CLOSES = {
     "tbody": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "tfoot": ({"tbody", "tr", "td", "th"}, {"table"}),
 }
 ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split())
+#: Elements that are blocks; all others are inline.
+BLOCK = ENDS_P | frozenset(CLOSES) - {"option"} | frozenset("thead caption center dir hgroup search summary legend body html".split())
 
 TAGS = "nav header footer aside article main section div p h1 h2 h3 ul ol li table td form blockquote pre figure dl dd address".split()
 #: Elements for what stands beside an article.
@@ -76,6 +78,8 @@ class Reader(HTMLParser):
         self.root = Block("body", frozenset(), None)
         self.stack: list[tuple[str, Block | None]] = [("#root", self.root)]
         self.open = [self.root]
+        # How many elements of a name are open, and of inline ones how many inside each open block.
+        self.count, self.inside = Counter(), [Counter()]
         self.never = self.in_link = 0
         self.loose: Block | None = None
 
@@ -87,9 +91,22 @@ class Reader(HTMLParser):
             tag, b = self.stack.pop()
             self.never -= tag in NEVER
             self.in_link -= tag == "a"
+            self.count[tag] -= 1
             if b is not None:
                 self.open.pop()
+                self.inside.pop()
                 self.loose = None
+            else:
+                self.inside[-1][tag] -= 1
+
+    def _push(self, tag: str, b: Block | None) -> None:
+        self.stack.append((tag, b))
+        self.count[tag] += 1
+        if b is None:
+            self.inside[-1][tag] += 1
+        else:
+            self.open.append(b)
+            self.inside.append(Counter())
 
     def _end_head(self) -> None:
         """Close a head without an end tag, where nothing is open in it."""
@@ -102,23 +119,23 @@ class Reader(HTMLParser):
         if tag in ("html", "body"):
             return
         if tag in VOID:
-            if tag in ("br", "hr", "img"):
+            if tag in ("br", "hr"):
                 self._add(" ")
             return
         if tag in ENDS_P or tag in CLOSES:
             shut, until = CLOSES.get(tag, ({"p"}, {"#root"}))
-            for at in range(len(self.stack) - 1, 0, -1):
+            for at in range(len(self.stack) - 1, 0, -1) if any(self.count[x] for x in shut) else ():
                 here = self.stack[at][0]
                 if here in shut:
                     self._pop(at)
-                    if tag not in ("tr", "tbody", "tfoot"):
+                    if tag not in ("tr", "tbody", "tfoot") or not any(self.count[x] for x in shut):
                         break
-                elif here in until or (shut == {"p"} and here not in INLINE):
+                elif here in until or (shut == {"p"} and (here in BLOCK or here in NEVER)):
                     break
         self.never += tag in NEVER
         self.in_link += tag == "a"
-        if tag in INLINE or tag in NEVER:
-            self.stack.append((tag, None))
+        if tag not in BLOCK:
+            self._push(tag, None)
             self.block().n_tags += 1
             return
         a = {k: v or "" for k, v in attrs}
@@ -127,21 +144,21 @@ class Reader(HTMLParser):
         b = Block(tag, tokens, up, int(a["data-y"]) if "data-y" in a else None)
         up.children.append(b)
         self.loose = None
-        self.stack.append((tag, b))
-        self.open.append(b)
+        self._push(tag, b)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in ("br", "p") and not any(t == tag for t, _ in self.stack):
-            return self._add(" ")
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at][0] == tag:
-                return self._pop(at)
-            if tag in INLINE and self.stack[at][1] is not None:
-                return None
-        return None
+        if not self.count[tag]:
+            return self._add(" ") if tag in ("br", "p") else None
+        # The end of an inline element reaches no farther than its block.
+        if tag not in BLOCK and tag not in NEVER and not self.inside[-1][tag]:
+            return None
+        at = len(self.stack) - 1
+        while self.stack[at][0] != tag:
+            at -= 1
+        return self._pop(at)
 
     def _add(self, data: str) -> None:
         if self.never or not data:
@@ -200,18 +217,22 @@ def features(blocks: list[Block]) -> np.ndarray:
             b.chars, b.words, b.links, b.marks, b.tags, b.digits = b.chars + c.chars, b.words + c.words, b.links + c.links, b.marks + c.marks, b.tags + c.tags, b.digits + c.digits
     total = max(1, blocks[0].chars)
     rows, above, before = [], {}, 0
+    # Sums over the children of each block; the root is its own only sibling.
+    together: dict[int, tuple[int, int, int, Counter]] = {0: (blocks[0].chars, blocks[0].links, 1, Counter([blocks[0].tag]))}
+    for b in blocks:
+        if kids := b.children:
+            together[id(b)] = (sum(c.chars for c in kids), sum(c.links for c in kids), len(kids), Counter(c.tag for c in kids))
     for b in blocks:
         up = b.parent
         own_for, own_against = len(b.tokens & FOR), len(b.tokens & AGAINST)
         u = above[id(up)] if up else (0, 0, 0, 0)
         above[id(b)] = (u[0] + own_for, u[1] + own_against, u[2] or b.tag in ("article", "main"), u[3] or b.tag in BESIDE)
-        sib = up.children if up else [b]
-        sib_chars = sum(s.chars for s in sib)
+        sib_chars, sib_links, n_sib, sib_tags = together[id(up) if up else 0]
         rows.append(
             [
                 own_for, own_against, b.tag in BESIDE, *u, b.depth, len(b.children), math.log1p(b.chars), math.log1p(b.words), b.links / max(1, b.chars), b.tags / max(1, b.words),
-                b.marks / max(1, b.words), b.chars / total, b.digits / max(1, b.chars), b.words / max(1, len(b.children)), before / total, len(sib), b.chars / max(1, sib_chars),
-                sum(s.links for s in sib) / max(1, sib_chars), math.log1p(sib_chars / len(sib)), sum(s.tag == b.tag for s in sib) / len(sib), *(b.tag == t for t in TAGS),
+                b.marks / max(1, b.words), b.chars / total, b.digits / max(1, b.chars), b.words / max(1, len(b.children)), before / total, n_sib, b.chars / max(1, sib_chars),
+                sib_links / max(1, sib_chars), math.log1p(sib_chars / n_sib), sib_tags[b.tag] / n_sib, *(b.tag == t for t in TAGS),
             ]
         )
         before += len("".join(b.parts))
