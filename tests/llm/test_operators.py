@@ -331,15 +331,21 @@ def test_decontamination_against_brute_force(make, spark, rng, monkeypatch):
             w[at:at] = part
         rows.append((k, " ".join(w)))
     want = set()
-    for (d, t), (i, u) in itertools.product(rows, items[:30]):
-        s = shingles(u)
-        if len(u.split()) >= 5 and len(s & shingles(t)) >= 0.8 * len(s):
+    items += [(100, rows[3][1].split()[0]), (101, " ".join(rows[7][1].split()[1:4])), (102, "no such words")]
+    for (d, t), (i, u) in itertools.product(rows, items):
+        w, s = (t or "").split(), shingles(u)
+        n = len(next(iter(s))) if s else 0
+        if s and len(s & {tuple(w[k : k + n]) for k in range(len(w) - n + 1)}) >= 0.8 * len(s):
             want.add((d, i))
     table = spark.createDataFrame(items, "item_id bigint, text string")
     for size in (1 << 24, 700):
         monkeypatch.setattr(decontaminate, "BLOCK_BYTES", size)
         assert {(r.doc_id, r.item_id) for r in decontaminate.search(make(rows).select("doc_id", "text"), table).collect()} == want
-    assert want and {r.doc_id for r in decontaminate.clean(make(rows), table).collect()} == {d for d, _ in rows} - {d for d, _ in want}
+        marked = decontaminate.annotate(make(rows), table).collect()
+        assert {(r.doc_id, h.item_id) for r in marked for h in r.hits} == want and all([h.item_id for h in r.hits] == sorted(h.item_id for h in r.hits) for r in marked)
+        named = decontaminate.search(make(rows).select(F.concat(F.lit("d"), "doc_id").alias("doc_id"), "text"), table.withColumn("item_id", F.concat(F.lit("i"), "item_id")))
+        assert {(int(r.doc_id[1:]), int(r.item_id[1:])) for r in named.collect()} == want
+    assert {100, 101} <= {i for _, i in want} and {r.doc_id for r in decontaminate.clean(make(rows), table).collect()} == {d for d, _ in rows} - {d for d, _ in want}
 
 
 # --- packing
