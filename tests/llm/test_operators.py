@@ -74,6 +74,18 @@ def test_line_dedup_guarantee(make, seed):
                 seen.setdefault(tuple(lines[i : j + 1]), d)
 
 
+@pytest.mark.parametrize("margin", [0, 3, 200])
+def test_line_dedup_extends_as_far_as_lines_agree(make, rng, monkeypatch, margin):
+    """Across documents as within one: far beyond the lines that travel at first, forwards and backwards."""
+    monkeypatch.setattr(line_dedup, "MARGIN", margin)
+    passage, tail = prose(rng, 5), sentence(rng, 10)
+    rows = [(1, f"{tail}{chr(10) * 300}{passage}{chr(10) * 300}{tail}\n{prose(rng, 4)}"), (2, f"{prose(rng, 3)}\n{tail}{chr(10) * 300}{passage}{chr(10) * 300}{tail}\nEnd here.")]
+    out = {r.doc_id: r for r in line_dedup.dedup(make(rows)).collect()}
+    assert out[2].removed_words == 70 and out[1].removed_words == 0 and tail not in out[2].text
+    inside = line_dedup.dedup(make([(1, rows[0][1] + "\n" + rows[1][1])])).first()
+    assert inside.removed_words == 70
+
+
 # --- toxicity
 
 

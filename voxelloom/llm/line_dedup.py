@@ -9,10 +9,11 @@ neighbours than a later one of the same window, that window is looked up once mo
 repeated window goes. A deleted line equals one at an earlier place, so the first occurrence of every line stays.
 
 Only fingerprints of two or more occurrences meet their first one, by a join on the fingerprint that AQE can split; a very common passage is never gathered in a
-group. Texts travel once, to the join with their own runs; of a source only the hashes of lines near the matches travel.
+group. Texts travel once, to the join with their own runs; of a source only the hashes of lines near the matches travel, and all its lines' hashes where a match goes on to the edge of those.
 
 Words are what spaces separate within a stripped line; lines compare without outer white space. Cases: documents are ordered by id, nulls first, then the text's hash;
-rows that agree in both are one document and are cleaned alike (they aren't copies of each other). Null texts stay null, empty ones empty. Extra columns are kept;
+rows that agree in both are one document and are cleaned alike (they aren't copies of each other). An empty table gives no rows; texts may be of any length. Ties: of grams with equal hashes the first
+in the text is the fingerprint. Null texts stay null, empty ones empty. Extra columns are kept;
 those named like the added ones are replaced.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import Hashes, arrow_map, columns, ddl, mix, others, prefix, scratch, texts
 
 GRAM_WORDS, WINDOW_WORDS = 15, 30
-#: Lines beyond the outermost matches whose hashes travel. A repeated run that went on for WINDOW_WORDS words would have another fingerprint there.
+#: Lines beyond the outermost matches whose hashes travel at first.
 MARGIN = 200
 _CUT = re.compile(r"(?<=[.!?]) |\n")
 _B = np.uint64(0xD1342543DE82EF95)
@@ -107,9 +108,9 @@ def _scan(docs: DataFrame, doc_id: str, text: str, gram_words: int, window_words
     return arrow_map(docs.select(F.col(doc_id).alias("_d"), F.xxhash64(text).alias("_h"), F.col(text).alias("t")), one, f"_d {kind}, _h bigint, keys array<bigint>, places array<int>, hashes binary, words binary")
 
 
-def _runs(h: np.ndarray, found: list[dict]) -> list[tuple[int, int]]:
-    """The runs of lines (first, end) that agree with their sources, extended both ways."""
-    runs = []
+def _runs(h: np.ndarray, found: list[dict]) -> tuple[list[tuple[int, int]], bool]:
+    """The runs of lines (first, end) that agree with their sources, extended both ways, and whether one ended only because no more of its source was at hand."""
+    runs, cut = [], False
     for f in found:
         source, low = (h, 0) if f["same"] else (np.frombuffer(f["hashes"], np.uint64), f["low"])
         done: dict[int, int] = {}
@@ -125,14 +126,15 @@ def _runs(h: np.ndarray, found: list[dict]) -> list[tuple[int, int]]:
             differ = np.flatnonzero(h[i : i + ahead] != source[j : j + ahead])
             right = int(differ[0]) if len(differ) else ahead
             done[i - j] = i + right
+            cut |= (left == j < i and low > 0) or (right == len(source) - j < len(h) - i and low + len(source) < f["n"])
             if right:
                 runs.append((i - left, i + right))
-    return runs
+    return runs, cut
 
 
-def _resolve(h: np.ndarray, words: np.ndarray, found: list[dict], gram_words: int, window_words: int) -> tuple[list[dict], list[dict]]:
-    """The runs that go, and the windows whose fingerprint was found but that no run holds: key, first, end."""
-    runs = _runs(h, found)
+def _resolve(h: np.ndarray, words: np.ndarray, found: list[dict], gram_words: int, window_words: int) -> tuple[list[dict], list[dict], bool]:
+    """The runs that go, the windows whose fingerprint was found but that no run holds (key, first, end), and whether more of a source is needed."""
+    runs, cut = _runs(h, found)
     total = np.concatenate([[0], np.cumsum(words)])
     w = Windows(h, words, np.array([len(h)]), gram_words, window_words)
     reach = np.zeros(len(h), np.int64)
@@ -143,7 +145,7 @@ def _resolve(h: np.ndarray, words: np.ndarray, found: list[dict], gram_words: in
     left = np.flatnonzero(np.isin(w.chosen, anchors) & (reach[w.start] <= w.end))
     keys = w.hashes(w.start[left], w.end[left]).view(np.int64).tolist()
     opened = [{"key": k, "first": a, "end": b + 1} for k, a, b in zip(keys, w.start[left].tolist(), w.end[left].tolist(), strict=True)]
-    return [{"first": a, "end": b} for a, b in runs if total[b] - total[a] >= window_words], opened
+    return [{"first": a, "end": b} for a, b in runs if total[b] - total[a] >= window_words], opened, cut
 
 
 def _clean(text: str, runs: list[dict], known: Hashes) -> tuple[str, int, list[dict]]:
@@ -173,26 +175,39 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram_word
         scanned = scanned.dropDuplicates(["_d", "_h"])
     each = scanned.select("_d", "_h", F.explode(F.arrays_zip("keys", "places")).alias("x")).select("_d", "_h", F.col("x.keys").alias("key"), F.col("x.places").alias("place"))
     pairs = _later(each, "place").groupBy("_d", "_h", "sd", "sh", "same").agg(F.collect_list(F.struct("place", "source")).alias("anchors"), F.min("source").alias("a"), F.max("source").alias("b"))
-    pairs = scratch(pairs.withColumn("low", F.when(F.col("same"), 0).otherwise(F.greatest(F.col("a") - MARGIN, F.lit(0)))).drop("a"), "matches")
-    near = F.substring("hashes", F.col("low") * 8 + 1, (F.col("b") - F.col("low") + 1 + MARGIN) * 8)
-    sources = scanned.select(F.col("_d").alias("xd"), F.col("_h").alias("xh"), "hashes")
-    other = pairs.where("NOT same").join(sources, F.col("sd").eqNullSafe(F.col("xd")) & F.col("sh").eqNullSafe(F.col("xh"))).select("_d", "_h", "same", "low", "anchors", near.alias("hashes"))
-    own = pairs.where("same").select("_d", "_h", "same", "low", "anchors", F.lit(None).cast("binary").alias("hashes"))
-    found = other.union(own).groupBy("_d", "_h").agg(F.collect_list(F.struct("same", "low", "anchors", "hashes")).alias("found"))
+    pairs = scratch(pairs, "matches")
     mine = scanned.select(F.col("_d").alias("xd"), F.col("_h").alias("xh"), F.col("hashes").alias("h"), "words")
-    found = found.join(mine, F.col("_d").eqNullSafe(F.col("xd")) & F.col("_h").eqNullSafe(F.col("xh"))).select("_d", "_h", "found", "h", "words")
+    sources = scanned.select(F.col("_d").alias("xd"), F.col("_h").alias("xh"), "hashes")
     run, window = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())])), pa.list_(pa.struct([("key", pa.int64()), ("first", pa.int32()), ("end", pa.int32())]))
 
     def resolve(batch: pa.RecordBatch):
-        runs, opened = [], []
+        runs, opened, cut = [], [], []
         for f, h, w in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-            x, y = _resolve(np.frombuffer(h, np.uint64), np.frombuffer(w, "<i4").astype(np.int64), f, gram_words, window_words)
+            x, y, z = _resolve(np.frombuffer(h, np.uint64), np.frombuffer(w, "<i4").astype(np.int64), f, gram_words, window_words)
             runs.append(x)
             opened.append(y)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, run), pa.array(opened, window)], names=["_d", "_h", "runs", "opened"])
+            cut.append(z)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, run), pa.array(opened, window), pa.array(cut)], names=["_d", "_h", "runs", "opened", "cut"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    resolved = scratch(arrow_map(found, resolve, f"_d {kind}, _h bigint, runs array<struct<first: int, end: int>>, opened array<struct<key: bigint, first: int, end: int>>"), "runs")
+
+    def resolved_by(pairs: DataFrame, whole: bool) -> DataFrame:
+        """The runs of the documents of pairs, from their sources' lines near the matches or from all of them."""
+        low = F.lit(0) if whole else F.when(F.col("same"), 0).otherwise(F.greatest(F.col("a") - MARGIN, F.lit(0)))
+        pairs = pairs.withColumn("low", low)
+        near = F.col("hashes") if whole else F.substring("hashes", F.col("low") * 8 + 1, (F.col("b") - F.col("low") + 1 + MARGIN) * 8)
+        other = pairs.where("NOT same").join(sources, F.col("sd").eqNullSafe(F.col("xd")) & F.col("sh").eqNullSafe(F.col("xh")))
+        other = other.select("_d", "_h", "same", "low", "anchors", near.alias("hashes"), (F.octet_length("hashes") / 8).cast("int").alias("n"))
+        own = pairs.where("same").select("_d", "_h", "same", "low", "anchors", F.lit(None).cast("binary").alias("hashes"), F.lit(0).alias("n"))
+        found = other.union(own).groupBy("_d", "_h").agg(F.collect_list(F.struct("same", "low", "anchors", "hashes", "n")).alias("found"))
+        found = found.join(mine, F.col("_d").eqNullSafe(F.col("xd")) & F.col("_h").eqNullSafe(F.col("xh"))).select("_d", "_h", "found", "h", "words")
+        return scratch(arrow_map(found, resolve, f"_d {kind}, _h bigint, runs array<struct<first: int, end: int>>, opened array<struct<key: bigint, first: int, end: int>>, cut boolean"), "runs")
+
+    resolved = resolved_by(pairs, False)
+    if not (cut := resolved.where("cut")).isEmpty():
+        cut = cut.select(F.col("_d").alias("xd"), F.col("_h").alias("xh"))
+        more = pairs.join(cut, F.col("_d").eqNullSafe(F.col("xd")) & F.col("_h").eqNullSafe(F.col("xh")), "left_semi")
+        resolved = resolved.where("NOT cut").union(resolved_by(more, True))
     again = _later(resolved.select("_d", "_h", F.inline("opened")), "first").select("_d", "_h", "first", "end")
     p = prefix(docs)
     d, h, key, field = (f"{p}{x}" for x in ("d", "h", "key", "runs"))
