@@ -205,8 +205,10 @@ def near_copies(rng, base, n, edits):
     return out
 
 
-def test_join_against_brute_force(make, rng, monkeypatch):
+@pytest.mark.parametrize("bucket", [5, 2000])
+def test_join_against_brute_force(make, rng, monkeypatch, bucket):
     monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(jaccard_join, "BUCKET_SETS", bucket)
     texts = [prose(rng, 12) for _ in range(20)]
     texts += near_copies(rng, texts[0], 40, 2) + near_copies(rng, texts[1], 12, 3) + [texts[2]] * 5 + [t + " tail" for t in texts[3:8]] + ["a b", "a b", "", None]
     rows = list(enumerate(texts)) + [(0, texts[0])]
@@ -229,6 +231,22 @@ def test_join_against_brute_force(make, rng, monkeypatch):
     assert sorted(kept) == sorted({out[d][0].class_id for d in sets})
 
 
+def test_join_recall_on_the_test_table(spark):
+    """Every document's number of links, against all pairs: at least 0.99 of the links, and none too many."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {r.doc_id: shingles(r.text) for r in docs.collect()}
+    holders = collections.defaultdict(set)
+    for d, s in sets.items():
+        for x in s:
+            holders[x].add(d)
+    want = {}
+    for d, s in sets.items():
+        near = collections.Counter(e for x in s for e in holders[x] if e != d)
+        want[d] = sum(n >= 0.8 * (len(s) + len(sets[e]) - n) - 1e-9 for e, n in near.items())
+    got = {r.doc_id: r.n_links for r in jaccard_join.join(docs).collect()}
+    assert sum(want.values()) > 100 and all(got[d] <= want[d] for d in want) and sum(got.values()) >= 0.99 * sum(want.values())
+
+
 def test_bayesian_pruning_keeps_true_pairs():
     steps = dict(jaccard_join.least_matches(0.8, 1e-7))
     rng = np.random.default_rng(1)

@@ -1,17 +1,19 @@
 """N-gram Jaccard join: MinHash candidates, pruned by a Bayesian test, verified exactly.
 
 Texts become sets of 5-word shingles; equal sets form a class that later steps carry as one. Candidates are classes that share a MinHash band
-(BANDS bands of ROWS values: a pair at 0.8 is missed with probability below 4e-6). Buckets become stars, not pairs, and the stars' connected components
-bring together all classes that can be similar. Within a component, pairs are compared in blocks: each step reads STEP more MinHash
-values of both sides and drops the pairs for which the posterior probability of reaching the threshold (uniform prior, so of m matches in n values it is
-that of a binomial of n + 1 trials at the threshold not exceeding m) falls below TOLERANCE; what remains is verified by exact Jaccard.
+(BANDS bands of ROWS values: a pair at 0.8 is missed with probability below 4e-6), so they meet in that band's bucket. There, and again in the verification, pairs are compared in steps: each reads STEP
+more MinHash values of both sides and drops the pairs for which the posterior probability of reaching the threshold (uniform prior, so of m matches in n values it is
+that of a binomial of n + 1 trials at the threshold not exceeding m) falls below TOLERANCE. Only pairs that outlive all steps link sets; the components of these links, which unlike the buckets' don't grow
+together through pairs of middling similarity as the corpus grows, bring together all sets that can be similar. Within a component what remains is verified by exact Jaccard.
 
-A task holds two blocks of at most BLOCK_SETS sets and about BLOCK_SHINGLES shingles; large components are dealt out as pairs of blocks, small ones
-are bundled. A task gives a row per set, never per pair: its numbers of links, and the least set it is connected with there, from which the classes of the
-whole join follow. Sums over tasks are the exact numbers of links.
+Buckets travel as MinHash values, components as shingles, each set once but for the large ones. A bucket's task walks from set to set and compares each with those it hasn't reached, so a bucket of near copies takes one
+pass; it gives links of a tree, never pairs. Buckets of more than BUCKET_SETS sets, and components of more than BLOCK_SETS sets or about BLOCK_SHINGLES shingles, are dealt out as pairs of blocks: exact counts of
+the links among c sets that all differ take c x c / 2 comparisons, and each of their sets goes to as many tasks as there are blocks. Small ones are bundled. A task gives a row per set: its numbers of links, and
+the least set it is connected with there, from which the classes of the whole join follow. Sums over tasks are the exact numbers of links.
 
 Words are runs of non-space characters, compared exactly. A text of one to four words has one shingle. Null and empty texts have none: each is its own class, without
-links. Rows that agree in id and text are one document. Ties: a class is named by its least document (by id, nulls first, then the text's hash). Extra columns aren't read.
+links. Texts may be of any length; an empty table gives no rows. Rows that agree in id and text are one document. Ties: a class is named by its least document (by id, nulls first, then the text's hash). Extra
+columns aren't read.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Hashes, arrow_map, mix, prefix, scratch, shingle_hashes, texts
@@ -31,6 +33,8 @@ from .components import components
 
 THRESHOLD, BANDS, ROWS, STEP, TOLERANCE = 0.8, 24, 4, 16, 1e-7
 BLOCK_SETS, BLOCK_SHINGLES, BUNDLE_SETS = 256, 300_000, 300
+#: Sets of a bucket, or of one of its blocks, in one task, and members of small buckets in one.
+BUCKET_SETS, BUNDLE_MEMBERS = 2000, 8000
 #: Up to so many candidate classes their texts are picked by a broadcast of hashes (8 bytes each); beyond it, by a shuffle.
 BROADCAST_SETS = 400_000
 _P = BANDS * ROWS
@@ -66,7 +70,7 @@ def least_matches(threshold: float, tolerance: float) -> tuple[tuple[int, int],
 
 
 def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, h (of the text), n (shingles), set_id (16 bytes, equal for equal sets; null for empty ones), bands (array of BANDS hashes)."""
+    """doc_id, h (of the text), n (shingles), set_id (16 bytes, equal for equal sets; null for empty ones), sig (MinHash values, 4 bytes each), bands (array of BANDS hashes)."""
     hashes = Hashes()
 
     def one(batch: pa.RecordBatch):
@@ -74,19 +78,84 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         sets = [shingle_hashes(t.split(), hashes) for t in ts]
         some = [i for i, s in enumerate(sets) if len(s)]
         bands: list = [None] * len(ts)
+        sigs: list = [None] * len(ts)
         for at in range(0, len(some), 100):
             part = some[at : at + 100]
-            sig = signatures([sets[i] for i in part]).astype(np.uint64).reshape(len(part), BANDS, ROWS)
+            values = signatures([sets[i] for i in part])
+            sig = values.astype(np.uint64).reshape(len(part), BANDS, ROWS)
             key = np.full((len(part), BANDS), 0, np.uint64) + np.arange(BANDS, dtype=np.uint64)
             for r in range(ROWS):
                 key = mix(key * np.uint64(0x100000001B3) + sig[:, :, r])
-            for i, k in zip(part, key.view(np.int64), strict=True):
-                bands[i] = k
+            for i, k, v in zip(part, key.view(np.int64), values, strict=True):
+                bands[i], sigs[i] = k, v.tobytes()
         ids = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-        arrays = [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "h", "n", "set_id", "bands"])
+        arrays = [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.binary()), pa.array(sigs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "h", "n", "set_id", "sig", "bands"])
 
-    return arrow_map(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("h"), F.col(text).alias("t")), one, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, h bigint, n bigint, set_id binary, bands array<bigint>")
+    return arrow_map(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("h"), F.col(text).alias("t")), one, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, h bigint, n bigint, set_id binary, sig binary, bands array<bigint>")
+
+
+def _alike(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which rows of MinHash values of a outlive all steps against those of b (rows, or one row)."""
+    alive = np.arange(len(a))
+    matches = np.zeros(len(a), np.int16)
+    for n, least in least_matches(threshold, TOLERANCE):
+        part = slice(n - STEP, n)
+        matches = matches + (a[alive, part] == (b[part] if b.ndim == 1 else b[alive, part])).sum(1, dtype=np.int16)
+        live = matches >= least
+        alive, matches = alive[live], matches[live]
+        if not len(alive):
+            break
+    return alive
+
+
+def _walk(sig: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """The links of trees that span the components of the pairs that outlive all steps."""
+    links, left, ready = [], np.arange(len(sig)), []
+    while len(left):
+        if not ready:
+            ready, left = [int(left[0])], left[1:]
+        at = ready.pop()
+        found = _alike(sig[left], sig[at], threshold)
+        links += [(at, k) for k in left[found].tolist()]
+        ready += left[found].tolist()
+        left = np.delete(left, found)
+    return links
+
+
+def _near(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """The links within the buckets of one group: a, b. Buckets of two, most of them, are compared together."""
+    pdf = pdf.sort_values(["key", "set_id"]).drop_duplicates(["key", "set_id"])
+    ids, sig = pdf["set_id"].to_numpy(), np.frombuffer(b"".join(pdf["sig"]), np.uint32).reshape(-1, _P)
+    edge = np.flatnonzero(np.r_[True, np.diff(pdf["key"].to_numpy()) != 0, True])
+    size = np.diff(edge)
+    two = edge[:-1][size == 2]
+    two = two[_alike(sig[two], sig[two + 1], threshold)]
+    links = [(k, k + 1) for k in two.tolist()]
+    for a, n in zip(edge[:-1][size > 2].tolist(), size[size > 2].tolist(), strict=True):
+        links += [(a + i, a + j) for i, j in _walk(sig[a : a + n], threshold)]
+    return pd.DataFrame({"a": [ids[i] for i, _ in links], "b": [ids[j] for _, j in links]}, columns=["a", "b"])
+
+
+def _dealt(rows: DataFrame, blocks: Column, by: Column) -> DataFrame:
+    """rows with block and block2: 0 and -1 where the group is one block, else a row for each pair of blocks that by's hash puts it in, and own, its block."""
+    own = F.when(blocks == 1, 0).otherwise(F.pmod(F.xxhash64(by), blocks)).cast("int")
+    other = F.when(blocks == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), blocks - 1))
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(other))
+    single = F.col("other") < 0
+    return rows.withColumns({"block": F.when(single, 0).otherwise(F.least("own", "other")), "block2": F.when(single, -1).otherwise(F.greatest("own", "other"))})
+
+
+def candidates(sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between sets that share a band and outlive all steps. sets: set_id, sig, bands."""
+    keyed = sets.select("set_id", F.explode("bands").alias("key"))
+    buckets = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
+    members = scratch(keyed.join(buckets, "key"), "members")
+    bundles = max(1, math.ceil(members.where(F.col("c") <= BUCKET_SETS).count() / BUNDLE_MEMBERS))
+    dealt = _dealt(members, F.ceil(F.col("c") / BUCKET_SETS).cast("int"), F.col("set_id")).join(sets.select("set_id", "sig"), "set_id")
+    single = F.col("block2") < 0
+    dealt = dealt.select("key", "set_id", "sig", F.when(~single, F.col("key")).alias("g"), F.when(single, F.pmod("key", F.lit(bundles)).cast("int")).otherwise(F.col("block")).alias("g1"), F.col("block2").alias("g2"))
+    return dealt.groupBy("g", "g1", "g2").applyInPandas(lambda pdf: _near(pdf, threshold), "a binary, b binary")
 
 
 def _pairs(a: list[np.ndarray], b: list[np.ndarray] | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -161,15 +230,13 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
     """A row for each row of docs: doc_id, h (the text's hash), class_id (the least document connected with it), class_h, copy_id (the least document of an equal set), n_copies (documents of an equal set, itself included), n_links (documents at the threshold or above, itself excluded), n_set_links (different sets among them)."""
     spark = docs.sparkSession
     s = scratch(sketch(docs, doc_id, text), "sketches")
-    one = s.where("set_id IS NOT NULL").select("set_id", F.struct("doc_id", "h").alias("doc"), "n", "bands").groupBy("set_id")
+    one = s.where("set_id IS NOT NULL").select("set_id", F.struct("doc_id", "h").alias("doc"), "n", "sig", "bands").groupBy("set_id")
     # Rows that agree in id and text count once.
-    sets = scratch(one.agg(F.min("doc").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n"), F.first("bands").alias("bands")), "sets")
+    sets = scratch(one.agg(F.min("doc").alias("rep"), F.count("*").alias("copies"), F.max("n").alias("n"), F.first("sig").alias("sig"), F.first("bands").alias("bands")), "sets")
     twice = s.groupBy("doc_id", "h").agg(F.count("*").alias("c"), F.first("set_id").alias("set_id")).where("c > 1").groupBy("set_id").agg(F.sum(F.col("c") - 1).alias("extra"))
     sets = sets.join(twice, "set_id", "left").withColumn("copies", F.col("copies") - F.coalesce("extra", F.lit(0))).drop("extra")
 
-    keyed = sets.select("set_id", F.explode("bands").alias("key"))
-    hubs = scratch(keyed.groupBy("key").agg(F.min("set_id").alias("hub"), F.count("*").alias("c")).where("c > 1").select("key", "hub"), "hubs")
-    near = scratch(components(keyed.join(hubs, "key").where("set_id <> hub").select(F.col("set_id").alias("a"), F.col("hub").alias("b"))), "candidates")
+    near = scratch(components(scratch(candidates(sets, threshold), "alike")), "candidates")
 
     size = near.join(sets.select(F.col("set_id").alias("node"), "n"), "node").groupBy("component").agg(F.count("*").alias("c"), F.sum("n").alias("w"))
     blocks = F.greatest(F.ceil(F.col("c") / BLOCK_SETS), F.ceil(F.col("w") / BLOCK_SHINGLES)).cast("int")
@@ -190,11 +257,8 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold:
         yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(found, pa.binary())], names=[*batch.schema.names[:4], "shingles"])
 
     ready = arrow_map(picked, shingle, "set_id binary, component binary, n_blocks int, copies bigint, shingles binary")
-    own = F.when(F.col("n_blocks") == 1, 0).otherwise(F.pmod(F.xxhash64("set_id"), F.col("n_blocks"))).cast("int")
-    others = F.when(F.col("n_blocks") == 1, F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("n_blocks") - 1))
-    ready = ready.withColumn("own", own).withColumn("other", F.explode(others))
+    ready = _dealt(ready, F.col("n_blocks"), F.col("set_id"))
     single = F.col("other") < 0
-    ready = ready.withColumns({"block": F.when(single, 0).otherwise(F.least("own", "other")), "block2": F.when(single, -1).otherwise(F.greatest("own", "other"))})
     bundle = F.pmod(F.xxhash64("component"), F.lit(bundles)).cast("int")
     ready = ready.withColumns({"g": F.when(~single, F.col("component")), "g1": F.when(single, bundle).otherwise(F.col("block")), "g2": F.col("block2")})
     verified = ready.groupBy("g", "g1", "g2").applyInPandas(lambda pdf: _verify(pdf, threshold), "set_id binary, n_sets bigint, n_docs double, root binary")
