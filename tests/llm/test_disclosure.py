@@ -3,6 +3,8 @@
 import math
 import re
 
+import pytest
+
 from tests.llm.conftest import prose, sentence
 from voxelloom.llm import pii
 
@@ -11,8 +13,10 @@ def _terms(make, rows):
     return {r.doc_id: {r.text[s.start : s.end].lower() for s in r.spans if s.kind == "term"} for r in pii.find(make(rows)).select("doc_id", "text", "spans").collect()}
 
 
-def test_statistics_against_brute_force(make, rng):
+@pytest.mark.parametrize("most", [0, pii.BROADCAST_TERMS])
+def test_statistics_against_brute_force(make, rng, monkeypatch, most):
     """All documents, repeated rows among them; terms and entities from the texts themselves."""
+    monkeypatch.setattr(pii, "BROADCAST_TERMS", most)
     names = [f"{c}arrow{v}{w}" for c in "bcdfg" for v in "aeiou" for w in "klm"]
     people = [f"p{k}@mail.example.org" for k in range(6)] + ["+1 555 010 99{:02d}".format(k) for k in range(3)]
     rows = []

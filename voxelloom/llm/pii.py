@@ -143,18 +143,28 @@ def associations(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text
     pairs = scratch(pairs, "pii-pairs")
     terms = pairs.select("term").distinct()
     ids = docs.select(F.col(doc_id).alias("_i"), F.xxhash64(text).alias("_h"), F.col(text).alias("_t"))
-    words = ids.select("_i", "_h", F.explode(F.array_distinct(F.split(F.lower("_t"), _WORD_BREAK))).alias("term"))
+    words = lambda d: d.select("_i", "_h", F.explode(F.array_distinct(F.split(F.lower("_t"), _WORD_BREAK))).alias("term"))
     if (n := terms.count()) == 0:
         none = [F.lit(0).cast("bigint").alias(c) for c in ("n_entity", "n_term")]
         return pairs.select("*", *none, F.lit(0.0).alias("p"), F.lit(0.0).alias("bits"))
-    # A document counts once, however many rows repeat it.
-    picked = words.join(F.broadcast(terms) if n <= BROADCAST_TERMS else terms, "term", "left_semi")
-    with_term = picked.distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    total = ids.select("_i", "_h").distinct().agg(F.count("*").alias("n"))
+    if n <= BROADCAST_TERMS:
+        rows = words(ids).join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_rows"))
+    else:
+        rows = words(ids).groupBy("term").agg(F.count("*").alias("n_rows")).join(terms, "term", "left_semi")
+    # A document counts once, however many rows repeat it: what the repeats add is taken off.
+    repeats = scratch(ids.groupBy("_i", "_h").agg(F.count("*").alias("c")).where("c > 1"), "pii-repeats")
+    n_repeated, n_extra = repeats.agg(F.count("*"), F.coalesce(F.sum(F.col("c") - 1), F.lit(0))).first()
+    with_term = rows.withColumnRenamed("n_rows", "n_term")
+    if n_repeated:
+        known = repeats.select(F.col("_i").alias("_ri"), F.col("_h").alias("_rh"))
+        again = ids.join(F.broadcast(known) if n_repeated <= BROADCAST_TERMS else known, F.col("_i").eqNullSafe(F.col("_ri")) & F.col("_h").eqNullSafe(F.col("_rh")), "left_semi")
+        extra = words(again).groupBy("_i", "_h", "term").agg((F.count("*") - 1).alias("c")).groupBy("term").agg(F.sum("c").alias("extra"))
+        with_term = rows.join(extra, "term", "left").select("term", (F.col("n_rows") - F.coalesce("extra", F.lit(0))).alias("n_term"))
+    total = F.lit(docs.count() - n_extra)
     share = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    p = (share * F.col("n_seen") + PRIOR * F.col("n_entity") / F.col("n")) / (F.col("n_seen") + PRIOR)
-    bits = F.log2(share * F.col("n") / F.col("n_entity"))
-    joined = pairs.join(with_term, "term").join(several.select("kind", "value", "n_entity"), ["kind", "value"]).join(F.broadcast(total))  # one row
+    p = (share * F.col("n_seen") + PRIOR * F.col("n_entity") / total) / (F.col("n_seen") + PRIOR)
+    bits = F.log2(share * total / F.col("n_entity"))
+    joined = pairs.join(with_term, "term").join(several.select("kind", "value", "n_entity"), ["kind", "value"])
     return joined.select("kind", "value", "term", "n_both", "n_seen", "n_entity", "n_term", p.alias("p"), bits.alias("bits"))
 
 
