@@ -119,16 +119,15 @@ def largest_rectangle(mask: np.ndarray) -> tuple[int, int, int, int]:
 
 
 def interior_box(vox: DataFrame) -> DataFrame:
-    """A box of non-zero voxels: the largest rectangle of the middle plane, then the z that three sections on either side share."""
+    """A box of non-zero voxels: the largest rectangle of the middle plane, then the z that its first, middle and last columns' and rows' largest rectangles share."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         m = dense(pdf) > 0
         y0, y1, x0, x1 = largest_rectangle(m[m.shape[0] // 2])
         z = [(0, m.shape[0])]
-        for k in (1, 2, 3):
-            if y1 > y0 and x1 > x0:
-                z.append(largest_rectangle(m[:, y0:y1, x0 + (x1 - x0) * k // 4])[:2])
-                z.append(largest_rectangle(m[:, y0 + (y1 - y0) * k // 4, x0:x1])[:2])
+        if y1 > y0 and x1 > x0:
+            z += [largest_rectangle(m[:, y0:y1, x])[:2] for x in (x0, (x0 + x1) // 2, x1 - 1)]
+            z += [largest_rectangle(m[:, y, x0:x1])[:2] for y in (y0, (y0 + y1) // 2, y1 - 1)]
         return pd.DataFrame([(*pdf[VOLUME].iloc[0], max(a for a, _ in z), min(b for _, b in z), y0, y1, x0, x1)], columns=[*VOLUME, "z0", "z1", "y0", "y1", "x0", "x1"])
 
     return vox.groupBy(*VOLUME).applyInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, t int, c int, z0 int, z1 int, y0 int, y1 int, x0 int, x1 int")

@@ -18,16 +18,6 @@ def distance(a: str, b: str) -> Column:
     return F.sqrt(sum(((F.col(f"{a}.{x}") - F.col(f"{b}.{x}")) ** 2 for x in AXES), F.lit(0.0)))
 
 
-def box_mean(vox: DataFrame, size: int = 3) -> DataFrame:
-    """The mean of the existing voxels in a cube of odd size about each voxel."""
-    d = F.sequence(F.lit(-(size // 2)), F.lit(size // 2))
-    spread = vox
-    for a in AXES:
-        spread = spread.withColumn("d", F.explode(d)).withColumn(a, F.col(a) + F.col("d")).drop("d")
-    means = spread.groupBy(*VOLUME, *AXES).agg(F.avg("v").alias("v"))
-    return vox.select(*VOLUME, *AXES).join(means, [*VOLUME, *AXES])
-
-
 def block_peaks(vox: DataFrame, block: tuple[int, int, int], shape: tuple[int, int, int]) -> DataFrame:
     """The brightest voxel of each block, blocks beginning half a block before the volume; ties: the first voxel. What lies past the last whole block doesn't count."""
     at = {a: F.floor((F.col(a) + b // 2) / b).cast("int") for a, b in zip(AXES, block, strict=True)}

@@ -23,48 +23,6 @@ def grid(spark, shape: tuple[int, int, int]) -> DataFrame:
     return spark.range(nz * ny * nx).select(F.floor(k / (ny * nx)).cast("int").alias("oz"), (F.floor(k / nx) % ny).cast("int").alias("oy"), (k % nx).cast("int").alias("ox"))
 
 
-def resample(vox: DataFrame, out: DataFrame, at: dict[str, Column], keys: list[str] | None = None, linear: bool = True) -> DataFrame:
-    """out: the output voxels oz, oy, ox (and keys that say for which volumes); at: each axis's source coordinate. Weighted sums of the taps that exist."""
-    keys = keys or []
-    placed = out.select(*keys, "oz", "oy", "ox", *[at[a].alias(f"s{a}") for a in AXES])
-    if linear:
-        corner = F.explode(F.array(*[F.struct(*[F.lit(k >> i & 1).alias(a) for i, a in enumerate(AXES)]) for k in range(8)]))
-        placed = placed.withColumn("k", corner)
-        part = lambda a: F.col(f"s{a}") - F.floor(f"s{a}")
-        w = F.lit(1.0)
-        for a in AXES:
-            w = w * F.when(F.col(f"k.{a}") == 1, part(a)).otherwise(1 - part(a))
-        tap = [(F.floor(f"s{a}") + F.col(f"k.{a}")).cast("int").alias(a) for a in AXES]
-    else:
-        w, tap = F.lit(1.0), [F.floor(F.col(f"s{a}") + 0.5).cast("int").alias(a) for a in AXES]
-    taps = placed.select(*keys, "oz", "oy", "ox", *tap, w.alias("w")).where("w > 0")
-    joined = vox.join(taps, [*keys, *AXES])
-    return joined.groupBy(*VOLUME, "oz", "oy", "ox").agg(F.sum(F.col("w") * F.col("v")).alias("v")).select(*VOLUME, F.col("oz").alias("z"), F.col("oy").alias("y"), F.col("ox").alias("x"), "v")
-
-
-def affine(vox: DataFrame, matrix: list[list[float]], shape: tuple[int, int, int], linear: bool = True) -> DataFrame:
-    """out[p] = in[matrix p], for one 4 x 4 matrix on (z, y, x, 1)."""
-    m = matrix
-    o = [F.col("oz"), F.col("oy"), F.col("ox")]
-    at = {a: m[r][0] * o[0] + m[r][1] * o[1] + m[r][2] * o[2] + F.lit(float(m[r][3])) for r, a in enumerate(AXES)}
-    return resample(vox, grid(vox.sparkSession, shape), at, linear=linear)
-
-
-def stabilise(vox: DataFrame, transforms: DataFrame, shape: tuple[int, int, int], linear: bool = True) -> DataFrame:
-    """affine() with each time point's own matrix, for all channels. transforms: position, t, matrix (array of arrays); null matrices give no voxels."""
-    o = [F.col("oz"), F.col("oy"), F.col("ox")]
-    m = F.col("matrix")
-    at = {a: m[r][0] * o[0] + m[r][1] * o[1] + m[r][2] * o[2] + m[r][3] for r, a in enumerate(AXES)}
-    out = transforms.where("matrix IS NOT NULL").join(grid(vox.sparkSession, shape))
-    return resample(vox, out, at, ["position", "t"], linear)
-
-
-def register(vox: DataFrame, matrix: list[list[float]], shape: tuple[int, int, int], channels: list[int]) -> DataFrame:
-    """The listed channels resampled, the others cut to the shape."""
-    rest = vox.where(~F.col("c").isin(channels) & (F.col("z") < shape[0]) & (F.col("y") < shape[1]) & (F.col("x") < shape[2]))
-    return affine(vox.where(F.col("c").isin(channels)), matrix, shape).unionByName(rest)
-
-
 def deskewed_shape(shape: tuple[int, int, int], angle: float, ratio: float, keep_overhang: bool) -> tuple[int, int, int]:
     """The full output shape (before averaging) of a light-sheet scan: raw (z, y, x) becomes (y, x, along the scan)."""
     nz, ny, nx = shape
@@ -75,20 +33,6 @@ def deskewed_shape(shape: tuple[int, int, int], angle: float, ratio: float, keep
     return ny, nx, length
 
 
-def deskew(vox: DataFrame, shape: tuple[int, int, int], angle: float, ratio: float, keep_overhang: bool = True) -> DataFrame:
-    """Shear a tilted scan upright: linear interpolation along raw z only, rows and columns mirrored."""
-    nz, ny, nx = shape
-    _, _, length = full = deskewed_shape(shape, angle, ratio, keep_overhang)
-    c = math.cos(math.radians(angle))
-    zi = ratio * F.col("ox") - ratio * c * F.col("oz") + F.lit(ratio * c * (ny - 1) / 2 - ratio * (length - 1) / 2 + (nz - 1) / 2)
-    low = F.floor(zi)
-    fixed = [(ny - 1 - F.col("oz")).cast("int").alias("y"), (nx - 1 - F.col("oy")).cast("int").alias("x")]
-    taps = F.array(*[F.struct((low + d).cast("int").alias("z"), *fixed, w.alias("w")) for d, w in ((0, 1 - (zi - low)), (1, zi - low))])
-    out = grid(vox.sparkSession, full).select("oz", "oy", "ox", F.explode(taps).alias("k")).select("oz", "oy", "ox", "k.*").where("w > 0")
-    joined = vox.join(out, AXES)
-    return joined.groupBy(*VOLUME, "oz", "oy", "ox").agg(F.sum(F.col("w") * F.col("v")).alias("v")).select(*VOLUME, F.col("oz").alias("z"), F.col("oy").alias("y"), F.col("ox").alias("x"), "v")
-
-
 def densify(vox: DataFrame, shape: tuple[int, int, int], fill: float = 0.0) -> DataFrame:
     """Every voxel of the shape for each volume; absent ones get the fill."""
     full = vox.select(*VOLUME).distinct().join(grid(vox.sparkSession, shape)).select(*VOLUME, F.col("oz").alias("z"), F.col("oy").alias("y"), F.col("ox").alias("x"))

@@ -12,17 +12,6 @@ from ..sources.views import VOLUME
 AXES = ["z", "y", "x"]
 
 
-def flat_field(vox: DataFrame, axis: str = "z", channels: list[int] | None = None) -> DataFrame:
-    """v / pattern x mean(pattern), where the pattern is the median along an axis; a pattern of 0 gives null. Channels outside the list pass through."""
-    plane = [a for a in AXES if a != axis]
-    picked = vox if channels is None else vox.where(F.col("c").isin(channels))
-    pattern = picked.groupBy(*VOLUME, *plane).agg(F.median("v").alias("p"))
-    level = pattern.groupBy(*VOLUME).agg(F.avg("p").alias("m"))
-    out = vox.join(pattern, [*VOLUME, *plane], "inner" if channels is None else "left").join(level, VOLUME, "inner" if channels is None else "left")
-    corrected = F.try_divide(F.col("v"), F.col("p")) * F.col("m")
-    return out.select(*vox.columns[:-1], (corrected if channels is None else F.when(F.col("c").isin(channels), corrected).otherwise(F.col("v"))).alias("v"))
-
-
 def project(vox: DataFrame, how: str = "avg", axis: str = "z") -> DataFrame:
     """Reduce one axis: avg, max, min, sum or median."""
     return vox.groupBy(*VOLUME, *[a for a in AXES if a != axis]).agg(getattr(F, how)("v").alias("v"))
@@ -165,15 +154,6 @@ def contours(labels: DataFrame) -> DataFrame:
     return labels.join(same.select(*keys, "n"), keys, "left").where((F.col("v") > 0) & (F.coalesce("n", F.lit(0)) < 4)).select(*keys, "v")
 
 
-def sobel(vox: DataFrame) -> DataFrame:
-    """The size of the in-plane Sobel gradient; voxels beyond the edge count as the value at the edge's absence, 0."""
-    taps = [(dy, dx, (-dy) * (2 - abs(dx)), (-dx) * (2 - abs(dy))) for dy in (-1, 0, 1) for dx in (-1, 0, 1) if (dy, dx) != (0, 0)]
-    t = F.explode(F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx"), F.lit(float(gy)).alias("gy"), F.lit(float(gx)).alias("gx")) for dy, dx, gy, gx in taps]))
-    spread = vox.select(*VOLUME, "z", "y", "x", "v", t.alias("k")).select(*VOLUME, "z", (F.col("y") + F.col("k.dy")).alias("y"), (F.col("x") + F.col("k.dx")).alias("x"), (F.col("v") * F.col("k.gy")).alias("a"), (F.col("v") * F.col("k.gx")).alias("b"))
-    g = spread.groupBy(*VOLUME, *AXES).agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    return vox.select(*VOLUME, *AXES).join(g, [*VOLUME, *AXES]).select(*VOLUME, *AXES, F.sqrt(F.col("a") ** 2 + F.col("b") ** 2).alias("v"))
-
-
 def average_psf(beads: DataFrame) -> DataFrame:
     """The mean of beads scaled to a maximum of 1, then stretched to 0 to 1. Beads are volumes of one shape."""
     w = Window.partitionBy(*VOLUME)

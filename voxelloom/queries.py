@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .functions import matrix as mx
 from .functions import registry
+from .operators import chunks as ch
 from .operators import kernels as ke
 from .operators import mosaic as mo
 from .operators import points as po
@@ -23,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 KEYS = "position, t, c, z, y, x"
+CUBE = (4, 4, 4)
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -46,13 +48,13 @@ def _round(df: DataFrame, *columns: str) -> DataFrame:
 @query(f"""WITH {vw.VOX}, p AS (SELECT position, t, c, y, x, median(v) AS p FROM vox GROUP BY ALL), m AS (SELECT position, t, c, avg(p) AS m FROM p GROUP BY ALL)
 SELECT position, t, c, y, x, round(avg(v / nullif(p, 0) * m), 6) AS v FROM vox JOIN p USING (position, t, c, y, x) JOIN m USING (position, t, c) GROUP BY ALL""")
 def flat_field(spark, d):
-    return _round(vx.project(vx.flat_field(vw.vox(spark, d))))
+    return _round(ch.voxels(ch.project(ch.flat_field(vw.chunks(spark, d)))).drop("z"))
 
 
 @query(f"""WITH {vw.VOX}, s AS (SELECT * FROM vox WHERE c IN (1, 3)), p AS (SELECT position, t, c, y, x, median(v) AS p FROM s GROUP BY ALL), m AS (SELECT position, t, c, avg(p) AS m FROM p GROUP BY ALL)
 SELECT {KEYS}, round(CASE WHEN c IN (1, 3) THEN v / nullif(p, 0) * m ELSE v END, 6) AS v FROM vox LEFT JOIN p USING (position, t, c, y, x) LEFT JOIN m USING (position, t, c)""")
 def flat_field_channels(spark, d):
-    return _round(vx.flat_field(vw.vox(spark, d), channels=[1, 3]))
+    return _round(ch.voxels(ch.flat_field(vw.chunks(spark, d), channels=[1, 3])))
 
 
 def _projection(how: str) -> None:
@@ -172,7 +174,8 @@ def central_window(spark, d):
     return vw.vox(spark, d).where((F.col("z") >= lo) & (F.col("z") < hi))
 
 
-@query(f"""WITH {vw.VOX} SELECT a.position, a.t, a.z, a.y, a.x, round((a.v + (1 - b.v)) / 2, 6) AS v FROM vox a JOIN (SELECT position - 1 AS position, t, z, y, x, v FROM vox WHERE position % 2 = 1) b USING (position, t, z, y, x) WHERE a.position % 2 = 0""")
+@query("""WITH m AS (SELECT a.vec_id AS position, a.embedding AS m, b.embedding AS n FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 2 = 0)
+SELECT position, 0 AS t, (i // 16)::INT AS z, ((i // 4) % 4)::INT AS y, (i % 4)::INT AS x, round((m[i + 1]::DOUBLE + (1 - n[i + 1]::DOUBLE)) / 2, 6) AS v FROM m, range(64) r(i)""")
 def contour_map(spark, d):
     vox = vw.vox(spark, d)
     return _round(vx.contour_map(vox.where("position % 2 = 0"), vox.where("position % 2 = 1").withColumn("position", F.col("position") - 1)))
@@ -191,10 +194,12 @@ def cell_counts(spark, d):
     return vx.cell_counts(vw.vox(spark, d).withColumn("v", F.floor(F.abs("v") * 20).cast("double")))
 
 
-@query(f"""WITH {vw.VOX}, k(dy, dx) AS (SELECT a, b FROM range(-1, 2) p(a), range(-1, 2) q(b) WHERE a <> 0 OR b <> 0)
-SELECT a.position, a.t, a.c, a.z, a.y, a.x, round(sqrt(sum(b.v * dy * (2 - abs(dx))) ** 2 + sum(b.v * dx * (2 - abs(dy))) ** 2), 6) AS v FROM vox a, k JOIN vox b ON b.position = a.position AND b.t = a.t AND b.c = a.c AND b.z = a.z AND b.y = a.y + dy AND b.x = a.x + dx GROUP BY ALL""")
+@query(f"""WITH {vw.VOX}, n(z, y, x, dz, dy, dx) AS (SELECT i // 16, (i // 4) % 4, i % 4, a, b, e FROM range(64) r(i), range(-1, 2) p(a), range(-1, 2) q(b), range(-1, 2) s(e)),
+k AS (SELECT z, y, x, greatest(0, least(3, z + dz)) AS sz, greatest(0, least(3, y + dy)) AS sy, greatest(0, least(3, x + dx)) AS sx, dz / 2 * (2 - abs(dy)) * (2 - abs(dx)) / 16 AS gz, dy / 2 * (2 - abs(dz)) * (2 - abs(dx)) / 16 AS gy, dx / 2 * (2 - abs(dz)) * (2 - abs(dy)) / 16 AS gx FROM n),
+g AS (SELECT position, t, c, k.z, k.y, k.x, sum(v * gz) AS gz, sum(v * gy) AS gy, sum(v * gx) AS gx FROM vox JOIN k ON vox.z = sz AND vox.y = sy AND vox.x = sx GROUP BY ALL)
+SELECT position, t, c, z::INT AS z, y::INT AS y, x::INT AS x, round(sqrt((gz * gz + gy * gy + gx * gx) / 3), 6) AS v FROM g""")
 def sobel(spark, d):
-    return _round(vx.sobel(vw.vox(spark, d)))
+    return _round(ch.voxels(ch.sobel(vw.chunks(spark, d), CUBE, CUBE)))
 
 
 @query(f"""WITH {vw.VOX}, n AS (SELECT *, v / nullif(max(v) OVER (PARTITION BY position, t, c), 0) AS s FROM vox), m AS (SELECT z, y, x, avg(s) AS v FROM n GROUP BY ALL)
@@ -240,31 +245,32 @@ def _affine_sql(m: list[list[float]], linear: bool) -> str:
 
 @query(_affine_sql(_SHIFT, True))
 def affine_linear(spark, d):
-    return _round(rs.affine(vw.vox(spark, d), _SHIFT, (4, 4, 4)))
+    return _round(ch.voxels(ch.affine(vw.chunks(spark, d), _SHIFT, CUBE, CUBE, CUBE)))
 
 
 @query(_affine_sql(_TURN, True))
 def affine_rotated(spark, d):
-    return _round(rs.affine(vw.vox(spark, d), _TURN, (4, 4, 4)))
+    return _round(ch.voxels(ch.affine(vw.chunks(spark, d), _TURN, CUBE, CUBE, CUBE)))
 
 
 @query(_affine_sql(_SHIFT, False))
 def affine_nearest(spark, d):
-    return _round(rs.affine(vw.vox(spark, d), _SHIFT, (4, 4, 4), linear=False))
+    return _round(ch.voxels(ch.affine(vw.chunks(spark, d), _SHIFT, CUBE, CUBE, CUBE, linear=False)))
 
 
 @query(f"""WITH {vw.TVOX}, {_GRID}, s AS (SELECT DISTINCT position AS p, t AS tt, (t % 3 - 1) AS k FROM tvox)
 SELECT {_OUT}, round(v, 6) AS v FROM s, g JOIN tvox ON position = p AND t = tt AND z = oz AND y = oy + k AND x = ox - k""")
 def stabilise(spark, d):
-    vox = vw.tvox(spark, d)
+    chunks = vw.tchunks(spark, d)
     k = (F.col("t") % 3 - 1).cast("double")
     rows = [[F.lit(1.0), F.lit(0.0), F.lit(0.0), F.lit(0.0)], [F.lit(0.0), F.lit(1.0), F.lit(0.0), k], [F.lit(0.0), F.lit(0.0), F.lit(1.0), -k]]
-    return _round(rs.stabilise(vox, vox.select("position", "t").distinct().withColumn("matrix", F.array(*[F.array(*r) for r in rows])), (4, 4, 4)))
+    transforms = chunks.select("position", "t").distinct().withColumn("matrix", F.array(*[F.array(*r) for r in rows]))
+    return _round(ch.voxels(ch.stabilise(chunks, transforms, CUBE, CUBE, CUBE)))
 
 
 @query(f"""WITH {vw.VOX} SELECT position, t, c, z, y, (x - 1)::INT AS x, round(v, 6) AS v FROM vox WHERE c = 1 AND x >= 1 UNION ALL SELECT {KEYS}, round(v, 6) FROM vox WHERE c <> 1""")
 def register(spark, d):
-    return _round(rs.register(vw.vox(spark, d), mx.translation(0, 0, 1), (4, 4, 4), [1]))
+    return _round(ch.voxels(ch.register(vw.chunks(spark, d), mx.translation(0, 0, 1), CUBE, CUBE, CUBE, [1])))
 
 
 @query(f"""WITH {vw.VOX}, q AS (SELECT 0.75 AS r, cos(radians(30)) AS k), g AS (SELECT i // 36 AS oz, (i // 9) % 4 AS oy, i % 9 AS ox FROM range(144) u(i)),
@@ -272,7 +278,7 @@ s AS (SELECT oz, oy, ox, r * ox - r * k * oz + (r * k * 3 / 2 - r * 8 / 2 + 1.5)
 w AS (SELECT oz, oy, ox, floor(zi) + e AS z, 3 - oz AS y, 3 - oy AS x, CASE e WHEN 0 THEN 1 - (zi - floor(zi)) ELSE zi - floor(zi) END AS w FROM s, range(2) h(e))
 SELECT {_OUT}, round(sum(w * v), 6) AS v FROM w JOIN vox USING (z, y, x) WHERE w > 0 GROUP BY ALL""")
 def deskew(spark, d):
-    return _round(rs.deskew(vw.vox(spark, d), (4, 4, 4), 30.0, 0.75))
+    return _round(ch.voxels(ch.deskew(vw.chunks(spark, d), CUBE, CUBE, 30.0, 0.75, rs.deskewed_shape(CUBE, 30.0, 0.75, True)[2])))
 
 
 @query(f"""WITH {vw.VOX}, v0 AS (SELECT * REPLACE (CASE WHEN v > 0.2 THEN 0.0 ELSE v END AS v) FROM vox), n AS (SELECT DISTINCT a.position, a.t, a.c, a.z, a.y, a.x FROM v0 a JOIN v0 b USING (position, t, c) WHERE b.v = 0 AND abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1),
@@ -504,7 +510,7 @@ def noise_level(spark, d):
 
 @query(f"WITH {vw.VOX} SELECT a.position, a.t, a.c, a.z, a.y, a.x, round(avg(b.v), 6) AS v FROM vox a JOIN vox b USING (position, t, c) WHERE abs(a.z - b.z) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 GROUP BY ALL")
 def box_mean(spark, d):
-    return _round(po.box_mean(vw.vox(spark, d)))
+    return _round(ch.voxels(ch.box_mean(vw.chunks(spark, d), CUBE, CUBE)))
 
 
 @query()
@@ -603,9 +609,9 @@ def run_exit_codes(spark, d):
     return rl.by_code(rl.failures(vw.trace(spark, d)))
 
 
-@query(_FAILED + ", s AS (SELECT o_orderkey AS job_id, o_orderpriority AS state FROM orders WHERE o_orderkey % 2 = 0) SELECT CASE split_part(state, '-', 1) WHEN '1' THEN 'first' WHEN '2' THEN 'second' END AS label, count(*) AS n FROM f JOIN s USING (job_id) WHERE split_part(state, '-', 1) IN ('1', '2') GROUP BY ALL UNION ALL SELECT coalesce(split_part(state, '-', 1), 'unknown'), count(*) FROM f LEFT JOIN s USING (job_id) WHERE coalesce(split_part(state, '-', 1), '') NOT IN ('1', '2') GROUP BY ALL")
+@query(_FAILED + ", s AS (SELECT o_orderkey AS job_id, o_orderpriority AS state FROM orders) SELECT CASE split_part(state, '-', 1) WHEN '1' THEN 'first' WHEN '2' THEN 'second' END AS label, count(*) AS n FROM f JOIN s USING (job_id) WHERE split_part(state, '-', 1) IN ('1', '2') GROUP BY ALL UNION ALL SELECT coalesce(split_part(state, '-', 1), 'unknown'), count(*) FROM f LEFT JOIN s USING (job_id) WHERE coalesce(split_part(state, '-', 1), '') NOT IN ('1', '2') GROUP BY ALL")
 def run_states(spark, d):
-    states = vw.table(spark, d, "orders").where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("job_id"), F.concat(F.split("o_orderpriority", "-")[0], F.lit(" x")).alias("state"))
+    states = vw.table(spark, d, "orders").select(F.col("o_orderkey").alias("job_id"), F.concat(F.split("o_orderpriority", "-")[0], F.lit(" x")).alias("state"))
     return rl.by_state(rl.failures(vw.trace(spark, d)), states, {"1": "first", "2": "second"})
 
 

@@ -39,6 +39,22 @@ def tvox(spark: SparkSession, sf_dir: str) -> DataFrame:
 TVOX = "tv AS (SELECT label, (row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1)::INT AS t, embedding FROM embeddings), tvox AS (SELECT label::BIGINT AS position, t, 0 AS c, (i // 16)::INT AS z, ((i // 4) % 4)::INT AS y, (i % 4)::INT AS x, embedding[i + 1]::DOUBLE AS v FROM tv, range(64) r(i))"
 
 
+def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vox() as a chunk table: a vector is a chunk, its values aren't taken apart."""
+    return _as_chunks(table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("position"), F.lit(0).alias("t"), F.col("label").alias("c"), "embedding"))
+
+
+def tchunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tvox() as a chunk table."""
+    t = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    return _as_chunks(table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("position"), t.alias("t"), F.lit(0).alias("c"), "embedding"))
+
+
+def _as_chunks(vectors: DataFrame) -> DataFrame:
+    corner, size = [F.lit(0).alias(f"{a}0") for a in "zyx"], [F.lit(4).alias(f"n{a}") for a in "zyx"]
+    return vectors.select("position", "t", "c", *corner, *size, F.col("embedding").cast("array<double>").alias("data"))
+
+
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point clouds: side 0 (moving) has even ids, side 1 (reference) odd ones; label names the cloud."""
     e = F.col("embedding")
