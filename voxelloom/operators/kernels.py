@@ -237,19 +237,30 @@ def fit_affine(vectors: DataFrame, kind: str = "affine") -> DataFrame:
     return vectors.groupBy("label").agg(F.count("*").alias("n"), *sums).mapInPandas(run, "label int, matrix array<double>")
 
 
+def half_prominence_width(v: np.ndarray) -> float:
+    """The distance, in samples, of the crossings on either side of the middle value at half its prominence over the higher of the two lowest values that no higher value parts from it."""
+    k = len(v) // 2
+    sides = []
+    for side in (v[k::-1], v[k:]):
+        higher = np.flatnonzero(side > v[k])
+        sides.append(side[: higher[0]] if len(higher) else side)
+    height = v[k] - (v[k] - max(s.min() for s in sides)) / 2
+    ends = []
+    for s in sides:
+        base = int(s.argmin())
+        i = next((i for i in range(base + 1) if s[i] <= height), base)
+        ends.append(i - (height - s[i]) / (s[i - 1] - s[i]) if i and s[i] < height else float(i))
+    return float(sum(ends)) if v[k] > max(s.min() for s in sides) else 0.0
+
+
 def peak_widths(profiles: DataFrame) -> DataFrame:
-    """The full width at half maximum of each profile (bead, axis, values array): positions where it crosses half its peak, by linear interpolation; 0 where it doesn't."""
+    """The width of each profile (bead, axis, values array, scale) about its middle value, at half of that value's prominence, in the scale's unit: positions where it crosses, by linear interpolation. A middle value without prominence has width 0."""
 
     def run(batches):
         for pdf in batches:
             widths = []
             for values in pdf["values"]:
-                v = np.asarray(values, float)
-                k, half = int(v.argmax()), v.max() / 2
-                left = next((i for i in range(k, 0, -1) if v[i - 1] <= half < v[i]), None)
-                right = next((i for i in range(k, len(v) - 1) if v[i + 1] <= half < v[i]), None)
-                ok = left is not None and right is not None
-                widths.append(float(right + (v[right] - half) / (v[right] - v[right + 1]) - (left - (v[left] - half) / (v[left] - v[left - 1]))) if ok else 0.0)
-            yield pdf[["bead", "axis"]].assign(fwhm=widths)
+                widths.append(half_prominence_width(np.asarray(values, float)))
+            yield pdf[["bead", "axis"]].assign(fwhm=np.array(widths) * pdf["scale"])
 
     return profiles.mapInPandas(run, "bead bigint, axis string, fwhm double")

@@ -101,6 +101,16 @@ def edge_stats(edges: DataFrame, key: str = "label") -> DataFrame:
     return edges.groupBy(key, "src").agg(F.count("*").alias("degree"), F.avg("dist").alias("mean_dist"), F.stddev_pop("dist").alias("std_dist"))
 
 
+def edge_descriptors(points: DataFrame, edges: DataFrame, key: str = "label") -> DataFrame:
+    """Each point's mean and population deviation of its edges' lengths and in-plane angles (radians, from y to x); 0 without edges. Both directions of an edge have one angle: from the higher id to the lower."""
+    at = lambda n: points.select(key, F.col("id").alias(n), F.col("y").alias(f"{n}y"), F.col("x").alias(f"{n}x"))
+    ends = edges.withColumns({"lo": F.least("src", "dst"), "hi": F.greatest("src", "dst")}).join(at("lo"), [key, "lo"]).join(at("hi"), [key, "hi"])
+    angled = ends.withColumn("angle", F.atan2(F.col("lox") - F.col("hix"), F.col("loy") - F.col("hiy")))
+    stats = [f(v).alias(f"{n}_{v}") for v in ("dist", "angle") for f, n in ((F.avg, "mean"), (F.stddev_pop, "std"))]
+    found = points.select(key, "id").join(angled.groupBy(key, F.col("src").alias("id")).agg(*stats), [key, "id"], "left")
+    return found.select(key, "id", *[F.coalesce(f"{n}_{v}", F.lit(0.0)).alias(f"{n}_{v}") for v in ("dist", "angle") for n in ("mean", "std")])
+
+
 def overlap_score(moving: DataFrame, reference: DataFrame, radius: float, key: str = "label") -> DataFrame:
     """The share of reference points with a moving point within the radius, of the smaller cloud's size."""
     hit = within(reference, moving, radius, key).select(key, "src").distinct().groupBy(key).agg(F.count("*").alias("n_hit"))

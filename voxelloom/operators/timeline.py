@@ -33,6 +33,12 @@ def focus_delta(focus: DataFrame) -> DataFrame:
     return focus.withColumn("dz", F.nullif("focus_idx", F.lit(0.0)) - F.first(F.nullif("focus_idx", F.lit(0.0)), ignorenulls=True).over(w))
 
 
+def focus_delta_average(focus: DataFrame, how: str = "mean") -> DataFrame:
+    """The mean (or median) focus of all positions at each time, and its difference dz from the first found one: time_idx, focus_idx, dz. A row per time point is left of all positions."""
+    w = Window.orderBy("time_idx").rowsBetween(*ALL)  # as many rows as time points
+    return focus_by_time(focus, how).withColumn("dz", F.col("focus_idx") - F.first("focus_idx", ignorenulls=True).over(w))
+
+
 def focus_by_time(focus: DataFrame, how: str = "mean") -> DataFrame:
     """Mean or median focus of all positions at each time; failures don't count."""
     return focus.groupBy("time_idx").agg((F.avg if how == "mean" else F.median)(F.nullif("focus_idx", F.lit(0.0))).alias("focus_idx"))

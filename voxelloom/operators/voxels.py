@@ -129,7 +129,7 @@ def focus_window(center: Column, n: Column, width: int, below: float) -> tuple[C
 
 
 def central_window(n: int, width: int | None = None) -> tuple[int, int]:
-    """An odd number of slices, a third of a volume's unless given, and three at least, about its middle."""
+    """An odd number of slices, half of a volume's unless given, and three at least, about its middle."""
     half = (width or max(3, n // 2)) // 2
     return max(0, n // 2 - half), min(n, n // 2 + half + 1)
 

@@ -462,6 +462,11 @@ def fit_similarity(spark, d):
     return ke.fit_affine(_vectors(spark, d), "similarity")
 
 
+@query()
+def fit_euclidean(spark, d):
+    return ke.fit_affine(_vectors(spark, d), "euclidean")
+
+
 @query()
 def hungarian_match(spark, d):
     return ke.hungarian(vw.points(spark, d))
@@ -516,7 +521,7 @@ def box_mean(spark, d):
 @query()
 def peak_widths(spark, d):
     v = F.array(*[F.exp(-((F.col("embedding")[0] * 5 + i - 7) ** 2) / 8.0) for i in range(15)])
-    return ke.peak_widths(vw.table(spark, d, "embeddings").select(F.col("vec_id").alias("bead"), F.lit("z").alias("axis"), v.alias("values")))
+    return ke.peak_widths(vw.table(spark, d, "embeddings").select(F.col("vec_id").alias("bead"), F.lit("z").alias("axis"), v.alias("values"), F.lit(0.5).alias("scale")))
 
 
 # --- time series
