@@ -103,10 +103,10 @@ def test_counterfactual_penalty_frees_group_terms():
     insult, group = (y == 1) & (rng.random(600) < 0.9), rng.random(600) < np.where(y == 1, 0.7, 0.2)
     x = np.stack([insult, group, np.zeros(600), np.ones(600)], 1).astype(float)
     swapped = np.flatnonzero(group)
-    delta = np.zeros((len(swapped), 4))
-    delta[:, 1], delta[:, 2] = -1, 1
-    plain, _ = toxicity._solve(x, delta, y, 0.0)
-    fair, _ = toxicity._solve(x, delta, y, toxicity.COUNTERFACTUAL)
+    delta = np.tile([-1.0, 1.0], (len(swapped), 1))
+    at = np.array([1, 2])
+    plain, _ = toxicity._solve(x, delta, at, y, 0.0)
+    fair, _ = toxicity._solve(x, delta, at, y, toxicity.COUNTERFACTUAL)
     assert plain[1] > 1 and abs(fair[1] - fair[2]) < 0.2 and fair[0] > 2
 
 

@@ -135,36 +135,67 @@ class Model:
 def _parts(x: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
     """The rows of a matrix of small numbers as floats, a few hundred at a time: the driver never holds the whole as floats."""
     for i in range(0, len(x), 500):
-        yield slice(i, i + 500), x[i : i + 500].astype(float)
+        yield slice(i, i + 500), x[i : i + 500].astype(np.float32)
 
 
-def _solve(x: np.ndarray, delta: np.ndarray, y: np.ndarray, counterfactual: float) -> tuple[np.ndarray, float]:
-    """Newton's method on mean log loss + L2 |w|² / 2 + counterfactual x mean over all texts of (delta w)² / 2. x, delta: a byte per feature, the last column of x all ones and of delta all zeros."""
+def _conjugate_gradients(a: np.ndarray, b: np.ndarray, rounds: int = 300, tolerance: float = 1e-4) -> np.ndarray:
+    """x with a x near b, for a positive definite matrix, scaled by its diagonal; nothing of the matrix's size is made."""
+    scale = 1 / a.diagonal().astype(float)
+    x, r = np.zeros(len(b)), b.copy()
+    z = scale * r
+    d, now, end = z, float(r @ z), tolerance**2 * float(b @ (scale * b))
+    for _ in range(rounds):
+        if now <= end:
+            break
+        moved = (a @ d.astype(np.float32)).astype(float)
+        step = now / float(d @ moved)
+        x, r = x + step * d, r - step * moved
+        z = scale * r
+        before, now = now, float(r @ z)
+        d = z + now / before * d
+    return x
+
+
+def _solve(x: np.ndarray, delta: np.ndarray, at: np.ndarray, y: np.ndarray, counterfactual: float) -> tuple[np.ndarray, float]:
+    """Newton's method on mean log loss + L2 |w|² / 2 + counterfactual x mean over all texts of (delta w[at])² / 2. x, delta: a byte per feature; the last column of x is all ones; delta has the columns at of x, those that any comparison changes.
+
+    The curvature is held in single precision and its equations are solved nearly: steps are close to Newton's, the loss and its slope are exact."""
     n, k = x.shape
     w = np.zeros(k)
     w[-1] = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
-    reg = np.zeros((k, k))
+    block = np.zeros((len(at), len(at)))
     for _, part in _parts(delta):
-        reg += counterfactual / n * (part.T @ part)
-    reg[np.diag_indices(k)] += np.where(np.arange(k) < k - 1, L2, 1e-9)
+        block += counterfactual / n * (part.T @ part)
+    ridge = np.where(np.arange(k) < k - 1, L2, 1e-9)
+
+    def pull(w: np.ndarray) -> np.ndarray:
+        out = ridge * w
+        out[at] += block @ w[at]
+        return out
+
     logits = lambda w: np.concatenate([part @ w for _, part in _parts(x)])
-    loss = lambda w, z: float((np.logaddexp(0, z) - y * z).mean() + w @ reg @ w / 2)
+    loss = lambda w, z: float((np.logaddexp(0, z) - y * z).mean() + w @ pull(w) / 2)
     z = logits(w)
     now = loss(w, z)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
-        grad, curve = reg @ w, reg.copy()
-        for at, part in _parts(x):
-            grad += part.T @ (p - y)[at] / n
-            curve += part.T @ (part * (p * (1 - p) / n)[at, None])
-        step = np.linalg.solve(curve, grad)
+        grad, curve = pull(w), np.zeros((k, k), np.float32)
+        for rows, part in _parts(x):
+            grad += part.T @ (p - y)[rows] / n
+            weighed = part * (p * (1 - p) / n)[rows, None].astype(np.float32)
+            for j in range(0, k, 400):  # the product in strips: no second matrix of k x k
+                curve[:, j : j + 400] += part.T @ weighed[:, j : j + 400]
+        curve[np.ix_(at, at)] += block
+        curve[np.diag_indices(k)] += ridge
+        step = _conjugate_gradients(curve, grad)
         del curve
         # Far from the optimum a whole step can raise the loss: halve it until it falls enough.
         size, along = 1.0, logits(step)
         while (then := loss(w - size * step, z - size * along)) > now - 1e-4 * size * (grad @ step) and size > 1e-6:
             size /= 2
+        gain = now - then
         w, z, now = w - size * step, z - size * along, min(now, then)
-        if np.abs(step).max() * size < 1e-6:
+        if np.abs(step).max() * size < 1e-6 or gain < 1e-9 * abs(now):
             break
     return w[:-1], float(w[-1])
 
@@ -197,8 +228,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     plain, named, swaps = (_lists(got.column(c)) for c in ("plain", "named", "swaps"))
     # Rows in a fixed order, so that sums don't depend on how the tasks ran.
     order = sorted(range(n), key=lambda i: (y[i], len(plain[i]), xxhash.xxh3_64_intdigest(plain[i].tobytes())))
+    del got
     identity_features = np.array(sorted({s + (p << BITS) for t in swap for s in slots(t) for p in range(3)}), np.int64)
-    return train(y[order], [plain[i] for i in order], [x[i] for i in order for x in (named, swaps)], identity_features, counterfactual)
+    plain, changes = [plain[i] for i in order], [x[i] for i in order for x in (named, swaps)]
+    del named, swaps
+    return train(y[order], plain, changes, identity_features, counterfactual)
 
 
 def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
@@ -211,9 +245,9 @@ def _lists(column: pa.ChunkedArray) -> list[np.ndarray]:
 
 
 def train(y: np.ndarray, plain: list[np.ndarray], changes: list[np.ndarray], named: np.ndarray, counterfactual: float = COUNTERFACTUAL) -> Model:
-    """The classifier of rows with labels y (both kinds occur) and features; changes: of each comparison the features that come and, as -1 - feature, those that go; named: the features of identity terms."""
+    """The classifier of rows with labels y (both kinds occur) and features (both lists are emptied on the way, to hold less); changes: of each comparison the features that come and, as -1 - feature, those that go; named: the features of identity terms."""
     n, pos = len(y), y.sum()
-    a, b = np.zeros(3 << BITS), np.zeros(3 << BITS)
+    a, b = np.zeros(3 << BITS, np.int32), np.zeros(3 << BITS, np.int32)
     for f, label in zip(plain, y, strict=True):
         (a if label else b)[f] += 1  # a text's features are distinct
     seen = np.flatnonzero(a + b)
@@ -223,31 +257,34 @@ def train(y: np.ndarray, plain: list[np.ndarray], changes: list[np.ndarray], nam
             g2 += 2 * np.where(got > 0, got * np.log(np.maximum(got, 1e-12) / np.maximum(total * have / n, 1e-12)), 0)
     strong = seen[g2 >= LEAST_G2]
     strong = strong[np.lexsort((strong, -g2[g2 >= LEAST_G2]))][:MOST_FEATURES]
-    chosen = np.unique(np.concatenate([strong, named[(a + b)[named] > 0]]).astype(np.int64))
+    chosen = np.unique(np.concatenate([strong, named[a[named] + b[named] > 0]]).astype(np.int64))
+    del a, b, seen, g2, strong
     if not len(chosen):
         return Model({}, float(np.log((pos + 0.5) / (n - pos + 0.5))))
-    place = np.full(3 << BITS, -1)
+    place = np.full(3 << BITS, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
-
-    def dense(which: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(which), len(chosen) + 1), np.int8)
-        x[:, -1] = 1
-        for i, s in enumerate(which):
-            at = place[s]
-            x[i, at[at >= 0]] = 1
-        return x
-
-    x = dense(plain)
-    rows = []
-    for s in changes:
-        row = np.zeros(len(chosen) + 1, np.int8)
-        at = place[np.where(s >= 0, s, -1 - s)]
-        row[at[at >= 0]] = np.where(s >= 0, 1, -1)[at >= 0]
-        if row.any():
-            rows.append(row)
-    delta = np.stack(rows) if rows else np.zeros((0, len(chosen) + 1), np.int8)
-    w, bias = _solve(x, delta, y, counterfactual)
-    return Model(dict(zip(chosen.tolist(), w.tolist(), strict=True)), bias, len(changes), len(rows), float(((delta[:, :-1] @ w) ** 2).sum() / max(1, len(changes))))
+    x = np.zeros((n, len(chosen) + 1), np.int8)
+    x[:, -1] = 1
+    for i, s in enumerate(plain):
+        here = place[s]
+        x[i, here[here >= 0]] = 1
+    plain.clear()
+    # Comparisons change few features: only those columns are kept.
+    at = place[np.unique(np.concatenate([np.where(s >= 0, s, -1 - s) for s in changes]))] if changes else np.empty(0, np.int32)
+    at = np.sort(at[at >= 0])
+    column = np.full(len(chosen), -1, np.int32)
+    column[at] = np.arange(len(at))
+    delta = np.zeros((len(changes), len(at)), np.int8)
+    for i, s in enumerate(changes):
+        here = place[np.where(s >= 0, s, -1 - s)]
+        known = here >= 0
+        delta[i, column[here[known]]] = np.where(s >= 0, 1, -1)[known]
+    n_changes = len(changes)
+    changes.clear()
+    del place, column
+    w, bias = _solve(x, delta, at, y, counterfactual)
+    gaps = delta @ w[at] if len(at) else np.zeros(n_changes)
+    return Model(dict(zip(chosen.tolist(), w.tolist(), strict=True)), bias, n_changes, int(delta.any(1).sum()), float((gaps**2).sum() / max(1, n_changes)))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
