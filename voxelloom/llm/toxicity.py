@@ -18,6 +18,8 @@ Repeated rows get equal scores. Extra columns are kept; those named like the sco
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -96,6 +98,9 @@ def slots(word: str) -> list[int]:
     return [xxhash.xxh32_intdigest(x.encode("utf-8", "surrogatepass")) >> (32 - BITS) for x in names]
 
 
+_known_slots = functools.lru_cache(50_000)(slots)
+
+
 def _planes(count: int, total: int) -> tuple[int, ...]:
     """Of a slot that count of a text's total different words have: the planes of its features (present, repeated, dense)."""
     return (0, *((1,) if count > 1 else ()), *((2,) if DENSE * count >= total else ()))
@@ -103,7 +108,7 @@ def _planes(count: int, total: int) -> tuple[int, ...]:
 
 def features(ws: set[str]) -> np.ndarray:
     """The features of a text with these words: slot + plane << BITS."""
-    counts = Counter(s for w in ws for s in slots(w))
+    counts = Counter(itertools.chain.from_iterable(map(_known_slots, ws)))
     return np.unique(np.array([s + (p << BITS) for s, c in counts.items() for p in _planes(c, len(ws))], np.int32))
 
 
@@ -215,7 +220,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         for t in texts(batch, "t"):
             ws = set(words(t))
             plain.append(features(ws))
-            none, a, b = map(features, swapped(ws, rows_, swap, xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"))) if rows_ else (ws, ws, ws))
+            without, one_group, other = swapped(ws, rows_, swap, xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass"))) if rows_ else (ws, ws, ws)
+            none, a, b = (plain[-1] if x is ws else features(x) for x in (without, one_group, other))
             named.append(_change(none, a))
             swaps.append(_change(a, b))
         yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.list_(pa.int32())) for x in (plain, named, swaps))], names=["y", "plain", "named", "swaps"])
