@@ -42,6 +42,19 @@ def test_fits_are_aggregates(spark, kind):
         np.testing.assert_allclose(np.reshape(found[label], (4, 4)), want[label], atol=1e-6)
 
 
+def test_padded_phase_correlation(spark):
+    assert [ke.fast_length(n) for n in (1, 7, 11, 13, 31, 48)] == [1, 8, 12, 15, 32, 48]
+    assert ke.padded(np.arange(3.0), (6,)).tolist() == [1, 0, 1, 2, 1, 0]
+    big = np.random.default_rng(6).normal(size=(16, 30, 30))
+    a, b = big[2:14, 3:27, 3:27], big[3:15, 1:25, 4:28]  # cut out at other corners: nothing goes around the edge
+    assert ke.padded_phase_shift(a, b) == (1, -2, 1)
+    rows = [(7, t, 1, *map(int, at), float(v)) for t, m in enumerate((a, b)) for at, v in np.ndenumerate(m)]
+    vox = spark.createDataFrame(rows, "position bigint, t int, c int, z int, y int, x int, v double")
+    got = {r.t: r.matrix for r in ke.shift_matrices(ke.phase_cross_correlation(vox, most=1.2)).collect()}
+    assert got[0] == np.eye(4).ravel().tolist()
+    assert [got[1][i] for i in (3, 7, 11)] == [1, -2, 1] and got[1][15] == 1
+
+
 @pytest.mark.parametrize("mode", ["previous", "first"])
 def test_phase_correlation_groups_are_pairs(spark, mode):
     rng, rows, want, volumes = np.random.default_rng(4), [], {}, []

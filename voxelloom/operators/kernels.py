@@ -28,8 +28,39 @@ def phase_shift(a: np.ndarray, b: np.ndarray, normalise: bool = True) -> tuple[i
     return tuple(int(p if p <= n // 2 else p - n) for p, n in zip(peak, a.shape, strict=True))
 
 
-def phase_cross_correlation(vox: DataFrame, mode: str = "previous", normalise: bool = True) -> DataFrame:
-    """The shift of each time point against the one before (or the first): position, c, t, dz, dy, dx. A group has two volumes, however long the time lapse."""
+def fast_length(n: int) -> int:
+    """The least length of at least n whose prime factors are 2, 3 and 5."""
+    while True:
+        rest = n
+        for p in (2, 3, 5):
+            while rest > 1 and rest % p == 0:
+                rest //= p
+        if rest <= 1:
+            return max(n, 1)
+        n += 1
+
+
+def padded(a: np.ndarray, shape: tuple[int, ...]) -> np.ndarray:
+    """The volume mirrored out to a shape that is no smaller, half of what is missing before it and, where that is odd, one more behind."""
+    missing = [n - m for n, m in zip(shape, a.shape, strict=True)]
+    return np.pad(a, [(k // 2, k - k // 2) for k in missing], mode="reflect")
+
+
+def padded_phase_shift(a: np.ndarray, b: np.ndarray, most: float = 1.2, normalise: bool = True) -> tuple[int, ...]:
+    """phase_shift of both volumes mirrored out to `most` times the larger one's lengths, at least, so that a shift isn't taken for one around the edge."""
+    shape = tuple(fast_length(int(max(n, m) * most)) for n, m in zip(a.shape, b.shape, strict=True))
+    return phase_shift(padded(a, shape), padded(b, shape), normalise)
+
+
+def shift_matrices(shifts: DataFrame) -> DataFrame:
+    """Shifts (dz, dy, dx) with the 4 x 4 matrix (rows joined, z first) of each; null where a shift is null."""
+    rows = [F.array(*[F.lit(float(i == j)) for j in range(3)], F.col(f"d{a}").cast("double")) for i, a in enumerate("zyx")]
+    known = F.col("dz").isNotNull() & F.col("dy").isNotNull() & F.col("dx").isNotNull()
+    return shifts.withColumn("matrix", F.when(known, F.concat(*rows, F.array(*map(F.lit, (0.0, 0.0, 0.0, 1.0))))))
+
+
+def phase_cross_correlation(vox: DataFrame, mode: str = "previous", normalise: bool = True, most: float | None = None) -> DataFrame:
+    """The shift of each time point against the one before (or the first): position, c, t, dz, dy, dx. A group has two volumes, however long the time lapse. most: pad the volumes, see padded_phase_shift."""
     w = Window.partitionBy("position", "c").orderBy("t")
     of = F.coalesce(F.lag("t").over(w), F.col("t")) if mode == "previous" else F.first("t").over(w)
     times = vox.select("position", "c", "t").distinct().select(F.col("position").alias("p_"), F.col("c").alias("c_"), F.col("t").alias("t_"), of.alias("of"))
@@ -38,7 +69,8 @@ def phase_cross_correlation(vox: DataFrame, mode: str = "previous", normalise: b
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = dense(pdf[pdf["ref"]]), dense(pdf[~pdf["ref"]])
-        return pd.DataFrame([(*pdf[["position", "c", "t"]].iloc[0], *map(float, phase_shift(a, b, normalise)))], columns=["position", "c", "t", "dz", "dy", "dx"])
+        shift = phase_shift(a, b, normalise) if most is None else padded_phase_shift(a, b, most, normalise)
+        return pd.DataFrame([(*pdf[["position", "c", "t"]].iloc[0], *map(float, shift))], columns=["position", "c", "t", "dz", "dy", "dx"])
 
     return both.groupBy("position", "c", "t").applyInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, c int, t int, dz double, dy double, dx double")
 

@@ -589,6 +589,17 @@ def phase_cross_correlation(spark, d):
     return ke.phase_cross_correlation(vw.tvox(spark, d))
 
 
+@query()
+def phase_cross_correlation_padded(spark, d):
+    return ke.shift_matrices(ke.phase_cross_correlation(vw.tvox(spark, d), most=1.2))
+
+
+@query(f"""WITH {vw.SHIFTS}, m AS (SELECT position, t, [1.0, 0, 0, dz, 0, 1, 0, dy, 0, 0, 1, dx, 0, 0, 0, 1]::DOUBLE[] AS m FROM shifts WHERE dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL)
+SELECT position, t, i::INT AS i, m[i + 1] AS v FROM m, range(16) r(i)""")
+def shift_matrices(spark, d):
+    return ke.shift_matrices(vw.shifts(spark, d)).select("position", "t", F.posexplode("matrix").alias("i", "v"))
+
+
 @query()
 def focus_plane(spark, d):
     return ke.focus_plane(vw.vox(spark, d))
