@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from ..sources.views import VOLUME
 
 AXES = ["z", "y", "x"]
+BOX = ["z0", "z1", "y0", "y1", "x0", "x1"]
 
 
 def dense(pdf: pd.DataFrame, value: str = "v") -> np.ndarray:
@@ -150,19 +153,50 @@ def largest_rectangle(mask: np.ndarray) -> tuple[int, int, int, int]:
     return out
 
 
+def interior(shape: tuple[int, int, int], plane: Callable[[int, int], np.ndarray]) -> tuple[int, ...]:
+    """z0, z1, y0, y1, x0, x1 of a box: the largest rectangle of the middle plane, then the z that its first, middle and last columns' and rows' largest rectangles share. plane(axis, i): the mask's plane i across an axis."""
+    y0, y1, x0, x1 = largest_rectangle(plane(0, shape[0] // 2))
+    z = [(0, shape[0])]
+    if y1 > y0 and x1 > x0:
+        z += [largest_rectangle(plane(2, x)[:, y0:y1])[:2] for x in (x0, (x0 + x1) // 2, x1 - 1)]
+        z += [largest_rectangle(plane(1, y)[:, x0:x1])[:2] for y in (y0, (y0 + y1) // 2, y1 - 1)]
+    return max(a for a, _ in z), min(b for _, b in z), y0, y1, x0, x1
+
+
 def interior_box(vox: DataFrame) -> DataFrame:
-    """A box of non-zero voxels: the largest rectangle of the middle plane, then the z that its first, middle and last columns' and rows' largest rectangles share."""
+    """A box of non-zero voxels of each volume, see interior()."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         m = dense(pdf) > 0
-        y0, y1, x0, x1 = largest_rectangle(m[m.shape[0] // 2])
-        z = [(0, m.shape[0])]
-        if y1 > y0 and x1 > x0:
-            z += [largest_rectangle(m[:, y0:y1, x])[:2] for x in (x0, (x0 + x1) // 2, x1 - 1)]
-            z += [largest_rectangle(m[:, y, x0:x1])[:2] for y in (y0, (y0 + y1) // 2, y1 - 1)]
-        return pd.DataFrame([(*pdf[VOLUME].iloc[0], max(a for a, _ in z), min(b for _, b in z), y0, y1, x0, x1)], columns=[*VOLUME, "z0", "z1", "y0", "y1", "x0", "x1"])
+        return pd.DataFrame([(*pdf[VOLUME].iloc[0], *interior(m.shape, lambda axis, i: m.take(i, axis)))], columns=[*VOLUME, *BOX])
+
+    return vox.groupBy(*VOLUME).applyInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, t int, c int, {', '.join(f'{b} int' for b in BOX)}")
+
+
+def overlap_box(transforms: DataFrame, moving: tuple[int, int, int], fixed: tuple[int, int, int], matrix: str = "matrix") -> DataFrame:
+    """transforms (matrix: 16 numbers, from fixed to moving voxels) with the box of fixed voxels, see interior(), that the moving volume covers: those whose source lies at most half a voxel outside its voxels' centres.
+
+    Only the planes that the box is read from are made, never a volume. A null matrix gives nulls; volumes that don't meet give an empty box."""
+    kept = [f for f in transforms.schema.fields if f.name not in BOX]
 
-    return vox.groupBy(*VOLUME).applyInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, t int, c int, z0 int, z1 int, y0 int, y1 int, x0 int, x1 int")
+    def box(m: np.ndarray) -> tuple[int, ...]:
+        def plane(axis: int, i: int) -> np.ndarray:
+            at = np.meshgrid(*[np.array([i]) if a == axis else np.arange(n) for a, n in enumerate(fixed)], indexing="ij")
+            inside = np.ones(at[0].shape, bool)
+            for row, n in zip(m[:3], moving, strict=True):
+                source = row[0] * at[0] + row[1] * at[1] + row[2] * at[2] + row[3]
+                inside &= (source >= -0.5) & (source < n - 0.5)
+            return inside.squeeze(axis)
+
+        return interior(fixed, plane)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [(None,) * 6 if m is None else box(np.asarray(m, float).reshape(4, 4)) for m in pdf[matrix]]
+            boxes = pd.DataFrame(found, columns=BOX, index=pdf.index).astype("Int32")
+            yield pd.concat([pdf[[f.name for f in kept]], boxes], axis=1)
+
+    return transforms.select(*[f.name for f in kept]).mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{b} int" for b in BOX)]))
 
 
 def assign(cost: np.ndarray) -> np.ndarray:
@@ -191,32 +225,45 @@ def assign(cost: np.ndarray) -> np.ndarray:
     return out
 
 
-def hungarian(points: DataFrame, quantile: float = 0.1, max_ratio: float | None = None, far: float = 1e6) -> DataFrame:
-    """Matches of each cloud's moving (side 0) and reference (side 1) points by the cheapest assignment of distances: label, mov, ref, cost.
+def chosen(d: np.ndarray, quantile: float, max_ratio: float | None, far: float) -> list[tuple[int, int]]:
+    """The rows and columns of the cheapest assignment of a matrix of costs that are cheaper than the quantile of all costs and, with max_ratio, at most that share of the row's second-least cost."""
+    n = max(d.shape)
+    square = np.full((n, n), far)
+    square[: d.shape[0], : d.shape[1]] = d
+    limit, out = np.quantile(d, quantile), []
+    for i, k in enumerate(assign(square)[: d.shape[0]].tolist()):
+        if k < d.shape[1] and d[i, k] < limit:
+            second = np.partition(d[i], 1)[1] if d.shape[1] > 1 else np.inf
+            if max_ratio is None or d[i, k] <= max_ratio * second:
+                out.append((i, k))
+    return out
 
-    Kept are those cheaper than the quantile of all costs and, with max_ratio, at most that share of the row's second-least cost."""
+
+def hungarian(points: DataFrame, quantile: float = 0.1, max_ratio: float | None = None, far: float = 1e6) -> DataFrame:
+    """Matches of each cloud's moving (side 0) and reference (side 1) points by the cheapest assignment of distances, see chosen(): label, mov, ref, cost."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = (pdf[pdf["side"] == s].sort_values("id") for s in (0, 1))
-        none = pd.DataFrame([], columns=["label", "mov", "ref", "cost"])
-        if a.empty or b.empty:
-            return none
-        d = np.linalg.norm(a[AXES].to_numpy()[:, None] - b[AXES].to_numpy()[None], axis=2)
-        n = max(d.shape)
-        square = np.full((n, n), far)
-        square[: d.shape[0], : d.shape[1]] = d
-        j = assign(square)[: len(a)]
-        limit, rows = np.quantile(d, quantile), []
-        for i, k in enumerate(j.tolist()):
-            if k < d.shape[1] and d[i, k] < limit:
-                second = np.sort(d[i])[1] if d.shape[1] > 1 else np.inf
-                if max_ratio is None or d[i, k] <= max_ratio * second:
-                    rows.append((pdf["label"].iloc[0], a["id"].iloc[i], b["id"].iloc[k], float(d[i, k])))
-        return pd.DataFrame(rows, columns=none.columns)
+        rows = []
+        if len(a) and len(b):
+            d = np.linalg.norm(a[AXES].to_numpy()[:, None] - b[AXES].to_numpy()[None], axis=2)
+            rows = [(pdf["label"].iloc[0], a["id"].iloc[i], b["id"].iloc[k], float(d[i, k])) for i, k in chosen(d, quantile, max_ratio, far)]
+        return pd.DataFrame(rows, columns=["label", "mov", "ref", "cost"])
 
     return points.groupBy("label").applyInPandas(run, "label int, mov bigint, ref bigint, cost double")
 
 
+def hungarian_costs(costs: DataFrame, quantile: float = 0.1, max_ratio: float | None = 0.8, far: float = 1e6) -> DataFrame:
+    """Matches by the cheapest assignment of the costs of all a cloud's pairs (label, mov, ref, cost: points.match_costs), see chosen(): label, mov, ref, cost. A pair without a cost counts as far."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        d = pdf.pivot(index="mov", columns="ref", values="cost").sort_index().sort_index(axis=1).fillna(far)
+        rows = [(pdf["label"].iloc[0], d.index[i], d.columns[k], float(d.iat[i, k])) for i, k in chosen(d.to_numpy(), quantile, max_ratio, far)]
+        return pd.DataFrame(rows, columns=["label", "mov", "ref", "cost"])
+
+    return costs.groupBy("label").applyInPandas(run, "label int, mov bigint, ref bigint, cost double")
+
+
 def pca_features(points: DataFrame, edges: DataFrame) -> DataFrame:
     """Each point's main direction among its neighbours and its anisotropy; nulls without neighbours. edges: label, src, dst."""
     p = points.select("label", F.col("id").alias("dst"), *AXES)
@@ -296,3 +343,40 @@ def peak_widths(profiles: DataFrame) -> DataFrame:
             yield pdf[["bead", "axis"]].assign(fwhm=np.array(widths) * pdf["scale"])
 
     return profiles.mapInPandas(run, "bead bigint, axis string, fwhm double")
+
+
+def robust_width(v: np.ndarray) -> float:
+    """The distance, in samples, of the crossings of half a peak's height, the height being that of the parabola through the samples around the largest; 0 where either side has fewer than two samples of a quarter of it or more.
+
+    Each crossing is on the line between the two samples of its side whose values enclose half the height, or are closest to doing so."""
+    k = int(v.argmax())
+    at = np.arange(max(0, k - 2), min(k + 2, len(v)))
+    if len(at) < 3:
+        return 0.0
+    a, b, c = np.polyfit(at, v[at], 2)
+    if a >= 0:
+        return 0.0
+    top = -b / (2 * a)
+    half = (c - b * b / (4 * a)) / 2
+    x = np.flatnonzero(v >= half / 2)
+    ends = []
+    for side in (x[x < top], x[x > top]):
+        side = side[np.argsort(v[side], kind="stable")]
+        if len(side) < 2:
+            return 0.0
+        i = int(np.clip(np.searchsorted(v[side], half), 1, len(side) - 1))
+        (x0, x1), (v0, v1) = side[i - 1 : i + 1], v[side[i - 1 : i + 1]]
+        if v1 == v0:
+            return 0.0
+        ends.append(x0 + (half - v0) * (x1 - x0) / (v1 - v0))
+    return float(ends[1] - ends[0])
+
+
+def robust_widths(profiles: DataFrame) -> DataFrame:
+    """robust_width of each profile (bead, axis, values array, scale) in the scale's unit."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pdf[["bead", "axis"]].assign(fwhm=np.array([robust_width(np.asarray(v, float)) for v in pdf["values"]]) * pdf["scale"])
+
+    return profiles.mapInPandas(run, "bead bigint, axis string, fwhm double")

@@ -111,6 +111,63 @@ def edge_descriptors(points: DataFrame, edges: DataFrame, key: str = "label") ->
     return found.select(key, "id", *[F.coalesce(f"{n}_{v}", F.lit(0.0)).alias(f"{n}_{v}") for v in ("dist", "angle") for n in ("mean", "std")])
 
 
+def least_difference(short: Column, long: Column) -> Column:
+    """The least sum of differences when each value of a sorted array is put to another one of a sorted array that is no shorter. Numbers on a line are best paired in order, so a row of least sums by how many of the long array are used is enough."""
+    inf = F.lit(float("inf"))
+    start = F.transform(F.sequence(F.lit(0), F.size(long)), lambda _: F.lit(0.0))
+
+    def put(row: Column, v: Column) -> Column:
+        # row[j]: the values so far among the first j of the long array; one more is put to its j-th value, or to one before.
+        cost = F.transform(F.sequence(F.lit(1), F.size(long)), lambda j: F.get(row, j - 1) + F.abs(v - F.get(long, j - 1)))
+        least = lambda acc, x: F.concat(acc, F.array(F.least(F.element_at(acc, -1), x)))
+        return F.aggregate(cost, F.array(inf), least)
+
+    return F.element_at(F.aggregate(short, start, put), -1)
+
+
+def edge_consistency(pairs: DataFrame, moving: DataFrame, reference: DataFrame, value: str = "dist", default: float = 1e6, key: str = "label") -> DataFrame:
+    """pairs (key, mov, ref) with `edge`, the mean difference of an edge value under the cheapest assignment of the moving point's edges to the reference point's; without edges on either side, the default. moving, reference: edges key, src, dst and the value.
+
+    A point's edges are few (k, or those within a radius) and lie in one row."""
+    of = lambda e, n: e.groupBy(key, F.col("src").alias(n)).agg(F.array_sort(F.collect_list(F.col(value).cast("double"))).alias(f"{n}_edges"))
+    m, r = F.col("mov_edges"), F.col("ref_edges")
+    mean = F.when(F.size(m) <= F.size(r), least_difference(m, r)).otherwise(least_difference(r, m)) / F.least(F.size(m), F.size(r))
+    both = pairs.join(of(moving, "mov"), [key, "mov"], "left").join(of(reference, "ref"), [key, "ref"], "left")
+    return both.withColumn("edge", F.when(m.isNotNull() & r.isNotNull(), mean).otherwise(F.lit(default))).drop("mov_edges", "ref_edges")
+
+
+def match_costs(moving: DataFrame, reference: DataFrame, edges: tuple[DataFrame, DataFrame], features: tuple[DataFrame, DataFrame] | None = None, weights: dict[str, float] | None = None, normalise: bool = False, key: str = "label") -> DataFrame:
+    """The cost of each pair of a cloud's moving and reference points: key, mov, ref, cost. It is the weighted sum of `dist`, `edge_length` (edge_consistency), `pca_dir` (1 - |cosine| of the main directions), `pca_aniso` and `edge_descriptor` (distance of edge_descriptors); normalise divides each by its largest in the cloud.
+
+    Unless given, weights are those of 3-D clouds, where angles of edges don't count. edges: of the moving and of the reference points. features: kernels.pca_features of both, needed for the pca weights. All pairs of a cloud are made, as the method asks: clouds are some hundred beads."""
+    w = {"dist": 0.5, "edge_length": 1.0} if weights is None else {n: v for n, v in weights.items() if v > 0}
+    if unknown := w.keys() - {"dist", "edge_length", "pca_dir", "pca_aniso", "edge_descriptor"}:
+        raise ValueError(f"no such terms: {sorted(unknown)}")
+    a, b = moving.select(key, F.struct("id", *AXES).alias("a")), reference.select(key, F.struct("id", *AXES).alias("b"))
+    pairs = a.join(b, key).select(key, F.col("a.id").alias("mov"), F.col("b.id").alias("ref"), distance("a", "b").alias("dist"))
+    if "edge_length" in w:
+        pairs = edge_consistency(pairs, *edges, key=key).withColumnRenamed("edge", "edge_length")
+    sides = list(zip(("mov", "ref"), (moving, reference), edges, strict=True))
+    if "edge_descriptor" in w:
+        names = [f"{n}_{v}" for v in ("dist", "angle") for n in ("mean", "std")]
+        for side, p, e in sides:
+            d = edge_descriptors(p, e, key).select(key, F.col("id").alias(side), F.struct(*names).alias(f"{side}_d"))
+            pairs = pairs.join(d, [key, side])
+        pairs = pairs.withColumn("edge_descriptor", F.sqrt(sum(((F.col(f"mov_d.{n}") - F.col(f"ref_d.{n}")) ** 2 for n in names), F.lit(0.0))))
+    if "pca_dir" in w or "pca_aniso" in w:
+        if features is None:
+            raise ValueError("pca weights need features")
+        for side, f in zip(("mov", "ref"), features, strict=True):
+            pairs = pairs.join(f.select(key, F.col("id").alias(side), F.struct("pz", "py", "px", "anisotropy").alias(f"{side}_p")), [key, side])
+        dot = sum((F.coalesce(F.col(f"mov_p.p{x}") * F.col(f"ref_p.p{x}"), F.lit(0.0)) for x in AXES), F.lit(0.0))
+        gap = F.abs(F.coalesce("mov_p.anisotropy", F.lit(0.0)) - F.coalesce("ref_p.anisotropy", F.lit(0.0)))
+        pairs = pairs.withColumns({"pca_dir": 1 - F.least(F.abs(dot), F.lit(1.0)), "pca_aniso": gap})
+    if normalise:
+        most = pairs.groupBy(key).agg(*[F.max(n).alias(f"most_{n}") for n in w])
+        pairs = pairs.join(most, key).withColumns({n: F.when(F.col(f"most_{n}") > 0, F.col(n) / F.col(f"most_{n}")).otherwise(F.col(n)) for n in w})
+    return pairs.select(key, "mov", "ref", sum((F.col(n) * v for n, v in w.items()), F.lit(0.0)).alias("cost"))
+
+
 def overlap_score(moving: DataFrame, reference: DataFrame, radius: float, key: str = "label") -> DataFrame:
     """The share of reference points with a moving point within the radius, of the smaller cloud's size."""
     hit = within(reference, moving, radius, key).select(key, "src").distinct().groupBy(key).agg(F.count("*").alias("n_hit"))

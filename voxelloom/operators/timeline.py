@@ -89,6 +89,25 @@ def interpolate(transforms: DataFrame, values: list[str]) -> DataFrame:
     return valid.select(*[F.coalesce(F.col(c), line(c)).alias(c) if c in values else F.col(c) for c in transforms.columns])
 
 
+def interpolate_near(transforms: DataFrame, values: list[str], window: int) -> DataFrame:
+    """Null values by the line through known times at most `window` away: those on either side, or the nearest two on one side. Where fewer than two are so near, the values of the nearest known time (ties: the earlier). Positions with fewer than two known times stay as they are."""
+    w = Window.partitionBy("position").orderBy("t")
+    known = F.when(F.col(values[0]).isNotNull(), F.struct("t", *values))
+    near = w.rangeBetween(-window, window)
+    df = transforms.withColumn("_k", known).withColumns({
+        "_n": F.count("_k").over(Window.partitionBy("position")), "_near": F.array_sort(F.collect_list("_k").over(near)),
+        "_b": F.last("_k", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first("_k", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
+    })
+    t, items = F.col("t"), F.col("_near")
+    n_before = F.size(F.filter(items, lambda k: k["t"] < t))
+    # The line's first point: the last one before, moved inwards at either end.
+    at = F.greatest(F.least(n_before, F.size(items) - 1), F.lit(1))
+    df = df.withColumns({"_l": F.get(items, at - 1), "_r": F.get(items, at), "_c": F.when(F.col("_a.t") - t < t - F.col("_b.t"), F.col("_a")).otherwise(F.coalesce("_b", "_a"))})
+    line = lambda v: F.col(f"_l.{v}") + (F.col(f"_r.{v}") - F.col(f"_l.{v}")) * F.try_divide((t - F.col("_l.t")).cast("double"), (F.col("_r.t") - F.col("_l.t")).cast("double"))
+    filled = lambda v: F.when(F.col("_k").isNotNull() | (F.col("_n") < 2), F.col(v)).when(F.size(items) < 2, F.col(f"_c.{v}")).otherwise(line(v))
+    return df.select(*[filled(c).alias(c) if c in values else F.col(c) for c in transforms.columns])
+
+
 def validate(transforms: DataFrame, values: list[str], window: int, tolerance: float) -> DataFrame:
     """Shifts that are farther than the tolerance from the mean of the last `window` accepted ones become null; the first `window` are accepted as they are.
 

@@ -472,6 +472,31 @@ def hungarian_match(spark, d):
     return ke.hungarian(vw.points(spark, d))
 
 
+def _graphs(spark, d) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    sides = _sides(spark, d)
+    return sides, tuple(po.knn(s, 5) for s in sides)
+
+
+@query(_PAIRS + """, e AS (SELECT a.label, a.side, a.id AS src, sqrt((a.z - b.z) ** 2 + (a.y - b.y) ** 2 + (a.x - b.x) ** 2) AS dist, b.id AS dst FROM pts a JOIN pts b USING (label, side) WHERE a.id <> b.id),
+k AS (SELECT *, row_number() OVER (PARTITION BY label, side, src ORDER BY dist, dst) AS r FROM e),
+c AS (SELECT p.label, p.mov, p.ref, avg(abs(m.dist - f.dist)) AS edge FROM pairs p JOIN k m ON m.label = p.label AND m.src = p.mov AND m.side = 0 JOIN k f ON f.label = p.label AND f.src = p.ref AND f.side = 1 AND f.r = m.r WHERE m.r <= 5 GROUP BY ALL)
+SELECT label, mov, ref, round(0.5 * dist + coalesce(edge, 1e6), 6) AS cost FROM pairs LEFT JOIN c USING (label, mov, ref)""")
+def match_costs(spark, d):
+    sides, edges = _graphs(spark, d)
+    return _round(po.match_costs(*sides, edges), "cost")
+
+
+@query()
+def hungarian_weighted(spark, d):
+    sides, edges = _graphs(spark, d)
+    return ke.hungarian_costs(po.match_costs(*sides, edges))
+
+
+@query()
+def overlap_box(spark, d):
+    return ke.overlap_box(ke.shift_matrices(vw.shifts(spark, d)), (24, 40, 40), (20, 36, 44)).drop("matrix", "dz", "dy", "dx")
+
+
 @query()
 def pca_features(spark, d):
     p = vw.points(spark, d)
@@ -524,6 +549,12 @@ def peak_widths(spark, d):
     return ke.peak_widths(vw.table(spark, d, "embeddings").select(F.col("vec_id").alias("bead"), F.lit("z").alias("axis"), v.alias("values"), F.lit(0.5).alias("scale")))
 
 
+@query()
+def robust_widths(spark, d):
+    v = F.array(*[F.exp(-((F.col("embedding")[0] * 5 + i - 7) ** 2) / 8.0) for i in range(15)])
+    return ke.robust_widths(vw.table(spark, d, "embeddings").select(F.col("vec_id").alias("bead"), F.lit("z").alias("axis"), v.alias("values"), F.lit(0.5).alias("scale")))
+
+
 # --- time series
 
 
@@ -579,6 +610,15 @@ def transform_interpolate(spark, d):
     return _round(tl.interpolate(vw.shifts(spark, d).select("position", "t", "dz"), ["dz"]), "dz")
 
 
+@query(f"""WITH {vw.SHIFTS}, k AS (SELECT position, t AS kt, dz AS kv FROM shifts WHERE dz IS NOT NULL), j AS (SELECT s.position, s.t, kt, kv FROM shifts s JOIN k USING (position) WHERE s.dz IS NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY position, t ORDER BY abs(kt - t), kt) AS r FROM j), c AS (SELECT position, t, kv FROM n WHERE r = 1),
+i AS (SELECT *, row_number() OVER (PARTITION BY position, t ORDER BY kt) AS r, count(*) OVER (PARTITION BY position, t) AS m, count(*) FILTER (WHERE kt < t) OVER (PARTITION BY position, t) AS nb FROM j WHERE abs(kt - t) <= 1),
+l AS (SELECT a.position, a.t, a.kv + (b.kv - a.kv) * (a.t - a.kt) / (b.kt - a.kt) AS v FROM i a JOIN i b ON b.position = a.position AND b.t = a.t AND b.r = a.r + 1 WHERE a.r = greatest(least(a.nb, a.m - 1), 1))
+SELECT s.position, s.t, round(coalesce(s.dz, l.v, CASE WHEN (SELECT count(*) FROM k WHERE k.position = s.position) >= 2 THEN c.kv END), 6) AS dz FROM shifts s LEFT JOIN l USING (position, t) LEFT JOIN c USING (position, t)""")
+def transform_interpolate_near(spark, d):
+    return _round(tl.interpolate_near(vw.shifts(spark, d).select("position", "t", "dz"), ["dz"], 1), "dz")
+
+
 @query()
 def transform_validate(spark, d):
     return tl.validate(vw.shifts(spark, d), ["dz", "dy", "dx"], 5, 4.0)
@@ -667,3 +707,11 @@ def log_tail(spark, d):
 @query(f"WITH {vw.VOX} SELECT {KEYS}, round(least(greatest(v * v, 0.001), 0.04) * 2 + 1, 6) AS v FROM vox")
 def function_chain(spark, d):
     return _round(registry.apply(vw.vox(spark, d), [("square", {}), ("clip", {"low": 0.001, "high": 0.04}), ("scale", {"gain": 2.0, "offset": 1.0})]))
+
+
+@query(f"""WITH {vw.VOX}, a AS (SELECT position, t, z, y, x, v * v AS v FROM vox WHERE c = 1), s AS (SELECT position, t, z, y, x, a.v + b.v AS v FROM a JOIN vox b USING (position, t, z, y, x) WHERE b.c = 2),
+r AS (SELECT * REPLACE (avg(v) OVER (PARTITION BY position, z, y, x) AS v) FROM s)
+SELECT position, t, 1 AS c, z, y, x, round(v, 6) AS v FROM a UNION ALL SELECT position, t, 2, z, y, x, round(v, 6) FROM vox WHERE c = 2 UNION ALL SELECT position, t, 3, z, y, x, round(abs(v), 6) FROM r""")
+def preprocess(spark, d):
+    steps = [("a", [{"function": "square"}]), ("sum", [{"function": "add", "inputs": ["a", "b"], "reduce": "avg"}, {"function": "abs"}])]
+    return _round(registry.preprocess(vw.vox(spark, d), {1: "a", 2: "b"}, steps))
