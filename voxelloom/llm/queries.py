@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_extract, jaccard_join, line_dedup, packing, pii, quality_rules, sentencepiece_bpe, toxicity, url_filter
+from . import decontaminate, html_extract, jaccard_join, line_dedup, packing, pii, prefix_trie, quality_rules, sentencepiece_bpe, simhash, toxicity, url_filter, vector_codes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,5 +82,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Query] = {"op1_line_dedup": op1_line_dedup, "op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op3_html_extract": op3_html_extract, "op4_url_filter": op4_url_filter, "op5_jaccard_join": op5_jaccard_join, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op10_packing": op10_packing, "op7_sentencepiece": op7_sentencepiece}
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL}
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(_read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(_read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+QUERIES: dict[str, Query] = {"op1_line_dedup": op1_line_dedup, "op2_toxicity": op2_toxicity, "op6_quality_rules": op6_quality_rules, "op3_html_extract": op3_html_extract, "op4_url_filter": op4_url_filter, "op5_jaccard_join": op5_jaccard_join, "op8_pii": op8_pii, "op9_decontaminate": op9_decontaminate, "op10_packing": op10_packing, "op7_sentencepiece": op7_sentencepiece, "op11_vector_codes": op11_vector_codes, "op12_simhash": op12_simhash, "op13_prefix_trie": op13_prefix_trie}
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": OP6_SQL, "op11_vector_codes": vector_codes.compress_sql("embeddings"), "op13_prefix_trie": prefix_trie.trie_sql("conversations")}
