@@ -3,7 +3,8 @@
 A rule is (verdict, host, path). It fits its host and all subdomains where the url's path starts with the rule's; the longest
 fitting rule wins (by host plus path; among equals the first in code point order). Urls that no rule
 fits get the model's verdict: block from a probability of BLOCK_FROM on. The model is fitted on the driver on a small labelled table
-(LABELLED, or any list of (url, label) pairs: a parameter that doesn't grow with the data). None of its hosts is one of the test tables'.
+(url_labels.LABELLED, or any list of (url, label) pairs: a parameter that doesn't grow with the data), in which half are unwanted; of a crawl's pages about the share PRIOR is, so the fitted odds are
+multiplied by PRIOR / (1 - PRIOR) over the table's. No word of a test table's host is in the labelled table.
 
 Cases: an empty table gives no rows; urls may be of any length; a null url, or one without "://", has an empty host and an empty path; the model judges it like any other. Repeated
 rows get equal verdicts. Extra columns are kept but those named host, path, rule, verdict or score, which are replaced.
@@ -17,6 +18,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .url_labels import LABELLED
+
 #: (verdict, host, path)
 RULES = [
     ("block", "com", "/en/"),
@@ -25,30 +28,7 @@ RULES = [
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 ]
-BITS, GRAMS, BLOCK_FROM, L2 = 16, (3, 4, 5), 0.5, 0.005
-
-# Words of unwanted and of other hosts' names.
-UNWANTED = "pills bonus casino jackpot bets cheap adult odds meds win slots spam free ads loans links poker track replica farm prizes lottery clicks pharmacy cams backlinks".split()
-OTHERS = (
-    "harbour library weather garden museum council timetable school hospital river recipes history algebra chemistry mountain birds sailing choir village astronomy bicycle dances press maps "
-    "orvendal tessilon ardenthe lorister mendorin sonderath elathion terinost andorelle reshtan inderlath ouestrel hendaris thessaly noristhal thandering ontherest sherianth"
-).split()
-
-
-def labelled_urls() -> list[tuple[str, int]]:
-    """The labelled table, (url, 1 = unwanted): hosts named by one word or by two of a list. Domains, prefixes, languages and paths go round independently of the label, so that only names tell."""
-    out = []
-    for words, label in ((UNWANTED, 1), (OTHERS, 0)):
-        n = len(words)
-        names = [f"{words[i]}-{words[(i + k) % n]}" for k in (1, 5) for i in range(n)] + [f"{w}{i}" if i % 2 else w for i, w in enumerate(words)]
-        for i, name in enumerate(names):
-            prefix, domain, lang = ("", "www.", "m.", "blog.")[i % 4], ("com", "net", "org")[i % 3], ("en", "de", "fr", "es")[i % 5 % 4]
-            out.append((f"{('http', 'https')[i % 2]}://{prefix}{name}.example.{domain}/{lang}/{i * 37 % 997}{('', '/', '.html', '#top', '?page=2', '?utm_source=feed')[i % 6]}", label))
-    return out
-
-
-#: (url, label) for the fit.
-LABELLED = labelled_urls()
+BITS, GRAMS, BLOCK_FROM, L2, PRIOR = 16, (3, 4, 5), 0.5, 0.005, 0.1
 
 
 def host(url: Column) -> Column:
@@ -92,8 +72,8 @@ def _split(url: str | None) -> tuple[str, str]:
     return (rest[:end].translate(lower), rest[end:tail]) if sep else ("", "")
 
 
-def fit(labelled: list[tuple[str, int]], l2: float = L2, rounds: int = 1500) -> tuple[np.ndarray, float]:
-    """Weights and intercept by full-batch gradient descent on the logistic loss with an L2 penalty; features have unit length."""
+def fit(labelled: list[tuple[str, int]], l2: float = L2, rounds: int = 1500, prior: float = PRIOR) -> tuple[np.ndarray, float]:
+    """Weights and intercept by full-batch gradient descent on the logistic loss with an L2 penalty, the intercept then moved to the prior share of unwanted urls; features have unit length."""
     x = [_features(*_split(u)) for u, _ in labelled]
     y = np.array([label for _, label in labelled], float)
     w, b = np.zeros(1 << BITS), 0.0
@@ -104,7 +84,8 @@ def fit(labelled: list[tuple[str, int]], l2: float = L2, rounds: int = 1500) ->
         g = 1 / (1 + np.exp(-z)) - y
         w -= 4.0 * (np.bincount(col, (g * scale)[row], 1 << BITS) / len(x) + l2 / len(x) * w)
         b -= 0.5 * g.mean()
-    return w, float(b)
+    share = min(max(y.mean(), 1e-9), 1 - 1e-9)
+    return w, float(b + np.log(prior / (1 - prior)) - np.log(share / (1 - share)))
 
 
 def score(w: np.ndarray, b: float, host: str, path: str) -> float:
