@@ -283,24 +283,52 @@ def csv_round_trip(spark, d):
 # --- plates on disk
 
 
-@query(f"WITH {vw.VOX} SELECT position, t, 0 AS c, z, y, x, v FROM vox UNION ALL SELECT position, t, 1 + (position % 2)::INT, z, y, x, -v FROM vox WHERE position % 4 < 2")
-def append_channels(spark, d):
+def _new_plate(spark, d):
     where, chunks = folder(spark), vw.chunks(spark, d).withColumn("c", F.lit(0))
     one = lambda k, n: F.array(*[F.lit(x) for x in k]).alias(n)
     names = F.when(F.col("position") % 2 == 0, F.array(F.lit("raw"))).otherwise(F.array(F.lit("raw"), F.lit("mask")))
     ps.create(chunks.select("position", F.lit(1).alias("nt"), F.lit(1).alias("nc"), *[F.lit(4).alias(f"n{a}") for a in "zyx"], one((1.0, 0.5, 0.5), "scale"), names.alias("channels")), where)
     ps.resume(chunks, where, "first")
+    return where, chunks
+
+
+_APPENDED = "SELECT position, t, 0 AS c, z, y, x, v FROM vox UNION ALL SELECT position, t, 1 + (position % 2)::INT, z, y, x, -v FROM vox WHERE position % 4 < 2 UNION ALL SELECT position, t, 1 + (position % 2)::INT + (position % 4 < 2)::INT + k, z, y, x, v * (2 + k) FROM vox, range(2) r(k) WHERE position % 3 = 0"
+
+
+@query(f"WITH {vw.VOX} {_APPENDED}")
+def append_channels(spark, d):
+    """Two appends: one channel to some positions, then two to others, each behind what its position has by then. The second is run again, as after a stop, and changes nothing."""
+    where, chunks = _new_plate(spark, d)
     ps.append_channels(ch.map_blocks(chunks.where("position % 4 < 2"), lambda b, r: -b), ["negative"], where, "second")
+    twice, thrice = (ch.map_blocks(chunks.where("position % 3 = 0"), lambda b, r, k=k: b * k).withColumn("c", F.lit(k - 2)) for k in (2, 3))
+    for _ in range(2):
+        ps.append_channels(twice.unionByName(thrice), ["double", "triple"], where, "third")
     return ch.voxels(ps.read(spark, where))
 
 
+@query("WITH p AS (SELECT vec_id AS position FROM embeddings) SELECT position, 0 AS c, 'raw' AS name FROM p UNION ALL SELECT position, 1, 'mask' FROM p WHERE position % 2 = 1 UNION ALL SELECT position, 1 + (position % 2)::INT, 'negative' FROM p WHERE position % 4 < 2 UNION ALL SELECT position, 1 + (position % 2)::INT + (position % 4 < 2)::INT, 'half' FROM p")
+def appended_names(spark, d):
+    where, chunks = _new_plate(spark, d)
+    ps.append_channels(ch.map_blocks(chunks.where("position % 4 < 2"), lambda b, r: -b), ["negative"], where, "second")
+    ps.append_channels(ch.map_blocks(chunks, lambda b, r: b / 2), ["half"], where, "third")
+    return ps.channels(spark, where)
+
+
 @query(f"WITH {vw.VOX} SELECT position, t, c, z, y, x, CASE WHEN position % 5 = 0 THEN v * 3 ELSE v * 2 END AS v FROM vox")
 def resume_units(spark, d):
-    """A run that was stopped after a third of its units goes on; units that other settings made are replaced."""
+    """A run that was stopped after a third of its units goes on; units that other settings made are replaced, and replaced again where the first settings return."""
     where, chunks = folder(spark), vw.chunks(spark, d)
     double, triple = ch.map_blocks(chunks, lambda b, r: b * 2), ch.map_blocks(chunks, lambda b, r: b * 3)
     ps.resume(double.where("position % 3 = 0"), where, "double")
     ps.resume(double, where, "double")
-    ps.resume(double, where, "double")
-    ps.resume(triple.where("position % 5 = 0"), where, "triple")
+    ps.resume(triple.where("position % 5 < 2"), where, "triple")
+    ps.resume(double.where("position % 5 = 1"), where, "double")
     return ch.voxels(ps.read(spark, where))
+
+
+@query(f"WITH {vw.VOX} SELECT position, t, c, z, y, x, v FROM vox WHERE z >= 2 AND x < 2")
+def read_box(spark, d):
+    """A plate of chunks of two voxels a side, of which a box is read."""
+    where = folder(spark)
+    ps.resume(ch.cut(vw.chunks(spark, d), (2, 2, 2)), where, "first")
+    return ch.voxels(ps.read(spark, where, {"z": (2, 4), "x": (0, 2)}))
