@@ -4,6 +4,7 @@ import math
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose, sentence
 from voxelloom.llm import pii
@@ -93,3 +94,45 @@ def test_copies_and_single_mentions_do_not_disclose(make, rng):
     passage = f"By Kingfisher. {prose(rng, 20)} {sentence(rng, 20)} The Halcyon writes to king@birds.example.org, {sentence(rng, 20)}"
     got = _terms(make, [(k, f"{passage} {sentence(rng, 5)}") for k in range(4)] + [(5, f"{sentence(rng, 20)} The Petrel writes to petrel@birds.example.org, {sentence(rng, 20)}")] + _rest(rng))
     assert not any(got.values())
+
+
+def test_many_matches_in_one_text(spark):
+    """A text of 100,000 addresses: every one found and replaced, in time in proportion to the text (a fold that appends would take an hour)."""
+    import time
+
+    n = 100_000
+    text = " ".join(f"u{i}@h{i % 89}.org, ü" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (2, "x")], "doc_id int, text string")
+    began = time.monotonic()
+    row = pii.sanitise(pii.find(docs)).where("doc_id = 1").select("spans.start", "spans.end", "sanitised").collect()[0]
+    assert time.monotonic() - began < 120
+    at, want = 0, []
+    for i in range(n):
+        size = len(f"u{i}@h{i % 89}.org")
+        want.append((at, at + size))
+        at += size + 4
+    assert list(zip(row.start, row.end, strict=True)) == want
+    assert row.sanitised == "[EMAIL], ü " * (n - 1) + "[EMAIL], ü"
+
+
+def test_running_values_over_all_levels(spark, monkeypatch):
+    """Sums and maxima in front of each value, with runs so short that every level has several."""
+    monkeypatch.setattr(pii, "RUN", 2)
+    for values in ([], [5], [3, 1, 2], list(range(37)), [(i * 7919) % 101 for i in range(300)]):
+        df = spark.createDataFrame([(values,)], "v array<int>")
+        r = df.select(pii._before(F.col("v"), lambda a, b: a + b).alias("s"), pii._before(F.col("v"), F.greatest).alias("m")).first()
+        assert r.s == [sum(values[:i]) for i in range(len(values))] and r.m == [max([0, *values[:i]]) for i in range(len(values))]
+
+
+def test_sanitised_over_blocks(spark, monkeypatch):
+    """Pieces that begin, end and span blocks of the text, beside overlapping spans."""
+    monkeypatch.setattr(pii, "BLOCK", 7)
+    text = "é🎉 " * 9 + "a.b@c.de" + "x🎉\n" * 11 + " +49 123 4567 8901" + " ü" * 20
+    spans = [(27, 35, "email", 0), (29, 33, "phone", 3), (40, 41, "ip", 1), (41, 48, "card", 2), (70, 85, "phone", 3)]
+    kind = "doc_id int, text string, spans array<struct<start: int, kind_order: int, end: int, kind: string, p: double>>"
+    df = spark.createDataFrame([(1, text, [(s, o, e, k, None) for s, e, k, o in spans])], kind)
+    got, at, want = pii.sanitise(df).first().sanitised, 0, ""
+    for s, e, k, _ in spans:
+        want += text[at:s] + ("" if s < at else f"[{k.upper()}]")
+        at = max(at, e)
+    assert got == want + text[at:]

@@ -12,7 +12,7 @@ generalised to [TERM], and from REMOVE on removed. One observation gives p = 1/3
 discloses: a word seen once beside an address seen once is no evidence that it belongs to the holder.
 
 Everything is DataFrame functions. Texts with no "@", digit or "+" skip the patterns that need one. The patterns begin either after a character that can't continue
-a match backwards or where the last match ended (\\G), and their repetitions are possessive; neither changes a match, but long runs take linear time.
+a match backwards or where the last match ended (\\G), and their repetitions are possessive; neither changes a match, but long runs take linear time. Matches are placed, and texts sanitised, in time in proportion to the text, however many there are.
 Of the texts only those with base matches leave their scan, as their distinct terms. Broadcast: the candidate terms, and the disclosing terms of documents, each only if they are at most BROADCAST_TERMS; beyond it
 they meet the documents through a shuffle.
 
@@ -22,6 +22,8 @@ those named like the added ones are replaced.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,8 @@ from .common import others, prefix, scratch
 
 KINDS = ("email", "ip", "card", "phone", "term")
 CONTEXT, PRIOR, GENERALISE, REMOVE, LEAST_BITS, BROADCAST_TERMS = 60, 2, 0.5, 0.9, 3.0, 100_000
+#: Values of an array that one fold goes over; code points of a block of text.
+RUN, BLOCK = 32, 1024
 
 PATTERNS = {
     "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -72,19 +76,44 @@ def _guard(kind: str, text: Column) -> Column:
 _SPAN = "array<struct<start: int, end: int, value: string, before: string, after: string>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _before(values: Column, step: Callable[[Column, Column], Column], levels: int = 3) -> Column:
+    """What step (a sum, a maximum) has made, from 0 on, of the values in front of each value of an array of int.
+
+    A fold that appends copies what it has, so it only runs over RUN values at a time: runs are folded, then, level by level, the runs' results, and each run starts from what is in front of it. That takes time in proportion to the array."""
+    fold = lambda v: F.aggregate(v, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), lambda acc, x: F.struct(step(acc.at, x).alias("at"), F.concat(acc.out, F.array(acc.at)).alias("out")), lambda acc: acc.out)
+    if levels == 1:
+        return fold(values)
+    whole = lambda v: F.aggregate(v, F.lit(0), step)
+
+    def of(v: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / RUN).cast("int")), lambda i: F.slice(v, i * RUN + 1, RUN))
+        return _let(runs, lambda r: F.flatten(F.zip_with(r, _before(F.transform(r, whole), step, levels - 1), lambda run, at: F.transform(fold(run), lambda x: step(at, x)))))
+
+    return _let(values, lambda v: F.when(F.size(v) > 0, of(v)).otherwise(F.array().cast("array<int>")))
+
+
 def _located(text: Column, pattern: Column) -> Column:
     """All matches of the pattern: start, end (code points, exclusive), value, and the text between it and the matches beside it."""
-    pieces, values = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
-    parts = F.zip_with(F.zip_with(pieces, values, lambda b, v: F.struct(b.alias("b"), v.alias("v"))), F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), lambda x, a: F.struct(x.b.alias("b"), x.v.alias("v"), a.alias("a")))
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    found = F.struct(F.split(text, pattern, -1).alias("pieces"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("values"))
+
+    def spans(x: Column) -> Column:
+        n = F.size(x["values"])
+        sizes = F.zip_with(F.slice(x.pieces, F.lit(1), n), x["values"], lambda b, v: F.length(b) + F.length(v))
+        at = F.zip_with(_before(sizes, lambda s, d: s + d), x["values"], lambda i, v: F.struct(i.alias("i"), v.alias("v")))
+        beside = F.zip_with(F.slice(x.pieces, F.lit(1), n), F.slice(x.pieces, F.lit(2), n), lambda b, a: F.struct(b.alias("b"), a.alias("a")))
 
-    def add(acc: Column, x: Column) -> Column:
-        start = acc.at + F.length(x.b)
-        end = start + F.length(x.v)
-        found = F.array(F.struct(start.alias("start"), end.alias("end"), x.v.alias("value"), F.right(x.b, F.lit(CONTEXT)).alias("before"), F.left(x.a, F.lit(CONTEXT)).alias("after")))
-        return F.struct(end.alias("at"), F.concat(acc.out, found).alias("out"))
+        def one(p: Column, q: Column) -> Column:
+            start = p.i + F.length(q.b)
+            return F.struct(start.alias("start"), (start + F.length(p.v)).alias("end"), p.v.alias("value"), F.right(q.b, F.lit(CONTEXT)).alias("before"), F.left(q.a, F.lit(CONTEXT)).alias("after"))
 
-    return F.aggregate(F.filter(parts, lambda x: x.v.isNotNull()), none, add, lambda acc: acc.out)
+        return F.when(n > 0, F.zip_with(at, beside, one)).otherwise(F.array().cast(_SPAN))
+
+    return _let(found, spans)
 
 
 def base_matches(text: Column, kind: str) -> Column:
@@ -129,12 +158,12 @@ def associations(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id", text
     near = each.select("_id", "_hash", "kind", "value", F.explode("context").alias("term"), F.xxhash64("context").alias("c"))
     near = near.groupBy("kind", "value", "term").agg(F.count_distinct(F.struct("_id", "_hash")).alias("n_both"), F.count_distinct("c").alias("n_seen"))
     # Elsewhere in a document: only entities of different first contexts can have two observations there.
-    entity = lambda x: F.struct(x.kind.alias("kind"), x.value.alias("value"))
-    first = lambda e: F.xxhash64(F.array_min(F.transform(F.filter("found", lambda x: entity(x) == e), lambda x: x.context)))
-    per_doc = found.select("words", F.inline(F.transform(F.array_distinct(F.transform("found", entity)), lambda e: F.struct(e.kind.alias("kind"), e.value.alias("value"), first(e).alias("first")))))
+    per_doc = scratch(each.groupBy("_id", "_hash", "kind", "value").agg(F.xxhash64(F.min("context")).alias("first")), "pii-entities-by-document")
     several = per_doc.groupBy("kind", "value").agg(F.min("first").alias("low"), F.max("first").alias("high"), F.count("*").alias("n_entity"))
     several = scratch(several, "pii-entities")
-    whole = per_doc.join(several.where("low <> high"), ["kind", "value"], "left_semi").select("kind", "value", "first", F.explode("words").alias("term"))
+    shared = per_doc.join(several.where("low <> high"), ["kind", "value"], "left_semi")
+    word = found.select(F.col("_id").alias("_wi"), F.col("_hash").alias("_wh"), "words")
+    whole = shared.join(word, F.col("_id").eqNullSafe(F.col("_wi")) & F.col("_hash").eqNullSafe(F.col("_wh"))).select("kind", "value", "first", F.explode("words").alias("term"))
     whole = whole.groupBy("kind", "value", "term", "first").agg(F.count("*").alias("n")).groupBy("kind", "value", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("n_seen"))
     pairs = near.unionByName(whole).groupBy("kind", "value", "term").agg(F.max("n_both").alias("n_both"), F.max("n_seen").alias("n_seen"))
     # A term is in as many documents, at least, as have it beside any entity: where that alone holds p below GENERALISE, its documents needn't be counted.
@@ -225,16 +254,26 @@ def count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("bigint")
 
 
+def _cut(blocks: Column, start: Column, n: Column) -> Column:
+    """n code points of a text from start on; blocks: the text in pieces of BLOCK. Only the blocks that the piece is in are read, where a substring of the text counts from the text's beginning."""
+    last = F.floor((start + n - 1) / BLOCK).cast("int")
+    part = lambda k: F.substring(F.get(blocks, k), F.greatest(start - k * BLOCK, F.lit(0)) + 1, F.least(start + n, (k + 1) * BLOCK) - F.greatest(start, k * BLOCK))
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.floor(start / BLOCK).cast("int"), last), part), "")).otherwise("")
+
+
 def sanitise(found: DataFrame, text: str = "text", column: str = "sanitised") -> DataFrame:
     """find()'s result with the text in which spans are replaced by their kind in brackets; terms of at least REMOVE go. Of overlapping spans the first in order counts; the rest of another is dropped."""
     t = F.coalesce(F.col(text), F.lit(""))
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<from: int, n: int, mark: string>>").alias("out"))
+    given = F.struct(F.regexp_extract_all(t, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks"), F.col("spans").alias("spans"))
+
+    def marked(x: Column) -> Column:
+        at = _before(F.transform(x.spans, lambda s: s.end), lambda a, b: F.greatest(a, b))  # where the spans in front of each end
+
+        def piece(s: Column, from_: Column) -> Column:
+            mark = F.when((s.kind == "term") & (s.p >= REMOVE), "").otherwise(F.concat(F.lit("["), F.upper(s.kind), F.lit("]")))
+            return F.concat(_cut(x.blocks, from_, s.start - from_), F.when(s.start < from_, "").otherwise(mark))
 
-    def add(acc: Column, s: Column) -> Column:
-        mark = F.when((s.kind == "term") & (s.p >= REMOVE), "").otherwise(F.concat(F.lit("["), F.upper(s.kind), F.lit("]")))
-        piece = F.array(F.struct((acc.at + 1).alias("from"), (s.start - acc.at).alias("n"), F.when(s.start < acc.at, "").otherwise(mark).alias("mark")))
-        return F.struct(F.greatest(acc.at, s.end).alias("at"), F.concat(acc.out, piece).alias("out"))
+        end = F.aggregate(x.spans, F.lit(0), lambda a, s: F.greatest(a, s.end))
+        return F.concat(F.array_join(F.zip_with(x.spans, at, piece), ""), _let(end, lambda e: _cut(x.blocks, e, F.length(t) - e)))
 
-    done = F.aggregate("spans", none, add)
-    pieces = F.transform(done.out, lambda p: F.concat(F.when(p.n > 0, F.substring(t, F.greatest(p["from"], F.lit(1)), p.n)).otherwise(""), p.mark))
-    return found.withColumn(column, F.concat(F.array_join(pieces, ""), F.substring(t, done.at + 1, F.length(t))))
+    return found.withColumn(column, F.when(F.size("spans") > 0, _let(given, marked)).otherwise(t))
