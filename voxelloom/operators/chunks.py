@@ -1,7 +1,7 @@
 """Chunk tables: position, t, c, the corner z0, y0, x0, the size nz, ny, nx, and data (array<double>, z slowest; NaN or null where there is no voxel).
 
 Operators here move whole chunks, never voxels. What needs one chunk is a map without a shuffle. What needs neighbours joins each output chunk with the input chunks that its source box meets
-(an equality join on the chunk grid) and is grouped by output chunk, so a task holds one output chunk and its box, however large the volume or the time lapse. Lists of needed chunks depend on shapes and matrices
+(an equality join on the chunk grid) and deals them out by output chunk; a task works the output chunks of an Arrow batch together, as stacked arrays, and holds no more than that, however large the volume or the time lapse. Lists of needed chunks depend on shapes and matrices
 alone, not on the data.
 """
 
@@ -10,9 +10,11 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ CORNER, SIZE = [f"{a}0" for a in AXES], [f"n{a}" for a in AXES]
 OUT = [*(f"o{a}0" for a in AXES), *(f"on{a}" for a in AXES)]
 BOX = [f"b{a}{k}" for a in AXES for k in (0, 1)]
 Shape = tuple[int, int, int]
+#: Voxels that one call of a kernel works on, about.
+STACK_VOXELS = 1 << 20
 Coordinates = Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
@@ -128,37 +132,110 @@ def needs(boxes: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray
 NEED = ", ".join(f"{c} int" for c in (*OUT, *BOX, *CORNER))
 
 
-def gather(chunks: DataFrame, need: DataFrame, fn: Callable[[np.ndarray, np.ndarray, np.ndarray, Shape, dict], np.ndarray], keys: tuple[str, ...] = (), extra: tuple[str, ...] = ()) -> DataFrame:
-    """Output chunks: fn gets the source box (NaN where no chunk is), its corner, the output chunk's corner and size, and the first row; it gives the output array. need: rows of needs(), with keys that say for which volumes, and columns extra for fn."""
+def _blocks(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All values of a batch's chunks in one array, where each chunk begins there, and the chunks' sizes (a row each)."""
+    data = batch.column("data")
+    data = data.fill_null([]) if data.null_count else data
+    flat = data.flatten().cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False)
+    starts = np.asarray(data.offsets.to_numpy()[:-1] - data.offsets[0].as_py(), np.int64)
+    return flat, starts, _table(batch, SIZE)
+
+
+def _table(batch: pa.RecordBatch, names: list[str]) -> np.ndarray:
+    """Columns of whole numbers as an array with a row for each of the batch's."""
+    return np.stack([batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names], 1)
+
+
+def _group_starts(batch: pa.RecordBatch) -> np.ndarray:
+    """Where the rows of another output chunk begin."""
+    codes = [batch.column(n).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False) for n in (*VOLUME, *OUT[:3])]
+    return np.flatnonzero(np.r_[True, np.any([np.diff(c) != 0 for c in codes], 0)]) if batch.num_rows else np.empty(0, np.int64)
+
+
+def _alike(keys: np.ndarray) -> Iterator[np.ndarray]:
+    """The numbers of the rows that are equal, for each different row."""
+    _, which = np.unique(keys, axis=0, return_inverse=True)
+    order = np.argsort(which.ravel(), kind="stable")
+    yield from np.split(order, np.flatnonzero(np.diff(which.ravel()[order])) + 1)
+
+
+class Stack(NamedTuple):
+    """Output chunks of one size whose source boxes have one shape: the boxes (NaN where no chunk is), their corners, the output chunks' corners (a row each) and size, and a list for each extra column."""
+
+    box: np.ndarray
+    low: np.ndarray
+    corner: np.ndarray
+    size: Shape
+    extra: dict[str, list]
+
+
+def _worked(batch: pa.RecordBatch, fn: Callable[[Stack], np.ndarray], extra: tuple[str, ...], aligned: bool) -> Iterator[pa.RecordBatch]:
+    """The output chunks of a batch that holds whole groups."""
+    flat, starts, sizes = _blocks(batch)
+    first = _group_starts(batch)
+    group = np.repeat(np.arange(len(first)), np.diff(np.r_[first, batch.num_rows]))
+    corner, box = _table(batch, OUT)[first], _table(batch, BOX)[first]
+    low, shape, at = box[:, 0::2], box[:, 1::2] - box[:, 0::2], _table(batch, CORNER)
+    for alike in _alike(np.concatenate([shape, corner[:, 3:], corner[:, :3] - low], 1) if aligned else np.concatenate([shape, corner[:, 3:]], 1)):
+        size = tuple(corner[alike[0], 3:].tolist())
+        step = max(1, STACK_VOXELS // max(1, math.prod(size), int(shape[alike[0]].prod())))
+        for part in (alike[i : i + step] for i in range(0, len(alike), step)):
+            boxes = np.full((len(part), *shape[part[0]]), np.nan)
+            place = np.full(len(first), -1)
+            place[part] = np.arange(len(part))
+            rows = np.flatnonzero(place[group] >= 0)
+            offset = at[rows] - low[group[rows]]
+            for same in _alike(np.concatenate([offset, sizes[rows]], 1)):
+                o, n = offset[same[0]], sizes[rows[same[0]]]
+                a, e = np.maximum(o, 0), np.minimum(o + n, boxes.shape[1:])
+                values = flat[starts[rows[same]][:, None] + np.arange(int(n.prod()))].reshape(-1, *n)
+                boxes[(place[group[rows[same]]], *(slice(i, j) for i, j in zip(a, e, strict=True)))] = values[(slice(None), *(slice(i, j) for i, j in zip(a - o, e - o, strict=True)))]
+            head = pa.array(first[part])
+            given = {c: batch.column(c).take(head).to_pylist() for c in extra}
+            out = np.ascontiguousarray(fn(Stack(boxes, low[part], corner[part, :3], size, given)).reshape(len(part), -1), float)
+            data = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * out.shape[1], pa.int32()), pa.array(out.ravel()))
+            whole = [pa.array(corner[part, i].astype(np.int32)) for i in range(6)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(v).take(head) for v in VOLUME), *whole, data], names=[*VOLUME, *CORNER, *SIZE, "data"])
+
+
+def gather(chunks: DataFrame, need: DataFrame, fn: Callable[[Stack], np.ndarray], keys: tuple[str, ...] = (), extra: tuple[str, ...] = (), aligned: bool = False) -> DataFrame:
+    """Output chunks: fn gets a stack of them and gives their arrays, stacked. need: rows of needs(), with keys that say for which volumes, and columns extra for fn. aligned: the output chunks of a stack stand at one place in their boxes.
+
+    Output chunks are dealt by a hash to as many tasks as the session shuffles into, a number that doesn't follow the bytes (a small chunk can be much work); a task sorts its rows by output chunk and works whole Arrow batches, so what it
+    holds is bounded by a batch and one output chunk's box."""
     joined = chunks.join(need, [*keys, *CORNER]).select(*VOLUME, *OUT, *BOX, *CORNER, *SIZE, *extra, "data")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf.iloc[0]
-        low, high = (np.array([int(head[f"b{a}{k}"]) for a in AXES]) for k in (0, 1))
-        box = np.full(high - low, np.nan)
-        for r in pdf.to_dict("records"):
-            b, at = block(r), np.array([r[c] for c in CORNER])
-            a, e = np.maximum(at, low), np.minimum(at + b.shape, high)
-            box[tuple(slice(i, j) for i, j in zip(a - low, e - low, strict=True))] = b[tuple(slice(i, j) for i, j in zip(a - at, e - at, strict=True))]
-        corner, size = np.array([int(head[c]) for c in OUT[:3]]), tuple(int(head[c]) for c in OUT[3:])
-        out = fn(box, low, corner, size, head)
-        return pd.DataFrame([(*head[VOLUME], *corner.tolist(), *size, out.ravel())], columns=[*VOLUME, *CORNER, *SIZE, "data"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            whole = pa.concat_batches([*held, batch]) if held else batch
+            last = int(_group_starts(whole)[-1])  # more rows of the last output chunk may follow
+            if last:
+                yield from _worked(whole.slice(0, last), fn, extra, aligned)
+            held = [whole.slice(last)]
+        if held:
+            yield from _worked(held[0], fn, extra, aligned)
 
-    return joined.groupBy(*VOLUME, *OUT).applyInPandas(run, schema(chunks))
+    tasks = int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = [*VOLUME, *OUT[:3]]
+    return joined.repartition(tasks, *group).sortWithinPartitions(*group).mapInArrow(run, schema(chunks))
 
 
 def _sampled(box: np.ndarray, low: np.ndarray, at: tuple[np.ndarray, ...], linear: bool) -> np.ndarray:
-    """The box's values at coordinates: weighted sums of the taps that exist; NaN where none does."""
+    """The stacked boxes' values at coordinates: weighted sums of the taps that exist; NaN where none does."""
     total, found = np.zeros(at[0].shape), np.zeros(at[0].shape, bool)
+    each = np.arange(len(box)).reshape(-1, 1, 1, 1)
     base = [np.floor(a if linear else a + 0.5) for a in at]
     for corner in itertools.product((0, 1), repeat=3) if linear else [(0, 0, 0)]:
         w, place, inside = np.ones(at[0].shape), [], np.ones(at[0].shape, bool)
-        for a, f, d, lo, n in zip(at, base, corner, low, box.shape, strict=True):
+        for k, (a, f, d, n) in enumerate(zip(at, base, corner, box.shape[1:], strict=True)):
             w = w * ((a - f) if d else 1 - (a - f)) if linear else w
-            i = (f + d).astype(np.int64) - int(lo)
+            i = (f + d).astype(np.int64) - low[:, k].reshape(-1, 1, 1, 1)
             inside &= (i >= 0) & (i < n)
             place.append(np.clip(i, 0, n - 1))
-        v = box[tuple(place)]
+        v = box[(each, *place)]
         good = inside & (w > 0) & ~np.isnan(v)
         total[good] += (w * v)[good]
         found |= good
@@ -166,11 +243,15 @@ def _sampled(box: np.ndarray, low: np.ndarray, at: tuple[np.ndarray, ...], linea
 
 
 def _grid(corner: np.ndarray, size: Shape) -> list[np.ndarray]:
-    return [g.astype(float) for g in np.meshgrid(*(np.arange(a, a + n) for a, n in zip(corner.tolist(), size, strict=True)), indexing="ij")]
+    """The voxels' coordinates of stacked output chunks, for each axis."""
+    g = np.meshgrid(*(np.arange(n, dtype=float) for n in size), indexing="ij")
+    return [g[k][None] + corner[:, k].reshape(-1, 1, 1, 1) for k in range(3)]
 
 
 def _by_matrix(m: np.ndarray) -> Coordinates:
-    return lambda z, y, x: tuple(m[r][0] * z + m[r][1] * y + m[r][2] * x + m[r][3] for r in range(3))
+    """m: a matrix, or one for each output chunk of a stack."""
+    e = lambda r, c: m[r][c] if m.ndim == 2 else m[:, r, c].reshape(-1, 1, 1, 1)
+    return lambda z, y, x: tuple(e(r, 0) * z + e(r, 1) * y + e(r, 2) * x + e(r, 3) for r in range(3))
 
 
 def _source_box(at: Coordinates, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +265,7 @@ def resample(chunks: DataFrame, at: Coordinates, shape: Shape, size: Shape, out_
     """Output voxel p from the source at the affine coordinates at(p); shape, size: the volumes' and the chunks' sizes."""
     rows = list(needs(lambda a, b: _source_box(at, a, b), shape, size, out_shape, out_size or size))
     need = F.broadcast(chunks.sparkSession.createDataFrame(rows, NEED))  # as many rows as shapes have chunks; no data
-    return gather(chunks, need, lambda box, low, corner, n, _: _sampled(box, low, at(*_grid(corner, n)), linear))
+    return gather(chunks, need, lambda s: _sampled(s.box, s.low, at(*_grid(s.corner, s.size)), linear))
 
 
 def affine(chunks: DataFrame, matrix: list[list[float]], shape: Shape, size: Shape, out_shape: Shape, out_size: Shape | None = None, linear: bool = True) -> DataFrame:
@@ -206,7 +287,7 @@ def stabilise(chunks: DataFrame, transforms: DataFrame, shape: Shape, size: Shap
 
     kind = chunks.schema["position"].dataType.simpleString()
     need = transforms.where("matrix IS NOT NULL").select("position", "t", "matrix").mapInPandas(listed, f"position {kind}, t int, {NEED}, m array<double>")
-    return gather(chunks, need, lambda box, low, corner, n, head: _sampled(box, low, _by_matrix(np.asarray(head["m"]).reshape(-1, 4))(*_grid(corner, n)), linear), ("position", "t"), ("m",))
+    return gather(chunks, need, lambda s: _sampled(s.box, s.low, _by_matrix(np.array(s.extra["m"], float).reshape(len(s.box), -1, 4))(*_grid(s.corner, s.size)), linear), ("position", "t"), ("m",))
 
 
 def register(chunks: DataFrame, matrix: list[list[float]], shape: Shape, size: Shape, out_shape: Shape, channels: list[int]) -> DataFrame:
@@ -226,24 +307,24 @@ def deskew(chunks: DataFrame, shape: Shape, size: Shape, angle: float, ratio: fl
 
 
 def stencil(chunks: DataFrame, fn: Callable[[np.ndarray], np.ndarray], reach: int, shape: Shape, size: Shape, mode: str | None = "edge") -> DataFrame:
-    """fn of each chunk with `reach` voxels around it, whose result is cut to the chunk. Beyond the volume voxels are padded (numpy's mode) or, with None, NaN."""
+    """fn of each chunk with `reach` voxels around it, whose result is cut to the chunk; fn gets stacked arrays and works on their last three axes. Beyond the volume voxels are padded (numpy's mode) or, with None, NaN."""
     rows = list(needs(lambda a, b: (a - reach, b + 1 + reach), shape, size, shape, size))
     need = F.broadcast(chunks.sparkSession.createDataFrame(rows, NEED))  # as many rows as shapes have chunks; no data
 
-    def run(box: np.ndarray, low: np.ndarray, corner: np.ndarray, n: Shape, _) -> np.ndarray:
-        before = reach - (corner - low)
-        pad = [(int(b), int(k + 2 * reach - s - b)) for b, k, s in zip(before, n, box.shape, strict=True)]
-        wide = np.pad(box, pad, mode=mode) if mode else np.pad(box, pad, constant_values=np.nan)
-        return fn(wide)[tuple(slice(reach, reach + k) for k in n)]
+    def run(s: Stack) -> np.ndarray:
+        before = reach - (s.corner[0] - s.low[0])
+        pad = [(0, 0), *((int(b), int(k + 2 * reach - n - b)) for b, k, n in zip(before, s.size, s.box.shape[1:], strict=True))]
+        wide = np.pad(s.box, pad, mode=mode) if mode else np.pad(s.box, pad, constant_values=np.nan)
+        return fn(wide)[(slice(None), *(slice(reach, reach + k) for k in s.size))]
 
-    return gather(chunks, need, run)
+    return gather(chunks, need, run, aligned=True)
 
 
 def _sobel(b: np.ndarray) -> np.ndarray:
     total = np.zeros(b.shape)
-    for axis in range(3):
+    for axis in (-3, -2, -1):
         g = b
-        for a in range(3):
+        for a in (-3, -2, -1):
             before, after = (np.roll(g, k, a) for k in (1, -1))
             g = (after - before) / 2 if a == axis else (before + 2 * g + after) / 4
         total += g * g
@@ -262,7 +343,7 @@ def box_mean(chunks: DataFrame, shape: Shape, size: Shape, width: int = 3) -> Da
     def mean(b: np.ndarray) -> np.ndarray:
         total, n = np.zeros(b.shape), np.zeros(b.shape)
         for d in itertools.product(range(-reach, reach + 1), repeat=3):
-            moved = np.roll(b, d, (0, 1, 2))
+            moved = np.roll(b, d, (-3, -2, -1))
             total, n = total + np.nan_to_num(moved), n + ~np.isnan(moved)
         return np.where(np.isnan(b), np.nan, total / np.maximum(n, 1))
 
