@@ -120,7 +120,7 @@ def test_running_values_over_all_levels(spark, monkeypatch):
     monkeypatch.setattr(pii, "RUN", 2)
     for values in ([], [5], [3, 1, 2], list(range(37)), [(i * 7919) % 101 for i in range(300)]):
         df = spark.createDataFrame([(values,)], "v array<int>")
-        r = df.select(pii._before(F.col("v"), lambda a, b: a + b).alias("s"), pii._before(F.col("v"), F.greatest).alias("m")).first()
+        r = df.select(pii._before(F.col("v"), lambda a, b: a + b).alias("s"), pii._before(F.col("v"), lambda a, b: F.greatest(a, b)).alias("m")).first()
         assert r.s == [sum(values[:i]) for i in range(len(values))] and r.m == [max([0, *values[:i]]) for i in range(len(values))]
 
 
