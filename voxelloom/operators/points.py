@@ -1,7 +1,6 @@
 """Point clouds and graphs: peaks, neighbours, matches and the transforms they give.
 
-Neighbour searches put points into cells as wide as the radius and join each cell with those around it. k-nearest neighbours and descriptor
-matches compare the points of one cloud (a field of view's beads, some thousands) with each other; clouds are keys, so they spread over tasks.
+Neighbour searches put points into cells as wide as the radius and join each cell with those around it; the k nearest come from neighbours.nearest_k. Costs of all pairs, as an assignment asks for, are made within one cloud.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.views import VOLUME
+from .neighbours import nearest_k
 
 AXES = ["z", "y", "x"]
 
@@ -71,10 +71,7 @@ def noise_level(vox: DataFrame, peaks: DataFrame, box: int) -> DataFrame:
 
 def knn(points: DataFrame, k: int, key: str = "label") -> DataFrame:
     """Edges to the k nearest other points of the cloud: key, src, dst, dist; ties by id."""
-    a, b = points.select(key, F.struct("id", *AXES).alias("a")), points.select(key, F.struct("id", *AXES).alias("b"))
-    pairs = a.join(b, key).where("a.id <> b.id").withColumn("dist", distance("a", "b"))
-    rank = F.row_number().over(Window.partitionBy(key, "a.id").orderBy("dist", "b.id"))
-    return pairs.withColumn("r", rank).where(F.col("r") <= k).select(key, F.col("a.id").alias("src"), F.col("b.id").alias("dst"), "dist")
+    return nearest_k(points, points, k, key, itself=True).drop("r")
 
 
 def within(points: DataFrame, others: DataFrame, radius: float, key: str = "label") -> DataFrame:
@@ -177,14 +174,12 @@ def overlap_score(moving: DataFrame, reference: DataFrame, radius: float, key: s
 
 
 def nearest(moving: DataFrame, reference: DataFrame, key: str = "label", max_ratio: float | None = None) -> DataFrame:
-    """Each moving point's nearest reference point: key, mov, ref, dist; with max_ratio only where it is that much nearer than the second."""
-    a, b = moving.select(key, F.struct("id", *AXES).alias("a")), reference.select(key, F.struct("id", *AXES).alias("b"))
-    pairs = a.join(b, key).select(key, F.col("a.id").alias("mov"), F.col("b.id").alias("ref"), distance("a", "b").alias("dist"))
-    w = Window.partitionBy(key, "mov").orderBy("dist", "ref")
-    best = pairs.withColumns({"r": F.row_number().over(w), "second": F.lead("dist").over(w)}).where("r = 1")
+    """Each moving point's nearest reference point: key, mov, ref, dist; with max_ratio only where it is that much nearer than the second. Ties by id."""
+    found = nearest_k(moving, reference, 1 if max_ratio is None else 2, key)
+    best = found.groupBy(key, F.col("src").alias("mov")).agg(F.min_by(F.struct("dst", "dist"), "r").alias("m"), F.max_by("dist", "r").alias("last"), F.count("*").alias("n"))
     if max_ratio is not None:
-        best = best.where(F.col("second").isNull() | (F.col("dist") <= max_ratio * F.col("second")))
-    return best.select(key, "mov", "ref", "dist")
+        best = best.where((F.col("n") == 1) | (F.col("m.dist") <= max_ratio * F.col("last")))
+    return best.select(key, "mov", F.col("m.dst").alias("ref"), F.col("m.dist").alias("dist"))
 
 
 def mutual_nearest(moving: DataFrame, reference: DataFrame, key: str = "label", max_ratio: float | None = None) -> DataFrame:

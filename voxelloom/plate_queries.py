@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,16 +15,11 @@ from .operators import voxels as vx
 from .queries import _FAILED, _PEAKS, _SELF, CUBE, KEYS, _affine_sql, _peaks, _round, query
 from .sources import plates as ps
 from .sources import views as vw
+from .sources.scratch import shared
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder where driver and executors share one (spark.checkpoint.dir); where that is unset, on one machine only, a local one."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        where = "file://" + tempfile.mkdtemp(prefix="voxelloom-")
-    return f"{where}/plate-{uuid.uuid4().hex}"
+    return shared(spark, "plate")
 
 
 # --- positions
