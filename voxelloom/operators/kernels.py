@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -279,15 +280,15 @@ def pca_features(points: DataFrame, edges: DataFrame) -> DataFrame:
     return points.select("label", "id").join(found, ["label", "id"], "left")
 
 
-def fit_affine(vectors: DataFrame, kind: str = "affine") -> DataFrame:
-    """The transform (4 x 4, rows joined) that takes moving to reference points best: affine, similarity or euclidean; clouds with fewer than four matches give null.
+def fit_affine(vectors: DataFrame, kind: str = "affine", key: str = "label", least: int = 4) -> DataFrame:
+    """The transform (4 x 4, rows joined) that takes moving to reference points best: affine, similarity or euclidean; clouds with fewer than `least` matches give null. key: a column of any type.
 
     Means and covariances of the matches are aggregates; the fit sees a row per cloud."""
     m, r = ["mz", "my", "mx"], ["rz", "ry", "rx"]
     sums = [F.array(*[F.avg(a) for a in m + r]).alias("mean"), *[F.array(*[F.covar_pop(a, b) for b in m + r]).alias(f"c{i}") for i, a in enumerate(m)]]
 
     def fit(n: int, mean: np.ndarray, cov: np.ndarray) -> list[float] | None:
-        if n < 4:
+        if n < least:
             return None
         out, mm, rm, mc, rc = np.eye(4), cov[:, :3], cov[:, 3:].T, mean[:3], mean[3:]
         if kind == "affine":
@@ -308,12 +309,12 @@ def fit_affine(vectors: DataFrame, kind: str = "affine") -> DataFrame:
             out[:3, 3] = rc - out[:3, :3] @ mc
         return out.ravel().tolist()
 
-    def run(batches):
-        for pdf in batches:
-            found = [fit(n, np.array(mean), np.stack([*c])) for n, mean, *c in zip(pdf["n"], pdf["mean"], pdf["c0"], pdf["c1"], pdf["c2"], strict=True)]
-            yield pd.DataFrame({"label": pdf["label"], "matrix": found})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [fit(n, np.array(mean), np.array(c)) for n, mean, *c in zip(*(batch.column(i).to_pylist() for i in range(1, 6)), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], names=[key, "matrix"])
 
-    return vectors.groupBy("label").agg(F.count("*").alias("n"), *sums).mapInPandas(run, "label int, matrix array<double>")
+    return vectors.groupBy(key).agg(F.count("*").alias("n"), *sums).mapInArrow(run, f"{key} {vectors.schema[key].dataType.simpleString()}, matrix array<double>")
 
 
 def half_prominence_width(v: np.ndarray) -> float:

@@ -65,6 +65,23 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 POINTS = "pts AS (SELECT label, vec_id AS id, (vec_id % 2)::INT AS side, embedding[1]::DOUBLE * 100 AS z, embedding[2]::DOUBLE * 100 AS y, embedding[3]::DOUBLE * 100 AS x, embedding[4]::DOUBLE AS intensity FROM embeddings)"
 
 
+def planted(spark: SparkSession, sf_dir: str, step: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Every vector as a bead, and where it is after its cloud's planted transform: a turn about z and a shift that depend on the label, and grow with step."""
+    k = F.lit(1.0) if step is None else step.cast("double")
+    p = points(spark, sf_dir).withColumn("k", k).drop("side", "intensity")
+    a, n = F.radians((F.col("label") % 3 + 1) * 0.4 * F.col("k")), F.col("label")
+    y, x = F.cos(a) * F.col("y") - F.sin(a) * F.col("x"), F.sin(a) * F.col("y") + F.cos(a) * F.col("x")
+    moved = p.select("label", "id", (F.col("z") + (n % 4) * 0.25 * F.col("k")).alias("z"), (y - (n % 3) * 0.25 * F.col("k")).alias("y"), (x + (n % 2) * 0.5 * F.col("k")).alias("x"))
+    return p.drop("k"), moved
+
+
+def planted_sql(clouds: str, k: str = "1") -> str:
+    """The planted matrices of a table of clouds, a row for each entry; its columns stay."""
+    a = f"radians((label % 3 + 1) * 0.4 * {k})"
+    entries = [["1", "0", "0", f"label % 4 * 0.25 * {k}"], ["0", f"cos({a})", f"-sin({a})", f"-(label % 3) * 0.25 * {k}"], ["0", f"sin({a})", f"cos({a})", f"label % 2 * 0.5 * {k}"], ["0", "0", "0", "1"]]
+    return " UNION ALL ".join(f"SELECT *, {i} AS r, {j} AS c, round(({e})::DOUBLE, 5) + 0.0 AS v FROM {clouds}" for i, row in enumerate(entries) for j, e in enumerate(row))
+
+
 def focus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A focus table: position, time_idx, channel, focus_idx, where 0 means that none was found."""
     t = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")) - 1
