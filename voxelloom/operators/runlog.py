@@ -49,19 +49,6 @@ def resources(positions: DataFrame, most_cpus: int = 16, ram: float = 8.0, minut
     )
 
 
-def throttle(events: DataFrame, interval: float) -> DataFrame:
-    """The events that are sent: those at least the interval after the last one sent. events: key, at (seconds). A fold per key."""
-    kind = "struct<last: double, out: array<double>>"
-    none = F.struct(F.lit(None).cast("double").alias("last"), F.array().cast("array<double>").alias("out")).cast(kind)
-
-    def step(acc: Column, at: Column) -> Column:
-        send = acc["last"].isNull() | (at - acc["last"] >= interval) | F.lit(interval <= 0)
-        return F.struct(F.when(send, at).otherwise(acc["last"]).alias("last"), F.when(send, F.concat(acc.out, F.array(at))).otherwise(acc.out).alias("out")).cast(kind)
-
-    sent = events.groupBy("key").agg(F.array_sort(F.collect_list(F.col("at").cast("double"))).alias("ats"))
-    return sent.select("key", F.explode(F.aggregate("ats", none, step, lambda acc: acc.out)).alias("at"))
-
-
 def one_line(text: Column, most: int = 300) -> Column:
     """White space runs as one space, trimmed, cut to a number of characters."""
     return F.left(F.trim(F.regexp_replace(text, "[ \\t\\n\\r]+", " ")), F.lit(most))

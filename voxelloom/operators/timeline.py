@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import folds
+
 ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 
 
@@ -108,23 +114,65 @@ def interpolate_near(transforms: DataFrame, values: list[str], window: int) -> D
     return df.select(*[filled(c).alias(c) if c in values else F.col(c) for c in transforms.columns])
 
 
-def validate(transforms: DataFrame, values: list[str], window: int, tolerance: float) -> DataFrame:
-    """Shifts that are farther than the tolerance from the mean of the last `window` accepted ones become null; the first `window` are accepted as they are.
-
-    Acceptance depends on what was accepted before, so it is a fold over each position's ordered list, inside the JVM."""
-    items = F.array_sort(F.collect_list(F.struct("t", F.array(*values).alias("v"))))
-    kind = "struct<held: array<array<double>>, out: array<struct<t: int, v: array<double>>>>"
-    none = F.struct(F.array().cast("array<array<double>>").alias("held"), F.array().cast("array<struct<t: int, v: array<double>>>").alias("out")).cast(kind)
-
-    def step(acc, item):
-        mean = lambda i: F.aggregate(acc.held, F.lit(0.0), lambda s, h: s + h[i]) / F.size(acc.held)
-        far = F.sqrt(sum(((item.v[i] - mean(i)) ** 2 for i in range(len(values))), F.lit(0.0)))
-        missing = item.v[0].isNull()
-        good = ~missing & F.when(F.size(acc.held) < window, F.lit(True)).otherwise(far <= tolerance)
-        grown = F.concat(acc.held, F.array(item.v))
-        held = F.when(good, F.slice(grown, F.greatest(F.size(grown) - window + 1, F.lit(1)), window)).otherwise(acc.held)
-        kept = F.struct(item.t.cast("int").alias("t"), F.when(good, item.v).alias("v"))
-        return F.struct(held.alias("held"), F.concat(acc.out, F.array(kept)).alias("out")).cast(kind)
-
-    out = transforms.groupBy("position").agg(F.aggregate(items, none, step, lambda acc: acc.out).alias("o"))
-    return out.select("position", F.explode("o").alias("o")).select("position", "o.t", *[F.col("o.v")[i].alias(v) for i, v in enumerate(values)])
+def spline(x: np.ndarray, y: np.ndarray, at: float) -> np.ndarray:
+    """The cubic spline through y (a row for each of four or more growing x) at a point, inside or outside; the third derivative doesn't jump at the second and the last but one x. Second derivatives come from a tridiagonal solve."""
+    h, n = np.diff(x), len(x)
+    slope = np.diff(y, axis=0) / h[:, None]
+    right = 6 * np.diff(slope, axis=0)
+    low, main, up = h[:-1].copy(), 2 * (h[:-1] + h[1:]), h[1:].copy()
+    # The ends' second derivatives, written in those of the two beside them.
+    main[0] += h[0] + h[0] ** 2 / h[1]
+    up[0] -= h[0] ** 2 / h[1]
+    main[-1] += h[-1] + h[-1] ** 2 / h[-2]
+    low[-1] -= h[-1] ** 2 / h[-2]
+    for i in range(1, n - 2):
+        w = low[i] / main[i - 1]
+        main[i] -= w * up[i - 1]
+        right[i] -= w * right[i - 1]
+    m = np.zeros_like(y, dtype=float)
+    m[n - 2] = right[-1] / main[-1]
+    for i in range(n - 4, -1, -1):
+        m[i + 1] = (right[i] - up[i] * m[i + 2]) / main[i]
+    m[0] = m[1] + (m[1] - m[2]) * h[0] / h[1]
+    m[-1] = m[-2] + (m[-2] - m[-3]) * h[-1] / h[-2]
+    i = min(max(int(np.searchsorted(x, at)) - 1, 0), n - 2)
+    a, b = x[i + 1] - at, at - x[i]
+    return (m[i] * a**3 + m[i + 1] * b**3) / (6 * h[i]) + (y[i] / h[i] - m[i] * h[i] / 6) * a + (y[i + 1] / h[i] - m[i + 1] * h[i] / 6) * b
+
+
+def interpolate_matrices(transforms: DataFrame, window: int, kind: str = "linear") -> DataFrame:
+    """position, t, matrix: missing matrices from those known at most `window` away (0: from all, always by lines), see interpolate_near() and interpolate(). kind cubic: a spline where four or more are so near, else lines."""
+    names = [f"m{i}" for i in range(16)]
+    wide = transforms.select("position", "t", *[F.get("matrix", F.lit(i)).alias(n) for i, n in enumerate(names)])
+    lines = interpolate(wide, names) if window == 0 else interpolate_near(wide, names, window)
+    filled = lines.select("position", "t", F.when(F.col("m0").isNotNull(), F.array(*names)).alias("matrix"))
+    if kind == "linear" or window == 0:
+        return filled
+    near = F.array_sort(F.collect_list(F.when(F.col("matrix").isNotNull(), F.struct("t", "matrix"))).over(Window.partitionBy("position").orderBy("t").rangeBetween(-window, window)))
+    missing = transforms.select("position", "t", "matrix", near.alias("near")).where("matrix IS NULL AND size(near) >= 4").select("position", "t", F.col("near.t").cast("array<double>").alias("x"), F.col("near.matrix").alias("y"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [spline(np.array(x), np.array(y, float), float(t)).tolist() for t, x, y in zip(*(batch.column(c).to_pylist() for c in ("t", "x", "y")), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("position"), batch.column("t"), pa.array(found, pa.list_(pa.float64()))], names=["position", "t", "cubic"])
+
+    keys = ", ".join(f"{c} {transforms.schema[c].dataType.simpleString()}" for c in ("position", "t"))
+    curved = missing.mapInArrow(run, f"{keys}, cubic array<double>")
+    return filled.join(curved, ["position", "t"], "left").select("position", "t", F.coalesce("cubic", "matrix").alias("matrix"))
+
+
+def too_short(transforms: DataFrame, least: int) -> DataFrame:
+    """Positions with fewer than `least` time points, and how many they have: position, n."""
+    return transforms.groupBy("position").agg(F.count("*").alias("n")).where(F.col("n") < least)
+
+
+def evaluate(transforms: DataFrame, shape: tuple[int, int, int], validation_window: int = 10, tolerance: float = 100.0, window: int = 3, kind: str = "linear", strict: bool = True) -> DataFrame:
+    """Validation of each position's matrices, then interpolation of what is missing: position, t, matrix. A position with fewer time points than either window is an error, or, if not strict, is left out (too_short() has them)."""
+    least = max(validation_window, window)
+    if strict:
+        short = too_short(transforms, least).limit(5).collect()
+        if short:
+            raise ValueError(f"fewer than {least} transforms, e.g. of " + ", ".join(f"{r.position} ({r.n})" for r in short))
+    else:
+        transforms = transforms.join(too_short(transforms, least), "position", "left_anti")
+    return interpolate_matrices(folds.validate(transforms, shape, validation_window, tolerance), window, kind)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .functions import matrix as mx
 from .functions import registry
 from .operators import chunks as ch
+from .operators import folds as fo
 from .operators import kernels as ke
 from .operators import mosaic as mo
 from .operators import points as po
@@ -619,9 +620,41 @@ def transform_interpolate_near(spark, d):
     return _round(tl.interpolate_near(vw.shifts(spark, d).select("position", "t", "dz"), ["dz"], 1), "dz")
 
 
-@query()
+_ORDERED = vw.SHIFTS + ", o AS (SELECT position, t, row_number() OVER (PARTITION BY position ORDER BY t) AS r, dz, dy, dx FROM shifts)"
+# held: the accepted shifts, the last 5 of which count.
+_VALID = f"""WITH RECURSIVE {_ORDERED}, v AS (
+  SELECT position, t, r, CASE WHEN dz IS NULL THEN []::DOUBLE[][] ELSE [[dz, dy, dx]] END AS held, dz IS NOT NULL AS good, dz, dy, dx FROM o WHERE r = 1
+  UNION ALL
+  SELECT position, t, r, CASE WHEN good THEN list_append(CASE WHEN len(held) = 5 THEN held[2:] ELSE held END, [dz, dy, dx]) ELSE held END, good, dz, dy, dx FROM (
+    SELECT o.*, v.held, o.dz IS NOT NULL AND (len(v.held) < 5 OR sqrt((o.dz - list_avg(list_transform(v.held, lambda h: h[1]))) ** 2 + (o.dy - list_avg(list_transform(v.held, lambda h: h[2]))) ** 2 + (o.dx - list_avg(list_transform(v.held, lambda h: h[3]))) ** 2) <= 4) AS good
+    FROM v JOIN o ON o.position = v.position AND o.r = v.r + 1))"""
+
+
+@query(_VALID + " SELECT position, t, CASE WHEN good THEN dz END AS dz, CASE WHEN good THEN dy END AS dy, CASE WHEN good THEN dx END AS dx FROM v")
 def transform_validate(spark, d):
-    return tl.validate(vw.shifts(spark, d), ["dz", "dy", "dx"], 5, 4.0)
+    return fo.validate_shifts(vw.shifts(spark, d), ["dz", "dy", "dx"], 5, 4.0)
+
+
+_EVALUATED = _VALID + """, w AS (SELECT position, t, CASE WHEN good THEN dz END AS dz FROM v WHERE position IN (SELECT position FROM o GROUP BY position HAVING count(*) >= 5)),
+k AS (SELECT position, t AS kt, dz AS kv FROM w WHERE dz IS NOT NULL), j AS (SELECT w.position, w.t, kt, kv FROM w JOIN k USING (position) WHERE w.dz IS NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY position, t ORDER BY abs(kt - t), kt) AS r FROM j), c AS (SELECT position, t, kv FROM n WHERE r = 1),
+i AS (SELECT *, row_number() OVER (PARTITION BY position, t ORDER BY kt) AS r, count(*) OVER (PARTITION BY position, t) AS m, count(*) FILTER (WHERE kt < t) OVER (PARTITION BY position, t) AS nb FROM j WHERE abs(kt - t) <= 3),
+l AS (SELECT a.position, a.t, a.kv + (b.kv - a.kv) * (a.t - a.kt) / (b.kt - a.kt) AS v FROM i a JOIN i b ON b.position = a.position AND b.t = a.t AND b.r = a.r + 1 WHERE a.r = greatest(least(a.nb, a.m - 1), 1))
+SELECT w.position, w.t, round(coalesce(w.dz, l.v, CASE WHEN (SELECT count(*) FROM k WHERE k.position = w.position) >= 2 THEN c.kv END), 6) AS dz FROM w LEFT JOIN l USING (position, t) LEFT JOIN c USING (position, t)"""
+
+
+@query(_EVALUATED)
+def transform_evaluate(spark, d):
+    """Shifts as matrices, validated on the grid of points and filled; of positions with five time points or more."""
+    found = tl.evaluate(ke.shift_matrices(vw.shifts(spark, d)).select("position", "t", "matrix"), (16, 64, 64), 5, 4.0, 3, strict=False)
+    return _round(found.select("position", "t", F.get("matrix", F.lit(3)).alias("dz")), "dz")
+
+
+@query()
+def transform_spline(spark, d):
+    """The same, filled by splines."""
+    found = tl.evaluate(ke.shift_matrices(vw.shifts(spark, d)).select("position", "t", "matrix"), (16, 64, 64), 5, 4.0, 3, "cubic", strict=False)
+    return found.select("position", "t", *[F.round(F.get("matrix", F.lit(i)), 6).alias(n) for i, n in ((3, "dz"), (7, "dy"), (11, "dx"))])
 
 
 @query()
@@ -682,10 +715,14 @@ def resource_estimate(spark, d):
     return rl.resources(vw.table(spark, d, "embeddings").select(k.alias("position"), (k % 40 + 1).alias("nt"), F.lit(2).alias("nc"), (k % 300 + 1).alias("nz"), F.lit(1024).alias("ny"), F.lit(1024).alias("nx")))
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT user_id AS key, epoch_us(ts)::DOUBLE AS m, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events), s AS (
+  SELECT key, m, r, m AS before, true AS sent FROM e WHERE r = 1
+  UNION ALL
+  SELECT e.key, e.m, e.r, CASE WHEN e.m - s.before >= 3.6e9 THEN e.m ELSE s.before END, e.m - s.before >= 3.6e9 FROM s JOIN e ON e.key = s.key AND e.r = s.r + 1)
+SELECT key, m AS "at" FROM s WHERE sent""")
 def notice_throttle(spark, d):
     e = vw.table(spark, d, "events")
-    return rl.throttle(e.select(F.col("user_id").alias("key"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at")), 3.6e9)
+    return fo.throttle(e.select(F.col("user_id").alias("key"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("at")), 3.6e9)
 
 
 @query("SELECT s_suppkey, substr(sha256('{\"nation\":' || s_nationkey || ',\"supplier\":' || s_suppkey || '}'), 1, 16) AS fingerprint FROM supplier")
