@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import beads as be
+from .operators import chunks as ch
+from .operators import psf
 from .queries import query
 from .sources import views as vw
 from .sources.scratch import shared
@@ -52,3 +55,26 @@ def bead_settings(spark, d):
     p = vw.points(spark, d)
     tried = be.trials(p.where("side = 0"), p.where("side = 1"), _identity(p, "label"), m=be.Matching(radius=8.0))
     return be.best_trial(tried).select("label", "trial", "n", F.round("score", 6).alias("score"))
+
+
+@query(f"WITH {vw.VOX} SELECT position, t, c, z, y, x, v FROM vox WHERE abs(z - 1 - position % 2) <= 1 AND abs(y - 1 - position // 2 % 2) <= 1 AND abs(x - 1 - position // 4 % 2) <= 1")
+def bead_patches(spark, d):
+    """A patch of 3 x 3 x 3 from each volume, which stands in chunks of two voxels a side, about a place that its number gives."""
+    p = F.col("position")
+    beads = vw.chunks(spark, d).select("position", "t", "c", p.alias("bead"), *[(F.floor(p / k) % 2 + 1).cast("int").alias(a) for k, a in ((1, "z"), (2, "y"), (4, "x"))])
+    return ch.voxels(psf.patches(ch.cut(vw.chunks(spark, d), (2, 2, 2)), beads, (1, 1, 1), (4, 4, 4), (2, 2, 2)))
+
+
+def _bead(b: np.ndarray, row: dict) -> np.ndarray:
+    """A Gaussian whose widths, middle and height come from the first values of a chunk."""
+    e = b.ravel()
+    g = np.meshgrid(*(np.arange(n) for n in (11, 11, 11)), indexing="ij")
+    q = sum(((x - 5 - m) / s) ** 2 for x, m, s in zip(g, e[3:6], (1.2 + abs(e[0]), 1 + abs(e[1]), 1 + abs(e[2])), strict=True))
+    return 3 + (1 + abs(e[6])) * np.exp(-q / 2)
+
+
+@query("WITH f AS (SELECT 2 * sqrt(2 * ln(2::DOUBLE)) AS f) SELECT vec_id AS bead, round(f * (1.2 + abs(embedding[1]::DOUBLE)), 3) AS fwhm_z, round(f * (1 + abs(embedding[2]::DOUBLE)), 3) AS fwhm_y, round(f * (1 + abs(embedding[3]::DOUBLE)), 3) AS fwhm_x, round(1 + abs(embedding[7]::DOUBLE), 3) AS height FROM embeddings, f")
+def bead_fits(spark, d):
+    """Gaussians made from each vector, as images, and found again by the fit."""
+    images = ch.map_blocks(vw.chunks(spark, d), _bead).withColumn("bead", F.col("position"))
+    return psf.fits(images).select("bead", *[F.round(c, 3).alias(c) for c in ("fwhm_z", "fwhm_y", "fwhm_x", "height")])
