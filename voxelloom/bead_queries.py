@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .operators import assignment as an
 from .operators import beads as be
 from .operators import chunks as ch
+from .operators import kernels as ke
 from .operators import psf
+from .operators import stacks as st
 from .queries import query
 from .sources import views as vw
 from .sources.scratch import shared
@@ -78,3 +81,25 @@ def bead_fits(spark, d):
     """Gaussians made from each vector, as images, and found again by the fit."""
     images = ch.map_blocks(vw.chunks(spark, d), _bead).withColumn("bead", F.col("position"))
     return psf.fits(images).select("bead", *[F.round(c, 3).alias(c) for c in ("fwhm_z", "fwhm_y", "fwhm_x", "height")])
+
+
+@query()
+def assignment_near(spark, d):
+    """The cheapest assignment of each cloud's points nearer than 12, by connected parts."""
+    p = vw.points(spark, d)
+    return an.assign_near(p.where("side = 0"), p.where("side = 1"), 12.0)
+
+
+@query(f"WITH {vw.SHIFTS} SELECT position, t, sum(coalesce(dz, 0)) OVER w AS dz, sum(coalesce(dy, 0)) OVER w AS dy, sum(coalesce(dx, 0)) OVER w AS dx FROM (SELECT position, t, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dz END AS dz, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dy END AS dy, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dx END AS dx FROM shifts) WINDOW w AS (PARTITION BY position ORDER BY t)")
+def composed_transforms(spark, d):
+    """Shifts as matrices, multiplied over time."""
+    found = st.composed(ke.shift_matrices(vw.shifts(spark, d)).select("position", "t", "matrix"))
+    return found.select("position", "t", *[F.col("matrix")[i].alias(n) for i, n in ((3, "dz"), (7, "dy"), (11, "dx"))])
+
+
+@query()
+def stack_transforms(spark, d):
+    """Each vector as a plane of 8 x 8, its label's planes registered over time."""
+    t = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    planes = vw.table(spark, d, "embeddings").select(F.col("label").alias("position"), t.alias("t"), F.col("embedding").cast("array<double>").alias("plane"), F.lit(8).alias("ny"), F.lit(8).alias("nx"))
+    return st.stack_transforms(planes)

@@ -223,6 +223,17 @@ def gather(chunks: DataFrame, need: DataFrame, fn: Callable[[Stack], np.ndarray]
     return joined.repartition(tasks, *group).sortWithinPartitions(*group).mapInArrow(run, schema(chunks))
 
 
+def boxes(chunks: DataFrame, wanted: DataFrame, size: Shape) -> DataFrame:
+    """The boxes of wanted (position, t, c and OUT: corner and size), put together from the chunks of a grid of the size that they meet; NaN where there is no chunk. Boxes that meet no chunk at all are absent; equal ones are made once."""
+    need = wanted.select(*VOLUME, *OUT).distinct()
+    for a in AXES:
+        need = need.withColumns({f"b{a}0": F.col(f"o{a}0"), f"b{a}1": F.col(f"o{a}0") + F.col(f"on{a}")})
+    for a, s in zip(AXES, size, strict=True):
+        first, last = F.floor(F.col(f"b{a}0") / s), F.floor((F.col(f"b{a}1") - 1) / s)
+        need = need.withColumn(f"{a}0", F.explode(F.sequence((first * s).cast("int"), (last * s).cast("int"), F.lit(s))))
+    return gather(chunks, need.select(*VOLUME, *OUT, *BOX, *CORNER), lambda s: s.box, tuple(VOLUME))
+
+
 def _sampled(box: np.ndarray, low: np.ndarray, at: tuple[np.ndarray, ...], linear: bool) -> np.ndarray:
     """The stacked boxes' values at coordinates: weighted sums of the taps that exist; NaN where none does."""
     total, found = np.zeros(at[0].shape), np.zeros(at[0].shape, bool)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.views import VOLUME
-from .chunks import AXES, BOX, CORNER, OUT, SIZE, Shape, _alike, _blocks, gather
+from .chunks import AXES, CORNER, OUT, SIZE, Shape, _alike, _blocks, boxes
 
 #: Full width at half maximum of a Gaussian, in standard deviations.
 FWHM = 2 * math.sqrt(2 * math.log(2))
@@ -26,13 +26,7 @@ def patches(chunks: DataFrame, beads: DataFrame, half: Shape, shape: Shape, size
     low = {a: F.col(a) - h for a, h in zip(AXES, half, strict=True)}
     inside = beads.where(" AND ".join(f"{a} >= {h} AND {a} < {n - h}" for a, h, n in zip(AXES, half, shape, strict=True)))
     at = inside.select(*VOLUME, "bead", *[low[a].cast("int").alias(o) for a, o in zip(AXES, OUT[:3], strict=True)])
-    need = at.select(*VOLUME, *OUT[:3]).distinct()
-    for a, h in zip(AXES, half, strict=True):
-        need = need.withColumns({f"on{a}": F.lit(2 * h + 1), f"b{a}0": F.col(f"o{a}0"), f"b{a}1": F.col(f"o{a}0") + 2 * h + 1})
-    for a, s in zip(AXES, size, strict=True):
-        first, last = F.floor(F.col(f"b{a}0") / s), F.floor((F.col(f"b{a}1") - 1) / s)
-        need = need.withColumn(f"{a}0", F.explode(F.sequence((first * s).cast("int"), (last * s).cast("int"), F.lit(s))))
-    cut = gather(chunks, need.select(*VOLUME, *OUT, *BOX, *CORNER), lambda s: s.box, tuple(VOLUME))
+    cut = boxes(chunks, at.withColumns({n: F.lit(2 * h + 1) for n, h in zip(OUT[3:], half, strict=True)}), size)
     named = at.withColumnsRenamed(dict(zip(OUT[:3], CORNER, strict=True)))
     return cut.join(named, [*VOLUME, *CORNER]).select(*VOLUME, "bead", *CORNER, *SIZE, "data")
 
