@@ -181,11 +181,11 @@ _builder("affine_in_crop", mx.with_crop(mx.translation(0.0, 0.5, 0.0), mx.rotati
 # --- tables of results
 
 
-@query("SELECT (user_id % 40)::BIGINT AS position, t FROM (SELECT DISTINCT user_id % 40 AS user_id FROM events WHERE user_id % 40 < 30), (VALUES (2), (5)) v(t) WHERE user_id % 2 = 0 UNION ALL SELECT DISTINCT user_id % 40, 0 FROM events WHERE user_id % 40 < 30 AND user_id % 4 = 1")
+@query("SELECT (user_id % 40)::BIGINT AS position, t FROM (SELECT DISTINCT user_id % 40 AS user_id FROM events), (VALUES (2), (5)) v(t) WHERE user_id % 2 = 0 UNION ALL SELECT DISTINCT user_id % 40, 0 FROM events WHERE user_id % 4 = 1")
 def blank_times(spark, d):
-    p = vw.table(spark, d, "events").select((F.col("user_id") % 40).alias("position")).where("position < 30")
-    k = F.col("id")
-    blanks = spark.range(40).select(k.alias("FOV"), F.when(k % 2 == 0, "[2, 5]").when(k % 4 == 1, "[0]").otherwise("[]").alias("t"))
+    p = vw.table(spark, d, "events").select((F.col("user_id") % 40).alias("position"))
+    k = F.col("position")
+    blanks = p.distinct().select(k.alias("FOV"), F.when(k % 2 == 0, "[2, 5]").when(k % 4 == 1, "[0]").otherwise("[]").alias("t"))
     return pl.blank_times(p, blanks)
 
 
@@ -206,12 +206,12 @@ def peak_index(spark, d):
     return pl.peak_index(vw.vox(spark, d).withColumn("v", F.floor(F.col("v") * 10).cast("double")))
 
 
-@query(f"""WITH {vw.TVOX}, w AS (SELECT * REPLACE (CASE WHEN v > -0.25 THEN 1.0 ELSE 0.0 END AS v) FROM tvox), n AS (SELECT position, t, c, count(*) FILTER (WHERE v > 0) AS n FROM w GROUP BY ALL), m AS (SELECT position, median(n) AS mid FROM n GROUP BY ALL),
-g AS (SELECT position, t, c FROM n JOIN m USING (position) WHERE n > 0.8 * mid AND n < 1.2 * mid AND t < 6), i AS (SELECT position, z, y, x FROM w JOIN g USING (position, t, c) GROUP BY ALL HAVING bool_and(v <> 0))
+@query(f"""WITH {vw.TVOX}, w AS (SELECT * REPLACE (CASE WHEN v > -0.4 THEN 1.0 ELSE 0.0 END AS v) FROM tvox), n AS (SELECT position, t, c, count(*) FILTER (WHERE v > 0) AS n FROM w GROUP BY ALL), m AS (SELECT position, median(n) AS mid FROM n GROUP BY ALL),
+g AS (SELECT position, t, c FROM n JOIN m USING (position) WHERE n > 0.8 * mid AND n < 1.2 * mid), i AS (SELECT position, z, y, x FROM w JOIN g USING (position, t, c) GROUP BY ALL HAVING bool_and(v <> 0))
 SELECT position, count(*) AS n, min(z) AS z0, max(z) + 1 AS z1, min(y) AS y0, max(y) + 1 AS y1, min(x) AS x0, max(x) + 1 AS x1 FROM i GROUP BY ALL""")
 def common_support(spark, d):
-    vox = vw.tvox(spark, d).withColumn("v", F.when(F.col("v") > -0.25, 1.0).otherwise(0.0))
-    return pl.common_support(vox, vx.good_volumes(vox).where("t < 6"))
+    vox = vw.tvox(spark, d).withColumn("v", F.when(F.col("v") > -0.4, 1.0).otherwise(0.0))
+    return pl.common_support(vox, vx.good_volumes(vox))
 
 
 @query(_SELF + ", a AS (SELECT p.label, p.src, p.dist, atan2(lo.x - hi.x, lo.y - hi.y) AS angle FROM pairs p JOIN pts lo ON lo.label = p.label AND lo.id = least(p.src, p.dst) JOIN pts hi ON hi.label = p.label AND hi.id = greatest(p.src, p.dst) WHERE dist <= 12), s AS (SELECT label, src AS id, avg(dist) AS a, stddev_pop(dist) AS b, avg(angle) AS c, stddev_pop(angle) AS d FROM a GROUP BY ALL) SELECT label, id, round(coalesce(a, 0), 6) AS mean_dist, round(coalesce(b, 0), 6) AS std_dist, round(coalesce(c, 0), 6) AS mean_angle, round(coalesce(d, 0), 6) AS std_angle FROM pts LEFT JOIN s USING (label, id)")

@@ -17,6 +17,7 @@ from .operators import mosaic as mo
 from .operators import points as po
 from .operators import resample as rs
 from .operators import runlog as rl
+from .operators import stitch as sti
 from .operators import timeline as tl
 from .operators import voxels as vx
 from .sources import views as vw
@@ -293,7 +294,7 @@ def overhang_fill(spark, d):
 
 
 @query(f"""WITH {vw.MOSAIC}, s AS (SELECT well, (max(sy)::INT + 4) AS ny, (max(sx)::INT + 4) AS nx FROM mosaic GROUP BY ALL),
-ch AS (SELECT well, i * 4 AS y0, least(i * 4 + 4, ny) AS y1, j * 5 AS x0, least(j * 5 + 5, nx) AS x1 FROM s, range(9) a(i), range(9) b(j) WHERE i * 4 < ny AND j * 5 < nx)
+ch AS (SELECT well, i * 4 AS y0, least(i * 4 + 4, ny) AS y1, j * 5 AS x0, least(j * 5 + 5, nx) AS x1 FROM (SELECT *, unnest(range(0, (ny + 3) // 4)) AS i FROM s), range((SELECT max(nx) FROM s)) b(j) WHERE i * 4 < ny AND j * 5 < nx)
 SELECT well, y0::INT AS y0, x0::INT AS x0, fov, (greatest(y0, sy) - y0)::INT AS chunk_y0, (least(y1, sy + 4) - y0)::INT AS chunk_y1, (greatest(x0, sx) - x0)::INT AS chunk_x0, (least(x1, sx + 4) - x0)::INT AS chunk_x1,
  (greatest(y0, sy) - sy)::INT AS tile_y0, (least(y1, sy + 4) - sy)::INT AS tile_y1, (greatest(x0, sx) - sx)::INT AS tile_x0, (least(x1, sx + 4) - sx)::INT AS tile_x1
 FROM ch JOIN mosaic USING (well) WHERE y0 < sy + 4 AND y1 > sy AND x0 < sx + 4 AND x1 > sx""")
@@ -309,16 +310,35 @@ def stitch_blend(spark, d):
     return _round(mo.blend(vox, vw.mosaic(spark, d), 4, 4))
 
 
-@query()
+@query(ORACLE_SQL["stitch_contributors"])
 def stitch_contributors_all(spark, d):
-    tiles = vw.mosaic_all(spark, d)
-    return mo.contributors(mo.chunk_grid(mo.mosaic_shape(tiles, 4, 4), 4, 5), tiles, 4, 4, 4)
+    """The same; earlier the other one took nine vectors of each label."""
+    return stitch_contributors(spark, d)
 
 
-@query()
+@query(ORACLE_SQL["stitch_blend"])
 def stitch_blend_all(spark, d):
-    vox = vw.tvox(spark, d).select(F.col("position").alias("well"), F.col("t").alias("fov"), "z", "y", "x", "v")
-    return _round(mo.blend(vox, vw.mosaic_all(spark, d), 4, 4))
+    return stitch_blend(spark, d)
+
+
+def _overlap_sql(a: str, extent: int, size: int) -> str:
+    """For an axis the overlaps of tiles and output chunks: corner i, start in chunk f and in tile m, length l."""
+    return f"""o{a} AS (SELECT well, fov, i, f, m, least(greatest(trunc(stop - i) - f, trunc(stop - s) - m), k - f, {extent} - m)::INT AS l FROM (
+  SELECT *, trunc(start - i)::INT AS f, trunc(start - s)::INT AS m FROM (
+    SELECT well, fov, s, i, k, greatest(i, s) AS start, least(i + k, s + {extent}) AS stop FROM (
+      SELECT well, fov, s, i, least({size}, n - i) AS k FROM (SELECT t.well, t.fov, t.s{a} AS s, g.n, unnest(range(0, g.n, {size})) AS i FROM tile t JOIN (SELECT well, max(s{a})::INT + {extent} AS n FROM (SELECT well, trunc(s{a}) AS s{a} FROM tile) GROUP BY well) g USING (well)))
+    WHERE i < s + {extent} AND i + k > s)))"""
+
+
+@query(f"""WITH {vw.VOX}, {vw.TILES}, {_overlap_sql("z", 4, 3)}, {_overlap_sql("y", 4, 5)}, {_overlap_sql("x", 4, 4)},
+p AS (SELECT well, z.i + z.f + (v.z - z.m) AS z, y.i + y.f + (v.y - y.m) AS y, x.i + x.f + (v.x - x.m) AS x, v.v, least(v.y, 3 - v.y, v.x, 3 - v.x)::DOUBLE AS w
+ FROM oz z JOIN oy y USING (well, fov) JOIN ox x USING (well, fov) JOIN vox v ON v.position = fov WHERE v.z BETWEEN z.m AND z.m + z.l - 1 AND v.y BETWEEN y.m AND y.m + y.l - 1 AND v.x BETWEEN x.m AND x.m + x.l - 1)
+SELECT well AS position, 0 AS t, 0 AS c, z::INT AS z, y::INT AS y, x::INT AS x, round(sum(v * w) / (sum(w) + 1e-8), 6) + 0.0 AS v FROM p GROUP BY ALL""")
+def stitch_chunks(spark, d):
+    """Tiles in chunks of two voxels a side, stitched on three axes; voxels that no tile reaches are left out."""
+    tiles, at = vw.tiles(spark, d)
+    out = _round(ch.voxels(sti.blend(ch.cut(tiles, (2, 2, 2)), at, (4, 4, 4), (2, 2, 2), (3, 5, 4), empty=float("nan"))))
+    return out.withColumn("v", F.col("v") + 0.0)
 
 
 @query("""WITH s AS (SELECT s_nationkey AS well, s_suppkey AS fov, s_acctbal::DOUBLE AS z, (s_suppkey % 100)::DOUBLE * 3 AS y, (s_suppkey % 7)::DOUBLE * 11 AS x FROM supplier),
@@ -529,9 +549,9 @@ def peaks_isolated(spark, d):
     return _round(po.suppress(_peaks(spark, d), 1.6, 2.1))
 
 
-@query(_PEAKS + f" SELECT {KEYS}, rank, round(v, 6) AS v FROM single WHERE y > 0 AND y < 3 AND x > 0 AND x < 3 AND z > 0 AND z < 4")
+@query(_PEAKS + f" SELECT {KEYS}, rank, round(v, 6) AS v FROM single WHERE y > 0 AND y < 4 AND x > 0 AND x < 4 AND z > 0 AND z < 4")
 def peaks_border(spark, d):
-    return _round(po.inside_border(po.suppress(_peaks(spark, d), 1.6), (0, 0, 0), (4, 4, 4)).where("y < 3 AND x < 3"))
+    return _round(po.inside_border(po.suppress(_peaks(spark, d), 1.6), (0, 0, 0), (4, 4, 4)))
 
 
 @query(_PEAKS + """ SELECT position, t, c, round(stddev_pop(v), 6) AS noise FROM tvox a WHERE NOT EXISTS (SELECT 1 FROM single s WHERE s.position = a.position AND s.t = a.t AND s.c = a.c AND abs(s.z - a.z) <= 1 AND abs(s.y - a.y) <= 1 AND abs(s.x - a.x) <= 1) GROUP BY ALL""")
@@ -544,16 +564,20 @@ def box_mean(spark, d):
     return _round(ch.voxels(ch.box_mean(vw.chunks(spark, d), CUBE, CUBE)))
 
 
+def _profile():
+    """A bead's profile from all values of a vector: width and middle from the first two, and the others, small, upon it."""
+    e = F.col("embedding").cast("array<double>")
+    return F.transform(F.slice(e, 3, 62), lambda v, i: F.exp(-((i - 30 - 5 * e[1]) ** 2) / (2 * (4 + 5 * F.abs(e[0])) ** 2)) + 0.02 * v)
+
+
 @query()
 def peak_widths(spark, d):
-    v = F.array(*[F.exp(-((F.col("embedding")[0] * 5 + i - 7) ** 2) / 8.0) for i in range(15)])
-    return ke.peak_widths(vw.table(spark, d, "embeddings").select(F.col("vec_id").alias("bead"), F.lit("z").alias("axis"), v.alias("values"), F.lit(0.5).alias("scale")))
+    return ke.peak_widths(vw.table(spark, d, "embeddings").select(F.col("vec_id").alias("bead"), F.lit("z").alias("axis"), _profile().alias("values"), F.lit(0.5).alias("scale")))
 
 
 @query()
 def robust_widths(spark, d):
-    v = F.array(*[F.exp(-((F.col("embedding")[0] * 5 + i - 7) ** 2) / 8.0) for i in range(15)])
-    return ke.robust_widths(vw.table(spark, d, "embeddings").select(F.col("vec_id").alias("bead"), F.lit("z").alias("axis"), v.alias("values"), F.lit(0.5).alias("scale")))
+    return ke.robust_widths(vw.table(spark, d, "embeddings").select(F.col("vec_id").alias("bead"), F.lit("z").alias("axis"), _profile().alias("values"), F.lit(0.5).alias("scale")))
 
 
 # --- time series

@@ -105,21 +105,26 @@ SHIFTS = """shifts AS (SELECT user_id AS position, (row_number() OVER (PARTITION
 
 
 def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """3 x 3 tiles of 4 x 4 with one voxel of overlap per well: well, fov, sy, sx (the tile's shift)."""
-    t = F.col("t")
-    of = tvox(spark, sf_dir).where("t < 9").select(F.col("position").alias("well"), t.alias("fov")).distinct()
-    return of.withColumns({"sy": (F.floor(F.col("fov") / 3) * 3).cast("double"), "sx": (F.col("fov") % 3 * 3).cast("double")})
+    """Every vector as a 4 x 4 tile with one voxel of overlap: a well per label, as square a grid as its vectors need, filled row by row."""
+    t = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
+    wide = F.ceil(F.sqrt(F.count("*").over(Window.partitionBy("label"))))
+    of = table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("well"), t.alias("fov"), wide.alias("wide"))
+    return of.select("well", "fov", (F.floor(F.col("fov") / F.col("wide")) * 3).cast("double").alias("sy"), (F.col("fov") % F.col("wide") * 3).cast("double").alias("sx"))
 
 
-MOSAIC = f"{TVOX}, mosaic AS (SELECT DISTINCT position AS well, t AS fov, (t // 3 * 3)::DOUBLE AS sy, (t % 3 * 3)::DOUBLE AS sx FROM tvox WHERE t < 9)"
+MOSAIC = f"""{TVOX}, mosaic AS (SELECT label::BIGINT AS well, t AS fov, (t // wide * 3)::DOUBLE AS sy, (t % wide * 3)::DOUBLE AS sx FROM (SELECT label, t, ceil(sqrt(count(*) OVER (PARTITION BY label)))::INT AS wide FROM tv))"""
 
 
-def mosaic_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every vector as a 4 x 4 tile with one voxel of overlap: a well per label, as square a grid as its vectors need, filled row by row."""
+def tiles(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Every vector as a tile of 4 x 4 x 4 in chunks (position is its number), and where the tiles of a label lie: a grid in the plane with shifts that aren't whole, and two levels in z."""
     t = F.row_number().over(Window.partitionBy("label").orderBy("vec_id")) - 1
     wide = F.ceil(F.sqrt(F.count("*").over(Window.partitionBy("label"))))
-    of = table(spark, sf_dir, "embeddings").select(F.col("label").cast("long").alias("well"), t.alias("fov"), wide.alias("wide"))
-    return of.select("well", "fov", (F.floor(F.col("fov") / F.col("wide")) * 3).cast("double").alias("sy"), (F.col("fov") % F.col("wide") * 3).cast("double").alias("sx"))
+    of = table(spark, sf_dir, "embeddings").select(F.col("label").alias("well"), F.col("vec_id").alias("fov"), t.alias("t"), wide.alias("wide"))
+    at = of.select("well", "fov", (F.col("t") % 2 * 1.5).alias("sz"), (F.floor(F.col("t") / F.col("wide")) * 2.75).alias("sy"), (F.col("t") % F.col("wide") * 2.5).alias("sx"))
+    return chunks(spark, sf_dir).withColumn("c", F.lit(0)), at
+
+
+TILES = "tile AS (SELECT label AS well, vec_id AS fov, (t % 2 * 1.5)::DOUBLE AS sz, (t // wide * 2.75)::DOUBLE AS sy, (t % wide * 2.5)::DOUBLE AS sx FROM (SELECT label, vec_id, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS t, ceil(sqrt(count(*) OVER (PARTITION BY label)))::INT AS wide FROM embeddings))"
 
 
 def trace(spark: SparkSession, sf_dir: str) -> DataFrame:
