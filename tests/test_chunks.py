@@ -41,6 +41,24 @@ def test_chunks_with_neighbours(volumes):
     _same(ch.flat_field(whole), ch.flat_field(ch.cut(whole, (5, 3, 4))))
 
 
+@pytest.mark.parametrize("axis", ["z", "y", "x"])
+def test_flat_field_over_split_axes(volumes, axis):
+    whole, cut = volumes
+    got = ch.flat_field(cut, axis, [0], SHAPE, SIZE)
+    _same(ch.flat_field(whole, axis, [0]), got)
+    assert {tuple(r)[:6] for r in got.select(*ch.VOLUME, *ch.CORNER).collect()} == {tuple(r)[:6] for r in cut.select(*ch.VOLUME, *ch.CORNER).collect()}
+    with pytest.raises(Exception, match="give shape and size"):
+        ch.flat_field(cut, axis).collect()
+
+
+def test_retile(volumes):
+    whole, cut = volumes
+    again = ch.retile(cut, SHAPE, SIZE, (5, 2, 3))
+    _same(whole, again)
+    assert {(r.nz, r.ny, r.nx) for r in again.collect()} == {(5, 2, 3), (5, 2, 1)}
+    assert ch._spanning((1000, 500, 600), (10, 250, 300), 0) == (1000, 250, 3)
+
+
 def test_interior_box_against_a_plain_search(spark):
     rng, rows, want = np.random.default_rng(5), [], {}
     for p in range(6):
@@ -85,7 +103,7 @@ def test_output_chunks_split_over_arrow_batches(spark, volumes):
         after = [r.asDict() for r in ch.deskew(cut, SHAPE, SIZE, 30.0, 0.75, 9).sort("position", "t", "c", "z0", "y0", "x0").collect()]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    assert str(before) == str(after) and len(before) == 8 * 3 * 2 * 3
+    assert str(before) == str(after) and len(before) == 8 * 27
 
 
 def test_stacks_are_bounded(spark, volumes, monkeypatch):

@@ -50,7 +50,7 @@ def test_padded_phase_correlation(spark):
     assert ke.padded_phase_shift(a, b) == (1, -2, 1)
     rows = [(7, t, 1, *map(int, at), float(v)) for t, m in enumerate((a, b)) for at, v in np.ndenumerate(m)]
     vox = spark.createDataFrame(rows, "position bigint, t int, c int, z int, y int, x int, v double")
-    got = {r.t: r.matrix for r in ke.shift_matrices(ke.phase_cross_correlation(vox, most=1.2)).collect()}
+    got = {r.t: r.matrix for r in ke.shift_matrices(ke.phase_cross_correlation(ke.volume_chunks(vox), most=1.2)).collect()}
     assert got[0] == np.eye(4).ravel().tolist()
     assert [got[1][i] for i in (3, 7, 11)] == [1, -2, 1] and got[1][15] == 1
 
@@ -63,7 +63,69 @@ def test_phase_correlation_groups_are_pairs(spark, mode):
         rows += [(7, t, 1, *map(int, at), float(v)) for at, v in np.ndenumerate(volumes[-1][1]) for at in [at]]
     for k, (t, v) in enumerate(volumes):
         want[t] = ke.phase_shift(volumes[max(0, k - 1) if mode == "previous" else 0][1], v)
-    got = ke.phase_cross_correlation(spark.createDataFrame(rows, "position bigint, t int, c int, z int, y int, x int, v double"), mode)
+    got = ke.phase_cross_correlation(ke.volume_chunks(spark.createDataFrame(rows, "position bigint, t int, c int, z int, y int, x int, v double")), mode)
     assert {r.t: (r.dz, r.dy, r.dx) for r in got.collect()} == want
-    line = next(x for x in _plan(got).splitlines() if "FlatMapGroupsInPandas" in x)
-    assert " t#" in line.split("]")[0]
+    assert "FlatMapGroupsInPandas" not in _plan(got)
+
+
+def test_main_directions_against_svd(spark):
+    rng, points, edges, want = np.random.default_rng(8), [], [], {}
+    for label, scale in ((1, (9, 2, 1)), (2, (1, 1, 30))):
+        at = rng.normal(0, scale, (40, 3)) + 500
+        points += [(label, i, *map(float, p)) for i, p in enumerate(at)]
+        for i in range(38):
+            near = rng.choice([j for j in range(40) if j != i], rng.integers(1, 8), replace=False)
+            edges += [(label, i, int(j)) for j in near]
+            x = at[near]
+            _, s, vt = np.linalg.svd(x - x.mean(0), full_matrices=False)
+            want[label, i] = len(near), vt[0], s[0] / (s[-1] + 1e-5)
+    got = ke.pca_features(spark.createDataFrame(points, "label int, id bigint, z double, y double, x double"), spark.createDataFrame(edges, "label int, src bigint, dst bigint"))
+    assert "FlatMapGroupsInPandas" not in _plan(got)
+    for r in got.collect():
+        if r.id >= 38:
+            assert r.pz is None and r.anisotropy is None
+            continue
+        n, main, ratio = want[r.label, r.id]
+        if n > 1:
+            assert abs(np.dot([r.pz, r.py, r.px], main)) > 1 - 1e-6 and max(r.pz, r.py, r.px, key=abs) > 0
+            assert r.anisotropy == pytest.approx(ratio, rel=1e-4)
+
+
+def test_exponential_fit(spark):
+    t = np.arange(60.0)
+    rows = [(p, int(k), c, float(a * np.exp(-k / b) + o), float(0.1 + 0.01 * k)) for p, c, a, b, o in ((1, 0, 50.0, 20.0, 7.0), (1, 1, 5.0, 90.0, -3.0), (2, 0, 800.0, 8.0, 100.0)) for k in t]
+    rows += [(3, k, 0, 1.0 + k, 1.0) for k in range(2)]
+    got = {(r.position, r.c): r for r in ke.exponential_fit(spark.createDataFrame(rows, "position int, t int, c int, mean double, std double")).collect()}
+    for key, a, b, o in (((1, 0), 50, 20, 7), ((1, 1), 5, 90, -3), ((2, 0), 800, 8, 100)):
+        assert [got[key].a, got[key].lifetime, got[key].offset] == pytest.approx([a, b, o], rel=1e-4)
+    assert got[3, 0].lifetime is None
+
+
+def test_focus_plane(spark):
+    """The plane with stripes in the band of frequencies, not the one with the brightest or the finest."""
+    y, x = np.meshgrid(np.arange(16), np.arange(16), indexing="ij")
+    rows, want = [], {1: 2, 2: 0}
+    for p, focus in want.items():
+        v = np.ones((4, 16, 16)) * np.array([5, 900, 7, 3])[:, None, None]
+        v[focus] += 3 * np.cos(2 * np.pi * 3 * x / 16)
+        v[3] += 50 * np.cos(np.pi * (x + y))
+        rows += [(p, 0, 0, *map(int, at), float(n)) for at, n in np.ndenumerate(v)]
+    got = ke.focus_plane(spark.createDataFrame(rows, "position int, t int, c int, z int, y int, x int, v double")).collect()
+    assert {r.position: r.plane for r in got} == want
+
+
+def test_deconvolve(spark):
+    """Against the filter written out over a dense Fourier matrix."""
+    rng, shape, strength = np.random.default_rng(2), (3, 4, 5), 1e-2
+    v, psf = rng.normal(2, 1, shape), rng.random((1, 3, 3))
+    f = [np.exp(-2j * np.pi * np.outer(np.arange(n), np.arange(n)) / n) for n in shape]
+    fourier = lambda a: np.einsum("ai,bj,ck,ijk->abc", *f, a)
+    kernel = np.zeros(shape)
+    kernel[:1, :3, :3] = psf
+    h = np.abs(fourier(kernel))
+    h /= h.max()
+    back = [np.conj(m) / len(m) for m in f]
+    want = np.einsum("ai,bj,ck,ijk->abc", *back, fourier(v) * h / (h * h + strength)).real
+    rows = [(1, 0, 0, *map(int, at), float(n)) for at, n in np.ndenumerate(v)]
+    got = ke.deconvolve(spark.createDataFrame(rows, "position int, t int, c int, z int, y int, x int, v double"), psf, strength).collect()
+    assert {(r.z, r.y, r.x): pytest.approx(r.v, abs=1e-9) for r in got} == dict(np.ndenumerate(want))

@@ -86,9 +86,17 @@ def project(chunks: DataFrame, how: str = "mean", axis: str = "z") -> DataFrame:
     return map_blocks(chunks, lambda b, r: getattr(np, how)(b, axis=k, keepdims=True))
 
 
-def flat_field(chunks: DataFrame, axis: str = "z", channels: list[int] | None = None) -> DataFrame:
-    """v / pattern x mean(pattern), where the pattern is the median along an axis, which chunks span, and its mean is that of the whole volume. Where the pattern is 0 the result is NaN (a plain division would give inf or NaN). Channels outside the list pass through."""
+def flat_field(chunks: DataFrame, axis: str = "z", channels: list[int] | None = None, shape: Shape | None = None, size: Shape | None = None) -> DataFrame:
+    """v / pattern x mean(pattern), where the pattern is the median along an axis, and its mean is that of the whole volume. Where the pattern is 0 the result is NaN (a plain division would give inf or NaN). Channels outside the list pass through.
+
+    A median needs the axis in one piece. Chunks that don't span it need shape and size, the volumes' and the chunks': they are cut anew, as long as the volume on that axis and so much narrower on another that they hold no more than before, and the result is
+    cut back. Without these, a chunk that begins behind the axis' start is an error."""
     k = AXES.index(axis)
+    if shape is not None and size is not None and size[k] < shape[k]:
+        fits = _spanning(shape, size, k)
+        return retile(flat_field(retile(chunks, shape, size, fits), axis, channels), shape, fits, size)
+    whole = F.when(F.col(f"{axis}0") == 0, F.col("data")).otherwise(F.raise_error(F.lit(f"chunks don't span {axis}: give shape and size")))
+    chunks = chunks.withColumn("data", whole)
     picked = chunks if channels is None else chunks.where(F.col("c").isin(channels))
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -108,6 +116,16 @@ def flat_field(chunks: DataFrame, axis: str = "z", channels: list[int] | None =
     return map_blocks(chunks.join(level, VOLUME, "left"), corrected)
 
 
+def _spanning(shape: Shape, size: Shape, k: int) -> Shape:
+    """The size of chunks as long as the shape on axis k that hold about as much as those of the size."""
+    out = list(size)
+    out[k] = shape[k]
+    for other in sorted((a for a in range(3) if a != k), key=lambda a: -size[a]):
+        most = math.prod(size) // max(1, math.prod(n for a, n in enumerate(out) if a != other))
+        out[other] = max(1, min(out[other], most))
+    return tuple(out)
+
+
 # --- chunks and their neighbours
 
 
@@ -223,6 +241,13 @@ def gather(chunks: DataFrame, need: DataFrame, fn: Callable[[Stack], np.ndarray]
     return joined.repartition(tasks, *group).sortWithinPartitions(*group).mapInArrow(run, schema(chunks))
 
 
+def retile(chunks: DataFrame, shape: Shape, size: Shape, out_size: Shape) -> DataFrame:
+    """The same volumes in chunks of another size."""
+    rows = list(needs(lambda a, b: (a, b + 1), shape, size, shape, out_size))
+    need = F.broadcast(chunks.sparkSession.createDataFrame(rows, NEED))  # as many rows as shapes have chunks; no data
+    return gather(chunks, need, lambda s: s.box)
+
+
 def boxes(chunks: DataFrame, wanted: DataFrame, size: Shape) -> DataFrame:
     """The boxes of wanted (position, t, c and OUT: corner and size), put together from the chunks of a grid of the size that they meet; NaN where there is no chunk. Boxes that meet no chunk at all are absent; equal ones are made once."""
     need = wanted.select(*VOLUME, *OUT).distinct()

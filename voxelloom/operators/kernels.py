@@ -25,10 +25,10 @@ def dense(pdf: pd.DataFrame, value: str = "v") -> np.ndarray:
 
 def phase_shift(a: np.ndarray, b: np.ndarray, normalise: bool = True) -> tuple[int, ...]:
     """The whole shift of b against a at the peak of their phase correlation; ties: the first voxel."""
-    cross = np.fft.rfftn(a) * np.conj(np.fft.rfftn(b))
+    cross = np.fft.rfftn(a, axes=range(a.ndim)) * np.conj(np.fft.rfftn(b, axes=range(a.ndim)))
     if normalise:
         cross /= np.maximum(np.abs(cross), np.finfo(float).eps)
-    peak = np.unravel_index(np.argmax(np.round(np.abs(np.fft.irfftn(cross, a.shape)), 9)), a.shape)
+    peak = np.unravel_index(np.argmax(np.round(np.abs(np.fft.irfftn(cross, a.shape, axes=range(a.ndim))), 9)), a.shape)
     return tuple(int(p if p <= n // 2 else p - n) for p, n in zip(peak, a.shape, strict=True))
 
 
@@ -63,20 +63,50 @@ def shift_matrices(shifts: DataFrame) -> DataFrame:
     return shifts.withColumn("matrix", F.when(known, F.concat(*rows, F.array(*map(F.lit, (0.0, 0.0, 0.0, 1.0))))))
 
 
-def phase_cross_correlation(vox: DataFrame, mode: str = "previous", normalise: bool = True, most: float | None = None) -> DataFrame:
-    """The shift of each time point against the one before (or the first): position, c, t, dz, dy, dx. A group has two volumes, however long the time lapse. most: pad the volumes, see padded_phase_shift."""
+def volume_chunks(vox: DataFrame) -> DataFrame:
+    """Voxels as chunks of whole volumes, from the corner 0 to the last voxel on each axis; absent ones are NaN."""
+    size = [(F.max(a) + 1).cast("int").alias(f"n{a}") for a in AXES]
+    each = vox.groupBy(*VOLUME).agg(*size, F.collect_list(F.struct(*AXES, "v")).alias("voxels"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            data = []
+            for r in pdf.itertuples():
+                out = np.full((r.nz, r.ny, r.nx), np.nan)
+                at = np.array([(v["z"], v["y"], v["x"]) for v in r.voxels])
+                out[tuple(at.T)] = [v["v"] for v in r.voxels]
+                data.append(out.ravel())
+            yield pdf[[*VOLUME, "nz", "ny", "nx"]].assign(z0=0, y0=0, x0=0, data=data)
+
+    return each.mapInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, t int, c int, nz int, ny int, nx int, z0 int, y0 int, x0 int, data array<double>")
+
+
+def phase_cross_correlation(chunks: DataFrame, mode: str = "previous", normalise: bool = True, most: float | None = None) -> DataFrame:
+    """The shift of each time point against the one before (or the first): position, c, t, dz, dy, dx. chunks: a chunk for each volume (chunks.retile, or volume_chunks of voxels); absent voxels count as 0.
+    most: pad the volumes, see padded_phase_shift.
+
+    Which time points go together is worked out on their numbers alone; then a row has the two volumes of a pair, so the pairs of a long time lapse spread over tasks."""
     w = Window.partitionBy("position", "c").orderBy("t")
     of = F.coalesce(F.lag("t").over(w), F.col("t")) if mode == "previous" else F.first("t").over(w)
-    times = vox.select("position", "c", "t").distinct().select(F.col("position").alias("p_"), F.col("c").alias("c_"), F.col("t").alias("t_"), of.alias("of"))
-    ref = vox.join(times, F.col("position").eqNullSafe(F.col("p_")) & F.col("c").eqNullSafe(F.col("c_")) & (F.col("t") == F.col("of")))
-    both = vox.select("position", "c", "t", *AXES, "v", F.lit(False).alias("ref")).union(ref.select("position", "c", "t_", *AXES, "v", F.lit(True)))
+    size = ["nz", "ny", "nx"]
+    times = chunks.select("position", "c", "t").withColumn("of", of)
+    ref = chunks.select("position", "c", F.col("t").alias("of"), F.array(*size).alias("a_size"), F.col("data").alias("a"))
+    pairs = times.join(chunks.select("position", "c", "t", F.array(*size).alias("b_size"), F.col("data").alias("b")), ["position", "c", "t"]).join(ref, ["position", "c", "of"])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = dense(pdf[pdf["ref"]]), dense(pdf[~pdf["ref"]])
-        shift = phase_shift(a, b, normalise) if most is None else padded_phase_shift(a, b, most, normalise)
-        return pd.DataFrame([(*pdf[["position", "c", "t"]].iloc[0], *map(float, shift))], columns=["position", "c", "t", "dz", "dy", "dx"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            volume = lambda n, i: np.nan_to_num(np.array(batch.column(n)[i].values.to_numpy(zero_copy_only=False), float)).reshape(batch.column(f"{n}_size")[i].as_py())  # noqa: B023, E731
+            found = []
+            for i in range(batch.num_rows):
+                a, b = volume("a", i), volume("b", i)
+                if most is None and a.shape != b.shape:
+                    wide = np.maximum(a.shape, b.shape)
+                    a, b = (np.pad(v, [(0, k - n) for k, n in zip(wide, v.shape, strict=True)]) for v in (a, b))
+                found.append(phase_shift(a, b, normalise) if most is None else padded_phase_shift(a, b, most, normalise))
+            shifts = [pa.array([float(f[k]) for f in found], pa.float64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("position", "c", "t")), *shifts], names=["position", "c", "t", "dz", "dy", "dx"])
 
-    return both.groupBy("position", "c", "t").applyInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, c int, t int, dz double, dy double, dx double")
+    return pairs.mapInArrow(run, f"position {chunks.schema['position'].dataType.simpleString()}, c int, t int, dz double, dy double, dx double")
 
 
 def deconvolve(vox: DataFrame, psf: np.ndarray, strength: float = 1e-3) -> DataFrame:
@@ -266,17 +296,28 @@ def hungarian_costs(costs: DataFrame, quantile: float = 0.1, max_ratio: float |
 
 
 def pca_features(points: DataFrame, edges: DataFrame) -> DataFrame:
-    """Each point's main direction among its neighbours and its anisotropy; nulls without neighbours. edges: label, src, dst."""
+    """Each point's main direction among its neighbours and its anisotropy; nulls without neighbours. edges: label, src, dst. Covariances of neighbours are aggregates; directions are worked out for all points of an Arrow batch together."""
     p = points.select("label", F.col("id").alias("dst"), *AXES)
-    near = edges.select("label", "src", "dst").join(p, ["label", "dst"])
+    pairs = [(a, b) for i, a in enumerate(AXES) for b in AXES[i:]]
+    sums = edges.select("label", "src", "dst").join(p, ["label", "dst"]).groupBy("label", "src").agg(F.count("*").alias("n"), *[F.covar_pop(a, b).alias(f"{a}{b}") for a, b in pairs])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf.sort_values("dst")[AXES].to_numpy()
-        _, s, vt = np.linalg.svd(x - x.mean(0), full_matrices=False)
-        v = vt[0] * (1 if vt[0][np.argmax(np.abs(vt[0]))] > 0 else -1)
-        return pd.DataFrame([(pdf["label"].iloc[0], pdf["src"].iloc[0], *v, float(s[0] / (s[-1] + 1e-5)))], columns=["label", "id", "pz", "py", "px", "anisotropy"])
-
-    found = near.groupBy("label", "src").applyInPandas(run, "label int, id bigint, pz double, py double, px double, anisotropy double")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.column("n").to_numpy()
+            cov = np.empty((batch.num_rows, 3, 3))
+            for a, b in pairs:
+                i, j = AXES.index(a), AXES.index(b)
+                cov[:, i, j] = cov[:, j, i] = batch.column(f"{a}{b}").to_numpy(zero_copy_only=False)
+            value, vector = np.linalg.eigh(cov)
+            spread = np.sqrt(np.maximum(value, 0) * n[:, None])
+            main = vector[:, :, 2]
+            main = main * np.where(np.take_along_axis(main, np.abs(main).argmax(1)[:, None], 1) > 0, 1, -1)
+            # Up to three neighbours lie in a plane: nothing is left across it.
+            last = np.where(n <= 3, 0.0, spread[:, 0])
+            columns = [*main.T, spread[:, 2] / (last + 1e-5)]
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("src"), *map(pa.array, columns)], names=["label", "id", "pz", "py", "px", "anisotropy"])
+
+    found = sums.mapInArrow(run, f"label {points.schema['label'].dataType.simpleString()}, id {points.schema['id'].dataType.simpleString()}, pz double, py double, px double, anisotropy double")
     return points.select("label", "id").join(found, ["label", "id"], "left")
 
 

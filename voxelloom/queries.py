@@ -683,12 +683,12 @@ def transform_spline(spark, d):
 
 @query()
 def phase_cross_correlation(spark, d):
-    return ke.phase_cross_correlation(vw.tvox(spark, d))
+    return ke.phase_cross_correlation(vw.tchunks(spark, d))
 
 
 @query()
 def phase_cross_correlation_padded(spark, d):
-    return ke.shift_matrices(ke.phase_cross_correlation(vw.tvox(spark, d), most=1.2))
+    return ke.shift_matrices(ke.phase_cross_correlation(vw.tchunks(spark, d), most=1.2))
 
 
 @query(f"""WITH {vw.SHIFTS}, m AS (SELECT position, t, [1.0, 0, 0, dz, 0, 1, 0, dy, 0, 0, 1, dx, 0, 0, 0, 1]::DOUBLE[] AS m FROM shifts WHERE dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL)
