@@ -7,8 +7,6 @@ import math
 import numpy as np
 
 Matrix = list[list[float]]
-#: From the most special to the most general; a composition has the more general kind.
-KINDS = ("euclidean", "rigid", "similarity", "affine")
 
 
 def identity() -> Matrix:
@@ -44,6 +42,16 @@ def mirror_x(width: float) -> Matrix:
     return m.tolist()
 
 
+def approximate(moving: tuple[int, int, int], fixed: tuple[int, int, int], moving_voxel: tuple[float, float, float], fixed_voxel: tuple[float, float, float], quarter_turns: int = -1, mirror: bool = False) -> Matrix:
+    """The matrix from fixed to moving voxels of volumes of these shapes (z, y, x) and voxel sizes before anything is estimated: the moving one mirrored along x if asked for, turned by quarters in the plane about the centres, and scaled about the fixed one's
+    centre by the voxels' ratios (that of x for y, too)."""
+    depth, wide = moving_voxel[0] / fixed_voxel[0], moving_voxel[2] / fixed_voxel[2]
+    scale = np.array(rescale_about(wide, fixed[1:], fixed[1:]))
+    scale[0, 0] = depth
+    flip = mirror_x(moving[2]) if mirror else identity()
+    return invert(compose(scale.tolist(), rotation_about(90.0 * quarter_turns, moving[1:], fixed[1:]), flip))
+
+
 def compose(*matrices: Matrix) -> Matrix:
     """The first matrix applied last."""
     out = np.eye(4)
@@ -52,10 +60,6 @@ def compose(*matrices: Matrix) -> Matrix:
     return out.tolist()
 
 
-def more_general(a: str, b: str) -> str:
-    return KINDS[max(KINDS.index(a), KINDS.index(b))]
-
-
 def invert(m: Matrix) -> Matrix:
     return np.linalg.inv(np.array(m)).tolist()
 

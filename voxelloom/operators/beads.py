@@ -75,7 +75,7 @@ def refine(matrices: DataFrame, moving: DataFrame, reference: DataFrame, m: Matc
     """One refinement of each cloud's matrix: key, matrix, score. The moved points are matched, a correction is fitted and put after the matrix, and the better of both by overlap stays (the corrected one where equal). Fewer than LEAST matches: null and -1."""
     here = move(moving, matrices, key)
     before = po.overlap_score(here, reference, m.radius, key).withColumnRenamed("score", "before")
-    fits = ke.fit_affine(filtered(pairs(here, reference, key), m, key), m.kind, key, LEAST).withColumnRenamed("matrix", "fit")
+    fits = ke.fit_affine(filtered(pairs(here, reference, key), m, key), m.kind, key, LEAST).select(key, F.col("matrix").alias("fit"))
     step = matrices.join(before, key).join(fits, key).where("fit IS NOT NULL").withColumn("composed", _product(F.col("fit"), F.col("matrix")))
     step = kept(step, "corrections")
     after = po.overlap_score(move(moving, step.select(key, "composed"), key, "composed"), reference, m.radius, key).withColumnRenamed("score", "after")
@@ -131,7 +131,7 @@ def trials(moving: DataFrame, reference: DataFrame, initial: DataFrame, grid: di
     turned = po.filter_direction(near.where("_t.degrees > 0"), 180.0, "run").where(F.col("angle") <= F.col("_t.degrees")).drop("angle")
     matches = near.where("_t.degrees = 0").unionByName(turned)
     counts = matches.groupBy("run").agg(F.count("*").alias("n"))
-    fits = ke.fit_affine(matches, m.kind, "run", LEAST).where("matrix IS NOT NULL").join(counts, "run")
+    fits = ke.fit_affine(matches, m.kind, "run", LEAST).drop("inverse").where("matrix IS NOT NULL").join(counts, "run")
     fits = fits.withColumn("cloud", F.col("run.cloud")).join(few(initial.select(F.col(key).alias("cloud"), F.col("matrix").alias("first"))), "cloud")
     fits = kept(fits.select("cloud", "run", "n", _product(F.col("matrix"), F.col("first")).alias("matrix")), "trials")
     moved = move(moving.withColumnRenamed(key, "cloud"), fits.select("cloud", "run", "matrix"), "cloud")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.views import VOLUME
+from .chunks import affine
 
 AXES = ["z", "y", "x"]
 BOX = ["z0", "z1", "y0", "y1", "x0", "x1"]
@@ -204,32 +205,47 @@ def interior_box(vox: DataFrame) -> DataFrame:
     return vox.groupBy(*VOLUME).applyInPandas(run, f"position {vox.schema['position'].dataType.simpleString()}, t int, c int, {', '.join(f'{b} int' for b in BOX)}")
 
 
-def overlap_box(transforms: DataFrame, moving: tuple[int, int, int], fixed: tuple[int, int, int], matrix: str = "matrix") -> DataFrame:
-    """transforms (matrix: 16 numbers, from fixed to moving voxels) with the box of fixed voxels, see interior(), that the moving volume covers: those whose source lies at most half a voxel outside its voxels' centres.
+def box_of_overlap(m: np.ndarray, moving: tuple[int, int, int], fixed: tuple[int, int, int]) -> tuple[int, ...]:
+    """The box of fixed voxels, see interior(), that a moving volume covers under a matrix from fixed to moving voxels: those whose source lies at most half a voxel outside its voxels' centres. Only the planes that the box is read from are made, never a volume."""
 
-    Only the planes that the box is read from are made, never a volume. A null matrix gives nulls; volumes that don't meet give an empty box."""
-    kept = [f for f in transforms.schema.fields if f.name not in BOX]
+    def plane(axis: int, i: int) -> np.ndarray:
+        at = np.meshgrid(*[np.array([i]) if a == axis else np.arange(n) for a, n in enumerate(fixed)], indexing="ij")
+        inside = np.ones(at[0].shape, bool)
+        for row, n in zip(m[:3], moving, strict=True):
+            source = row[0] * at[0] + row[1] * at[1] + row[2] * at[2] + row[3]
+            inside &= (source >= -0.5) & (source < n - 0.5)
+        return inside.squeeze(axis)
 
-    def box(m: np.ndarray) -> tuple[int, ...]:
-        def plane(axis: int, i: int) -> np.ndarray:
-            at = np.meshgrid(*[np.array([i]) if a == axis else np.arange(n) for a, n in enumerate(fixed)], indexing="ij")
-            inside = np.ones(at[0].shape, bool)
-            for row, n in zip(m[:3], moving, strict=True):
-                source = row[0] * at[0] + row[1] * at[1] + row[2] * at[2] + row[3]
-                inside &= (source >= -0.5) & (source < n - 0.5)
-            return inside.squeeze(axis)
+    return interior(fixed, plane)
 
-        return interior(fixed, plane)
+
+def overlap_box(transforms: DataFrame, moving: tuple[int, int, int], fixed: tuple[int, int, int], matrix: str = "matrix") -> DataFrame:
+    """transforms (matrix: 16 numbers, from fixed to moving voxels) with box_of_overlap. A null matrix gives nulls; volumes that don't meet give an empty box."""
+    kept = [f for f in transforms.schema.fields if f.name not in BOX]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [(None,) * 6 if m is None else box(np.asarray(m, float).reshape(4, 4)) for m in pdf[matrix]]
+            found = [(None,) * 6 if m is None else box_of_overlap(np.asarray(m, float).reshape(4, 4), moving, fixed) for m in pdf[matrix]]
             boxes = pd.DataFrame(found, columns=BOX, index=pdf.index).astype("Int32")
             yield pd.concat([pdf[[f.name for f in kept]], boxes], axis=1)
 
     return transforms.select(*[f.name for f in kept]).mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{b} int" for b in BOX)]))
 
 
+def register_overlap(chunks: DataFrame, matrix: list[list[float]], shape: tuple[int, int, int], size: tuple[int, int, int], target: tuple[int, int, int], channels: list[int], target_size: tuple[int, int, int] | None = None) -> DataFrame:
+    """The listed channels (volumes of the shape in chunks of the size) resampled to the target's voxels, and the others, which are of the target's shape in chunks of target_size, cut, both to the box that the volumes share; its corner becomes 0.
+    matrix: from target to source voxels. The voxels' new size is functions.matrix.voxel_size. Volumes that don't meet are an error."""
+    z0, z1, y0, y1, x0, x1 = box_of_overlap(np.array(matrix, float), shape, target)
+    out = (z1 - z0, y1 - y0, x1 - x0)
+    if min(out) <= 0:
+        raise ValueError("the volumes share no box")
+    moved = np.array(matrix, float) @ np.array([[1, 0, 0, z0], [0, 1, 0, y0], [0, 0, 1, x0], [0, 0, 0, 1]], float)
+    picked, rest = chunks.where(F.col("c").isin(channels)), chunks.where(~F.col("c").isin(channels))
+    tiles = target_size or size
+    corner = [[1, 0, 0, z0], [0, 1, 0, y0], [0, 0, 1, x0], [0, 0, 0, 1]]
+    return affine(picked, moved.tolist(), shape, size, out, tiles).unionByName(affine(rest, corner, target, tiles, out, tiles, linear=False))
+
+
 def assign(cost: np.ndarray) -> np.ndarray:
     """The column of each row in the cheapest assignment of a square matrix, by shortest augmenting paths."""
     n = len(cost)
@@ -322,7 +338,7 @@ def pca_features(points: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def fit_affine(vectors: DataFrame, kind: str = "affine", key: str = "label", least: int = 4) -> DataFrame:
-    """The transform (4 x 4, rows joined) that takes moving to reference points best: affine, similarity or euclidean; clouds with fewer than `least` matches give null. key: a column of any type.
+    """The transform (4 x 4, rows joined) that takes moving to reference points best, and its inverse: affine, similarity or euclidean; clouds with fewer than `least` matches give nulls, and a transform without inverse has none. key: a column of any type.
 
     Means and covariances of the matches are aggregates; the fit sees a row per cloud."""
     m, r = ["mz", "my", "mx"], ["rz", "ry", "rx"]
@@ -353,9 +369,10 @@ def fit_affine(vectors: DataFrame, kind: str = "affine", key: str = "label", lea
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fit(n, np.array(mean), np.array(c)) for n, mean, *c in zip(*(batch.column(i).to_pylist() for i in range(1, 6)), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], names=[key, "matrix"])
+            back = [None if m is None or np.linalg.cond(np.reshape(m, (4, 4))) > 1e12 else np.linalg.inv(np.reshape(m, (4, 4))).ravel().tolist() for m in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(v, pa.list_(pa.float64())) for v in (found, back))], names=[key, "matrix", "inverse"])
 
-    return vectors.groupBy(key).agg(F.count("*").alias("n"), *sums).mapInArrow(run, f"{key} {vectors.schema[key].dataType.simpleString()}, matrix array<double>")
+    return vectors.groupBy(key).agg(F.count("*").alias("n"), *sums).mapInArrow(run, f"{key} {vectors.schema[key].dataType.simpleString()}, matrix array<double>, inverse array<double>")
 
 
 def half_prominence_width(v: np.ndarray) -> float:

@@ -43,6 +43,22 @@ def bin_sum(vox: DataFrame, factors: dict[str, int], top: float = 65535.0) -> Da
     return s.withColumns({"low": low, "high": high}).select(*VOLUME, *AXES, F.when(F.col("high") > 0, F.try_divide((F.col("s") - F.col("low")) * top, F.col("high") - F.col("low"))).otherwise(F.col("s")).alias("v"))
 
 
+def bin_counts(vox: DataFrame, factors: dict[str, int], sizes: dict[str, int], top: int = 65535, how: str = "sum") -> DataFrame:
+    """Binning of volumes of whole numbers up to top, with whole numbers as result (what is behind the point is cut off): block sums stretched so that each channel spans 0 to top where its largest sum is positive, or block means
+    scaled so that the largest of all channels of a position and time is top. sizes: of the axes in factors; one that a factor doesn't divide is an error."""
+    if odd := [a for a, k in factors.items() if sizes[a] % k]:
+        raise ValueError(f"factors don't divide the sizes of {', '.join(odd)}")
+    if how == "sum":
+        out = bin_sum(vox, factors, float(top)).withColumn("v", F.coalesce("v", F.lit(0.0)))
+    elif how == "mean":
+        means = bin_mean(vox, factors)
+        most = means.groupBy("position", "t").agg(F.max("v").alias("most"))
+        out = means.join(most, ["position", "t"]).withColumn("v", F.coalesce(F.try_divide(F.col("v") * top, "most"), F.lit(0.0))).drop("most")
+    else:
+        raise ValueError(f"neither sum nor mean: {how}")
+    return out.withColumn("v", F.col("v").cast("bigint"))
+
+
 def average_slices(vox: DataFrame, n: int, axis: str = "z") -> DataFrame:
     """Means of every n slices; the last slice is repeated where n doesn't divide their number."""
     a = F.col(axis)
@@ -154,9 +170,21 @@ def contours(labels: DataFrame) -> DataFrame:
     return labels.join(same.select(*keys, "n"), keys, "left").where((F.col("v") > 0) & (F.coalesce("n", F.lit(0)) < 4)).select(*keys, "v")
 
 
-def average_psf(beads: DataFrame) -> DataFrame:
-    """The mean of beads scaled to a maximum of 1, then stretched to 0 to 1. Beads are volumes of one shape."""
+def match_shape(vox: DataFrame, sizes: dict[str, int], targets: dict[str, int]) -> DataFrame:
+    """Axes smaller than their target padded by mirroring, then those that are larger cut to their middle, where an odd rest goes behind. sizes: of all axes; axes without a target stay."""
+    want = {a: targets.get(a, n) for a, n in sizes.items()}
+    wide = {a: max(n, want[a]) for a, n in sizes.items()}
+    padded = pad_reflect(vox, {a: n for a, n in sizes.items() if wide[a] > n}, want)
+    cut = {a: ((wide[a] - want[a]) // 2, (wide[a] - want[a]) // 2 + want[a]) for a in sizes if want[a] < wide[a]}
+    return crop(padded, cut, nan_to_zero=False) if cut else padded
+
+
+def average_psf(beads: DataFrame, shape: dict[str, int] | None = None) -> DataFrame:
+    """The mean of beads scaled to a maximum of 1, then stretched to 0 to 1. With a shape, beads of another one (cut at an edge) are left out."""
     w = Window.partitionBy(*VOLUME)
+    if shape is not None:
+        fits = beads.groupBy(*VOLUME).agg(*[(F.max(a) + 1).alias(f"n{a}") for a in AXES]).where(" AND ".join(f"n{a} = {shape[a]}" for a in AXES))
+        beads = beads.join(fits.select(*VOLUME), VOLUME, "left_semi")
     mean = beads.withColumn("v", F.try_divide(F.col("v"), F.max("v").over(w))).groupBy(*AXES).agg(F.avg("v").alias("v"))
     low = mean.agg(F.min("v").alias("low"), F.max("v").alias("high"))
     return mean.join(F.broadcast(low)).select(*AXES, F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")).alias("v"))  # one row

@@ -97,6 +97,23 @@ def bin_mean(spark, d):
     return _round(vx.bin_mean(vw.vox(spark, d), {"z": 2, "y": 2, "x": 2}))
 
 
+@query(f"""WITH {vw.VOX}, k AS (SELECT * REPLACE (trunc(abs(v) * 1000) AS v) FROM vox), s AS (SELECT position, t, c, z, y // 2 AS y, x // 2 AS x, sum(v) AS s FROM k GROUP BY ALL), w AS (SELECT *, min(s) OVER g AS lo, max(s) OVER g AS hi FROM s WINDOW g AS (PARTITION BY position, t, c))
+SELECT {KEYS}, CASE WHEN hi > 0 AND hi > lo THEN trunc((s - lo) * 4095 / (hi - lo)) WHEN hi > 0 THEN 0 ELSE trunc(s) END::BIGINT AS v FROM w""")
+def bin_counts_sum(spark, d):
+    return vx.bin_counts(vw.vox(spark, d).withColumn("v", F.floor(F.abs("v") * 1000).cast("double")), {"y": 2, "x": 2}, {"y": 4, "x": 4}, 4095)
+
+
+@query(f"""WITH {vw.VOX}, k AS (SELECT * REPLACE (trunc(abs(v) * 1000) AS v) FROM vox), m AS (SELECT position, t, c, z // 2 AS z, y // 2 AS y, x // 2 AS x, avg(v) AS m FROM k GROUP BY ALL)
+SELECT {KEYS}, coalesce(trunc(m * 4095 / nullif(max(m) OVER (PARTITION BY position, t), 0)), 0)::BIGINT AS v FROM m""")
+def bin_counts_mean(spark, d):
+    return vx.bin_counts(vw.vox(spark, d).withColumn("v", F.floor(F.abs("v") * 1000).cast("double")), {"z": 2, "y": 2, "x": 2}, dict.fromkeys("zyx", 4), 4095, "mean")
+
+
+@query(f"WITH {vw.VOX}, m(o, i) AS (VALUES (0, 1), (1, 0), (2, 1), (3, 2), (4, 3), (5, 2)) SELECT position, t, c, z, a.o AS y, (x - 1)::INT AS x, v FROM vox JOIN m a ON a.i = y WHERE x BETWEEN 1 AND 2")
+def match_shape(spark, d):
+    return vx.match_shape(vw.vox(spark, d), {"z": 4, "y": 4, "x": 4}, {"y": 6, "x": 2})
+
+
 @query(f"""WITH {vw.VOX}, g AS (SELECT position, t, c, z // 3 AS z, y, x, sum(v) AS s, count(*) AS k, arg_max(v, z) AS e FROM vox GROUP BY position, t, c, z // 3, y, x)
 SELECT {KEYS}, round((s + (3 - k) * e) / 3, 6) AS v FROM g""")
 def average_slices(spark, d):
@@ -275,6 +292,12 @@ def register(spark, d):
     return _round(ch.voxels(ch.register(vw.chunks(spark, d), mx.translation(0, 0, 1), CUBE, CUBE, CUBE, [1])))
 
 
+@query(f"WITH {vw.VOX} SELECT position, t, c, z, y, (x - (c = 1)::INT)::INT AS x, round(v, 6) AS v FROM vox WHERE x <= CASE WHEN c = 1 THEN 3 ELSE 2 END AND x >= (c = 1)::INT")
+def register_overlap(spark, d):
+    """One channel a voxel further, all cut to what the volumes share."""
+    return _round(ch.voxels(ke.register_overlap(vw.chunks(spark, d), mx.translation(0, 0, 1), CUBE, CUBE, CUBE, [1])))
+
+
 @query(f"""WITH {vw.VOX}, q AS (SELECT 0.75 AS r, cos(radians(30)) AS k), g AS (SELECT i // 36 AS oz, (i // 9) % 4 AS oy, i % 9 AS ox FROM range(144) u(i)),
 s AS (SELECT oz, oy, ox, r * ox - r * k * oz + (r * k * 3 / 2 - r * 8 / 2 + 1.5) AS zi FROM g, q),
 w AS (SELECT oz, oy, ox, floor(zi) + e AS z, 3 - oz AS y, 3 - oy AS x, CASE e WHEN 0 THEN 1 - (zi - floor(zi)) ELSE zi - floor(zi) END AS w FROM s, range(2) h(e))
