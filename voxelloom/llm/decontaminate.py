@@ -11,7 +11,7 @@ Documents are only scanned: nothing of theirs is shuffled, and one scan looks fo
 are more, each scan's result is written to the shared folder before the next block is read. Within a block every document is compared with the sketches of all its items.
 
 Cases: words are runs of non-space characters, compared exactly. An item of one to four words has one shingle, all its words, and matches the documents that have them in a row. Null and empty texts
-match nothing; an empty table gives no rows, and without items no document has hits. Ids may be of any type. Repeated items are each reported; repeated documents get equal hits; texts may
+match nothing; an empty table gives no rows, and without items no document has hits. Ids may be of any type. Repeated items are each reported, but searched for once; repeated documents get equal hits; texts may
 be of any length. Extra columns are kept; one named like the added one is replaced. Ties: hits are ordered by item id, nulls first, then by the item's number of shingles.
 """
 
@@ -38,12 +38,13 @@ HITS = "array<struct<item_id: {}, n_shared: bigint, n_item: bigint, containment:
 class Index:
     """The sketches of a block's items with shingles of n words, and their shingles for the verification."""
 
-    def __init__(self, items: list[tuple[object, list[str]]], n: int, threshold: float):
+    def __init__(self, items: list[tuple[object, list[str], int]], n: int, threshold: float):
         hashes = Hashes()
-        self.n, self.ids, self.shingles, self.least = n, [], [], []
+        self.n, self.ids, self.shingles, self.least, self.times = n, [], [], [], []
         of: dict[int, list[int]] = {}
-        for item, words in items:
+        for item, words, times in items:
             s = shingle_hashes(words, hashes, n)
+            self.times.append(times)
             largest = (1 << (len(s) - 1).bit_length()) if len(s) > 1 else 1
             m = min(len(s), 2 * math.floor((1 - threshold) * largest + 1e-9) + 8)
             for h in s[:m].tolist():
@@ -61,12 +62,12 @@ class Index:
         return (h >> np.uint64(64 - self.bits)).astype(np.int64)
 
 
-def indexes(items: list[tuple[object, str | None]], threshold: float) -> list[Index]:
-    """The indexes of a block: one for each number of words in a shingle that its items need."""
-    by_words: dict[int, list[tuple[object, list[str]]]] = {}
-    for item, text in items:
+def indexes(items: list[tuple[object, str | None, int]], threshold: float) -> list[Index]:
+    """The indexes of a block of items (id, text, how many rows): one for each number of words in a shingle that its items need."""
+    by_words: dict[int, list[tuple[object, list[str], int]]] = {}
+    for item, text, times in items:
         if words := (text or "").split():
-            by_words.setdefault(min(SHINGLE_WORDS, len(words)), []).append((item, words))
+            by_words.setdefault(min(SHINGLE_WORDS, len(words)), []).append((item, words, times))
     return [Index(some, n, threshold) for n, some in sorted(by_words.items())]
 
 
@@ -111,19 +112,19 @@ def _find(out: list[list[dict]], index: Index, h: np.ndarray, doc: np.ndarray, s
         want = index.shingles[item]
         shared = int(np.isin(want, sets[d], assume_unique=True).sum())
         if shared >= threshold * len(want) - 1e-9:
-            out[d].append({"item_id": index.ids[item], "n_shared": shared, "n_item": len(want), "containment": shared / len(want)})
+            out[d] += [{"item_id": index.ids[item], "n_shared": shared, "n_item": len(want), "containment": shared / len(want)}] * index.times[item]
 
 
 _worker: dict = {}
 
 
-def _blocks(items: DataFrame, item_id: str, item_text: str) -> Iterator[tuple[list[tuple[object, str | None]], bool]]:
-    """The items in blocks of about BLOCK_BYTES of text, one at a time, and whether it is the last; at least one block."""
-    wanted = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
+def _blocks(items: DataFrame, item_id: str, item_text: str) -> Iterator[tuple[list[tuple[object, str | None, int]], bool]]:
+    """The different items, each with its number of rows, in blocks of about BLOCK_BYTES of text, one at a time, and whether it is the last; at least one block."""
+    wanted = items.groupBy(F.col(item_id).alias("i"), F.col(item_text).alias("t")).agg(F.count("*").alias("n"))
     size = wanted.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]
     n = max(1, math.ceil(size / BLOCK_BYTES))
     for block in range(n):
-        yield [(r.i, r.t) for r in wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == block).collect()], block == n - 1
+        yield [(r.i, r.t, r.n) for r in wanted.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == block).collect()], block == n - 1
 
 
 def _scan(docs: DataFrame, block: list[Index], kind: DataType, text: str, hits: str, threshold: float) -> DataFrame:

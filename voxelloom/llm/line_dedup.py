@@ -31,6 +31,8 @@ from .common import Hashes, arrow_map, columns, ddl, mix, others, prefix, scratc
 GRAM_WORDS, WINDOW_WORDS = 15, 30
 #: Lines beyond the outermost matches whose hashes travel at first.
 MARGIN = 200
+#: By how much the margin grows where that is too few.
+WIDEN = 16
 _CUT = re.compile(r"(?<=[.!?]) |\n")
 _B = np.uint64(0xD1342543DE82EF95)
 _B_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))
@@ -191,11 +193,10 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram_word
 
     kind = docs.schema[doc_id].dataType.simpleString()
 
-    def resolved_by(pairs: DataFrame, whole: bool) -> DataFrame:
-        """The runs of the documents of pairs, from their sources' lines near the matches or from all of them."""
-        low = F.lit(0) if whole else F.when(F.col("same"), 0).otherwise(F.greatest(F.col("a") - MARGIN, F.lit(0)))
-        pairs = pairs.withColumn("low", low)
-        near = F.col("hashes") if whole else F.substring("hashes", F.col("low") * 8 + 1, (F.col("b") - F.col("low") + 1 + MARGIN) * 8)
+    def resolved_by(pairs: DataFrame, margin: int) -> DataFrame:
+        """The runs of the documents of pairs, from their sources' lines up to a margin from the matches; cut where one goes on beyond it."""
+        pairs = pairs.withColumn("low", F.when(F.col("same"), 0).otherwise(F.greatest(F.col("a") - margin, F.lit(0))))
+        near = F.substring("hashes", F.col("low") * 8 + 1, (F.col("b") - F.col("low") + 1 + margin) * 8)
         other = pairs.where("NOT same").join(sources, F.col("sd").eqNullSafe(F.col("xd")) & F.col("sh").eqNullSafe(F.col("xh")))
         other = other.select("_d", "_h", "same", "low", "anchors", near.alias("hashes"), (F.octet_length("hashes") / 8).cast("int").alias("n"))
         own = pairs.where("same").select("_d", "_h", "same", "low", "anchors", F.lit(None).cast("binary").alias("hashes"), F.lit(0).alias("n"))
@@ -203,11 +204,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", gram_word
         found = found.join(mine, F.col("_d").eqNullSafe(F.col("xd")) & F.col("_h").eqNullSafe(F.col("xh"))).select("_d", "_h", "found", "h", "words")
         return scratch(arrow_map(found, resolve, f"_d {kind}, _h bigint, runs array<struct<first: int, end: int>>, opened array<struct<key: bigint, first: int, end: int>>, cut boolean"), "runs")
 
-    resolved = resolved_by(pairs, False)
-    if not (cut := resolved.where("cut")).isEmpty():
+    # Documents with a match that goes on beyond the margin are looked at again with a wider one, until it holds the match: what travels follows the matches' lengths, not the sources'.
+    margin, resolved = MARGIN, resolved_by(pairs, MARGIN)
+    while not (cut := resolved.where("cut")).isEmpty():
+        margin = (margin + 1) * WIDEN
         cut = cut.select(F.col("_d").alias("xd"), F.col("_h").alias("xh"))
         more = pairs.join(cut, F.col("_d").eqNullSafe(F.col("xd")) & F.col("_h").eqNullSafe(F.col("xh")), "left_semi")
-        resolved = resolved.where("NOT cut").union(resolved_by(more, True))
+        resolved = scratch(resolved.where("NOT cut").union(resolved_by(more, margin)), "runs")
     again = _later(resolved.select("_d", "_h", F.inline("opened")), "first").select("_d", "_h", "first", "end")
     p = prefix(docs)
     d, h, key, field = (f"{p}{x}" for x in ("d", "h", "key", "runs"))
