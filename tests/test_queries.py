@@ -7,7 +7,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from voxelloom import plate_queries, queries  # noqa: F401
+from voxelloom import bead_queries, plate_queries, queries  # noqa: F401
 
 WHERE = "/root/testdata/sf0.001"
 

@@ -104,3 +104,52 @@ def test_registered_overlap(spark):
         assert got[0, z, y, x] == fix[z, y + 2, x] and got[1, z, y, x] == pytest.approx(mov[z + 1, y, x + 4])
     with pytest.raises(ValueError, match="share no box"):
         ke.register_overlap(of(0, fix), mx.translation(50, 0, 0), shape, size, target, [1])
+
+
+def test_shape_of_a_turned_series():
+    turned = np.array(mx.rotation_about(90, (10, 20), (10, 20))) * 1.0
+    turned[:3, :3] *= 1.7
+    assert mx.stabilised_shape(turned.tolist(), (3, 10, 20)) == (3, 20, 10)
+    for degrees, swapped in ((82, True), (99, True), (78, False), (-90, False), (0, False)):
+        assert (mx.stabilised_shape(mx.rotation_about(degrees, (10, 20), (10, 20)), (3, 10, 20)) == (3, 20, 10)) == swapped
+
+
+def test_concatenate(spark):
+    from voxelloom.operators import mosaic as mo
+
+    shape, size = (3, 6, 7), (2, 4, 3)
+    rng = np.random.default_rng(6)
+    kind = "position string, t int, c int, z0 int, y0 int, x0 int, nz int, ny int, nx int, data array<double>"
+    plates = [({(p, t, c): rng.random(shape) for p in ps for t in range(4) for c in range(len(names))}, names, wanted) for ps, names, wanted in (("ab", ["w", "x", "y"], None), ("bc", ["v", "y", "w"], ["w", "v"]))]
+    sources = [mo.Source(ch.cut(spark.createDataFrame([(*k, 0, 0, 0, *shape, v.ravel().tolist()) for k, v in data.items()], kind), size), names, wanted) for data, names, wanted in plates]
+    assert mo.channel_places(sources) == ["w", "x", "y", "v"]
+    box, times = {"y": (1, 6), "x": (2, 7)}, [3, 0]
+    want = {}
+    for data, names, wanted in plates:
+        for (p, t, c), v in data.items():
+            if t in times and (wanted is None or names[c] in wanted):
+                want[p, times.index(t), ["w", "x", "y", "v"].index(names[c])] = v[:, 1:6, 2:7]
+    got = {k: np.full((3, 5, 5), np.nan) for k in want}
+    for r in mo.concatenate(sources, shape, size, box, times).collect():
+        got[r.position, r.t, r.c][r.z0 : r.z0 + r.nz, r.y0 : r.y0 + r.ny, r.x0 : r.x0 + r.nx] = np.array(r.data).reshape(r.nz, r.ny, r.nx)
+    assert all(np.array_equal(got[k], want[k]) for k in want)
+    whole = mo.concatenate(sources, shape, size)
+    assert whole.where("position = 'c'").select("t", "c").distinct().count() == 8
+    with pytest.raises(ValueError, match="no channels"):
+        mo.concatenate([mo.Source(sources[0].chunks, ["w"], ["q"])], shape, size)
+    with pytest.raises(ValueError, match="doesn't lie in"):
+        mo.concatenate(sources, shape, size, {"z": (0, 9)})
+
+
+def test_stage_positions_without_devices(spark):
+    from voxelloom.operators import mosaic as mo
+
+    kind = "Label string, xy_stage string, z_stage string, devices array<struct<device: string, position: array<double>>>, direct map<string, array<double>>"
+    rows = [("a", "XY", "Z", [("XY", [1.0, 2.0]), ("Z", [3.0]), ("P", [0.5])], {"XY": [9.0, 9.0]}), ("b", "XY", "Z", None, {"XY": [1.0, 2.0], "Z": [7.0]}), ("c", None, "Z", None, {"Z": [5.0]}), ("d", "XY", None, None, {"XY": [4.0, 6.0]}), ("e", "XY", "Z", None, None)]
+    records = spark.createDataFrame(rows, kind)
+    got = {r.Label: (r.z, r.y, r.x) for r in mo.stage_position(records).collect()}
+    assert got == {"a": (3.5, 2, 1), "b": (7, 2, 1), "c": (5, 0, 0), "d": (0, 6, 4), "e": (0, 0, 0)}
+    wanted = lambda *n: spark.createDataFrame([(x,) for x in n], "Label string")
+    assert [r.Label for r in mo.stage_of(records, wanted("b", "b")).collect()] == ["b"]
+    with pytest.raises(ValueError, match="no stage positions of"):
+        mo.stage_of(records, wanted("a", "zz"))

@@ -52,6 +52,15 @@ def approximate(moving: tuple[int, int, int], fixed: tuple[int, int, int], movin
     return invert(compose(scale.tolist(), rotation_about(90.0 * quarter_turns, moving[1:], fixed[1:]), flip))
 
 
+def stabilised_shape(first: Matrix, shape: tuple[int, int, int], tolerance: float = 10.0) -> tuple[int, int, int]:
+    """The output shape of a series that begins with this matrix: with y and x changed where it turns the plane by 90 degrees, give or take the tolerance. Scaling doesn't count."""
+    u, _, vt = np.linalg.svd(np.array(first)[:3, :3])
+    r = u @ vt
+    turn = math.degrees(math.atan2(r[2, 1], r[2, 2]))
+    z, y, x = shape
+    return (z, x, y) if abs(turn - 90) <= tolerance + 90e-5 else (z, y, x)
+
+
 def compose(*matrices: Matrix) -> Matrix:
     """The first matrix applied last."""
     out = np.eye(4)

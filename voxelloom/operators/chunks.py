@@ -248,6 +248,16 @@ def retile(chunks: DataFrame, shape: Shape, size: Shape, out_size: Shape) -> Dat
     return gather(chunks, need, lambda s: s.box)
 
 
+def cropped(chunks: DataFrame, box: dict[str, tuple[int, int]], shape: Shape, size: Shape) -> DataFrame:
+    """The half-open box of each volume, in chunks of the size, with its corner at 0; axes without a range stay whole."""
+    span = np.array([box.get(a, (0, n)) for a, n in zip(AXES, shape, strict=True)])
+    if (span[:, 0] < 0).any() or (span[:, 1] > shape).any() or (span[:, 0] >= span[:, 1]).any():
+        raise ValueError(f"a box of {span.tolist()} doesn't lie in {shape}")
+    rows = list(needs(lambda a, b: (a + span[:, 0], b + 1 + span[:, 0]), shape, size, tuple((span[:, 1] - span[:, 0]).tolist()), size))
+    need = F.broadcast(chunks.sparkSession.createDataFrame(rows, NEED))  # as many rows as shapes have chunks; no data
+    return gather(chunks, need, lambda s: s.box)
+
+
 def boxes(chunks: DataFrame, wanted: DataFrame, size: Shape) -> DataFrame:
     """The boxes of wanted (position, t, c and OUT: corner and size), put together from the chunks of a grid of the size that they meet; NaN where there is no chunk. Boxes that meet no chunk at all are absent; equal ones are made once."""
     need = wanted.select(*VOLUME, *OUT).distinct()

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.views import VOLUME
+from .chunks import Shape, cropped
+
 
 def mosaic_shape(tiles: DataFrame, ny: int, nx: int) -> DataFrame:
     """The output size of each well: the largest whole shift and a tile."""
@@ -56,13 +61,24 @@ def stage_shifts(stage: DataFrame, scale: tuple[float, float, float], flip_y: bo
 
 
 def stage_position(records: DataFrame, label: str = "Label") -> DataFrame:
-    """z, y, x of each record of stage metadata: label, xy_stage, z_stage, devices (array of struct(device, position: array of double)).
+    """z, y, x of each record of stage metadata: label, xy_stage, z_stage, devices (array of struct(device, position: array of double)) and, if there is one, direct (map from a stage's name to its position).
 
-    Devices other than the XY stage add up to z; without an XY stage y and x are 0."""
+    Devices other than the XY stage add up to z; without an XY stage y and x are 0. A record without devices (null) has its stages' positions in direct, each 0 where it is missing."""
     xy = F.filter("devices", lambda d: d.device == F.col("xy_stage"))
     z = F.aggregate(F.filter("devices", lambda d: d.device != F.coalesce(F.col("xy_stage"), F.lit(""))), F.lit(0.0), lambda acc, d: acc + d.position[0])
-    at = lambda i: F.coalesce(F.try_element_at(F.try_element_at(xy, F.lit(1))["position"], F.lit(i)), F.lit(0.0))
-    return records.select(label, z.alias("z"), at(2).alias("y"), at(1).alias("x"))
+    plain = lambda stage: F.try_element_at("direct", F.col(stage)) if "direct" in records.columns else F.lit(None).cast("array<double>")
+    at = lambda i: F.try_element_at(F.when(F.col("devices").isNull(), plain("xy_stage")).otherwise(F.try_element_at(xy, F.lit(1))["position"]), F.lit(i))
+    high = F.when(F.col("devices").isNull(), F.try_element_at(plain("z_stage"), F.lit(1))).otherwise(z) if "direct" in records.columns else z
+    zero = lambda v: F.coalesce(v, F.lit(0.0))
+    return records.select(label, zero(high).alias("z"), zero(at(2)).alias("y"), zero(at(1)).alias("x"))
+
+
+def stage_of(records: DataFrame, wanted: DataFrame, label: str = "Label") -> DataFrame:
+    """stage_position of the wanted labels (a column of that name); one that no record has is an error."""
+    unknown = [r[0] for r in wanted.select(label).join(records, label, "left_anti").distinct().limit(5).collect()]
+    if unknown:
+        raise ValueError(f"no stage positions of {unknown}")
+    return stage_position(records.join(wanted.select(label).distinct(), label, "left_semi"), label)
 
 
 def combine_channels(channels: DataFrame) -> DataFrame:
@@ -84,6 +100,41 @@ def concat_channels(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+class Source(NamedTuple):
+    """A plate to be put together with others: its chunks, the names of its channels in order, and those that are wanted (None: all)."""
+
+    chunks: DataFrame
+    names: list[str]
+    wanted: list[str] | None = None
+
+
+def channel_places(sources: list[Source]) -> list[str]:
+    """The names of the channels of all sources together, each where it first appears; a wanted name that a source doesn't have is an error."""
+    out: list[str] = []
+    for s in sources:
+        if missing := [n for n in s.wanted or [] if n not in s.names]:
+            raise ValueError(f"no channels {missing} among {s.names}")
+        out += [n for n in dict.fromkeys(s.names if s.wanted is None else s.wanted) if n not in out]
+    return out
+
+
+def concatenate(sources: list[Source], shape: Shape, size: Shape, box: dict[str, tuple[int, int]] | None = None, times: list[int] | None = None) -> DataFrame:
+    """One chunk table of several plates, in one go: each channel goes to the place of its name (channel_places), the volumes are cut to the box, and time points to those listed, in their order. Of a unit (position, t, channel) that several
+    sources have, the last source's counts. Chunks that are left out never move."""
+    places, out = channel_places(sources), None
+    for k, s in enumerate(sources):
+        to = {s.names.index(n): places.index(n) for n in (s.names if s.wanted is None else s.wanted)}
+        c = F.element_at(F.create_map(*[F.lit(v) for pair in to.items() for v in pair]), F.col("c"))
+        part = s.chunks.where(F.col("c").isin(list(to))).withColumn("c", c)
+        if times is not None:
+            part = part.where(F.col("t").isin(times)).withColumn("t", (F.array_position(F.array(*map(F.lit, times)), F.col("t")) - 1).cast("int"))
+        part = part.withColumn("_source", F.lit(k))
+        out = part if out is None else out.unionByName(part)
+    last = out.groupBy(*VOLUME).agg(F.max("_source").alias("_source"))
+    out = out.join(last, [*VOLUME, "_source"], "left_semi").drop("_source")
+    return out if box is None else cropped(out, box, shape, size)
+
+
 def last_writer(parts: list[DataFrame], keys: list[str]) -> DataFrame:
     """One row per key: the one of the last part that has it."""
     ranked = [p.withColumn("_part", F.lit(k)) for k, p in enumerate(parts)]

@@ -1,8 +1,4 @@
-"""Resampling of voxel tables: affine maps, deskewing, overhang filling.
-
-Every source voxel is sent to the output voxels that it contributes to (at most 8 for linear interpolation of a map close to a rigid one), so
-the work is one join of taps with voxels on integer keys. Voxels outside the source count as 0; outputs without any tap are absent.
-"""
+"""Shapes of deskewed scans, and the overhang that deskewing leaves, on voxel tables. The resampling itself is in chunks.py."""
 
 from __future__ import annotations
 
@@ -16,13 +12,6 @@ from ..sources.views import VOLUME
 AXES = ["z", "y", "x"]
 
 
-def grid(spark, shape: tuple[int, int, int]) -> DataFrame:
-    """All voxels of a shape: oz, oy, ox."""
-    nz, ny, nx = shape
-    k = F.col("id")
-    return spark.range(nz * ny * nx).select(F.floor(k / (ny * nx)).cast("int").alias("oz"), (F.floor(k / nx) % ny).cast("int").alias("oy"), (k % nx).cast("int").alias("ox"))
-
-
 def deskewed_shape(shape: tuple[int, int, int], angle: float, ratio: float, keep_overhang: bool) -> tuple[int, int, int]:
     """The full output shape (before averaging) of a light-sheet scan: raw (z, y, x) becomes (y, x, along the scan)."""
     nz, ny, nx = shape
@@ -33,12 +22,6 @@ def deskewed_shape(shape: tuple[int, int, int], angle: float, ratio: float, keep
     return ny, nx, length
 
 
-def densify(vox: DataFrame, shape: tuple[int, int, int], fill: float = 0.0) -> DataFrame:
-    """Every voxel of the shape for each volume; absent ones get the fill."""
-    full = vox.select(*VOLUME).distinct().join(grid(vox.sparkSession, shape)).select(*VOLUME, F.col("oz").alias("z"), F.col("oy").alias("y"), F.col("ox").alias("x"))
-    return full.join(vox, [*VOLUME, *AXES], "left").select(*VOLUME, *AXES, F.coalesce("v", F.lit(fill)).alias("v"))
-
-
 def fill_overhang(dense: DataFrame, reach: int = 3, value: float | None = None) -> DataFrame:
     """Zero voxels, and those within `reach` of one in all axes, get the mean of the others in their volume (or the given value)."""
     near = F.sequence(F.lit(-reach), F.lit(reach))

@@ -400,6 +400,16 @@ def concat_channels(spark, d):
     return mo.concat_channels([vox.where("c < 5"), vox.where("c >= 5").withColumn("c", F.col("c") - 5)])
 
 
+@query(f"""WITH {vw.VOX}, a AS (SELECT position, t, (c % 2)::INT AS c, z, y, x, v FROM vox), b AS (SELECT position, t, 1 + ((c + 1) % 2)::INT AS c, z, y, x, v * 2 AS v FROM vox WHERE position % 3 = 0)
+SELECT position, t, c, z, (y - 1)::INT AS y, x, v FROM (SELECT * FROM a WHERE NOT (c = 1 AND position % 3 = 0) UNION ALL SELECT * FROM b) WHERE y BETWEEN 1 AND 2""")
+def concatenate(spark, d):
+    """Two plates of chunks of two voxels a side with a channel in common, whose later writer counts, cut to a box."""
+    chunks = ch.cut(vw.chunks(spark, d), (2, 2, 2))
+    a = chunks.withColumn("c", F.col("c") % 2)
+    b = ch.map_blocks(chunks.where("position % 3 = 0"), lambda v, r: v * 2).withColumn("c", (F.col("c") + 1) % 2)
+    return ch.voxels(mo.concatenate([mo.Source(a, ["one", "two"]), mo.Source(b, ["two", "three"])], CUBE, (2, 2, 2), {"y": (1, 3)}))
+
+
 @query(f"WITH {vw.VOX} SELECT {KEYS}, CASE WHEN position % 3 = 0 THEN -v ELSE v END AS v FROM vox")
 def last_writer(spark, d):
     vox = vw.vox(spark, d)
