@@ -4,6 +4,7 @@ import itertools
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from voxelloom.operators import chunks as ch
 from voxelloom.operators import kernels as ke
@@ -124,3 +125,37 @@ def test_stacks_are_bounded(spark, volumes, monkeypatch):
     table = pa.table({n: [one(p)[i] for p in range(10)] for i, n in enumerate(names)}).to_batches()[0]
     out = list(ch._worked(table, spy, (), False))
     assert sum(b.num_rows for b in out) == 10 and max(seen) <= 32
+
+
+@pytest.mark.parametrize("how", ["mean", "min", "max", "sum", "median", "mode", "stride"])
+def test_binned_against_voxels(spark, volumes, how):
+    """Blocks in chunks against the same blocks as groups of voxels; a third of the values repeat, some are absent."""
+    from voxelloom.operators import voxels as vx
+
+    rng = np.random.default_rng(9)
+    kind = "position bigint, t int, c int, z0 int, y0 int, x0 int, nz int, ny int, nx int, data array<double>"
+    rows = [(p, 0, 0, 0, 0, 0, *SHAPE, np.where(rng.random(SHAPE) < 0.1, np.nan, np.round(rng.normal(0, 1, SHAPE), 0 if p else 3)).ravel().tolist()) for p in range(3)]
+    whole = spark.createDataFrame(rows, kind)
+    cut = ch.cut(whole, (2, 4, 2))
+    for factors in (dict.fromkeys("zyx", 2), {"z": 2, "y": 4}):
+        if how in ("mean", "min", "max", "median", "mode", "stride") and factors == dict.fromkeys("zyx", 2):
+            want = vx.pyramid_level(ch.voxels(whole), how)
+        elif how in ("mean", "sum"):
+            grouped = ch.voxels(whole).groupBy(*ch.VOLUME, *vx._blocks(factors))
+            want = grouped.agg({"mean": F.avg, "sum": F.sum}[how]("v").alias("v"))
+        else:
+            continue
+        want = {tuple(r[k] for k in (*ch.VOLUME, *ch.AXES)): r.v for r in want.collect()}
+        got = {tuple(r[k] for k in (*ch.VOLUME, *ch.AXES)): r.v for r in ch.voxels(ch.binned(cut, factors, how)).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in got)
+    assert "Exchange" not in ch.binned(cut, {"z": 2})._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="begins within a block"):
+        ch.binned(cut, {"y": 3}).collect()
+
+
+def test_pyramid_of_chunks(volumes):
+    whole, _ = volumes
+    levels = ch.pyramid(ch.cut(whole, (4, 4, 4)), 3)
+    assert {(r.level, r.nz, r.ny, r.nx) for r in levels.where("z0 = 0 AND y0 = 0 AND x0 = 0").collect()} == {(0, 4, 4, 4), (1, 2, 2, 2), (2, 1, 1, 1)}
+    one = ch.binned(ch.binned(whole, dict.fromkeys("zyx", 2)), dict.fromkeys("zyx", 2))
+    _same(one, levels.where("level = 2").drop("level"))

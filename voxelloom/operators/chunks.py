@@ -80,6 +80,65 @@ def cut(chunks: DataFrame, size: Shape) -> DataFrame:
 # --- one chunk at a time
 
 
+def map_stacks(chunks: DataFrame, fn: Callable[[np.ndarray], np.ndarray], corner: Callable[[np.ndarray], np.ndarray] = lambda at: at) -> DataFrame:
+    """Each chunk with the array that fn makes of it, where fn gets the chunks of an Arrow batch that have one size as one array, the chunks along the first axis. corner: of the chunks' corners (a row each) the new ones."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat, starts, sizes = _blocks(batch)
+            at = corner(_table(batch, CORNER))
+            for alike in _alike(sizes):
+                n = int(sizes[alike[0]].prod())
+                step = max(1, STACK_VOXELS // max(1, n))
+                for part in (alike[i : i + step] for i in range(0, len(alike), step)):
+                    out = fn(flat[starts[part][:, None] + np.arange(n)].reshape(-1, *sizes[part[0]]))
+                    size = out.shape[1:]
+                    out = np.ascontiguousarray(out.reshape(len(part), -1), float)
+                    data = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * out.shape[1], pa.int32()), pa.array(out.ravel()))
+                    rows, whole = pa.array(part), [pa.array(at[part, i].astype(np.int32)) for i in range(3)]
+                    yield pa.RecordBatch.from_arrays([*(batch.column(v).take(rows) for v in VOLUME), *whole, *(pa.array(np.full(len(part), k, np.int32)) for k in size), data], names=[*VOLUME, *CORNER, *SIZE, "data"])
+
+    return chunks.select(*VOLUME, *CORNER, *SIZE, "data").mapInArrow(run, schema(chunks))
+
+
+def _reduced(x: np.ndarray, how: str) -> np.ndarray:
+    """The last axis reduced; NaN doesn't count, and stays where there is nothing else."""
+    none = np.isnan(x).all(-1)
+    if how == "stride":
+        return x[..., 0]
+    if how == "mode":
+        n = (x[..., None] == x[..., None, :]).sum(-1)
+        return np.where(none, np.nan, np.min(np.where((n == n.max(-1, keepdims=True)) & (n > 0), x, np.inf), -1))
+    x = np.where(none[..., None], 0.0, x)
+    return np.where(none, np.nan, {"mean": np.nanmean, "min": np.nanmin, "max": np.nanmax, "sum": np.nansum, "median": np.nanmedian}[how](x, -1))
+
+
+def binned(chunks: DataFrame, factors: dict[str, int], how: str = "mean") -> DataFrame:
+    """Blocks of voxels reduced to one: mean, min, max, sum, median, mode (ties: the least value) or stride (each block's first voxel). Nothing is shuffled: chunks begin at block borders, else it is an error (see retile); blocks at the far edge may be smaller."""
+    f = np.array([factors.get(a, 1) for a in AXES])
+    starts = " AND ".join(f"{a}0 % {k} = 0" for a, k in zip(AXES, f.tolist(), strict=True))
+    data = F.when(F.expr(starts), F.col("data")).otherwise(F.raise_error(F.lit("a chunk begins within a block: cut the chunks anew")))
+
+    def reduce(v: np.ndarray) -> np.ndarray:
+        wide = np.pad(v, [(0, 0), *((0, int(-n % k)) for n, k in zip(v.shape[1:], f, strict=True))], constant_values=np.nan)
+        nz, ny, nx = (int(n // k) for n, k in zip(wide.shape[1:], f, strict=True))
+        blocks = wide.reshape(len(v), nz, f[0], ny, f[1], nx, f[2]).transpose(0, 1, 3, 5, 2, 4, 6).reshape(len(v), nz, ny, nx, -1)
+        return _reduced(blocks, how)
+
+    return map_stacks(chunks.withColumn("data", data), reduce, lambda at: at // f)
+
+
+def pyramid(chunks: DataFrame, levels: int, how: str = "mean") -> DataFrame:
+    """All levels with the column level, each of half the one before; level 0 is the input. Chunks must begin at borders of all levels' blocks."""
+    out, now = chunks.withColumn("level", F.lit(0)), chunks
+    for k in range(1, levels):
+        now = binned(now, dict.fromkeys(AXES, 2), how)
+        out = out.unionByName(now.withColumn("level", F.lit(k)))
+    return out
+
+
 def project(chunks: DataFrame, how: str = "mean", axis: str = "z") -> DataFrame:
     """One axis reduced by a numpy reduction; chunks span that axis."""
     k = AXES.index(axis)

@@ -62,7 +62,7 @@ def flat_field_channels(spark, d):
 def _projection(how: str) -> None:
     @query(f"WITH {vw.VOX} SELECT position, t, c, y, x, round({how}(v), 6) AS v FROM vox GROUP BY ALL")
     def f(spark, d):
-        return _round(vx.project(vw.vox(spark, d), how))
+        return _round(ch.voxels(ch.binned(vw.chunks(spark, d), {"z": 4}, {"avg": "mean"}.get(how, how))).drop("z"))
 
     QUERIES[f"{how}_projection"], ORACLE_SQL[f"{how}_projection"] = QUERIES.pop("f"), ORACLE_SQL.pop("f")
 
@@ -94,7 +94,7 @@ def bin_sum(spark, d):
 
 @query(f"WITH {vw.VOX} SELECT position, t, c, z // 2 AS z, y // 2 AS y, x // 2 AS x, round(avg(v), 6) AS v FROM vox GROUP BY ALL")
 def bin_mean(spark, d):
-    return _round(vx.bin_mean(vw.vox(spark, d), {"z": 2, "y": 2, "x": 2}))
+    return _round(ch.voxels(ch.binned(vw.chunks(spark, d), {"z": 2, "y": 2, "x": 2})))
 
 
 @query(f"""WITH {vw.VOX}, k AS (SELECT * REPLACE (trunc(abs(v) * 1000) AS v) FROM vox), s AS (SELECT position, t, c, z, y // 2 AS y, x // 2 AS x, sum(v) AS s FROM k GROUP BY ALL), w AS (SELECT *, min(s) OVER g AS lo, max(s) OVER g AS hi FROM s WINDOW g AS (PARTITION BY position, t, c))
@@ -122,7 +122,7 @@ def average_slices(spark, d):
 
 def _pyramid(how: str, sql: str) -> None:
     name = f"pyramid_{how}"
-    QUERIES[name] = lambda spark, d: _round(vx.pyramid_level(vw.vox(spark, d), how))
+    QUERIES[name] = lambda spark, d: _round(ch.voxels(ch.binned(vw.chunks(spark, d), dict.fromkeys("zyx", 2), how)))
     ORACLE_SQL[name] = f"WITH {vw.VOX} {sql}"
 
 
