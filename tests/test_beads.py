@@ -126,9 +126,9 @@ def test_equals_a_plain_loop(spark, clouds, with_user):
     user = {1: turn(1.2, (1, -1, 0)), 2: turn(40, (9, 9, 9)), 3: turn(0, (5, 5, 5))}
     other = spark.createDataFrame([(c, x.ravel().tolist()) for c, x in user.items()], "label int, matrix array<double>") if with_user else None
     m = be.Matching(radius=0.8, low=0.05, high=0.9, degrees=70.0)
-    got = {r.label: r for r in be.register(a, b, eye, m, 3, other).collect()}
+    got = {r.label: r for r in be.register(a, b, eye, m, 2, other).collect()}
     for c in (1, 2, 3, 4):
-        matrix, score, n = plain_register(mov[c], ref[c], np.eye(4), m, 3, user.get(c) if with_user else None)
+        matrix, score, n = plain_register(mov[c], ref[c], np.eye(4), m, 2, user.get(c) if with_user else None)
         assert got[c].score == pytest.approx(score, abs=1e-12) and got[c].rounds == n, c
         assert np.abs(np.array(got[c].matrix).reshape(4, 4) - matrix).max() < 1e-6
 
@@ -167,13 +167,13 @@ def test_series_hand_on_their_transform(spark, tmp_path):
     m = be.Matching(radius=0.3, max_ratio=0.8)
     path = f"{tmp_path}/series"
     a, b = table(spark, mov, kind), table(spark, ref, kind)
-    be.propagate(a.where("t <= 1"), b, initial, path, m, 3)
-    got = {(r.series, r.t): r for r in be.propagate(a, b, initial, path, m, 3).collect()}
+    be.propagate(a.where("t <= 1"), b, initial, path, m, 2)
+    got = {(r.series, r.t): r for r in be.propagate(a, b, initial, path, m, 2).collect()}
     assert got.keys() == set(mov)
     for s in base:
         guess = np.eye(4)
         for t in times[s]:
-            matrix, score, _ = plain_register(mov[s, t], ref[s, t], guess, m, 3, np.eye(4))
+            matrix, score, _ = plain_register(mov[s, t], ref[s, t], guess, m, 2, np.eye(4))
             assert got[s, t].score == pytest.approx(score, abs=1e-12), (s, t)
             if score < 0:
                 assert got[s, t].matrix is None
@@ -183,7 +183,7 @@ def test_series_hand_on_their_transform(spark, tmp_path):
                 guess = matrix
     assert got["b", 2].matrix is None
     n = spark.read.parquet(path).count()
-    assert be.propagate(a, b, initial, path, m, 3).count() == n  # nothing left to do
+    assert be.propagate(a, b, initial, path, m, 2).count() == n  # nothing left to do
 
 
 def test_empty(spark, clouds):
