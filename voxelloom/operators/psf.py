@@ -123,4 +123,6 @@ def fits(cut: DataFrame, scale: tuple[float, float, float] = (1.0, 1.0, 1.0)) ->
         yield from (work(b) for b in batches if b.num_rows)
 
     kinds = [cut.schema[c].dataType.simpleString() for c in ("position", "bead")]
-    return cut.select(*VOLUME, "bead", *CORNER, *SIZE, "data").mapInArrow(run, FIT.format(*kinds))
+    # A fit is much work on few bytes: patches are dealt by a hash to as many tasks as the session shuffles into.
+    dealt = cut.select(*VOLUME, "bead", *CORNER, *SIZE, "data").repartition(int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")), *VOLUME, "bead")
+    return dealt.mapInArrow(run, FIT.format(*kinds))
