@@ -10,7 +10,9 @@ from .operators import assignment as an
 from .operators import beads as be
 from .operators import chunks as ch
 from .operators import kernels as ke
+from .operators import points as po
 from .operators import psf
+from .operators import quantiles as qu
 from .operators import stacks as st
 from .queries import query
 from .sources import views as vw
@@ -90,6 +92,64 @@ def assignment_near(spark, d):
     return an.assign_near(p.where("side = 0"), p.where("side = 1"), 12.0)
 
 
+def _apart(metric: str) -> str:
+    return {
+        "planar": "sqrt((a.y - b.y) ** 2 + (a.x - b.x) ** 2)", "euclidean": "sqrt((a.z - b.z) ** 2 + (a.y - b.y) ** 2 + (a.x - b.x) ** 2)", "cityblock": "abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x)",
+        "cosine": "1 - (a.z * b.z + a.y * b.y + a.x * b.x) / (sqrt(a.z * a.z + a.y * a.y + a.x * a.x) * sqrt(b.z * b.z + b.y * b.y + b.x * b.x))",
+    }[metric]
+
+
+def _sides(spark, d, planar: bool = False) -> tuple[DataFrame, DataFrame]:
+    p = vw.points(spark, d)
+    p = p.withColumn("z", F.lit(0.0)) if planar else p
+    return p.where("side = 0"), p.where("side = 1")
+
+
+_NEAR = f"WITH {vw.POINTS}, near AS (SELECT a.label, a.id AS mov, b.id AS ref, {{}} AS dist FROM pts a JOIN pts b USING (label) WHERE a.side = 0 AND b.side = 1 AND {{}} <= 12)"
+
+
+@query(_NEAR.format(_apart("planar"), _apart("planar")) + f""", e AS (SELECT a.label, a.side, a.id AS src, b.id AS dst, {_apart("planar")} AS dist, a.y AS sy, a.x AS sx, b.y AS dy, b.x AS dx FROM pts a JOIN pts b USING (label, side) WHERE a.id <> b.id),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY label, side, src ORDER BY dist, dst) AS r FROM e) WHERE r <= 3),
+g AS (SELECT k.*, CASE WHEN v.src IS NOT NULL AND k.src < k.dst THEN atan2(k.sx - k.dx, k.sy - k.dy) ELSE atan2(k.dx - k.sx, k.dy - k.sy) END AS angle FROM k LEFT JOIN k v ON v.label = k.label AND v.src = k.dst AND v.dst = k.src),
+s AS (SELECT *, row_number() OVER (PARTITION BY label, src ORDER BY angle) AS ra FROM g),
+c AS (SELECT n.label, n.mov, n.ref, avg(abs(m.dist - f.dist)) AS by_length FROM near n JOIN s m ON m.label = n.label AND m.src = n.mov JOIN s f ON f.label = n.label AND f.src = n.ref AND f.r = m.r GROUP BY ALL),
+t AS (SELECT n.label, n.mov, n.ref, avg(abs(m.angle - f.angle)) AS by_angle FROM near n JOIN s m ON m.label = n.label AND m.src = n.mov JOIN s f ON f.label = n.label AND f.src = n.ref AND f.ra = m.ra GROUP BY ALL)
+SELECT label, mov, ref, round(0.5 * dist + coalesce(by_length, 1e6) + coalesce(by_angle, pi()), 6) AS cost FROM near LEFT JOIN c USING (label, mov, ref) LEFT JOIN t USING (label, mov, ref)""")
+def planar_costs(spark, d):
+    """Costs of the pairs nearer than 12 of clouds laid flat, by distance, edge lengths and edge angles."""
+    sides = _sides(spark, d, planar=True)
+    costs = po.match_costs(*sides, tuple(po.knn(s, 3) for s in sides), planar=True, radius=12.0)
+    return costs.withColumn("cost", F.round("cost", 6))
+
+
+def _metric(metric: str) -> None:
+    def run(spark, d):
+        sides = _sides(spark, d)
+        return po.match_costs(*sides, (None, None), weights={"dist": 1.0}, metric=metric, radius=12.0).withColumn("cost", F.round("cost", 6) + 0.0)
+
+    run.__name__ = f"{metric}_costs"
+    query(_NEAR.format(_apart(metric), _apart("euclidean")) + " SELECT label, mov, ref, round(dist, 6) + 0.0 AS cost FROM near")(run)
+
+
+for _m in ("cityblock", "cosine"):
+    _metric(_m)
+
+
+@query(_NEAR.format(_apart("euclidean"), _apart("euclidean")) + " SELECT label, round(quantile_cont(dist, 0.01), 6) AS low, round(quantile_cont(dist, 0.5), 6) AS mid, round(quantile_cont(dist, 0.95), 6) AS high FROM near GROUP BY ALL")
+def distance_quantiles(spark, d):
+    """Exact quantiles of the distances of each cloud's pairs nearer than 12, found by ranges."""
+    found = qu.quantiles(po.within(*_sides(spark, d), 12.0), "dist", [0.01, 0.5, 0.95])
+    return found.select("label", *[F.round(F.col("q")[i], 6).alias(n) for i, n in enumerate(("low", "mid", "high"))])
+
+
+@query()
+def match_near(spark, d):
+    """Weighted matches of each cloud's points nearer than 12, asked from both sides."""
+    sides = _sides(spark, d)
+    costs = po.match_costs(*sides, tuple(po.knn(s, 5) for s in sides), radius=12.0)
+    return an.match(costs, 0.5, 0.8, cross_check=True)
+
+
 @query(f"WITH {vw.SHIFTS} SELECT position, t, sum(coalesce(dz, 0)) OVER w AS dz, sum(coalesce(dy, 0)) OVER w AS dy, sum(coalesce(dx, 0)) OVER w AS dx FROM (SELECT position, t, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dz END AS dz, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dy END AS dy, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dx END AS dx FROM shifts) WINDOW w AS (PARTITION BY position ORDER BY t)")
 def composed_transforms(spark, d):
     """Shifts as matrices, multiplied over time."""

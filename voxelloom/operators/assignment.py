@@ -11,11 +11,12 @@ import heapq
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
 from .points import within
+from .quantiles import quantiles
 
 #: Pairs of small parts in one task, about.
 BUNDLE = 20_000
@@ -100,3 +101,18 @@ def assign_near(moving: DataFrame, reference: DataFrame, radius: float, key: str
     """The cheapest assignment by distance in which only points nearer than the radius match, and as many as pays: key, mov, ref, cost."""
     near = within(moving, reference, radius, key).select(key, F.col("src").alias("mov"), F.col("dst").alias("ref"), F.col("dist").alias("cost"))
     return assign(near, radius, key)
+
+
+def match(costs: DataFrame, quantile: float = 0.1, max_ratio: float | None = 0.8, far: float = 1e6, cross_check: bool = False, key: str = "label") -> DataFrame:
+    """Matches by the cheapest assignment of the costs of near pairs (key, mov, ref, cost: points.match_costs with a radius), in clouds of any size: key, mov, ref, cost. Of the assigned pairs those stay that cost less than the quantile of all the cloud's pairs
+    and, with max_ratio, at most that share of the moving point's second-least cost; with cross_check also of the reference point's. A point with one pair has no second cost and passes. Over all pairs of a cloud it is kernels.chosen, without a matrix."""
+    costs = kept(costs.where("cost IS NOT NULL").select(key, "mov", "ref", "cost"), "costs")
+    limits = quantiles(costs, "cost", [quantile], key).select(key, F.col("q")[0].alias("limit"))
+    taken = assign(costs, far, key).join(limits, key).where("cost < limit").drop("limit")
+    if max_ratio is None:
+        return taken
+    for side in ("mov", "ref") if cross_check else ("mov",):
+        rank = F.row_number().over(Window.partitionBy(key, side).orderBy("cost"))
+        second = costs.select(key, side, "cost", rank.alias("rank")).where("rank <= 2").groupBy(key, side).agg(F.max(F.when(F.col("rank") == 2, F.col("cost"))).alias("second"))
+        taken = taken.join(second, [key, side]).where(F.col("second").isNull() | (F.col("cost") <= max_ratio * F.col("second"))).drop("second")
+    return taken.select(key, "mov", "ref", "cost")

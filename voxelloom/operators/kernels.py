@@ -272,8 +272,11 @@ def assign(cost: np.ndarray) -> np.ndarray:
     return out
 
 
-def chosen(d: np.ndarray, quantile: float, max_ratio: float | None, far: float) -> list[tuple[int, int]]:
-    """The rows and columns of the cheapest assignment of a matrix of costs that are cheaper than the quantile of all costs and, with max_ratio, at most that share of the row's second-least cost."""
+def chosen(d: np.ndarray, quantile: float, max_ratio: float | None, far: float, cross_check: bool = False) -> list[tuple[int, int]]:
+    """The rows and columns of the cheapest assignment of a matrix of costs that are cheaper than the quantile of all costs and, with max_ratio, at most that share of the row's second-least cost; with cross_check, those also chosen from the turned matrix."""
+    if cross_check:
+        back = {(i, k) for k, i in chosen(d.T, quantile, max_ratio, far)}
+        return [at for at in chosen(d, quantile, max_ratio, far) if at in back]
     n = max(d.shape)
     square = np.full((n, n), far)
     square[: d.shape[0], : d.shape[1]] = d
@@ -286,7 +289,7 @@ def chosen(d: np.ndarray, quantile: float, max_ratio: float | None, far: float)
     return out
 
 
-def hungarian(points: DataFrame, quantile: float = 0.1, max_ratio: float | None = None, far: float = 1e6) -> DataFrame:
+def hungarian(points: DataFrame, quantile: float = 0.1, max_ratio: float | None = None, far: float = 1e6, cross_check: bool = False) -> DataFrame:
     """Matches of each cloud's moving (side 0) and reference (side 1) points by the cheapest assignment of distances, see chosen(): label, mov, ref, cost."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -294,25 +297,25 @@ def hungarian(points: DataFrame, quantile: float = 0.1, max_ratio: float | None
         rows = []
         if len(a) and len(b):
             d = np.linalg.norm(a[AXES].to_numpy()[:, None] - b[AXES].to_numpy()[None], axis=2)
-            rows = [(pdf["label"].iloc[0], a["id"].iloc[i], b["id"].iloc[k], float(d[i, k])) for i, k in chosen(d, quantile, max_ratio, far)]
+            rows = [(pdf["label"].iloc[0], a["id"].iloc[i], b["id"].iloc[k], float(d[i, k])) for i, k in chosen(d, quantile, max_ratio, far, cross_check)]
         return pd.DataFrame(rows, columns=["label", "mov", "ref", "cost"])
 
     return points.groupBy("label").applyInPandas(run, "label int, mov bigint, ref bigint, cost double")
 
 
-def hungarian_costs(costs: DataFrame, quantile: float = 0.1, max_ratio: float | None = 0.8, far: float = 1e6) -> DataFrame:
-    """Matches by the cheapest assignment of the costs of all a cloud's pairs (label, mov, ref, cost: points.match_costs), see chosen(): label, mov, ref, cost. A pair without a cost counts as far."""
+def hungarian_costs(costs: DataFrame, quantile: float = 0.1, max_ratio: float | None = 0.8, far: float = 1e6, cross_check: bool = False) -> DataFrame:
+    """Matches by the cheapest assignment of the costs of all a cloud's pairs (label, mov, ref, cost: points.match_costs), see chosen(): label, mov, ref, cost. A pair without a cost counts as far. assignment.match is for clouds too large for one task."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         d = pdf.pivot(index="mov", columns="ref", values="cost").sort_index().sort_index(axis=1).fillna(far)
-        rows = [(pdf["label"].iloc[0], d.index[i], d.columns[k], float(d.iat[i, k])) for i, k in chosen(d.to_numpy(), quantile, max_ratio, far)]
+        rows = [(pdf["label"].iloc[0], d.index[i], d.columns[k], float(d.iat[i, k])) for i, k in chosen(d.to_numpy(), quantile, max_ratio, far, cross_check)]
         return pd.DataFrame(rows, columns=["label", "mov", "ref", "cost"])
 
     return costs.groupBy("label").applyInPandas(run, "label int, mov bigint, ref bigint, cost double")
 
 
-def pca_features(points: DataFrame, edges: DataFrame) -> DataFrame:
-    """Each point's main direction among its neighbours and its anisotropy; nulls without neighbours. edges: label, src, dst. Covariances of neighbours are aggregates; directions are worked out for all points of an Arrow batch together."""
+def pca_features(points: DataFrame, edges: DataFrame, planar: bool = False) -> DataFrame:
+    """Each point's main direction among its neighbours and its anisotropy; nulls without neighbours. edges: label, src, dst. planar: all points of a cloud have one z, and anisotropy is that of the plane. Covariances of neighbours are aggregates; directions are worked out for all points of an Arrow batch together."""
     p = points.select("label", F.col("id").alias("dst"), *AXES)
     pairs = [(a, b) for i, a in enumerate(AXES) for b in AXES[i:]]
     sums = edges.select("label", "src", "dst").join(p, ["label", "dst"]).groupBy("label", "src").agg(F.count("*").alias("n"), *[F.covar_pop(a, b).alias(f"{a}{b}") for a, b in pairs])
@@ -328,8 +331,8 @@ def pca_features(points: DataFrame, edges: DataFrame) -> DataFrame:
             spread = np.sqrt(np.maximum(value, 0) * n[:, None])
             main = vector[:, :, 2]
             main = main * np.where(np.take_along_axis(main, np.abs(main).argmax(1)[:, None], 1) > 0, 1, -1)
-            # Up to three neighbours lie in a plane: nothing is left across it.
-            last = np.where(n <= 3, 0.0, spread[:, 0])
+            # Up to three neighbours lie in a plane, and two on a line: nothing is left across it.
+            last = np.where(n <= 2, 0.0, spread[:, 1]) if planar else np.where(n <= 3, 0.0, spread[:, 0])
             columns = [*main.T, spread[:, 2] / (last + 1e-5)]
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("src"), *map(pa.array, columns)], names=["label", "id", "pz", "py", "px", "anisotropy"])
 

@@ -5,6 +5,8 @@ Neighbour searches put points into cells as wide as the radius and join each cel
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,14 +76,19 @@ def knn(points: DataFrame, k: int, key: str = "label") -> DataFrame:
     return nearest_k(points, points, k, key, itself=True).drop("r")
 
 
-def within(points: DataFrame, others: DataFrame, radius: float, key: str = "label") -> DataFrame:
-    """Pairs of a point and another cloud's point at most the radius apart: key, src, dst, dist."""
+def near(points: DataFrame, others: DataFrame, radius: float, key: str = "label") -> DataFrame:
+    """Pairs of a point and another cloud's point at most the radius apart: key, a and b (structs id, z, y, x), dist."""
     cells = [f"k{a}" for a in AXES]
     p = points.select(key, F.struct("id", *AXES).alias("a"), *[F.floor(F.col(a) / radius).alias(f"k{a}") for a in AXES])
     q = others.select(key, F.struct("id", *AXES).alias("b"), *[F.floor(F.col(a) / radius).alias(f"k{a}") for a in AXES])
     for c in cells:
         q = q.withColumn(c, F.explode(F.array(*[F.col(c) + d for d in (-1, 0, 1)])))
-    return p.join(q, [key, *cells]).withColumn("dist", distance("a", "b")).where(F.col("dist") <= radius).select(key, F.col("a.id").alias("src"), F.col("b.id").alias("dst"), "dist")
+    return p.join(q, [key, *cells]).withColumn("dist", distance("a", "b")).where(F.col("dist") <= radius).select(key, "a", "b", "dist")
+
+
+def within(points: DataFrame, others: DataFrame, radius: float, key: str = "label") -> DataFrame:
+    """The same as ids: key, src, dst, dist."""
+    return near(points, others, radius, key).select(key, F.col("a.id").alias("src"), F.col("b.id").alias("dst"), "dist")
 
 
 def radius_graph(points: DataFrame, radius: float, key: str = "label") -> DataFrame:
@@ -98,11 +105,19 @@ def edge_stats(edges: DataFrame, key: str = "label") -> DataFrame:
     return edges.groupBy(key, "src").agg(F.count("*").alias("degree"), F.avg("dist").alias("mean_dist"), F.stddev_pop("dist").alias("std_dist"))
 
 
-def edge_descriptors(points: DataFrame, edges: DataFrame, key: str = "label") -> DataFrame:
-    """Each point's mean and population deviation of its edges' lengths and in-plane angles (radians, from y to x); 0 without edges. Both directions of an edge have one angle: from the higher id to the lower."""
+def edge_angles(points: DataFrame, edges: DataFrame, key: str = "label") -> DataFrame:
+    """The edges with `angle`, their in-plane angle in radians from y to x. An edge has the angle from src to dst; where its reverse is an edge, too, both have the one from the higher id to the lower."""
     at = lambda n: points.select(key, F.col("id").alias(n), F.col("y").alias(f"{n}y"), F.col("x").alias(f"{n}x"))
-    ends = edges.withColumns({"lo": F.least("src", "dst"), "hi": F.greatest("src", "dst")}).join(at("lo"), [key, "lo"]).join(at("hi"), [key, "hi"])
-    angled = ends.withColumn("angle", F.atan2(F.col("lox") - F.col("hix"), F.col("loy") - F.col("hiy")))
+    ends = edges.withColumns({"lo": F.least("src", "dst"), "hi": F.greatest("src", "dst")})
+    start = F.max("src").over(Window.partitionBy(key, "lo", "hi"))
+    placed = ends.withColumn("start", start).join(at("lo"), [key, "lo"]).join(at("hi"), [key, "hi"])
+    along = lambda a: F.when(F.col("start") == F.col("hi"), F.col(f"lo{a}") - F.col(f"hi{a}")).otherwise(F.col(f"hi{a}") - F.col(f"lo{a}"))
+    return placed.select(*edges.columns, F.atan2(along("x"), along("y")).alias("angle"))
+
+
+def edge_descriptors(points: DataFrame, edges: DataFrame, key: str = "label") -> DataFrame:
+    """Each point's mean and population deviation of its edges' lengths and edge_angles; 0 without edges."""
+    angled = edges if "angle" in edges.columns else edge_angles(points, edges, key)
     stats = [f(v).alias(f"{n}_{v}") for v in ("dist", "angle") for f, n in ((F.avg, "mean"), (F.stddev_pop, "std"))]
     found = points.select(key, "id").join(angled.groupBy(key, F.col("src").alias("id")).agg(*stats), [key, "id"], "left")
     return found.select(key, "id", *[F.coalesce(f"{n}_{v}", F.lit(0.0)).alias(f"{n}_{v}") for v in ("dist", "angle") for n in ("mean", "std")])
@@ -133,20 +148,47 @@ def edge_consistency(pairs: DataFrame, moving: DataFrame, reference: DataFrame,
     return both.withColumn("edge", F.when(m.isNotNull() & r.isNotNull(), mean).otherwise(F.lit(default))).drop("mov_edges", "ref_edges")
 
 
-def match_costs(moving: DataFrame, reference: DataFrame, edges: tuple[DataFrame, DataFrame], features: tuple[DataFrame, DataFrame] | None = None, weights: dict[str, float] | None = None, normalise: bool = False, key: str = "label") -> DataFrame:
-    """The cost of each pair of a cloud's moving and reference points: key, mov, ref, cost. It is the weighted sum of `dist`, `edge_length` (edge_consistency), `pca_dir` (1 - |cosine| of the main directions), `pca_aniso` and `edge_descriptor` (distance of edge_descriptors); normalise divides each by its largest in the cloud.
+def span(a: str, b: str, metric: str = "euclidean") -> Column:
+    """How far apart two points are: euclidean, cityblock or cosine (1 - cosine of the angle at the origin; 1 for a point in the origin)."""
+    if metric == "euclidean":
+        return distance(a, b)
+    if metric == "cityblock":
+        return sum((F.abs(F.col(f"{a}.{x}") - F.col(f"{b}.{x}")) for x in AXES), F.lit(0.0))
+    if metric != "cosine":
+        raise ValueError(f"no such metric: {metric}")
+    dot = lambda p, q: sum((F.col(f"{p}.{x}") * F.col(f"{q}.{x}") for x in AXES), F.lit(0.0))
+    lengths = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
+    return F.when(lengths > 0, 1 - dot(a, b) / lengths).otherwise(1.0)
+
+
+#: Weights of the terms of match_costs unless given: of clouds in space, and of planar ones.
+WEIGHTS, PLANAR = {"dist": 0.5, "edge_length": 1.0}, {"dist": 0.5, "edge_length": 1.0, "edge_angle": 1.0}
+TERMS = {"dist", "edge_length", "edge_angle", "pca_dir", "pca_aniso", "edge_descriptor"}
+
+
+def match_costs(
+    moving: DataFrame, reference: DataFrame, edges: tuple[DataFrame, DataFrame], features: tuple[DataFrame, DataFrame] | None = None, weights: dict[str, float] | None = None, normalise: bool = False, key: str = "label",
+    metric: str = "euclidean", planar: bool = False, radius: float | None = None,
+) -> DataFrame:
+    """The cost of each pair of a cloud's moving and reference points: key, mov, ref, cost. It is the weighted sum of `dist` (by the metric, see span), `edge_length` and `edge_angle` (edge_consistency), `pca_dir` (1 - |cosine| of the main directions), `pca_aniso` and
+    `edge_descriptor` (distance of edge_descriptors); normalise divides edge_angle by pi and each other term by its largest in the cloud.
 
-    Unless given, weights are those of 3-D clouds, where angles of edges don't count. edges: of the moving and of the reference points. features: kernels.pca_features of both, needed for the pca weights. All pairs of a cloud are made, as the method asks: clouds are some hundred beads."""
-    w = {"dist": 0.5, "edge_length": 1.0} if weights is None else {n: v for n, v in weights.items() if v > 0}
-    if unknown := w.keys() - {"dist", "edge_length", "pca_dir", "pca_aniso", "edge_descriptor"}:
+    planar: the clouds lie in the plane of y and x. Angles of edges count in planar clouds only, and unless given, weights are those of the kind of cloud. edges: of the moving and of the reference points. features: kernels.pca_features of both,
+    needed for the pca weights. radius: only pairs at most so far apart get a cost; without it all pairs of a cloud are made, which suits clouds of some thousand points."""
+    w = {n: v for n, v in (weights or (PLANAR if planar else WEIGHTS)).items() if v > 0 and (planar or n != "edge_angle")}
+    if unknown := (weights or {}).keys() - TERMS:
         raise ValueError(f"no such terms: {sorted(unknown)}")
     a, b = moving.select(key, F.struct("id", *AXES).alias("a")), reference.select(key, F.struct("id", *AXES).alias("b"))
-    pairs = a.join(b, key).select(key, F.col("a.id").alias("mov"), F.col("b.id").alias("ref"), distance("a", "b").alias("dist"))
-    if "edge_length" in w:
-        pairs = edge_consistency(pairs, *edges, key=key).withColumnRenamed("edge", "edge_length")
+    both = a.join(b, key) if radius is None else near(moving, reference, radius, key)
+    pairs = both.select(key, F.col("a.id").alias("mov"), F.col("b.id").alias("ref"), span("a", "b", metric).alias("dist"))
+    if planar:
+        edges = tuple(edge_angles(p, e, key) for p, e in zip((moving, reference), edges, strict=True))
+    for term, value, default in (("edge_length", "dist", 1e6), ("edge_angle", "angle", math.pi)):
+        if term in w:
+            pairs = edge_consistency(pairs, *edges, value, default, key).withColumnRenamed("edge", term)
     sides = list(zip(("mov", "ref"), (moving, reference), edges, strict=True))
     if "edge_descriptor" in w:
-        names = [f"{n}_{v}" for v in ("dist", "angle") for n in ("mean", "std")]
+        names = [f"{n}_{v}" for v in (("dist", "angle") if planar else ("dist",)) for n in ("mean", "std")]
         for side, p, e in sides:
             d = edge_descriptors(p, e, key).select(key, F.col("id").alias(side), F.struct(*names).alias(f"{side}_d"))
             pairs = pairs.join(d, [key, side])
@@ -160,8 +202,11 @@ def match_costs(moving: DataFrame, reference: DataFrame, edges: tuple[DataFrame,
         gap = F.abs(F.coalesce("mov_p.anisotropy", F.lit(0.0)) - F.coalesce("ref_p.anisotropy", F.lit(0.0)))
         pairs = pairs.withColumns({"pca_dir": 1 - F.least(F.abs(dot), F.lit(1.0)), "pca_aniso": gap})
     if normalise:
-        most = pairs.groupBy(key).agg(*[F.max(n).alias(f"most_{n}") for n in w])
-        pairs = pairs.join(most, key).withColumns({n: F.when(F.col(f"most_{n}") > 0, F.col(n) / F.col(f"most_{n}")).otherwise(F.col(n)) for n in w})
+        scaled = [n for n in w if n != "edge_angle"]
+        most = pairs.groupBy(key).agg(F.count("*").alias("most_pairs"), *[F.max(n).alias(f"most_{n}") for n in scaled])
+        pairs = pairs.join(most, key).withColumns({n: F.when(F.col(f"most_{n}") > 0, F.col(n) / F.col(f"most_{n}")).otherwise(F.col(n)) for n in scaled})
+        if "edge_angle" in w:
+            pairs = pairs.withColumn("edge_angle", F.col("edge_angle") / math.pi)
     return pairs.select(key, "mov", "ref", sum((F.col(n) * v for n, v in w.items()), F.lit(0.0)).alias("cost"))
 
 
@@ -197,7 +242,7 @@ def with_vectors(matches: DataFrame, moving: DataFrame, reference: DataFrame, ke
 
 
 def filter_distance(matches: DataFrame, low: float = 0.01, high: float = 0.95, key: str = "label") -> DataFrame:
-    """Matches whose distance lies between the quantiles, ends included."""
+    """Matches whose distance lies between the quantiles, ends included. A cloud's different distances go to one task; quantiles.between is for larger clouds."""
     q = matches.groupBy(key).agg(F.percentile("dist", F.array(F.lit(low), F.lit(high))).alias("q"))
     return matches.join(q, key).where("dist >= q[0] AND dist <= q[1]").drop("q")
 
