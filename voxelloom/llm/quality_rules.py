@@ -6,7 +6,9 @@ documents fail it, fail it alone, and would be kept without it, from the counts
 
 Words are runs of characters other than U+0020 and U+0009 to U+000D. Cases: null is the empty text (it has no
 words, so it fails the rules on words); repeated rows have equal entries; extra columns are kept in the ledger;
-one named like a measurement or fail_bits is replaced. Ratios compare by cross-multiplication, so nothing is divided by 0.
+one named like a measurement or fail_bits is replaced. Ratios compare by cross-multiplication, so nothing is divided by 0; equality
+with a threshold (a tie) is no failure. A text of any length is measured whole, in time in proportion to it and with its words in one
+task's memory. An empty table gives an empty ledger and an empty ablation.
 """
 
 from __future__ import annotations

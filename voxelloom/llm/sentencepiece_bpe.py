@@ -12,7 +12,8 @@ loaded. A word whose best pair is so marked merges its leftmost occurrence only;
 such a word is long, a heap does the same in O(n log n).
 
 Cases: null text is encoded as the empty text, which has no ids; repeated rows get equal ids;
-extra columns are kept; one named like an output column is replaced.
+extra columns are kept; one named like an output column is replaced. Pairs of equal rank (a tie) merge
+from the left, as in the library. A text of any length is encoded whole, and an empty table gives no rows.
 """
 
 from __future__ import annotations
