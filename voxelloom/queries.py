@@ -19,6 +19,7 @@ from .operators import resample as rs
 from .operators import runlog as rl
 from .operators import stitch as sti
 from .operators import timeline as tl
+from .operators import volumes as vo
 from .operators import voxels as vx
 from .sources import views as vw
 
@@ -73,12 +74,12 @@ for _how in ("avg", "max", "min", "sum", "median"):
 
 @query(f"WITH {vw.TVOX} SELECT position, t, c, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std FROM tvox GROUP BY ALL")
 def bleaching_stats(spark, d):
-    return _round(vx.stats(vw.tvox(spark, d)), "mean", "std")
+    return _round(vo.stats(vw.tchunks(spark, d)), "mean", "std")
 
 
 @query()
 def bleaching_fit(spark, d):
-    return ke.exponential_fit(vx.stats(vw.tvox(spark, d)))
+    return ke.exponential_fit(vo.stats(vw.tchunks(spark, d)))
 
 
 @query(f"WITH {vw.VOX} SELECT position, t, c, round(quantile_cont(v, 0.01), 6) AS low, round(quantile_cont(v, 0.99), 6) AS high FROM vox GROUP BY ALL")
@@ -89,7 +90,7 @@ def contrast_limits(spark, d):
 @query(f"""WITH {vw.VOX}, s AS (SELECT position, t, c, z, y // 2 AS y, x // 2 AS x, sum(v) AS s FROM vox GROUP BY ALL), w AS (SELECT *, min(s) OVER g AS lo, max(s) OVER g AS hi FROM s WINDOW g AS (PARTITION BY position, t, c))
 SELECT {KEYS}, round(CASE WHEN hi > 0 THEN (s - lo) * 65535 / nullif(hi - lo, 0) ELSE s END, 5) AS v FROM w""")
 def bin_sum(spark, d):
-    return vx.bin_sum(vw.vox(spark, d), {"y": 2, "x": 2}).withColumn("v", F.round("v", 5))
+    return ch.voxels(vo.bin_sum(vw.chunks(spark, d), {"y": 2, "x": 2})).withColumn("v", F.round("v", 5))
 
 
 @query(f"WITH {vw.VOX} SELECT position, t, c, z // 2 AS z, y // 2 AS y, x // 2 AS x, round(avg(v), 6) AS v FROM vox GROUP BY ALL")
@@ -100,13 +101,15 @@ def bin_mean(spark, d):
 @query(f"""WITH {vw.VOX}, k AS (SELECT * REPLACE (trunc(abs(v) * 1000) AS v) FROM vox), s AS (SELECT position, t, c, z, y // 2 AS y, x // 2 AS x, sum(v) AS s FROM k GROUP BY ALL), w AS (SELECT *, min(s) OVER g AS lo, max(s) OVER g AS hi FROM s WINDOW g AS (PARTITION BY position, t, c))
 SELECT {KEYS}, CASE WHEN hi > 0 AND hi > lo THEN trunc((s - lo) * 4095 / (hi - lo)) WHEN hi > 0 THEN 0 ELSE trunc(s) END::BIGINT AS v FROM w""")
 def bin_counts_sum(spark, d):
-    return vx.bin_counts(vw.vox(spark, d).withColumn("v", F.floor(F.abs("v") * 1000).cast("double")), {"y": 2, "x": 2}, {"y": 4, "x": 4}, 4095)
+    counts = vw.chunks(spark, d).withColumn("data", F.transform("data", lambda v: F.floor(F.abs(v) * 1000).cast("double")))
+    return ch.voxels(vo.bin_counts(counts, {"y": 2, "x": 2}, {"y": 4, "x": 4}, 4095)).withColumn("v", F.col("v").cast("bigint"))
 
 
 @query(f"""WITH {vw.VOX}, k AS (SELECT * REPLACE (trunc(abs(v) * 1000) AS v) FROM vox), m AS (SELECT position, t, c, z // 2 AS z, y // 2 AS y, x // 2 AS x, avg(v) AS m FROM k GROUP BY ALL)
 SELECT {KEYS}, coalesce(trunc(m * 4095 / nullif(max(m) OVER (PARTITION BY position, t), 0)), 0)::BIGINT AS v FROM m""")
 def bin_counts_mean(spark, d):
-    return vx.bin_counts(vw.vox(spark, d).withColumn("v", F.floor(F.abs("v") * 1000).cast("double")), {"z": 2, "y": 2, "x": 2}, dict.fromkeys("zyx", 4), 4095, "mean")
+    counts = vw.chunks(spark, d).withColumn("data", F.transform("data", lambda v: F.floor(F.abs(v) * 1000).cast("double")))
+    return ch.voxels(vo.bin_counts(counts, {"z": 2, "y": 2, "x": 2}, dict.fromkeys("zyx", 4), 4095, "mean")).withColumn("v", F.col("v").cast("bigint"))
 
 
 @query(f"WITH {vw.VOX}, m(o, i) AS (VALUES (0, 1), (1, 0), (2, 1), (3, 2), (4, 3), (5, 2)) SELECT position, t, c, z, a.o AS y, (x - 1)::INT AS x, v FROM vox JOIN m a ON a.i = y WHERE x BETWEEN 1 AND 2")
@@ -167,7 +170,7 @@ def empty_planes(spark, d):
 
 @query(f"WITH {vw.VOX} SELECT position, t, c, bool_and(v <= 0.15) AS is_empty FROM vox GROUP BY ALL")
 def empty_volumes(spark, d):
-    return vx.empty_volumes(vw.vox(spark, d).withColumn("v", F.when(F.col("v") > 0.15, F.col("v")).otherwise(0.0)))
+    return vo.empty_volumes(vw.chunks(spark, d).withColumn("data", F.transform("data", lambda v: F.when(v > 0.15, v).otherwise(0.0))))
 
 
 @query(f"WITH {vw.VOX} SELECT {KEYS}, v FROM vox WHERE (y - 2) * (y - 2) + (x - 2) * (x - 2) <= 1")
@@ -204,13 +207,13 @@ def contour_map(spark, d):
 s AS (SELECT a.position, a.t, a.c, a.z, a.y, a.x, count(*) AS n FROM l a JOIN l b USING (position, t, c, z) WHERE abs(a.y - b.y) + abs(a.x - b.x) = 1 AND a.v = b.v GROUP BY ALL)
 SELECT {KEYS}, v FROM l LEFT JOIN s USING (position, t, c, z, y, x) WHERE v > 0 AND coalesce(n, 0) < 4""")
 def label_contours(spark, d):
-    v = F.when(F.col("v") > 0.1, 2.0).when(F.col("v") > 0, 1.0).otherwise(0.0)
-    return vx.contours(vw.vox(spark, d).withColumn("v", v))
+    labels = vw.chunks(spark, d).withColumn("data", F.transform("data", lambda v: F.when(v > 0.1, 2.0).when(v > 0, 1.0).otherwise(0.0)))
+    return ch.voxels(vo.contours(labels, CUBE, CUBE))
 
 
 @query(f"WITH {vw.VOX} SELECT position, t, c, count(DISTINCT nullif(floor(abs(v) * 20), 0)) AS n_cells FROM vox GROUP BY ALL")
 def cell_counts(spark, d):
-    return vx.cell_counts(vw.vox(spark, d).withColumn("v", F.floor(F.abs("v") * 20).cast("double")))
+    return vo.cell_counts(vw.chunks(spark, d).withColumn("data", F.transform("data", lambda v: F.floor(F.abs(v) * 20).cast("double"))))
 
 
 @query(f"""WITH {vw.VOX}, n(z, y, x, dz, dy, dx) AS (SELECT i // 16, (i // 4) % 4, i % 4, a, b, e FROM range(64) r(i), range(-1, 2) p(a), range(-1, 2) q(b), range(-1, 2) s(e)),
@@ -310,7 +313,8 @@ def deskew(spark, d):
 f AS (SELECT v0.*, n.z IS NOT NULL AS hit FROM v0 LEFT JOIN n USING (position, t, c, z, y, x)), m AS (SELECT position, t, c, avg(v) AS m FROM f WHERE NOT hit GROUP BY ALL)
 SELECT {KEYS}, round(CASE WHEN hit THEN coalesce(m, 0) ELSE v END, 6) AS v FROM f LEFT JOIN m USING (position, t, c)""")
 def overhang_fill(spark, d):
-    return _round(rs.fill_overhang(vw.vox(spark, d).withColumn("v", F.when(F.col("v") > 0.2, 0.0).otherwise(F.col("v"))), reach=1))
+    raw = vw.chunks(spark, d).withColumn("data", F.transform("data", lambda v: F.when(v > 0.2, 0.0).otherwise(v)))
+    return _round(ch.voxels(vo.fill_overhang(raw, CUBE, CUBE, reach=1)))
 
 
 # --- mosaics and plates
