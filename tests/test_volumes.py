@@ -107,7 +107,19 @@ def test_figures_of_volumes(spark, volumes):
         assert empty[k] == (not (there != 0).any()) and cells[k] == len(set(there.tolist()) - {0.0})
 
 
+def test_limits_and_clipping(spark, volumes):
+    with_gaps = {**volumes, (3, 0, 0): np.where(np.arange(280).reshape(SHAPE) % 3 == 0, np.nan, np.arange(280.0).reshape(SHAPE)), (4, 0, 0): np.full(SHAPE, np.nan)}
+    chunks = _cut(spark, with_gaps, SIZE)
+    limits = {(r.position, r.t, r.c): (r.low, r.high) for r in vo.contrast_limits(chunks, 0.03, 0.9).collect()}
+    clipped = _whole(vo.clip(chunks, 20.0, 0.9), SHAPE)
+    assert limits.keys() == clipped.keys() == with_gaps.keys() - {(4, 0, 0)}
+    for k in limits:
+        v = with_gaps[k]
+        assert limits[k] == pytest.approx(np.nanquantile(v, [0.03, 0.9]), abs=1e-9)
+        np.testing.assert_allclose(clipped[k], np.minimum(np.maximum(v, 20.0), np.nanquantile(v, 0.9)), atol=1e-9)
+
+
 def test_empty_tables(spark):
     none = _cut(spark, {(1, 0, 0): np.zeros(SHAPE)}, SIZE).limit(0)
-    made = (vo.bin_sum(none, {"x": 3}), vo.bin_counts(none, {"x": 3}, {"x": 6}, how="mean"), vo.fill_overhang(none, SHAPE, SIZE), vo.contours(none, SHAPE, SIZE), vo.cell_counts(none), vo.stats(none), vo.empty_volumes(none))
+    made = (vo.bin_sum(none, {"x": 3}), vo.bin_counts(none, {"x": 3}, {"x": 6}, how="mean"), vo.fill_overhang(none, SHAPE, SIZE), vo.contours(none, SHAPE, SIZE), vo.cell_counts(none), vo.stats(none), vo.empty_volumes(none), vo.contrast_limits(none), vo.clip(none, 0.0, 0.9))
     assert all(m.collect() == [] for m in made)

@@ -211,12 +211,6 @@ def clear_of(peaks: DataFrame, mask: DataFrame, ny: int, nx: int) -> DataFrame:
     return peaks.where((F.col("y") >= 0) & (F.col("y") < ny) & (F.col("x") >= 0) & (F.col("x") < nx)).join(dirty, ["position", "y", "x"], "left_anti")
 
 
-def clip_high(vox: DataFrame, low: float, q: float) -> DataFrame:
-    """Values cut to the least given and to each volume's quantile q."""
-    top = vox.groupBy("position", "t", "c").agg(F.percentile("v", F.lit(q)).alias("top"))
-    return vox.join(top, ["position", "t", "c"]).withColumn("v", F.least(F.greatest("v", F.lit(low)), F.col("top"))).drop("top")
-
-
 def best_of(trials: DataFrame, key: str) -> DataFrame:
     """Of each key's trials (ord, score, ...) the one of the highest score; ties: the first."""
     rest = [c for c in trials.columns if c != key]

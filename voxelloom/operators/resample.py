@@ -1,16 +1,9 @@
-"""Shapes of deskewed scans, and the overhang that deskewing leaves, on voxel tables. The resampling itself is in chunks.py."""
+"""Shapes of deskewed scans. The resampling is in chunks.py, what fills the overhang in volumes.py."""
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from ..sources.views import VOLUME
-
-AXES = ["z", "y", "x"]
-
 
 def deskewed_shape(shape: tuple[int, int, int], angle: float, ratio: float, keep_overhang: bool) -> tuple[int, int, int]:
     """The full output shape (before averaging) of a light-sheet scan: raw (z, y, x) becomes (y, x, along the scan)."""
@@ -20,15 +13,3 @@ def deskewed_shape(shape: tuple[int, int, int], angle: float, ratio: float, keep
     if length <= 0:
         raise ValueError("the volume has fewer planes than the tilt needs without the overhang")
     return ny, nx, length
-
-
-def fill_overhang(dense: DataFrame, reach: int = 3, value: float | None = None) -> DataFrame:
-    """Zero voxels, and those within `reach` of one in all axes, get the mean of the others in their volume (or the given value)."""
-    near = F.sequence(F.lit(-reach), F.lit(reach))
-    zero = dense.where("v = 0").select(*VOLUME, *AXES)
-    for a in AXES:
-        zero = zero.withColumn("d", F.explode(near)).withColumn(a, F.col(a) + F.col("d")).drop("d").distinct()
-    marked = dense.join(zero.withColumn("hit", F.lit(True)), [*VOLUME, *AXES], "left")
-    mean = marked.where("hit IS NULL").groupBy(*VOLUME).agg(F.avg("v").alias("m"))
-    fill = F.lit(value) if value is not None else F.coalesce("m", F.lit(0.0))
-    return marked.join(mean, VOLUME, "left").select(*VOLUME, *AXES, F.when(F.col("hit"), fill).otherwise(F.col("v")).alias("v"))

@@ -1,6 +1,6 @@
 """Operators on chunk tables that need a figure of the whole volume, or the voxels around each.
 
-A chunk's part of the figure is worked out where the chunk is, parts are added up by volume, and the volume's figure is joined back to its chunks; voxels never become rows.
+A chunk's part of the figure is worked out where the chunk is, parts are added up by volume, and the volume's figure is joined back to its chunks. Voxels become rows for quantiles only, which are exact and found by ranges of values, so that no task gets a volume.
 """
 
 from __future__ import annotations
@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
 from ..sources.views import VOLUME
-from .chunks import AXES, CORNER, SIZE, Shape, binned, stencil
+from .chunks import CORNER, SIZE, Shape, binned, stencil
+from .quantiles import quantiles
 
 CHUNK = [*VOLUME, *CORNER, *SIZE, "data"]
 
 
+def _absent(v: Column) -> Column:
+    return v.isNull() | F.isnan(v)
+
+
 def _present(data: str = "data") -> Column:
-    return F.filter(data, lambda v: v.isNotNull() & ~F.isnan(v))
+    return F.filter(data, lambda v: ~_absent(v))
 
 
 def bin_sum(chunks: DataFrame, factors: dict[str, int], top: float = 65535.0) -> DataFrame:
@@ -25,7 +30,7 @@ def bin_sum(chunks: DataFrame, factors: dict[str, int], top: float = 65535.0) ->
     sums = binned(chunks, factors, "sum")
     ends = sums.select(*VOLUME, F.array_min(_present()).alias("a"), F.array_max(_present()).alias("b")).groupBy(*VOLUME).agg(F.min("a").alias("low"), F.max("b").alias("high"))
     wide = F.col("high") - F.col("low")
-    stretch = lambda v: F.when(F.isnan(v) | (F.col("high") <= 0), v).when(wide > 0, (v - F.col("low")) * top / wide).otherwise(0.0)
+    stretch = lambda v: F.when(_absent(v) | (F.col("high") <= 0), v).when(wide > 0, (v - F.col("low")) * top / wide).otherwise(0.0)
     return sums.join(ends, VOLUME).withColumn("data", F.transform("data", stretch)).select(CHUNK)
 
 
@@ -39,11 +44,11 @@ def bin_counts(chunks: DataFrame, factors: dict[str, int], sizes: dict[str, int]
     elif how == "mean":
         means = binned(chunks, factors, "mean")
         most = means.groupBy("position", "t").agg(F.max(F.array_max(_present())).alias("most"))
-        scale = lambda v: F.when(F.isnan(v), v).when(F.col("most") != 0, v * top / F.col("most")).otherwise(0.0)
+        scale = lambda v: F.when(_absent(v), v).when(F.col("most") != 0, v * top / F.col("most")).otherwise(0.0)
         out = means.join(most, ["position", "t"]).withColumn("data", F.transform("data", scale)).select(CHUNK)
     else:
         raise ValueError(f"neither sum nor mean: {how}")
-    return out.withColumn("data", F.transform("data", lambda v: F.when(F.isnan(v), v).otherwise(v.cast("bigint").cast("double"))))
+    return out.withColumn("data", F.transform("data", lambda v: F.when(_absent(v), v).otherwise(v.cast("bigint").cast("double"))))
 
 
 def fill_overhang(chunks: DataFrame, shape: Shape, size: Shape, reach: int = 3, value: float | None = None) -> DataFrame:
@@ -92,6 +97,24 @@ def stats(chunks: DataFrame) -> DataFrame:
     return part.join(mean, VOLUME).groupBy(*VOLUME, "mean").agg(F.sqrt(F.try_divide(squares, F.sum("n"))).alias("std"))
 
 
+def _levels(chunks: DataFrame, levels: list[float]) -> DataFrame:
+    """position, t, c, q: quantiles of each volume's voxels."""
+    values = chunks.select(F.struct(*VOLUME).alias("volume"), F.explode(_present()).alias("v"))
+    return quantiles(values, "v", levels, "volume").select("volume.*", "q")
+
+
+def contrast_limits(chunks: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
+    """position, t, c, low, high: two quantiles of each volume's voxels; volumes without a voxel have no row."""
+    return _levels(chunks, [low, high]).select(*VOLUME, F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
+
+
+def clip(chunks: DataFrame, low: float, quantile: float) -> DataFrame:
+    """Values cut to the least given and to their volume's quantile, which counts where it is less; absent voxels stay absent."""
+    top = _levels(chunks, [quantile]).select(*VOLUME, F.col("q")[0].alias("top"))
+    cut = lambda v: F.when(_absent(v), v).otherwise(F.least(F.greatest(v, F.lit(float(low))), F.col("top")))
+    return chunks.join(top, VOLUME, "left").withColumn("data", F.transform("data", cut)).select(CHUNK)
+
+
 def empty_volumes(chunks: DataFrame) -> DataFrame:
     """position, t, c, is_empty: whether all voxels of a volume are 0 or absent."""
     return chunks.groupBy(*VOLUME).agg(F.bool_and(F.size(F.filter(_present(), lambda v: v != 0)) == 0).alias("is_empty"))

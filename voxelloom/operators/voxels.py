@@ -12,21 +12,6 @@ from ..sources.views import VOLUME
 AXES = ["z", "y", "x"]
 
 
-def project(vox: DataFrame, how: str = "avg", axis: str = "z") -> DataFrame:
-    """Reduce one axis: avg, max, min, sum or median."""
-    return vox.groupBy(*VOLUME, *[a for a in AXES if a != axis]).agg(getattr(F, how)("v").alias("v"))
-
-
-def stats(vox: DataFrame) -> DataFrame:
-    """Mean and population standard deviation of each volume."""
-    return vox.groupBy(*VOLUME).agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"))
-
-
-def contrast_limits(vox: DataFrame, low: float = 0.01, high: float = 0.99) -> DataFrame:
-    p = F.percentile("v", F.array(F.lit(low), F.lit(high)))
-    return vox.groupBy(*VOLUME).agg(p.alias("p")).select(*VOLUME, F.col("p")[0].alias("low"), F.col("p")[1].alias("high"))
-
-
 def _blocks(factors: dict[str, int]) -> list[Column]:
     return [F.floor(F.col(a) / factors.get(a, 1)).cast("int").alias(a) for a in AXES]
 
@@ -120,10 +105,6 @@ def is_empty() -> Column:
     return F.bool_and(F.isnan("v")) | F.bool_and(F.col("v") == 0)
 
 
-def empty_volumes(vox: DataFrame) -> DataFrame:
-    return vox.groupBy(*VOLUME).agg(is_empty().alias("is_empty"))
-
-
 def empty_planes(vox: DataFrame) -> DataFrame:
     """The z of each volume's empty planes, in order."""
     planes = vox.groupBy(*VOLUME, "z").agg(is_empty().alias("e"))
@@ -161,15 +142,6 @@ def contour_map(membrane: DataFrame, nucleus: DataFrame) -> DataFrame:
     return membrane.select(*keys, F.col("v").alias("m")).join(nucleus.select(*keys, F.col("v").alias("n")), keys).select(*keys, ((F.col("m") + (1 - F.col("n"))) / 2).alias("v"))
 
 
-def contours(labels: DataFrame) -> DataFrame:
-    """Label voxels with another label, or none, among the four neighbours in the plane. Labels are positive values."""
-    keys = [*VOLUME, *AXES]
-    near = labels.select(*VOLUME, "z", "y", "x", "v", F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in ((0, 1), (0, -1), (1, 0), (-1, 0))])).alias("d"))
-    near = near.select(*VOLUME, "z", (F.col("y") + F.col("d.a")).alias("y"), (F.col("x") + F.col("d.b")).alias("x"), F.col("v").alias("nv"))
-    same = labels.join(near, keys).where("v = nv").groupBy(*keys, "v").agg(F.count("*").alias("n"))
-    return labels.join(same.select(*keys, "n"), keys, "left").where((F.col("v") > 0) & (F.coalesce("n", F.lit(0)) < 4)).select(*keys, "v")
-
-
 def match_shape(vox: DataFrame, sizes: dict[str, int], targets: dict[str, int]) -> DataFrame:
     """Axes smaller than their target padded by mirroring, then those that are larger cut to their middle, where an odd rest goes behind. sizes: of all axes; axes without a target stay."""
     want = {a: targets.get(a, n) for a, n in sizes.items()}
@@ -190,11 +162,6 @@ def average_psf(beads: DataFrame, shape: dict[str, int] | None = None) -> DataFr
     return mean.join(F.broadcast(low)).select(*AXES, F.try_divide(F.col("v") - F.col("low"), F.col("high") - F.col("low")).alias("v"))  # one row
 
 
-def cell_counts(labels: DataFrame) -> DataFrame:
-    """Distinct labels of each volume but the background."""
-    return labels.groupBy(*VOLUME).agg(F.count_distinct(F.when(F.col("v") != 0, F.col("v"))).alias("n_cells"))
-
-
 def good_volumes(vox: DataFrame, low: float = 0.8, high: float = 1.2) -> DataFrame:
     """Volumes whose number of non-zero voxels is within low to high times the position's median."""
     n = vox.groupBy(*VOLUME).agg(F.count_if(F.col("v") != 0).alias("n_nonzero"))

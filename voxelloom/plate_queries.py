@@ -11,6 +11,7 @@ from .operators import plates as pl
 from .operators import points as po
 from .operators import runlog as rl
 from .operators import timeline as tl
+from .operators import volumes as vo
 from .operators import voxels as vx
 from .queries import _FAILED, _PEAKS, _SELF, CUBE, KEYS, _affine_sql, _peaks, _round, query
 from .sources import plates as ps
@@ -137,6 +138,19 @@ def transforms_combined(spark, d):
     return _cells(pl.combined(matrices(spark, d, 0), matrices(spark, d, 16)))
 
 
+_ADJUGATE = [[(6, 11, 7, 10), (3, 10, 2, 11), (2, 7, 3, 6)], [(7, 9, 5, 11), (1, 11, 3, 9), (3, 5, 1, 7)], [(5, 10, 6, 9), (2, 9, 1, 10), (1, 6, 2, 5)]]
+_MINORS = [[f"(a[{p}] * a[{q}] - a[{r}] * a[{s}])" for p, q, r, s in row] for row in _ADJUGATE]
+_DET = " + ".join(f"a[{c + 1}] * {_MINORS[c][0]}" for c in range(3))
+_INVERSE = ", ".join([*(e for row in _MINORS for e in (*(f"{x} / ({_DET})" for x in row), "-(" + " + ".join(f"{x} * a[{4 * k + 4}]" for k, x in enumerate(row)) + f") / ({_DET})")), "0.0", "0.0", "0.0", "1.0"])
+
+
+@query(f"WITH {_MATS}, p AS (SELECT position, t, [{_INVERSE}] AS m FROM mats) SELECT position, t, i::INT AS i, round(m[i + 1], 5) + 0.0 AS v FROM p, range(16) r(i)")
+def transforms_inverse(spark, d):
+    """The inverse of every transform; transforms_inverted multiplies them with the transforms."""
+    m = matrices(spark, d, 0)
+    return _cells(m.withColumn("matrix", pl.inverse(F.col("matrix")))).withColumn("v", F.col("v") + 0.0)
+
+
 @query("SELECT vec_id AS position, (vec_id % 7)::INT AS t, i::INT AS i, CASE WHEN i % 5 = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS v FROM embeddings, range(16) r(i)")
 def transforms_inverted(spark, d):
     m = matrices(spark, d, 0)
@@ -240,7 +254,7 @@ def camera_counts(spark, d):
 
 @query(f"WITH {vw.VOX}, q AS (SELECT position, t, c, quantile_cont(v, 0.9) AS q FROM vox GROUP BY ALL) SELECT {KEYS}, round(least(greatest(v, -0.1), q), 6) AS v FROM vox JOIN q USING (position, t, c)")
 def quantile_clip(spark, d):
-    return _round(pl.clip_high(vw.vox(spark, d), -0.1, 0.9))
+    return _round(ch.voxels(vo.clip(vw.chunks(spark, d), -0.1, 0.9)))
 
 
 @query("SELECT DISTINCT (s_suppkey % 3)::INT AS z0, (20 + s_suppkey % 2)::INT AS z1, (s_nationkey % 4)::INT AS y0, 30 AS y1 FROM supplier")

@@ -84,7 +84,7 @@ def bleaching_fit(spark, d):
 
 @query(f"WITH {vw.VOX} SELECT position, t, c, round(quantile_cont(v, 0.01), 6) AS low, round(quantile_cont(v, 0.99), 6) AS high FROM vox GROUP BY ALL")
 def contrast_limits(spark, d):
-    return _round(vx.contrast_limits(vw.vox(spark, d)), "low", "high")
+    return _round(vo.contrast_limits(vw.chunks(spark, d)), "low", "high")
 
 
 @query(f"""WITH {vw.VOX}, s AS (SELECT position, t, c, z, y // 2 AS y, x // 2 AS x, sum(v) AS s FROM vox GROUP BY ALL), w AS (SELECT *, min(s) OVER g AS lo, max(s) OVER g AS hi FROM s WINDOW g AS (PARTITION BY position, t, c))
