@@ -1,4 +1,4 @@
-"""Costs with metrics and angles, exact quantiles by ranges, and matches of near pairs, against plain loops."""
+"""Costs with metrics and angles, exact quantiles by ranges, matches of near pairs and inverses, against plain loops."""
 
 import math
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from voxelloom.operators import assignment as an
 from voxelloom.operators import kernels as ke
+from voxelloom.operators import plates as pl
 from voxelloom.operators import points as po
 from voxelloom.operators import quantiles as qu
 
@@ -156,3 +157,15 @@ def test_match_of_near_pairs_finds_a_moved_cloud(spark):
     costs = po.match_costs(a, b, (po.knn(a, 4), po.knn(b, 4)), weights={"edge_length": 1.0, "edge_angle": 1.0}, planar=True, radius=40.0)
     got = an.match(costs, 0.5, 0.8, cross_check=True).collect()
     assert costs.count() < 400 * 400 / 10 and {(r.mov, r.ref) for r in got} == {(i, 1000 + i) for i in range(400)}
+
+
+def test_inverse_of_matrices(spark):
+    rng = np.random.default_rng(10)
+    turned = [np.vstack([rng.normal(0, 1, (3, 4)), [0, 0, 0, 1]]) for _ in range(20)]
+    flat = np.eye(4)
+    flat[1, 1] = 0
+    rows = [(k, m.ravel().tolist()) for k, m in enumerate([*turned, flat])] + [(99, None)]
+    got = {r.k: r.inv for r in spark.createDataFrame(rows, "k int, m array<double>").select("k", pl.inverse(F.col("m")).alias("inv")).collect()}
+    assert got[20] is None and got[99] is None
+    for k, m in enumerate(turned):
+        assert np.reshape(got[k], (4, 4)) == pytest.approx(np.linalg.inv(m), rel=1e-6, abs=1e-9)

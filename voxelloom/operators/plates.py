@@ -136,13 +136,14 @@ def product(a: Column, b: Column) -> Column:
 
 
 def inverse(m: Column) -> Column:
-    """The inverse of an affine matrix, by the adjugate of its linear part; null where that is singular."""
-    e = lambda r, c: m[4 * (r % 3) + c % 3]
-    minor = lambda r, c: e(r + 1, c + 1) * e(r + 2, c + 2) - e(r + 1, c + 2) * e(r + 2, c + 1)
-    det = sum((e(0, c) * minor(0, c) for c in range(3)), F.lit(0.0))
-    linear = [[minor(c, r) / F.nullif(det, F.lit(0.0)) for c in range(3)] for r in range(3)]
-    rows = [[*linear[r], -sum((linear[r][k] * m[4 * k + 3] for k in range(3)), F.lit(0.0))] for r in range(3)]
-    return F.when(det != 0, F.array(*[x for r in rows for x in r], *[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)]))
+    """The inverse of an affine matrix, by the adjugate of its linear part; null where that is singular. Its steps are bound to lambdas' variables: written out, each entry would repeat the whole expression of m dozens of times."""
+    e = lambda a, r, c: a[4 * (r % 3) + c % 3]
+    minor = lambda a, r, c: e(a, r + 1, c + 1) * e(a, r + 2, c + 2) - e(a, r + 1, c + 2) * e(a, r + 2, c + 1)
+    steps = F.transform(F.array(m), lambda a: F.struct(a.alias("m"), F.array(*[minor(a, c, r) for r in range(3) for c in range(3)]).alias("w")))
+    steps = F.transform(steps, lambda s: F.struct(s["m"].alias("m"), s["w"].alias("w"), sum((s["m"][c] * s["w"][3 * c] for c in range(3)), F.lit(0.0)).alias("det")))
+    steps = F.transform(steps, lambda s: F.struct(s["m"].alias("m"), F.when(s["det"] != 0, F.transform(s["w"], lambda w: w / s["det"])).alias("w")))
+    row = lambda s, r: [*(s["w"][3 * r + c] for c in range(3)), -sum((s["w"][3 * r + k] * s["m"][4 * k + 3] for k in range(3)), F.lit(0.0))]
+    return F.transform(steps, lambda s: F.when(s["w"].isNotNull(), F.array(*[x for r in range(3) for x in row(s, r)], *[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)])))[0]
 
 
 def moved(m: Column, z: Column, y: Column, x: Column) -> list[Column]:
