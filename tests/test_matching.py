@@ -1,6 +1,7 @@
 """Costs of matches, overlapping boxes, robust widths and interpolation in a window, against plain searches."""
 
 import itertools
+import tempfile
 
 import numpy as np
 import pytest
@@ -103,3 +104,19 @@ def test_preprocessing_names_what_is_missing(spark):
     for steps, said in (([{"function": "nothing"}], "no function"), ([{"function": "abs", "inputs": ["z"]}], "no channels")):
         with pytest.raises(KeyError, match=said):
             registry.preprocess(vox, {0: "a"}, [("a", steps)])
+
+
+def test_overlap_box_works_out_equal_matrices_once(spark, tmp_path, monkeypatch):
+    plain, seen = ke.box_of_overlap, str(tmp_path)
+    matrices = [np.array([[1, 0, 0, k], [0, 1, 0, 0], [0, 0, 1, -k], [0, 0, 0, 1]], float).ravel().tolist() for k in range(3)]
+    rows = spark.createDataFrame([(k, matrices[k % 3] if k < 600 else None) for k in range(650)], "k int, matrix array<double>")
+
+    def counted(m, moving, fixed):
+        tempfile.mkstemp(dir=seen)
+        return plain(m, moving, fixed)
+
+    monkeypatch.setattr(ke, "box_of_overlap", counted)
+    got = ke.overlap_box(rows, (4, 5, 6), (5, 6, 4)).collect()
+    want = [plain(np.reshape(m, (4, 4)), (4, 5, 6), (5, 6, 4)) for m in matrices]
+    assert {r.k: tuple(r[b] for b in ke.BOX) for r in got} == {k: want[k % 3] if k < 600 else (None,) * 6 for k in range(650)}
+    assert len(list(tmp_path.iterdir())) == 3

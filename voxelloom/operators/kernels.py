@@ -10,8 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import kept
 from ..sources.views import VOLUME
 from .chunks import affine
+from .neighbours import few
 
 AXES = ["z", "y", "x"]
 BOX = ["z0", "z1", "y0", "y1", "x0", "x1"]
@@ -220,16 +222,20 @@ def box_of_overlap(m: np.ndarray, moving: tuple[int, int, int], fixed: tuple[int
 
 
 def overlap_box(transforms: DataFrame, moving: tuple[int, int, int], fixed: tuple[int, int, int], matrix: str = "matrix") -> DataFrame:
-    """transforms (matrix: 16 numbers, from fixed to moving voxels) with box_of_overlap. A null matrix gives nulls; volumes that don't meet give an empty box."""
-    kept = [f for f in transforms.schema.fields if f.name not in BOX]
+    """transforms (matrix: 16 numbers, from fixed to moving voxels) with box_of_overlap. A null matrix gives nulls; volumes that don't meet give an empty box. A box takes milliseconds, so equal matrices are worked out once, whatever their number of rows."""
+    names = [f.name for f in transforms.schema.fields if f.name not in BOX]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [(None,) * 6 if m is None else box_of_overlap(np.asarray(m, float).reshape(4, 4), moving, fixed) for m in pdf[matrix]]
-            boxes = pd.DataFrame(found, columns=BOX, index=pdf.index).astype("Int32")
-            yield pd.concat([pdf[[f.name for f in kept]], boxes], axis=1)
-
-    return transforms.select(*[f.name for f in kept]).mapInPandas(run, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{b} int" for b in BOX)]))
+            found = [box_of_overlap(np.asarray(m, float).reshape(4, 4), moving, fixed) for m in pdf["_m"]]
+            yield pd.concat([pdf[["_m"]], pd.DataFrame(found, columns=BOX, index=pdf.index)], axis=1)
+
+    # Dealt to as many tasks as the session shuffles into: the work lies in few bytes.
+    tasks = int(transforms.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    different = transforms.select(F.col(matrix).cast("array<double>").alias("_m")).where("_m IS NOT NULL").distinct().repartition(tasks)
+    boxes = few(kept(different.mapInPandas(run, ", ".join(["_m array<double>", *(f"{b} int" for b in BOX)])), "boxes"))
+    whole = transforms.select(*names)
+    return whole.join(boxes, F.col(matrix).cast("array<double>") == F.col("_m"), "left").select(*names, *BOX)
 
 
 def register_overlap(chunks: DataFrame, matrix: list[list[float]], shape: tuple[int, int, int], size: tuple[int, int, int], target: tuple[int, int, int], channels: list[int], target_size: tuple[int, int, int] | None = None) -> DataFrame:
