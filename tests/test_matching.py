@@ -120,3 +120,20 @@ def test_overlap_box_works_out_equal_matrices_once(spark, tmp_path, monkeypatch)
     want = [plain(np.reshape(m, (4, 4)), (4, 5, 6), (5, 6, 4)) for m in matrices]
     assert {r.k: tuple(r[b] for b in ke.BOX) for r in got} == {k: want[k % 3] if k < 600 else (None,) * 6 for k in range(650)}
     assert len(list(tmp_path.iterdir())) == 3
+
+
+def test_what_follows_a_row_is_not_read_anew_for_each(spark):
+    from voxelloom.operators import plates as pl
+
+    values = [None, None, 3.0, None, 5.0, None, None, 8.0, None]
+    rows = spark.createDataFrame([(p, t, v) for p in (1, 2) for t, v in enumerate(values)] + [(3, 0, None)], "position int, t int, v double")
+    filled = tl.fill_blank(rows, keys=("position",))
+    lines, near, valid = tl.interpolate(rows, ["v"]), tl.interpolate_near(rows, ["v"], 1), pl.nearest_valid(rows, "v")
+    of = lambda df: [r.v for r in df.where("position = 2").orderBy("t").collect()]
+    assert of(filled) == [3, 3, 3, 3, 5, 5, 5, 8, 8] and filled.where("position = 3").first().v is None
+    assert of(lines) == [1, 2, 3, 4, 5, 6, 7, 8, 9]
+    assert of(near) == [3, 3, 3, 4, 5, 5, 8, 8, 8]
+    assert of(valid) == [3, 3, 3, 3, 5, 5, 8, 8, 8]
+    for df in (filled, lines, near, valid):
+        # A frame from a row to the end costs the square of a series' length.
+        assert "currentrow$(), unboundedfollowing$()" not in df._jdf.queryExecution().optimizedPlan().toString().lower()

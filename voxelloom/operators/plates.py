@@ -168,7 +168,7 @@ def nearest_valid(transforms: DataFrame, value: str) -> DataFrame:
     """Null values get the valid one nearest in time; ties: the earlier."""
     w = Window.partitionBy("position").orderBy("t")
     known = F.when(F.col(value).isNotNull(), F.struct("t", value))
-    before, after = F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first(known, True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    before, after = F.last(known, True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.last(known, True).over(Window.partitionBy("position").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0))
     out = transforms.withColumns({"_b": before, "_a": after})
     near = F.when(F.col("_a").isNull() | (F.col("t") - F.col("_b.t") <= F.col("_a.t") - F.col("t")), F.col(f"_b.{value}")).otherwise(F.col(f"_a.{value}"))
     return out.withColumn(value, near).drop("_a", "_b")

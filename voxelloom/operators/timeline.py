@@ -18,6 +18,11 @@ def _so_far(key: str, t: str):
     return Window.partitionBy(key).orderBy(t).rowsBetween(Window.unboundedPreceding, 0)
 
 
+def _from_here(key: str, t: str):
+    """The row and those after it, for last(): sorted backwards, since a frame that ends with the series is read anew for each row."""
+    return Window.partitionBy(key).orderBy(F.desc(t)).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def cumulative_drift(shifts: DataFrame, scale: tuple[float, float, float] = (1.0, 1.0, 1.0)) -> DataFrame:
     """position, t, the summed shifts cz, cy, cx, and the sizes of the step and of the sum. Missing shifts count as 0."""
     w = _so_far("position", "t")
@@ -72,21 +77,22 @@ def fill_blank(frames: DataFrame, value: str = "v", keys: tuple[str, ...] = ("po
     """Null frames get the last frame before them, or the next one where there is none."""
     w = Window.partitionBy(*keys).orderBy("t")
     before = F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(value, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-    return frames.withColumn(value, F.coalesce(before, after))
+    # Only frames before the first known one ask for what follows, which is that one: a figure of the whole series, where a frame from each row on would be read anew for each row.
+    first = F.first(value, ignorenulls=True).over(w.rowsBetween(*ALL))
+    return frames.withColumn(value, F.coalesce(before, first))
 
 
 def interpolate(transforms: DataFrame, values: list[str]) -> DataFrame:
     """Null values between two known times by the line between them; before the first and after the last by the line through the nearest two. Positions with fewer than two known times stay as they are."""
     w = Window.partitionBy("position").orderBy("t")
     known = F.when(F.col(values[0]).isNotNull(), F.struct("t", *values))
-    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(0, Window.unboundedFollowing)
+    back, ahead = w.rowsBetween(Window.unboundedPreceding, 0), _from_here("position", "t")
     valid = transforms.withColumn("_k", known)
     # The two known times on either side: the last and the one before it come from the known rows' own neighbours.
     prior = F.lag("_k", 1).over(Window.partitionBy("position", F.col("_k").isNotNull()).orderBy("t"))
     later = F.lead("_k", 1).over(Window.partitionBy("position", F.col("_k").isNotNull()).orderBy("t"))
     valid = valid.withColumns({"_p": F.when(F.col("_k").isNotNull(), F.struct(F.col("_k").alias("at"), prior.alias("other"))), "_n": F.when(F.col("_k").isNotNull(), F.struct(F.col("_k").alias("at"), later.alias("other")))})
-    valid = valid.withColumns({"_b": F.last("_p", ignorenulls=True).over(back), "_a": F.first("_n", ignorenulls=True).over(ahead)})
+    valid = valid.withColumns({"_b": F.last("_p", ignorenulls=True).over(back), "_a": F.last("_n", ignorenulls=True).over(ahead)})
     left = F.coalesce(F.when(F.col("_b").isNotNull(), F.when(F.col("_a").isNotNull(), F.col("_b.at")).otherwise(F.col("_b.other"))), F.col("_a.at"))
     right = F.when(F.col("_b").isNotNull(), F.when(F.col("_a").isNotNull(), F.col("_a.at")).otherwise(F.col("_b.at"))).otherwise(F.col("_a.other"))
     valid = valid.withColumns({"_l": left, "_r": right})
@@ -102,7 +108,7 @@ def interpolate_near(transforms: DataFrame, values: list[str], window: int) -> D
     near = w.rangeBetween(-window, window)
     df = transforms.withColumn("_k", known).withColumns({
         "_n": F.count("_k").over(Window.partitionBy("position")), "_near": F.array_sort(F.collect_list("_k").over(near)),
-        "_b": F.last("_k", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.first("_k", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)),
+        "_b": F.last("_k", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_a": F.last("_k", ignorenulls=True).over(_from_here("position", "t")),
     })
     t, items = F.col("t"), F.col("_near")
     n_before = F.size(F.filter(items, lambda k: k["t"] < t))
