@@ -169,3 +169,12 @@ def test_inverse_of_matrices(spark):
     assert got[20] is None and got[99] is None
     for k, m in enumerate(turned):
         assert np.reshape(got[k], (4, 4)) == pytest.approx(np.linalg.inv(m), rel=1e-6, abs=1e-9)
+
+
+@pytest.mark.parametrize("more", [{}, {"planar": True, "radius": 40.0}])
+def test_pairs_are_never_shuffled_for_their_costs(spark, more):
+    points = [(1, i, float(i * 7 % 11), float(i * 5 % 13), float(i % 3)) for i in range(20)]
+    a = spark.createDataFrame(points, "label int, id bigint, z double, y double, x double")
+    plan = po.match_costs(a, a, (po.knn(a, 3), po.knn(a, 3)), **more)._jdf.queryExecution().executedPlan().toString()
+    # By a pair's ends, that is; clouds and shares deal the points.
+    assert "hashpartitioning(label" in plan and not any("Exchange hashpartitioning" in line and ("mov#" in line or "ref#" in line) for line in plan.splitlines())
