@@ -71,3 +71,15 @@ def test_patches_without_a_gaussian(spark):
     rows = [(1, 0, 0, b, 0, 0, 0, *shape, d) for b, d in enumerate(([0.0] * 125, [float("nan")] * 125, dark, bright))]
     got = {r.bead: r for r in psf.fits(spark.createDataFrame(rows, KIND.replace("c int", "c int, bead int"))).collect()}
     assert len(got) == 4 and all(got[b].fwhm_z is None for b in (0, 1, 2)) and got[3].fwhm_y == pytest.approx(0.9 * psf.FWHM, rel=0.02)
+
+
+def test_arrays_of_a_batch_leave_by_stacks(spark, monkeypatch):
+    monkeypatch.setattr(ch, "STACK_VOXELS", 100)
+    rows = spark.createDataFrame([(i, 0, 0, 0, 0, 0, 1, 1, 2, [float(i), 1.0]) for i in range(23)], ch.schema(spark.createDataFrame([(1,)], "position bigint")))
+    made = []
+    monkeypatch.setattr(type(rows), "mapInPandas", lambda self, run, schema: made.append(run))
+    ch.map_blocks(rows, lambda b, r: np.full((3, 3, 3), b[0, 0, 0] + r["position"]))
+    pdf = rows.toPandas()
+    out = list(made[0](iter([pdf, pdf.iloc[:0]])))
+    assert [len(o) for o in out] == [4, 4, 4, 4, 4, 3]
+    assert [(p, v[0], len(v)) for o in out for p, v in zip(o["position"], o["data"], strict=True)] == [(i, 2.0 * i, 27) for i in range(23)]

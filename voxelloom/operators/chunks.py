@@ -44,11 +44,17 @@ def map_blocks(chunks: DataFrame, fn: Callable[[np.ndarray, dict], np.ndarray],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [fn(block(r), r) for r in pdf.to_dict("records")]
-            out = pdf[[*VOLUME, *CORNER]].copy()
-            for k, s in enumerate(SIZE):
-                out[s] = [b.shape[k] for b in found]
-            yield out.assign(data=[b.ravel() for b in found])
+            at, found, held = 0, [], 0
+            for i in range(len(pdf)):
+                found.append(fn(block(r := pdf.iloc[i].to_dict()), r))
+                held += found[-1].size
+                # Arrays may be far larger than those that came: they leave as soon as a stack of voxels is there.
+                if held >= STACK_VOXELS or i == len(pdf) - 1:
+                    out = pdf.iloc[at : i + 1][[*VOLUME, *CORNER]].copy()
+                    for k, s in enumerate(SIZE):
+                        out[s] = [b.shape[k] for b in found]
+                    yield out.assign(data=[b.ravel() for b in found])
+                    at, found, held = i + 1, [], 0
 
     return chunks.mapInPandas(run, schema(chunks))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.views import VOLUME
-from .chunks import AXES, CORNER, OUT, SIZE, Shape, _alike, _blocks, boxes
+from .chunks import AXES, CORNER, OUT, SIZE, Shape, _alike, _blocks, _table, boxes
 
 #: Full width at half maximum of a Gaussian, in standard deviations.
 FWHM = 2 * math.sqrt(2 * math.log(2))
@@ -120,7 +120,10 @@ def fits(cut: DataFrame, scale: tuple[float, float, float] = (1.0, 1.0, 1.0)) ->
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in (*VOLUME, "bead")), *values], names=[x.split()[0] for x in FIT.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from (work(b) for b in batches if b.num_rows)
+        for batch in batches:
+            # A batch may hold any number of bytes; of it, a stack is copied at a time.
+            rows = max(1, STACK // (24 * max(1, int(_table(batch, SIZE).prod(1).max(initial=1)))))
+            yield from (work(batch.slice(at, rows)) for at in range(0, batch.num_rows, rows))
 
     kinds = [cut.schema[c].dataType.simpleString() for c in ("position", "bead")]
     # A fit is much work on few bytes: patches are dealt by a hash to as many tasks as the session shuffles into.
