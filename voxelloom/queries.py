@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .functions import matrix as mx
 from .functions import registry
 from .operators import chunks as ch
+from .operators import clouds as cl
 from .operators import folds as fo
 from .operators import kernels as ke
 from .operators import mosaic as mo
@@ -547,7 +548,7 @@ def match_costs(spark, d):
 @query()
 def hungarian_weighted(spark, d):
     sides, edges = _graphs(spark, d)
-    return ke.hungarian_costs(po.match_costs(*sides, edges))
+    return cl.match(*sides, cl.Cost(po.WEIGHTS["dist"], po.WEIGHTS["edge_length"]), edges)
 
 
 @query()
