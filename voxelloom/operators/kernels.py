@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
 from ..sources.views import VOLUME
+from . import clouds
 from .chunks import affine
 from .neighbours import few
 
@@ -296,21 +297,12 @@ def chosen(d: np.ndarray, quantile: float, max_ratio: float | None, far: float,
 
 
 def hungarian(points: DataFrame, quantile: float = 0.1, max_ratio: float | None = None, far: float = 1e6, cross_check: bool = False) -> DataFrame:
-    """Matches of each cloud's moving (side 0) and reference (side 1) points by the cheapest assignment of distances, see chosen(): label, mov, ref, cost."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = (pdf[pdf["side"] == s].sort_values("id") for s in (0, 1))
-        rows = []
-        if len(a) and len(b):
-            d = np.linalg.norm(a[AXES].to_numpy()[:, None] - b[AXES].to_numpy()[None], axis=2)
-            rows = [(pdf["label"].iloc[0], a["id"].iloc[i], b["id"].iloc[k], float(d[i, k])) for i, k in chosen(d, quantile, max_ratio, far, cross_check)]
-        return pd.DataFrame(rows, columns=["label", "mov", "ref", "cost"])
-
-    return points.groupBy("label").applyInPandas(run, "label int, mov bigint, ref bigint, cost double")
+    """Matches of each cloud's moving (side 0) and reference (side 1) points by the cheapest assignment of distances, see chosen(): label, mov, ref, cost. Clouds may be large, see clouds.match."""
+    return clouds.match(points.where("side = 0"), points.where("side = 1"), clouds.Cost(far=far), quantile=quantile, max_ratio=max_ratio, cross_check=cross_check)
 
 
 def hungarian_costs(costs: DataFrame, quantile: float = 0.1, max_ratio: float | None = 0.8, far: float = 1e6, cross_check: bool = False) -> DataFrame:
-    """Matches by the cheapest assignment of the costs of all a cloud's pairs (label, mov, ref, cost: points.match_costs), see chosen(): label, mov, ref, cost. A pair without a cost counts as far. assignment.match is for clouds too large for one task."""
+    """Matches by the cheapest assignment of the costs of all a cloud's pairs (label, mov, ref, cost: points.match_costs), see chosen(): label, mov, ref, cost. A pair without a cost counts as far. clouds.match is for clouds too large for a matrix."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         d = pdf.pivot(index="mov", columns="ref", values="cost").sort_index().sort_index(axis=1).fillna(far)
