@@ -1,6 +1,6 @@
 """Cheapest assignments in clouds of any size: pairs that may match are few, so the graph of them falls apart, and each part is solved alone.
 
-Leaving a moving point without a reference point costs `far`, so pairs that cost that much or more need never be made (points.within gives the pairs nearer than a radius without all pairs of a cloud). The cheapest assignment of all points is then
+This is for costs that stand in a table; clouds.py works from points and needs no pairs. Leaving a moving point without a reference point costs `far`, so pairs that cost that much or more need never be made. The cheapest assignment of all points is then
 the union of the cheapest ones of the graph's connected parts. Parts are dealt to tasks in bundles; a part is solved over its pairs, without a matrix of its points. Its pairs go to one task: with `far` above the distances at which a cloud
 hangs together, that is the whole cloud, and the search takes its points times its pairs.
 """
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import kept
-from .points import within
 from .quantiles import quantiles
 
 #: Pairs of small parts in one task, about.
@@ -99,8 +98,9 @@ def assign(pairs: DataFrame, far: float, key: str = "label") -> DataFrame:
 
 def assign_near(moving: DataFrame, reference: DataFrame, radius: float, key: str = "label") -> DataFrame:
     """The cheapest assignment by distance in which only points nearer than the radius match, and as many as pays: key, mov, ref, cost."""
-    near = within(moving, reference, radius, key).select(key, F.col("src").alias("mov"), F.col("dst").alias("ref"), F.col("dist").alias("cost"))
-    return assign(near, radius, key)
+    from . import clouds  # which takes parts and cheapest from here
+
+    return clouds.assign(moving, reference, clouds.Cost(far=radius, radius=radius), key=key)
 
 
 def match(costs: DataFrame, quantile: float = 0.1, max_ratio: float | None = 0.8, far: float = 1e6, cross_check: bool = False, key: str = "label") -> DataFrame:
