@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from .operators import assignment as an
 from .operators import beads as be
 from .operators import chunks as ch
+from .operators import clouds as cl
 from .operators import kernels as ke
 from .operators import points as po
 from .operators import psf
@@ -146,8 +147,8 @@ def distance_quantiles(spark, d):
 def match_near(spark, d):
     """Weighted matches of each cloud's points nearer than 12, asked from both sides."""
     sides = _sides(spark, d)
-    costs = po.match_costs(*sides, tuple(po.knn(s, 5) for s in sides), radius=12.0)
-    return an.match(costs, 0.5, 0.8, cross_check=True)
+    cost = cl.Cost(po.WEIGHTS["dist"], po.WEIGHTS["edge_length"], radius=12.0)
+    return cl.match(*sides, cost, tuple(po.knn(s, 5) for s in sides), 0.5, 0.8, cross_check=True)
 
 
 @query(f"WITH {vw.SHIFTS} SELECT position, t, sum(coalesce(dz, 0)) OVER w AS dz, sum(coalesce(dy, 0)) OVER w AS dy, sum(coalesce(dx, 0)) OVER w AS dx FROM (SELECT position, t, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dz END AS dz, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dy END AS dy, CASE WHEN dz IS NOT NULL AND dy IS NOT NULL AND dx IS NOT NULL THEN dx END AS dx FROM shifts) WINDOW w AS (PARTITION BY position ORDER BY t)")
