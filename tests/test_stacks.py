@@ -66,6 +66,28 @@ def test_planes_without_structure():
     assert np.abs(st.plane_shift(spot, spot)).max() < 1e-6
 
 
+def test_stacks_of_sizes_and_missing_planes(spark):
+    rng = np.random.default_rng(3)
+    y, x = np.meshgrid(np.arange(14.0), np.arange(17.0), indexing="ij")
+    spots = rng.uniform(0, 16, (9, 2))
+    at = lambda dy, dx: sum(np.exp(-((y - cy - dy) ** 2 + (x - cx - dx) ** 2) / 8) for cy, cx in spots)
+    series = [at(0.4 * t, -0.3 * t) for t in range(12)]
+    rows = [("a", t, p.ravel().tolist(), 14, 17) for t, p in enumerate(series)]
+    rows += [("b", t, p[:, :9].ravel().tolist(), 14, 9) for t, p in enumerate(series)]
+    rows += [("c", 0, rows[0][2], 14, 17), ("c", 1, None, 14, 17), ("c", 2, rows[1][2], 14, 17), ("c", 3, rows[2][2][:-1] + [None], 14, 17), ("c", 4, rows[14][2], 14, 9), ("c", 5, rows[13][2], 14, 9)]
+    planes = spark.createDataFrame(rows, "position string, t int, plane array<double>, ny int, nx int")
+    got = {(r.position, r.t): (r.dy, r.dx) for r in st.plane_shifts(planes).collect()}
+    assert len(got) == len(rows) and got["a", 0] == got["b", 0] == got["c", 0] == (0, 0)
+    assert [got["c", t] for t in (1, 2, 3, 4)] == [(None, None)] * 4 and got["c", 5] == pytest.approx((-0.4, 0.3), abs=0.05)
+    for p, wide in (("a", 17), ("b", 9)):
+        for t in range(1, 12):
+            # The same digits, whatever pairs lie in the stack.
+            assert got[p, t] == tuple(st.plane_shift(series[t - 1][:, :wide], series[t][:, :wide])) == pytest.approx((0.4, -0.3), abs=0.05)
+    short = spark.createDataFrame([("a", 0, [1.0] * 16, 4, 4), ("a", 1, [1.0] * 15, 4, 4)], planes.schema)
+    with pytest.raises(Exception, match="hasn't 4 x 4 values"):
+        st.plane_shifts(short).collect()
+
+
 def test_composed(spark):
     rng = np.random.default_rng(2)
     of = {p: [None if rng.random() < 0.2 else np.r_[rng.normal(0, 0.5, (3, 4)), [[0, 0, 0, 1]]] for _ in range(n)] for p, n in (("a", 30), ("b", 3))}
