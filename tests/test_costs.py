@@ -178,3 +178,15 @@ def test_pairs_are_never_shuffled_for_their_costs(spark, more):
     plan = po.match_costs(a, a, (po.knn(a, 3), po.knn(a, 3)), **more)._jdf.queryExecution().executedPlan().toString()
     # By a pair's ends, that is; clouds and shares deal the points.
     assert "hashpartitioning(label" in plan and not any("Exchange hashpartitioning" in line and ("mov#" in line or "ref#" in line) for line in plan.splitlines())
+
+
+def test_all_pairs_take_few_bytes_for_their_keys(spark, tmp_path):
+    points = spark.range(0, 12000).selectExpr("cast(id % 2 as int) AS label", "id", "cast(id AS double) AS z", "0D AS y", "0D AS x")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        po.all_pairs(points.where("id >= 11000"), points.where("id < 10000")).select("label", F.col("a.id").alias("mov"), F.col("b.id").alias("ref")).write.parquet(f"{tmp_path}/pairs")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    back, n = spark.read.parquet(f"{tmp_path}/pairs"), 2 * 500 * 5000
+    assert back.count() == back.distinct().count() == n and back.where("mov % 2 <> label OR ref % 2 <> label OR mov < 11000 OR ref >= 10000").count() == 0
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) / n < 0.85
