@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from voxelloom import plate_queries
 from voxelloom.operators import neighbours as nb
 from voxelloom.operators import points as po
 
@@ -79,3 +80,29 @@ def test_ratio(spark):
     ref = spark.createDataFrame([(1, 11, 1.0, 0.0, 0.0), (1, 12, 11.0, 0.0, 0.0), (1, 13, 9.0, 0.0, 0.0), (2, 14, 5.0, 0.0, 0.0)], KIND)
     assert sorted((r.mov, r.ref) for r in po.nearest(mov, ref, max_ratio=0.5).collect()) == [(1, 11), (3, 14)]
     assert sorted((r.mov, r.ref) for r in po.nearest(mov, ref).collect()) == [(1, 11), (2, 12), (3, 14)]
+
+
+@pytest.mark.parametrize("cell", [2048, 16])
+def test_descriptors_of_near_points_are_those_of_their_graph(spark, monkeypatch, cell):
+    monkeypatch.setattr(po, "CELL", cell)
+    points = table(spark, clouds()).union(spark.createDataFrame([(3, 900, None, 1.0, 1.0), (3, 901, float("nan"), 1.0, 1.0), (3, 902, float("inf"), 1.0, 1.0), (8, 903, -1e300, 0.0, 0.0), (8, 904, -1e300, 0.0, 0.0)], KIND))
+    names = ("mean_dist", "std_dist", "mean_angle", "std_angle")
+    for radius in (2.0, 25.0):
+        got = {(r.label, r.id): [r[n] for n in names] for r in po.near_descriptors(points, radius).collect()}
+        want = {c: np.zeros((len(ps), 4)) for c, ps in clouds().items()}
+        for c, ps in clouds().items():
+            for i, p in enumerate(ps):
+                d = np.sqrt(((ps - p) ** 2).sum(1))
+                near = [j for j in range(len(ps)) if j != i and d[j] <= radius]
+                if near:
+                    angles = [np.arctan2(*((ps[min(i, j)] - ps[max(i, j)])[[2, 1]])) for j in near]
+                    want[c][i] = [d[near].mean(), d[near].std(), np.mean(angles), np.std(angles)]
+        assert len(got) == sum(map(len, want.values())) + 5
+        for (c, i), g in got.items():
+            assert g == pytest.approx(want[c][i] if i < 900 else [0, 0, 0, 0], abs=1e-7), (radius, c, i)
+
+
+def test_edges_of_the_descriptors_query_are_never_shuffled(spark):
+    plan = plate_queries.edge_descriptors(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    # A pair's ends would be lo and hi, its other direction found in a window.
+    assert "Window" not in plan and plan.count("SortMergeJoin") + plan.count("BroadcastHashJoin") + plan.count("ShuffledHashJoin") == 4

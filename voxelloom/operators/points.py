@@ -16,6 +16,9 @@ from .neighbours import nearest_k
 AXES = ["z", "y", "x"]
 #: Over so many shares the points of each side of a cloud are dealt when all its pairs are made.
 SHARES = 8
+#: Points of a share of a cell, about, where near ones are summed up.
+CELL = 2_048
+WIDER = 1 + 1e-9
 
 
 def distance(a: str, b: str) -> Column:
@@ -138,6 +141,28 @@ def edge_descriptors(points: DataFrame, edges: DataFrame, key: str = "label") ->
     return found.select(key, "id", *[F.coalesce(f"{n}_{v}", F.lit(0.0)).alias(f"{n}_{v}") for v in ("dist", "angle") for n in ("mean", "std")])
 
 
+def near_descriptors(points: DataFrame, radius: float, key: str = "label") -> DataFrame:
+    """edge_descriptors() of the radius_graph(), whose edges never stand anywhere: each point's pairs are made in one task or a few and summed up there. Both directions are edges, so each has the angle from the higher id to the lower.
+
+    Points are dealt to cells, and those of a cell to shares, of about CELL points; what may lie within the radius stands with each share. Edges are as many as ever, so their time is the square of a crowded cloud; memory and disk aren't."""
+    cells = [f"k{a}" for a in AXES]
+    fine = points.where(" AND ".join(f"abs({a}) < double('Infinity')" for a in AXES)).select(key, "id", *[F.col(a).cast("double").alias(a) for a in AXES])
+    at = lambda v: F.floor(v / radius)
+    p, q = fine.withColumns({f"k{a}": at(F.col(a)) for a in AXES}), fine
+    for a in AXES:
+        q = q.withColumn(f"k{a}", F.explode(F.sequence(at(F.col(a) - radius * WIDER), at(F.col(a) + radius * WIDER))))
+    shares = p.groupBy(key, *cells).agg(F.ceil(F.count("*") / CELL).cast("int").alias("shares"))
+    p = p.join(shares, [key, *cells]).select(key, *cells, F.pmod(F.xxhash64("id"), F.col("shares")).cast("int").alias("share"), F.struct("id", *AXES).alias("a"))
+    q = q.join(shares, [key, *cells]).select(key, *cells, F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.struct("id", *AXES).alias("b"))
+    # By number, as in all_pairs.
+    tasks, by = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), [key, *cells, "share"]
+    pairs = p.repartition(tasks, *by).join(q.repartition(tasks, *by), by).withColumn("dist", distance("a", "b")).where((F.col("dist") <= radius) & (F.col("a.id") != F.col("b.id")))
+    # No change of sign: it would make -0 of 0, and -pi of pi.
+    along = lambda v: F.when(F.col("a.id") > F.col("b.id"), F.col(f"b.{v}") - F.col(f"a.{v}")).otherwise(F.col(f"a.{v}") - F.col(f"b.{v}"))
+    edges = pairs.select(key, F.col("a.id").alias("src"), "dist", F.atan2(along("x"), along("y")).alias("angle"))
+    return edge_descriptors(points, edges, key)
+
+
 def least_difference(short: Column, long: Column) -> Column:
     """The least sum of differences when each value of a sorted array is put to another one of a sorted array that is no shorter. Numbers on a line are best paired in order, so a row of least sums by how many of the long array are used is enough."""
     inf = F.lit(float("inf"))

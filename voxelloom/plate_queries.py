@@ -230,8 +230,7 @@ def common_support(spark, d):
 
 @query(_SELF + ", a AS (SELECT p.label, p.src, p.dist, atan2(lo.x - hi.x, lo.y - hi.y) AS angle FROM pairs p JOIN pts lo ON lo.label = p.label AND lo.id = least(p.src, p.dst) JOIN pts hi ON hi.label = p.label AND hi.id = greatest(p.src, p.dst) WHERE dist <= 12), s AS (SELECT label, src AS id, avg(dist) AS a, stddev_pop(dist) AS b, avg(angle) AS c, stddev_pop(angle) AS d FROM a GROUP BY ALL) SELECT label, id, round(coalesce(a, 0), 6) AS mean_dist, round(coalesce(b, 0), 6) AS std_dist, round(coalesce(c, 0), 6) AS mean_angle, round(coalesce(d, 0), 6) AS std_angle FROM pts LEFT JOIN s USING (label, id)")
 def edge_descriptors(spark, d):
-    p = vw.points(spark, d)
-    return _round(po.edge_descriptors(p, po.radius_graph(p, 12.0)), "mean_dist", "std_dist", "mean_angle", "std_angle")
+    return _round(po.near_descriptors(vw.points(spark, d), 12.0), "mean_dist", "std_dist", "mean_angle", "std_angle")
 
 
 @query(f"WITH {vw.FOCUS}, m AS (SELECT time_idx, avg(nullif(focus_idx, 0)) AS f FROM focus GROUP BY ALL) SELECT time_idx, round(f, 6) AS focus_idx, round(f - first_value(f IGNORE NULLS) OVER (ORDER BY time_idx ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), 6) AS dz FROM m")
